@@ -6,14 +6,18 @@ checks the bracket, and just the values strictly inside it are looked at. The
 count makes the answer exact whatever the sketch error was: a rank outside its
 bracket reopens the bracket, and a bracket that is still too full is narrowed
 by another sketch over its inside.
+
+Columns are unpivoted to (column number, value), so the number of jobs and the
+size of the generated code do not grow with the number of columns.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlark.functions.types import col
@@ -22,29 +26,17 @@ from medlark.functions.types import col
 PICK_LIMIT = 100_000
 SKETCH_ACCURACY = 10_000
 _MARGIN = 2.0 / SKETCH_ACCURACY
-# Brackets looked at in one job.
-_BRACKETS_PER_JOB = 60
+_GRID = 100
 
 
 @dataclass
-class _Rank:
-    """One wanted order statistic: 0-based ``rank`` of column ``c``."""
+class _Bracket:
+    """Open ranks of column ``i`` thought to lie in ``lo..hi``."""
 
-    c: str
-    rank: int
+    i: int
     lo: float
     hi: float
-    below: int = 0      # values < lo
-    inside: int = 0     # lo < values < hi
-    value: float | None = None
-
-
-def _lit(x: float) -> str:
-    return f"double('{x!r}')"
-
-
-def _inside(r: _Rank) -> str:
-    return f"CASE WHEN {r.c} > {_lit(r.lo)} AND {r.c} < {_lit(r.hi)} THEN {r.c} END"
+    ranks: list[int] = field(default_factory=list)
 
 
 def exact_quantiles(
@@ -53,8 +45,8 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """``{name: [quantile per prob]}``; ``None`` where a column has no value.
 
-    Nulls and NaN are skipped. Every job is one scan with a constant-size
-    result; nothing is shuffled but the partial aggregates.
+    Nulls and NaN are skipped. Every job is one scan with partial aggregates;
+    what comes back is a row per column and bracket.
     """
     def wanted(n: int) -> list[int]:
         return [k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
@@ -79,100 +71,153 @@ def order_statistics(df: DataFrame, column: Column, ranks: list[int], n: int,
     return _order_statistics(df, {"x": column}, probs, lambda _: ranks, pick_limit)["x"][1]
 
 
+def _long(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """(i, q) for every value of every column."""
+    values = [F.nanvl(c.cast("double"), F.lit(None).cast("double")) for c in columns]
+    if len(values) == 1:
+        long = df.select(F.lit(0).alias("i"), values[0].alias("q"))
+    else:
+        long = df.select(F.posexplode(F.array(*values)).alias("i", "q"))
+    return long.where(F.col("q").isNotNull())
+
+
 def _order_statistics(df, columns, probs, wanted, pick_limit) -> dict[str, tuple[int, list]]:
     """``{name: (count, values at the wanted ranks)}``; ``probs`` say where to look first."""
     if not isinstance(columns, dict):
         columns = {c: col(c) for c in columns}
-    names = list(columns)
-    step = max(1, _BRACKETS_PER_JOB // max(1, len(probs)))
-    if len(names) > step:
-        out: dict[str, tuple[int, list]] = {}
-        for i in range(0, len(names), step):
-            part = {n: columns[n] for n in names[i:i + step]}
-            out.update(_order_statistics(df, part, probs, wanted, pick_limit))
-        return out
-    if not names:
+    if not columns:
         return {}
-
-    work = df.select([
-        F.nanvl(columns[n].cast("double"), F.lit(None).cast("double")).alias(f"q{i}")
-        for i, n in enumerate(names)
-    ])
-    edges = [min(1.0, max(0.0, p + d)) for p in probs for d in (-_MARGIN, _MARGIN)]
-    points = ", ".join(f"{e!r}D" for e in edges)
-    first = work.agg(*[
-        e for i in range(len(names)) for e in (
-            F.count(f"q{i}").alias(f"n{i}"), F.min(f"q{i}").alias(f"lo{i}"),
-            F.max(f"q{i}").alias(f"hi{i}"),
-            F.expr(f"percentile_approx(q{i}, array({points}), {SKETCH_ACCURACY})").alias(f"e{i}"),
-        )
-    ]).first()
-
-    ranks: dict[tuple[int, int], _Rank] = {}
-    limits: dict[str, tuple[float, float]] = {}
-    for i in range(len(names)):
-        n = first[f"n{i}"]
-        limits[f"q{i}"] = (first[f"lo{i}"], first[f"hi{i}"])
-        if n == 0:
-            continue
-        for j, k in enumerate(wanted(n)):
-            r = _Rank(f"q{i}", k, first[f"e{i}"][2 * j], first[f"e{i}"][2 * j + 1])
+    long = _long(df, list(columns.values()))
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-_MARGIN, _MARGIN)})
+    first = {r["i"]: r for r in long.groupBy("i").agg(
+        F.count("q").alias("n"), F.min("q").alias("lo"), F.max("q").alias("hi"),
+        F.percentile_approx("q", edges, SKETCH_ACCURACY).alias("e"),
+    ).collect()}
+
+    def edge(i: int, p: float) -> float:
+        return first[i]["e"][edges.index(min(1.0, max(0.0, p)))]
+
+    known: dict[tuple[int, int], float] = {}
+    todo: dict[tuple[int, int], tuple[float, float]] = {}
+    for i, r in first.items():
+        for p, k in zip(probs, wanted(r["n"])):
             if k == 0:
-                r.value = first[f"lo{i}"]
-            elif k == n - 1:
-                r.value = first[f"hi{i}"]
-            ranks.setdefault((i, k), r)
-    _resolve(work, list(ranks.values()), limits, pick_limit)
-    result = {}
-    for i, name in enumerate(names):
-        n = first[f"n{i}"]
-        result[name] = (n, [ranks[i, k].value for k in wanted(n)] if n else [])
-    return result
-
-
-def _resolve(work: DataFrame, ranks: list[_Rank], limits: dict, pick_limit: int) -> None:
-    """Fill in ``value`` of every rank, narrowing brackets until they can be picked from."""
-    while pending := [r for r in ranks if r.value is None]:
-        counts = work.agg(*[
-            F.expr(e).alias(a) for i, r in enumerate(pending) for e, a in (
-                (f"count_if({r.c} < {_lit(r.lo)})", f"below{i}"),
-                (f"count_if({r.c} = {_lit(r.lo)})", f"at_lo{i}"),
-                (f"count_if({r.c} > {_lit(r.lo)} AND {r.c} < {_lit(r.hi)})", f"inside{i}"),
-                (f"count_if({r.c} = {_lit(r.hi)})", f"at_hi{i}"),
-            )
-        ]).first()
-        open_ = []
-        for i, r in enumerate(pending):
-            r.below = counts[f"below{i}"] + counts[f"at_lo{i}"]
-            r.inside = counts[f"inside{i}"]
-            if r.rank < counts[f"below{i}"]:
-                r.lo = limits[r.c][0]
-            elif r.rank < r.below:
-                r.value = r.lo
-            elif r.rank < r.below + r.inside:
-                open_.append(r)
-            elif r.rank < r.below + r.inside + counts[f"at_hi{i}"]:
-                r.value = r.hi
+                known[i, k] = r["lo"]
+            elif k == r["n"] - 1:
+                known[i, k] = r["hi"]
             else:
-                r.hi = limits[r.c][1]
-        if not open_:
-            continue
-        exprs = []
-        for i, r in enumerate(open_):
-            if r.inside <= pick_limit:
-                p = (r.rank - r.below + 0.5) / r.inside
-                exprs.append(
-                    f"percentile_disc({p!r}D) WITHIN GROUP (ORDER BY {_inside(r)}) AS v{i}")
-            else:
-                p = (r.rank - r.below) / r.inside
-                lo, hi = max(0.0, p - _MARGIN), min(1.0, p + _MARGIN)
-                exprs.append(
-                    f"percentile_approx({_inside(r)}, array({lo!r}D, {hi!r}D), "
-                    f"{SKETCH_ACCURACY}) AS v{i}")
-        picked = work.agg(*[F.expr(e.rsplit(" AS ", 1)[0]).alias(f"v{i}")
-                            for i, e in enumerate(exprs)]).first()
-        for i, r in enumerate(open_):
-            if r.inside <= pick_limit:
-                r.value = float(picked[f"v{i}"])
-            else:
-                r.lo, r.hi = picked[f"v{i}"]
+                todo.setdefault((i, k), (edge(i, p - _MARGIN), edge(i, p + _MARGIN)))
+    limits = {i: (r["lo"], r["hi"]) for i, r in first.items()}
+    while todo:
+        _step(long, len(columns), todo, known, limits, pick_limit)
+    return {
+        name: (first[i]["n"], [known[i, k] for k in wanted(first[i]["n"])]) if i in first else (0, [])
+        for i, name in enumerate(columns)
+    }
+
+
+def _table(brackets: list[list[_Bracket]], value) -> list[Column]:
+    """Per slot: the bracket's value as a function of the column number."""
+    slots = max(len(b) for b in brackets)
+    out = []
+    for s in range(slots):
+        by_column = [float(value(b[s])) if s < len(b) else 0.0 for b in brackets]
+        out.append(F.get(F.lit(by_column), F.col("i")))
+    return out
+
+
+def _step(long: DataFrame, n_columns: int, todo: dict, known: dict, limits: dict,
+          pick_limit: int) -> None:
+    """One round over all open ranks: each becomes known or gets a better bracket."""
+    brackets = _brackets(todo, n_columns)
+    lo, hi = _table(brackets, lambda b: b.lo), _table(brackets, lambda b: b.hi)
+    q = F.col("q")
+    counted = {r["i"]: r for r in long.groupBy("i").agg(*[
+        F.count_if(test).alias(f"{name}{s}")
+        for s in range(len(lo))
+        for name, test in (("below", q < lo[s]), ("at_lo", q == lo[s]),
+                           ("inside", (q > lo[s]) & (q < hi[s])), ("at_hi", q == hi[s]))
+    ]).collect()}
+
+    inner: dict[tuple[int, int], tuple[int, int, int]] = {}
+    full: set[tuple[int, int]] = set()
+    for per_column in brackets:
+        for s, b in enumerate(per_column):
+            below, at_lo, inside, at_hi = (
+                counted[b.i][f"{w}{s}"] for w in ("below", "at_lo", "inside", "at_hi"))
+            for k in b.ranks:
+                at = k - below - at_lo
+                if k < below:
+                    todo[b.i, k] = (limits[b.i][0], b.hi)
+                elif at < 0:
+                    known[b.i, k] = b.lo
+                elif at < inside:
+                    inner[b.i, k] = (s, at, inside)
+                    if inside > pick_limit:
+                        full.add((b.i, s))
+                elif at < inside + at_hi:
+                    known[b.i, k] = b.hi
+                else:
+                    todo[b.i, k] = (b.lo, limits[b.i][1])
+    within = long.select("i", "q", F.explode(F.array_compact(F.array(*[
+        F.when((q > lo[s]) & (q < hi[s]), F.lit(s)) for s in range(len(lo))]))).alias("s"))
+    _pick(within, {k: v for k, v in inner.items() if (k[0], v[0]) not in full}, known)
+    _narrow(within, {k: v for k, v in inner.items() if (k[0], v[0]) in full}, todo)
+    for key in [k for k in todo if k in known]:
+        del todo[key]
+
+
+def _brackets(todo: dict, n_columns: int) -> list[list[_Bracket]]:
+    found: dict[tuple, _Bracket] = {}
+    for (i, k), (lo, hi) in todo.items():
+        found.setdefault((i, lo, hi), _Bracket(i, lo, hi)).ranks.append(k)
+    out: list[list[_Bracket]] = [[] for _ in range(n_columns)]
+    for b in found.values():
+        out[b.i].append(b)
+    return out
+
+
+def _only(within: DataFrame, keys) -> DataFrame:
+    """The rows of the given (column, slot) pairs."""
+    slots = defaultdict(list)
+    for i, s in keys:
+        slots[s].append(i)
+    test = F.lit(False)
+    for s, columns in slots.items():
+        test = test | ((F.col("s") == s) & F.col("i").isin(columns))
+    return within.where(test)
+
+
+def _pick(within: DataFrame, inner: dict, known: dict) -> None:
+    """Read the ranks off the value counts of their brackets, each of bounded size."""
+    if not inner:
+        return
+    wanted = defaultdict(list)
+    for (i, k), (s, at, _) in inner.items():
+        wanted[i, s].append((at, k))
+    counts = _only(within, wanted).groupBy("i", "s", "q").agg(F.count(F.lit(1)).alias("n"))
+    run = Window.partitionBy("i", "s").orderBy("q").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counts.select("i", "s", "q", "n", F.sum("n").over(run).alias("upto"))
+    hit = F.lit(False)
+    for (i, s), ranks in wanted.items():
+        for at in {at for at, _ in ranks}:
+            hit = hit | ((F.col("i") == i) & (F.col("s") == s)
+                         & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at))
+    for r in summed.where(hit).collect():
+        for at, k in wanted[r["i"], r["s"]]:
+            if r["upto"] - r["n"] <= at < r["upto"]:
+                known[r["i"], k] = r["q"]
+
+
+def _narrow(within: DataFrame, inner: dict, todo: dict) -> None:
+    """Cut full brackets at a sketch of their inside."""
+    if not inner:
+        return
+    keys = {(i, s) for (i, _), (s, _, _) in inner.items()}
+    cuts = {(r["i"], r["s"]): r["e"] for r in _only(within, keys).groupBy("i", "s").agg(
+        F.percentile_approx("q", [g / _GRID for g in range(_GRID + 1)], SKETCH_ACCURACY).alias("e")
+    ).collect()}
+    for (i, k), (s, at, inside) in inner.items():
+        p = at / inside * _GRID
+        e = cuts[i, s]
+        todo[i, k] = (e[max(0, math.floor(p) - 1)], e[min(_GRID, math.ceil(p) + 1)])

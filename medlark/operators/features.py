@@ -121,18 +121,19 @@ def mutual_information(df: DataFrame, label: str, cols: list[str], bins: int = 1
     edges = exact_quantiles(
         df, {c: F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in cols},
         [i / bins for i in range(1, bins)])
-    cells = []
-    for c in cols:
-        cuts = sorted(set(edges[c]))
-        x = F.coalesce(col(c).cast("double"), F.lit(0.0))
-        bin_ = F.lit(0)
-        for e in cuts:
-            bin_ = bin_ + (x > F.lit(e)).cast("int")
-        cells.append(F.struct(F.lit(c).alias("feature"), bin_.alias("bin")))
-    have = df.where(col(label).isNotNull())
+    # One row per cell, and one expression for all columns: the cuts are looked up by name.
+    cuts = F.create_map(*[e for c in cols for e in (
+        F.lit(c), F.lit(sorted(set(v for v in edges[c] if v is not None)) or [0.0]))])
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("feature"),
+                 F.coalesce(col(c).cast("double"), F.lit(0.0)).alias("x")) for c in cols])
     joint = (
-        have.select(col(label).cast("string").alias("y"), F.explode(F.array(*cells)).alias("_c"))
-        .groupBy("_c.feature", "_c.bin", "y").agg(F.count(F.lit(1)).alias("n"))
+        df.where(col(label).isNotNull())
+        .select(col(label).cast("string").alias("y"), F.explode(cells).alias("_c"))
+        .select("y", "_c.feature", "_c.x")
+        .select("y", "feature",
+                F.size(F.filter(cuts[F.col("feature")], lambda e: e < F.col("x"))).alias("bin"))
+        .groupBy("feature", "bin", "y").agg(F.count(F.lit(1)).alias("n"))
     )
     rows = (
         joint.groupBy("feature")

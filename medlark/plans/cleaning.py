@@ -36,8 +36,10 @@ def clean_table(
         table = clean.winsorize_zscore(table, numbers)
     else:
         raise ValueError(f"unknown outlier rule {outliers!r}")
+    before = set(table.columns)
     table = clean.encode_auto(table, texts)
-    scaled = [c for c in numeric_columns(table) if c not in keep]
+    # Indicator columns stay 0/1; ranks and 0/1 codes that replaced a column are scaled.
+    scaled = [c for c in numeric_columns(table) if c in before and c not in keep]
     if scaling == "standard":
         return clean.scale_standard(table, scaled)
     if scaling == "minmax":

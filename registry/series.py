@@ -107,21 +107,21 @@ trended AS (SELECT o_orderpriority, period, value, coalesce(
 
 
 @query("centered_trend", f"""
-WITH {TREND_SQL} SELECT o_orderpriority, {DAY_SQL}, round(trend, 2) AS trend FROM trended""")
+WITH {TREND_SQL} SELECT o_orderpriority, {DAY_SQL}, round(trend, 4) AS trend FROM trended""")
 def centered_trend(spark, d):
     t = series.centered_trend(monthly(spark, d), ["o_orderpriority"])
-    return rounded(_shown(t, "o_orderpriority", "period", "trend"), 2, "trend")
+    return rounded(_shown(t, "o_orderpriority", "period", "trend"), 4, "trend")
 
 
 @query("decompose", f"""
 WITH {TREND_SQL},
 s AS (SELECT *, avg(value - trend) OVER (PARTITION BY o_orderpriority, month(period)) AS seasonal
       FROM trended)
-SELECT o_orderpriority, {DAY_SQL}, round(trend, 2) AS trend, round(seasonal, 2) + 0.0 AS seasonal,
-       round(value - trend - seasonal, 2) + 0.0 AS residual FROM s""")
+SELECT o_orderpriority, {DAY_SQL}, round(trend, 4) AS trend, round(seasonal, 4) + 0.0 AS seasonal,
+       round(value - trend - seasonal, 4) + 0.0 AS residual FROM s""")
 def decompose(spark, d):
     t = series.decompose(monthly(spark, d), ["o_orderpriority"])
-    return rounded(_shown(t, "o_orderpriority", "period", "trend", "seasonal", "residual"), 2,
+    return rounded(_shown(t, "o_orderpriority", "period", "trend", "seasonal", "residual"), 4,
                    "trend", "seasonal", "residual")
 
 
