@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from medlark.functions.types import col
 
-# A side is broadcast only when its row count is known and at most this.
-BROADCAST_ROWS = 100_000
+# A side is broadcast only when its size was measured and is at most this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than 1/HOT_SHARE of the rows counts as hot.
 HOT_SHARE = 200
 _TRACKED = 10_000
@@ -47,16 +47,18 @@ def _salted(df: DataFrame, on: list[str], spread: list[int], copied: list[int])
 
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-    lookup_rows: int | None = None,
+    lookup_bytes: int | None = None, hot: list[int] | None = None,
 ) -> DataFrame:
     """Join a large table to one that has few rows per key (inner, left, left_semi, left_anti).
 
-    A lookup of known small size is broadcast. Otherwise hot keys of the facts
-    are spread over salts and their lookup rows copied to each salt.
+    A lookup of measured small size is broadcast. Otherwise hot keys of the
+    facts (found here unless given) are spread over salts and their lookup rows
+    copied to each salt.
     """
-    if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
+    if lookup_bytes is not None and lookup_bytes <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), on, how)
-    hot = list(hot_key_hashes(facts, on))
+    if hot is None:
+        hot = list(hot_key_hashes(facts, on))
     if not hot:
         return facts.join(lookup, on, how)
     left = _salted(facts, on, spread=hot, copied=[])
@@ -64,14 +66,17 @@ def lookup_join(
     return left.join(right, on + ["_salt"], how).drop("_salt")
 
 
-def outer_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def outer_join(left: DataFrame, right: DataFrame, on: list[str],
+               hot_left: dict[int, int] | None = None, hot_right: dict[int, int] | None = None,
+               ) -> DataFrame:
     """Full outer join; hot keys of either side are salted.
 
     Spark cannot split a skewed partition of a full outer join, and copies of
     a row would each look unmatched. So with hot keys the result is put
     together from the salted inner join and the unmatched rows of each side.
     """
-    hot_left, hot_right = hot_key_hashes(left, on), hot_key_hashes(right, on)
+    hot_left = hot_key_hashes(left, on) if hot_left is None else hot_left
+    hot_right = hot_key_hashes(right, on) if hot_right is None else hot_right
     if not hot_left and not hot_right:
         return left.join(right, on, "full")
     by_left = [h for h, n in hot_left.items() if n >= hot_right.get(h, 0)]
@@ -79,7 +84,23 @@ def outer_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     both = _salted(left, on, spread=by_left, copied=by_right).join(
         _salted(right, on, spread=by_right, copied=by_left), on + ["_salt"], "inner",
     ).drop("_salt")
-    only_left = lookup_join(left, right.select(*on).distinct(), on, "left_anti")
-    only_right = lookup_join(right, left.select(*on).distinct(), on, "left_anti")
+    only_left = lookup_join(left, right.select(*on).distinct(), on, "left_anti",
+                            hot=list(hot_left))
+    only_right = lookup_join(right, left.select(*on).distinct(), on, "left_anti",
+                             hot=list(hot_right))
     return both.unionByName(only_left, allowMissingColumns=True).unionByName(
         only_right, allowMissingColumns=True)
+
+
+def hot_outer_chain(tables: list[DataFrame], on: list[str]) -> DataFrame:
+    """Full outer joins of all tables on one key.
+
+    Hot keys are looked for in the tables themselves, never in a join result,
+    so no join runs just to find them.
+    """
+    out, hot = tables[0], hot_key_hashes(tables[0], on)
+    for t in tables[1:]:
+        own = hot_key_hashes(t, on)
+        out = outer_join(out, t, on, hot, own)
+        hot = {h: max(hot.get(h, 0), own.get(h, 0)) for h in {*hot, *own}}
+    return out

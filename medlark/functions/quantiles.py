@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,8 +160,9 @@ def _step(long: DataFrame, n_columns: int, todo: dict, known: dict, limits: dict
                     known[b.i, k] = b.hi
                 else:
                     todo[b.i, k] = (b.lo, limits[b.i][1])
-    within = long.select("i", "q", F.explode(F.array_compact(F.array(*[
-        F.when((q > lo[s]) & (q < hi[s]), F.lit(s)) for s in range(len(lo))]))).alias("s"))
+    tests = [(q > lo[s]) & (q < hi[s]) for s in range(len(lo))]
+    within = long.where(reduce(lambda a, b: a | b, tests)).select("i", "q", F.explode(
+        F.array_compact(F.array(*[F.when(t, F.lit(s)) for s, t in enumerate(tests)]))).alias("s"))
     _pick(within, {k: v for k, v in inner.items() if (k[0], v[0]) not in full}, known)
     _narrow(within, {k: v for k, v in inner.items() if (k[0], v[0]) in full}, todo)
     for key in [k for k in todo if k in known]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
 
 ROWS_PER_BUCKET = 500_000
@@ -42,6 +43,9 @@ def running_totals(
     """
     if rows is None:
         rows = df.count()
+    if rows > rows_per_bucket:
+        # Read three times below: for the edges, the bucket totals and the result.
+        df = cut_lineage(df)
     edges = bucket_edges(df, order, rows, rows_per_bucket)
     if edges:
         array = F.array(*[F.lit(e) for e in edges])

@@ -1,4 +1,4 @@
-"""Statistics of many columns in one aggregate job; one small row comes back."""
+"""Statistics of many columns in one aggregate job; a few numbers come back."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from medlark.functions.types import col
 
-# More aggregates than this in one job make the generated code too large, so
-# very wide tables go in several jobs.
-COLUMNS_PER_JOB = 150
+# Beyond this many columns they are unpivoted first: the generated code for one
+# aggregate per column and statistic would grow too large to be compiled.
+WIDE = 12
 
 
 def adjusted_skew(c: Column) -> Column:
@@ -35,18 +35,24 @@ AGGREGATES = {
 def column_stats(
     df: DataFrame, cols: list[str], wanted: list[str], fill: float | None = None
 ) -> dict[str, dict]:
-    """``{column: {statistic: value}}`` with one job per 150 columns."""
-    out: dict[str, dict] = {}
-    for start in range(0, len(cols), COLUMNS_PER_JOB):
-        part = cols[start:start + COLUMNS_PER_JOB]
-        aggs = []
-        for i, name in enumerate(part):
-            c = col(name) if fill is None else F.coalesce(col(name), F.lit(fill))
-            aggs += [AGGREGATES[w](c).alias(f"{i}_{w}") for w in wanted]
-        row = df.agg(*aggs).first()
-        for i, name in enumerate(part):
-            out[name] = {w: row[f"{i}_{w}"] for w in wanted}
-    return out
+    """``{column: {statistic: value}}`` from one job; numbers come back as they are or as double."""
+    if not cols:
+        return {}
+
+    def value(name: str) -> Column:
+        return col(name) if fill is None else F.coalesce(col(name), F.lit(fill))
+
+    if len(cols) <= WIDE:
+        row = df.agg(*[AGGREGATES[w](value(c)).alias(f"{i}_{w}")
+                       for i, c in enumerate(cols) for w in wanted]).first()
+        return {c: {w: row[f"{i}_{w}"] for w in wanted} for i, c in enumerate(cols)}
+    as_type = "string" if set(wanted) <= {"n", "distinct", "approx_distinct"} else "double"
+    long = df.select(F.posexplode(F.array(*[value(c).cast(as_type) for c in cols])).alias("i", "v"))
+    rows = long.groupBy("i").agg(*[AGGREGATES[w](F.col("v")).alias(w) for w in wanted]).collect()
+    found = {r["i"]: r for r in rows}
+    empty = {w: 0 if w in ("n", "distinct", "approx_distinct") else None for w in wanted}
+    return {c: {w: found[i][w] for w in wanted} if i in found else dict(empty)
+            for i, c in enumerate(cols)}
 
 
 def null_counts(df: DataFrame) -> tuple[int, dict[str, int]]:

@@ -83,8 +83,27 @@ def impute_knn(
     donors = slim.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     fallback = [means[c] for c in cols]
 
-    def fill(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _fill_block(left, right, names, key, k, fallback)
+    def fill(left, right):
+        """Nearest-donor means for one block of receivers; self-contained, so workers need no package."""
+        right = right.sort_values("key")
+        donors = right[names].to_numpy(float)
+        present = ~np.isnan(donors)
+        out = left[names].to_numpy(float).copy()
+        for i, row in enumerate(left[names].to_numpy(float)):
+            both = present & ~np.isnan(row)
+            shared = both.sum(axis=1)
+            gap = np.where(both, donors - row, 0.0)
+            far = np.full(len(donors), np.inf)
+            ok = shared > 0
+            far[ok] = (gap[ok] ** 2).sum(axis=1) * (len(names) / shared[ok])
+            order = np.argsort(far, kind="stable")
+            order = order[np.isfinite(far[order])]
+            for j in np.flatnonzero(np.isnan(row)):
+                near = order[present[order, j]][:k]
+                out[i, j] = donors[near, j].mean() if len(near) else fallback[j]
+        done = pd.DataFrame(out, columns=[f"_{n}" for n in names])
+        done.insert(0, key, left["key"].to_numpy())
+        return done
 
     filled = (
         receivers.groupBy("block").cogroup(donors.groupBy("block"))
@@ -92,36 +111,12 @@ def impute_knn(
             T.StructField(key, df.schema[key].dataType),
             *[T.StructField(f"_{n}", T.DoubleType()) for n in names]]))
     )
-    joined = lookup_join(df, filled, [key], "left", lookup_rows=rows)
+    joined = df.join(filled, key, "left")
     done = replace_columns(joined, {
         c: F.coalesce(col(c).cast("double"), F.col(f"_{n}")) for c, n in zip(cols, names)})
     return done.select([col(c) for c in df.columns])
 
 
-def _fill_block(left, right, names, key, k, fallback) -> pd.DataFrame:
-    """Nearest-donor means for one block of receivers."""
-    right = right.sort_values("key")
-    donors = right[names].to_numpy(float)
-    present = ~np.isnan(donors)
-    keys = right["key"].to_numpy()
-    out = left[names].to_numpy(float).copy()
-    for i, (row, own) in enumerate(zip(left[names].to_numpy(float), left["key"].to_numpy())):
-        both = present & ~np.isnan(row)
-        shared = both.sum(axis=1)
-        gap = np.where(both, donors - row, 0.0)
-        far = np.full(len(donors), np.inf)
-        ok = (shared > 0) & (keys != own)
-        far[ok] = (gap[ok] ** 2).sum(axis=1) * (len(names) / shared[ok])
-        order = np.argsort(far, kind="stable")
-        order = order[np.isfinite(far[order])]
-        for j in np.flatnonzero(np.isnan(row)):
-            near = order[present[order, j]][:k]
-            out[i, j] = donors[near, j].mean() if len(near) else fallback[j]
-    done = pd.DataFrame(out, columns=[f"_{n}" for n in names])
-    done.insert(0, key, left["key"].to_numpy())
-    return done
-
-
 def impute_mice(
     df: DataFrame, cols: list[str], iters: int = 10, tol: float = 1e-3, ridge: float = 1e-9,
 ) -> DataFrame:
@@ -295,27 +290,28 @@ def encode_onehot(df: DataFrame, column: str, levels: list[str] | None = None) -
 
 
 def ordinal_levels(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """(value, code) with codes 0.. in text order, and the number of levels."""
+    """(value, code) with codes 0.. in text order, and their size in bytes."""
     levels = df.where(col(column).isNotNull()).groupBy(_text(column).alias("value")).agg(
         F.lit(1).alias("one"))
-    n = levels.count()
-    ranked = running_totals(levels, "value", {"rank": "one"}, rows=n)
-    return ranked.select("value", (F.col("rank") - 1).cast("long").alias("code")), n
+    size = levels.agg(F.count(F.lit(1)).alias("n"),
+                      F.coalesce(F.sum(F.octet_length("value") + 32), F.lit(0)).alias("b")).first()
+    ranked = running_totals(levels, "value", {"rank": "one"}, rows=size["n"])
+    return ranked.select("value", (F.col("rank") - 1).cast("long").alias("code")), size["b"]
 
 
 def encode_ordinal(
     df: DataFrame, column: str, unknown: int = -1, levels: DataFrame | None = None,
-    n_levels: int | None = None, into: str | None = None,
+    levels_bytes: int | None = None, into: str | None = None,
 ) -> DataFrame:
     """Rank of the value among the sorted distinct values; ``unknown`` if it is not one.
 
     Pass the ``levels`` of another table to encode new rows the same way.
     """
     if levels is None:
-        levels, n_levels = ordinal_levels(df, column)
+        levels, levels_bytes = ordinal_levels(df, column)
     table = levels.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
     keyed = df.withColumn("_value", _text(column))
-    joined = lookup_join(keyed, table, ["_value"], "left", lookup_rows=n_levels)
+    joined = lookup_join(keyed, table, ["_value"], "left", lookup_bytes=levels_bytes)
     code = F.coalesce(F.col("_code"), F.lit(unknown).cast("long"))
     done = replace_columns(joined, {into or column: code})
     return done.select([col(c) for c in done.columns if c not in ("_value", "_code")])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medlark.functions.joins import hot_key_hashes, lookup_join, outer_join
+from medlark.functions.joins import hot_key_hashes, hot_outer_chain, lookup_join, outer_join
 from medlark.functions.types import col, is_numeric, quoted
 from medlark.operators.columns import affix_names, align_schema
 from medlark.operators.sampling import sample_rows
@@ -71,7 +71,7 @@ def merge_surveys(tables: dict[str, DataFrame], key: str = "seqn") -> DataFrame:
         reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cycles)
         for cycles in parts.values()
     ]
-    return reduce(lambda a, b: outer_join(a, b, [key]), stacked)
+    return hot_outer_chain(stacked, [key])
 
 
 def zip_samples(
@@ -105,10 +105,11 @@ def join_by_respondent(demo: DataFrame, health: DataFrame, key: str, how: str =
     if how == "inner":
         return lookup_join(health, demo, [key], "inner")
     if how == "left":
-        if not hot_key_hashes(health, [key]):
+        hot = list(hot_key_hashes(health, [key]))
+        if not hot:
             return demo.join(health, key, "left")
-        both = lookup_join(health, demo, [key], "inner")
-        alone = lookup_join(demo, health.select(key).distinct(), [key], "left_anti")
+        both = lookup_join(health, demo, [key], "inner", hot=hot)
+        alone = lookup_join(demo, health.select(key).distinct(), [key], "left_anti", hot=[])
         return both.unionByName(alone, allowMissingColumns=True).select(
             *[col(c) for c in demo.columns], *[col(c) for c in health.columns if c != key])
     return outer_join(demo, health, [key])

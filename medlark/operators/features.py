@@ -6,10 +6,12 @@ cannot fire.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 from typing import NamedTuple
 
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from medlark.functions.quantiles import exact_quantiles
 from medlark.functions.stats import column_stats
 from medlark.functions.types import col, numeric_columns, replace_columns
-from medlark.operators.clean import encode_ordinal, scale_standard
+from medlark.operators.clean import encode_ordinal
 from medlark.operators.columns import LABEL_CANDIDATES, detect_label
 
 # Fixed values of feature construction.
@@ -170,7 +172,7 @@ def select_by_variance(df: DataFrame, cols: list[str] | None = None, k: int = KE
 
 class Projection(NamedTuple):
     table: DataFrame
-    model: PCAModel | None
+    model: PipelineModel | None
     explained: list[float]
 
 
@@ -178,22 +180,28 @@ def pca(df: DataFrame, cols: list[str], n: int = PCA_COMPONENTS, keep: list[str]
     """Standardized columns on their principal components ``PC1..``; nulls as 0.
 
     With two components or fewer the columns stay as they are. ``ml.PCA`` does
-    not centre the data it projects, so standardizing comes first. The sign of
-    a component is arbitrary.
+    not centre the data it projects, so the scaler does. The scaler uses the
+    sample std; the constant factor to the population std is put on the result.
+    The sign of a component is arbitrary.
     """
-    count = min(n, len(cols))
     filled = df.select(*[col(c) for c in keep],
                        *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    if count > 2:
-        count = min(count, filled.limit(count).count())
+    rows = filled.count()
+    count = min(n, len(cols), rows)
     if count <= 2:
         return Projection(filled.select(*[col(c) for c in cols], *[col(c) for c in keep]), None, [])
-    ready = VectorAssembler(inputCols=cols, outputCol="_x").transform(scale_standard(filled, cols))
-    model = PCA(k=count, inputCol="_x", outputCol="_pc").fit(ready)
+    packed = VectorAssembler(inputCols=cols, outputCol="_raw").transform(filled).select(
+        *[col(c) for c in keep], "_raw")
+    model = Pipeline(stages=[
+        StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
+        PCA(k=count, inputCol="_x", outputCol="_pc"),
+    ]).fit(packed)
     parts = vector_to_array(F.col("_pc"))
-    table = model.transform(ready).select(
-        *[parts[i].alias(f"PC{i + 1}") for i in range(count)], *[col(c) for c in keep])
-    return Projection(table, model, [float(v) for v in model.explainedVariance])
+    to_population = F.lit(math.sqrt(rows / (rows - 1)))
+    table = model.transform(packed).select(*[col(c) for c in keep], parts.alias("_pc")).select(
+        *[(F.col("_pc")[i] * to_population).alias(f"PC{i + 1}") for i in range(count)],
+        *[col(c) for c in keep])
+    return Projection(table, model, [float(v) for v in model.stages[-1].explainedVariance])
 
 
 def unpack_vector(df: DataFrame, column: str, size: int, prefix: str) -> DataFrame:
@@ -205,7 +213,7 @@ def unpack_vector(df: DataFrame, column: str, size: int, prefix: str) -> DataFra
 class Reduced(NamedTuple):
     table: DataFrame
     label: str | None
-    model: PCAModel | None
+    model: PipelineModel | None
     explained: list[float]
 
 

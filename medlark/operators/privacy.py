@@ -182,8 +182,7 @@ def utility_report(original: DataFrame, protected: DataFrame, cols: list[str] |
     if len(shared) < 2:
         return spark.createDataFrame([("insufficient_data", None, None, None, len(shared))], schema)
     before, after = corr_matrix(original, shared), corr_matrix(protected, shared)
-    # One row per pair of columns on each side.
-    both = before.join(F.broadcast(after.withColumnRenamed("r", "r2")), ["a", "b"])
+    both = before.join(after.withColumnRenamed("r", "r2"), ["a", "b"])
     corr = both.agg(F.avg(F.abs(F.col("r") - F.col("r2"))).alias("correlation_mae"))
     first = shared[:UTILITY_COLUMNS]
     a = column_stats(original, first, ["mean", "std"])

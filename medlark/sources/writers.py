@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,12 @@ def table_metrics(df: DataFrame, duplicates: bool = True) -> DataFrame:
     )
 
 
+def audit_rows(tables: dict[str, DataFrame], run: str, at_once: int = 8) -> list[dict]:
+    """Measure several tables; their jobs are independent and run side by side."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda t: audit_row(t[1], t[0], run), tables.items()))
+
+
 def audit_row(df: DataFrame, table: str, run: str, before: tuple[int, int] | None = None,
               status: str = "ok") -> dict:
     """Measure a finished table for :func:`append_audit`."""

@@ -121,7 +121,7 @@ METRICS = ["auc", "f1", "precision", "recall"]
 
 
 def metrics(spark, d) -> DataFrame:
-    t = scored(spark, d)
+    t = cut_lineage(scored(spark, d))
     return reduce(DataFrame.unionByName, [
         models.binary_metrics(t, "label", s).withColumn("model", F.lit(s)) for s in SCORES])
 

@@ -87,8 +87,8 @@ def audit_table(spark, d) -> DataFrame:
     """Audit rows of all given tables, written to the log and read back."""
     path = scratch_path(spark, "audit")
     rows = [
-        dict(writers.audit_row(df, name, "run"), status="ok" if name != "region" else "skipped")
-        for name, df in all_tables(spark, d).items()
+        dict(r, status="ok" if r["table_name"] != "region" else "skipped")
+        for r in writers.audit_rows(all_tables(spark, d), "run")
     ]
     writers.append_audit(spark, path, rows[:7])
     writers.append_audit(spark, path, rows[7:])
