@@ -137,7 +137,8 @@ def _step(long: DataFrame, n_columns: int, todo: dict, known: dict, limits: dict
         F.count_if(test).alias(f"{name}{s}")
         for s in range(len(lo))
         for name, test in (("below", q < lo[s]), ("at_lo", q == lo[s]),
-                           ("inside", (q > lo[s]) & (q < hi[s])), ("at_hi", q == hi[s]))
+                           ("inside", (q > lo[s]) & (q < hi[s])),
+                           ("at_hi", (q == hi[s]) & (hi[s] > lo[s])))
     ]).collect()}
 
     inner: dict[tuple[int, int], tuple[int, int, int]] = {}
