@@ -49,19 +49,25 @@ def exact_quantiles(
     Nulls and NaN are skipped. Every job is one scan with partial aggregates;
     what comes back is a row per column and bracket.
     """
+    return {c: q for c, (_, q) in counts_and_quantiles(df, columns, probs, pick_limit).items()}
+
+
+def counts_and_quantiles(
+    df: DataFrame, columns: list[str] | dict[str, Column], probs: list[float],
+    pick_limit: int = PICK_LIMIT,
+) -> dict[str, tuple[int, list[float | None]]]:
+    """As :func:`exact_quantiles`, each with the number of values of the column."""
     def wanted(n: int) -> list[int]:
         return [k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
 
     found = _order_statistics(df, columns, [p for p in probs for _ in "ab"], wanted, pick_limit)
-    out: dict[str, list[float | None]] = {}
+    out: dict[str, tuple[int, list[float | None]]] = {}
     for name, (n, values) in found.items():
-        if n == 0:
-            out[name] = [None] * len(probs)
-            continue
-        out[name] = []
-        for j, p in enumerate(probs):
+        quantiles: list[float | None] = [None] * len(probs)
+        for j, p in enumerate(probs if n else []):
             a, b, pos = values[2 * j], values[2 * j + 1], p * (n - 1)
-            out[name].append(a if a == b else a + (b - a) * (pos - math.floor(pos)))
+            quantiles[j] = a if a == b else a + (b - a) * (pos - math.floor(pos))
+        out[name] = (n, quantiles)
     return out
 
 

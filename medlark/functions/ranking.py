@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
@@ -16,6 +17,7 @@ from medlark.functions.types import col
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 1_000
 _SAMPLES_PER_BUCKET = 20
+EDGE_CHARS = 200
 
 
 def bucket_edges(df: DataFrame, order: str, rows: int, rows_per_bucket: int) -> list:
@@ -24,12 +26,15 @@ def bucket_edges(df: DataFrame, order: str, rows: int, rows_per_bucket: int) ->
     if buckets == 1:
         return []
     every = max(1, rows // (buckets * _SAMPLES_PER_BUCKET))
+    # An edge need not be a value: of long text its start will do, which bounds
+    # what comes back. Edges set the balance of the buckets, never the result.
+    text = isinstance(df.schema[order].dataType, T.StringType)
+    edge = F.substring(col(order), 1, EDGE_CHARS) if text else col(order)
     sample = (
-        df.where(F.pmod(F.xxhash64(col(order)), F.lit(every)) == 0)
-        .select(F.col(order).alias("v"))
+        df.where(F.pmod(F.xxhash64(col(order)), F.lit(every)) == 0).select(edge.alias("v"))
     )
     values = sorted(r["v"] for r in sample.collect())
-    return values[_SAMPLES_PER_BUCKET::_SAMPLES_PER_BUCKET]
+    return sorted(set(values[_SAMPLES_PER_BUCKET::_SAMPLES_PER_BUCKET]))
 
 
 def running_totals(

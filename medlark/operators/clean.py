@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medlark.functions.joins import lookup_join
-from medlark.functions.quantiles import exact_quantiles
+from medlark.functions.quantiles import counts_and_quantiles, exact_quantiles
 from medlark.functions.ranking import running_totals
 from medlark.functions.stats import column_stats, small_distinct_counts
 from medlark.functions.storage import cut_lineage
@@ -211,13 +211,11 @@ Bounds = dict[str, tuple[float, float]]
 def iqr_bounds(df: DataFrame, cols: list[str] | None = None, k: float = 1.5) -> Bounds:
     """Q1 - k IQR and Q3 + k IQR of columns with at least 10 values and a nonzero IQR."""
     cols = cols or numeric_columns(df)
-    n = {c: s["n"] for c, s in column_stats(df, cols, ["n"]).items()}
-    out = {}
-    for c, (q1, q3) in exact_quantiles(df, [c for c in cols if n[c] >= MIN_VALUES],
-                                       [0.25, 0.75]).items():
-        if q3 - q1 != 0:
-            out[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    return out
+    return {
+        c: (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+        for c, (n, (q1, q3)) in counts_and_quantiles(df, cols, [0.25, 0.75]).items()
+        if n >= MIN_VALUES and q3 != q1
+    }
 
 
 def zscore_bounds(df: DataFrame, cols: list[str] | None = None, z: float = 3.0) -> Bounds:

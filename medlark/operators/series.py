@@ -101,24 +101,19 @@ def linear_forecast(df: DataFrame, by: list[str], ts: str = "period", value: str
         (forecast + band).alias("upper"))
 
 
-def cusum(df: DataFrame, by: list[str], ts: str = "period", value: str = "value",
-          slack: float = SLACK) -> DataFrame:
-    """Add ``idx``, ``z``, ``cusum_pos`` and ``cusum_neg``, both 0 at the first point.
-
-    S+ is the running sum of (z - slack) less its running minimum, S- the
-    running sum of (z + slack) less its running maximum: the recursion without
-    a loop. Series with under 10 points or no spread give no rows.
-    """
+def _cusum_columns(df: DataFrame, by: list[str], ts: str, value: str, slack: float) -> DataFrame:
+    """``idx``, ``z`` and the two sums for every point; null in series that are not scored."""
     w, o = _all(by), _ordered(by, ts)
     run = o.rowsBetween(Window.unboundedPreceding, 0)
-    have = df.where(col(value).isNotNull()).select(
-        "*", F.avg(value).over(w).alias("_mean"), F.stddev_pop(value).over(w).alias("_std"),
-        F.count(value).over(w).alias("_n"), (F.row_number().over(o) - 1).alias("idx"))
-    have = have.where((F.col("_n") >= MIN_POINTS) & (F.col("_std") > 0))
-    scored = have.withColumn("z", (col(value) - F.col("_mean")) / F.col("_std"))
+    std = F.stddev_pop(value).over(w)
+    usable = (F.count(value).over(w) >= MIN_POINTS) & (std > 0)
+    scored = df.where(col(value).isNotNull()).select(
+        "*", (F.row_number().over(o) - 1).alias("idx"),
+        F.when(usable, (col(value) - F.avg(value).over(w)) / std).alias("z"))
 
     def moved(by_slack: float):
-        return F.sum(F.when(F.col("idx") == 0, 0.0).otherwise(F.col("z") + F.lit(by_slack))).over(run)
+        return F.sum(F.when(F.col("idx") == 0, F.col("z") * 0).otherwise(F.col("z") + F.lit(by_slack))
+                     ).over(run)
 
     summed = scored.select("*", moved(-slack).alias("_up"), moved(slack).alias("_down"))
     return summed.select(
@@ -127,6 +122,17 @@ def cusum(df: DataFrame, by: list[str], ts: str = "period", value: str = "value"
         (F.col("_down") - F.max("_down").over(run)).alias("cusum_neg"))
 
 
+def cusum(df: DataFrame, by: list[str], ts: str = "period", value: str = "value",
+          slack: float = SLACK) -> DataFrame:
+    """Add ``idx``, ``z``, ``cusum_pos`` and ``cusum_neg``, both 0 at the first point.
+
+    S+ is the running sum of (z - slack) less its running minimum, S- the
+    running sum of (z + slack) less its running maximum: the recursion without
+    a loop. Series with under 10 points or no spread give no rows.
+    """
+    return _cusum_columns(df, by, ts, value, slack).where(F.col("z").isNotNull())
+
+
 def cusum_anomalies(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Alerts of a :func:`cusum` table, ``type`` up or down; a row can give both."""
     kinds = F.array_compact(F.array(
@@ -137,14 +143,15 @@ def cusum_anomalies(scored: DataFrame, threshold: float = THRESHOLD) -> DataFram
 
 def alert_counts(df: DataFrame, by: list[str], ts: str = "period", value: str = "value",
                  slack: float = SLACK, threshold: float = THRESHOLD) -> DataFrame:
-    """Alerts per series, for every series of the table, zero where there are none."""
-    alerts = cusum_anomalies(cusum(df, by, ts, value, slack), threshold)
-    counts = alerts.groupBy(*[col(b) for b in by]).agg(
-        F.count_if(F.col("type") == UP).alias("_up"), F.count_if(F.col("type") == DOWN).alias("_down"))
-    points = df.groupBy(*[col(b) for b in by]).agg(F.count(F.lit(1)).alias("n_points"))
-    return points.join(counts, by, "left").select(
-        *[col(b) for b in by], "n_points",
-        F.coalesce("_up", F.lit(0)).alias("n_up"), F.coalesce("_down", F.lit(0)).alias("n_down"))
+    """Alerts per series, for every series of the table, zero where there are none.
+
+    The windows and the final counts share the partitioning by series key.
+    """
+    scored = _cusum_columns(df, by, ts, value, slack)
+    return scored.groupBy(*[col(b) for b in by]).agg(
+        F.count(F.lit(1)).alias("n_points"),
+        F.count_if(F.col("cusum_pos") > threshold).alias("n_up"),
+        F.count_if(F.col("cusum_neg") < -threshold).alias("n_down"))
 
 
 def centered_trend(df: DataFrame, by: list[str], ts: str = "period", value: str = "value",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medlark.operators import features
+from medlark.plans import fusion
 from registry.base import query, rounded, table
 
 # By falling variance at every scale of the tables.
@@ -146,6 +147,20 @@ def reduce_features(spark, d):
         vectors(spark, d).drop("vec_id"), ["outcome", "label"], k=50, n=30).table
 
 
+@query("fuse_tables")
+def fuse_tables(spark, d):
+    """Two tables of one domain stacked, engineered and projected, beside a domain of one table."""
+    items = table(spark, d, "lineitem").select(
+        F.col("l_quantity").alias("amount"), F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("share"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+        .alias("outcome"))
+    parts = table(spark, d, "part").select(
+        F.col("p_size").cast("double").alias("amount"), F.col("p_retailprice").alias("price"),
+        (F.col("p_size") / 50.0).alias("share"), F.lit(0).alias("outcome"))
+    fused = fusion.fuse({"items": items, "parts": parts}, {"goods": ["items", "parts"]}, n=4)
+    return fused["goods"].table
+
+
 @query("encode_codes", """
 SELECT o_orderkey, o_orderpriority, o_orderstatus,
        dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS priority_code,

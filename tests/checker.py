@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 import duckdb
 
 from registry.base import COLUMNS
 
+KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -16,40 +16,25 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _cell(v):
-    if v is None:
-        return (0, "")
-    if isinstance(v, float):
-        if math.isnan(v):
-            return (1, "nan")
-        return (2, repr(v))
-    return (2, str(v)) if isinstance(v, bool) else (2, repr(v))
-
-
 def differences(spark_df, con, sql: str, limit: int = 5) -> list[str]:
-    """Empty if names, kinds of types and all rows agree exactly."""
+    """Empty if names, types and all rows agree exactly; doubles are compared as text."""
     relation = con.sql(sql)
-    names = relation.columns
-    if sorted(spark_df.columns) != sorted(names):
-        return [f"columns {sorted(spark_df.columns)} != {sorted(names)}"]
-    order = sorted(names)
-    kinds = {"TINYINT": "int", "SMALLINT": "int", "INTEGER": "int", "BIGINT": "int",
-             "HUGEINT": "huge", "DOUBLE": "double", "VARCHAR": "string"}
-    got = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
-    out = []
-    for n, t in zip(relation.columns, relation.types):
-        a = {"int": "int", "bigint": "int"}.get(got[n], got[n])
-        b = kinds.get(str(t), str(t))
-        if a != b:
-            out.append(f"type of {n}: {got[n]} != {t}")
-    mine = sorted(tuple(_cell(r[c]) for c in order) for r in spark_df.select(
-        *[f"`{c}`" for c in order]).collect())
-    at = [names.index(c) for c in order]
-    theirs = sorted(tuple(_cell(r[i]) for i in at) for r in relation.fetchall())
-    if len(mine) != len(theirs):
-        out.append(f"rows {len(mine)} != {len(theirs)}")
-    bad = [(a, b) for a, b in zip(mine, theirs) if a != b]
-    if bad:
-        out.append(f"{len(bad)} rows differ, columns {order}")
-        out += [f"  {[x[1] for x in a]} != {[x[1] for x in b]}" for a, b in bad[:limit]]
+    types = dict(zip(relation.columns, map(str, relation.types)))
+    if sorted(spark_df.columns) != sorted(types):
+        return [f"columns {sorted(spark_df.columns)} != {sorted(types)}"]
+    out = [
+        f"type of {f.name}: {f.dataType.simpleString()} != {types[f.name]}"
+        for f in spark_df.schema.fields
+        if KINDS.get(f.dataType.simpleString(), f.dataType.simpleString()) != types[f.name]
+    ]
+    con.register("spark_rows", spark_df.toArrow())
+    cells = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in sorted(types))
+    con.execute(f"CREATE OR REPLACE TEMP TABLE mine AS SELECT {cells} FROM spark_rows")
+    con.execute(f"CREATE OR REPLACE TEMP TABLE theirs AS SELECT {cells} FROM ({sql})")
+    for a, b in (("mine", "theirs"), ("theirs", "mine")):
+        extra = con.execute(f"SELECT * FROM (FROM {a} EXCEPT ALL FROM {b}) ORDER BY ALL").fetchall()
+        if extra:
+            out.append(f"{len(extra)} rows only in {a}, columns {sorted(types)}")
+            out += [f"  {r}" for r in extra[:limit]]
+    con.unregister("spark_rows")
     return out
