@@ -57,10 +57,12 @@ def counts_and_quantiles(
     pick_limit: int = PICK_LIMIT,
 ) -> dict[str, tuple[int, list[float | None]]]:
     """As :func:`exact_quantiles`, each with the number of values of the column."""
-    def wanted(n: int) -> list[int]:
-        return [k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
+    def wanted(name: str, n: int) -> list[tuple[int, float]]:
+        return [(k, p) for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
 
-    found = _order_statistics(df, columns, [p for p in probs for _ in "ab"], wanted, pick_limit)
+    if not isinstance(columns, dict):
+        columns = {c: col(c) for c in columns}
+    found = _order_statistics(df, columns, probs, wanted, pick_limit)
     out: dict[str, tuple[int, list[float | None]]] = {}
     for name, (n, values) in found.items():
         quantiles: list[float | None] = [None] * len(probs)
@@ -71,11 +73,15 @@ def counts_and_quantiles(
     return out
 
 
-def order_statistics(df: DataFrame, column: Column, ranks: list[int], n: int,
-                     pick_limit: int = PICK_LIMIT) -> list[float]:
-    """The values at 0-based ``ranks`` of a column with ``n`` values."""
-    probs = [r / max(1, n - 1) for r in ranks]
-    return _order_statistics(df, {"x": column}, probs, lambda _: ranks, pick_limit)["x"][1]
+def order_statistics(
+    df: DataFrame, columns: dict[str, Column], ranks: dict[str, list[int]], sizes: dict[str, int],
+    pick_limit: int = PICK_LIMIT,
+) -> dict[str, list[float]]:
+    """The values at 0-based ``ranks`` of columns with ``sizes`` values."""
+    at = {c: [(r, r / max(1, sizes[c] - 1)) for r in ranks[c]] for c in columns}
+    probs = [p for ranked in at.values() for _, p in ranked]
+    found = _order_statistics(df, columns, probs, lambda name, _: at[name], pick_limit)
+    return {c: values for c, (_, values) in found.items()}
 
 
 def _long(df: DataFrame, columns: list[Column]) -> DataFrame:
@@ -89,9 +95,8 @@ def _long(df: DataFrame, columns: list[Column]) -> DataFrame:
 
 
 def _order_statistics(df, columns, probs, wanted, pick_limit) -> dict[str, tuple[int, list]]:
-    """``{name: (count, values at the wanted ranks)}``; ``probs`` say where to look first."""
-    if not isinstance(columns, dict):
-        columns = {c: col(c) for c in columns}
+    """``{name: (count, values)}`` at ``wanted(name, count)``: ranks, each with where to look first."""
+    names = list(columns)
     if not columns:
         return {}
     long = _long(df, list(columns.values()))
@@ -107,7 +112,7 @@ def _order_statistics(df, columns, probs, wanted, pick_limit) -> dict[str, tuple
     known: dict[tuple[int, int], float] = {}
     todo: dict[tuple[int, int], tuple[float, float]] = {}
     for i, r in first.items():
-        for p, k in zip(probs, wanted(r["n"])):
+        for k, p in wanted(names[i], r["n"]):
             if k == 0:
                 known[i, k] = r["lo"]
             elif k == r["n"] - 1:
@@ -118,8 +123,9 @@ def _order_statistics(df, columns, probs, wanted, pick_limit) -> dict[str, tuple
     while todo:
         _step(long, len(columns), todo, known, limits, pick_limit)
     return {
-        name: (first[i]["n"], [known[i, k] for k in wanted(first[i]["n"])]) if i in first else (0, [])
-        for i, name in enumerate(columns)
+        name: (first[i]["n"], [known[i, k] for k, _ in wanted(name, first[i]["n"])])
+        if i in first else (0, [])
+        for i, name in enumerate(names)
     }
 
 

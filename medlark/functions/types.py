@@ -43,6 +43,20 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def micros(df: DataFrame, name: str) -> Column:
+    """A date, time or number as a double that sorts the same way, whatever the session time zone."""
+    t, c = df.schema[name].dataType, col(name)
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(t, (T.DateType, T.TimestampNTZType)):
+        days = F.unix_date(c.cast("date")) * F.lit(86_400e6)
+        if isinstance(t, T.DateType):
+            return days
+        seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c)
+        return days + seconds.cast("double") * F.lit(1e6)
+    return c.cast("double")
+
+
 def replace_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     """One projection that swaps the given columns in place and keeps the rest."""
     known = set(df.columns)

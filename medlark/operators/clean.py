@@ -77,7 +77,7 @@ def impute_knn(
     gap = F.lit(False)
     for n in names:
         gap = gap | F.col(n).isNull()
-    blocks = tasks or max(1, min(64, rows // 1_000))
+    blocks = tasks or max(1, min(64, rows // 2_000))
     receivers = slim.where(gap).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
     donors = slim.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -96,17 +96,20 @@ def impute_knn(
             far = np.full(len(donors), np.inf)
             ok = shared > 0
             far[ok] = (gap[ok] ** 2).sum(axis=1) * (len(names) / shared[ok])
-            order = np.argsort(far, kind="stable")
-            order = order[np.isfinite(far[order])]
             for j in np.flatnonzero(np.isnan(row)):
-                near = order[present[order, j]][:k]
+                near = np.flatnonzero(ok & present[:, j])
+                if len(near) > k:
+                    near = near[far[near] <= np.partition(far[near], k - 1)[k - 1]]
+                near = near[np.argsort(far[near], kind="stable")][:k]
                 out[i, j] = donors[near, j].mean() if len(near) else fallback[j]
         done = pd.DataFrame(out, columns=[f"_{n}" for n in names])
         done.insert(0, key, left["key"].to_numpy())
         return done
 
+    # A fixed number of partitions, so that little data does not end up in one task.
     filled = (
-        receivers.groupBy("block").cogroup(donors.groupBy("block"))
+        receivers.repartition(blocks, "block").groupBy("block")
+        .cogroup(donors.repartition(blocks, "block").groupBy("block"))
         .applyInPandas(fill, T.StructType([
             T.StructField(key, df.schema[key].dataType),
             *[T.StructField(f"_{n}", T.DoubleType()) for n in names]]))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from medlark.functions.hashing import keyed_uniform
 from medlark.functions.quantiles import exact_quantiles, order_statistics
 from medlark.functions.ranking import ROWS_PER_BUCKET, running_totals
-from medlark.functions.types import col, rows_from_struct
+from medlark.functions.types import col, micros, rows_from_struct
 from medlark.operators.sampling import sample_rows
 
 # Fixed values of the model runs.
@@ -77,27 +77,29 @@ def expanding_folds(df: DataFrame, order: str, key: list[str], splits: int = FOL
     lower number. Equal times go by the keyed draw. The block borders are found
     as order statistics, so no row moves and nothing is ranked.
     """
-    when = F.unix_micros(col(order).cast("timestamp")).cast("double")
+    when = micros(df, order)
     u = keyed_uniform(*[col(k) for k in key], salt=salt)
     n = df.where(col(order).isNotNull()).count()
     size = n // (splits + 1)
     if size == 0:
         raise ValueError(f"{n} rows are too few for {splits} folds")
     ranks = [n - (splits - f) * size for f in range(splits)]
-    times = order_statistics(df, when, ranks, n)
+    times = order_statistics(df, {"t": when}, {"t": ranks}, {"t": n})["t"]
     counts = df.agg(*[e for i, t in enumerate(times) for e in (
         F.count_if(when < t).alias(f"b{i}"), F.count_if(when == t).alias(f"t{i}"))]).first()
+    # Where a border falls among rows of equal time, the draw decides.
+    inner = {str(i): r - counts[f"b{i}"] for i, r in enumerate(ranks) if r > counts[f"b{i}"]}
+    draws = order_statistics(
+        df, {i: F.when(when == F.lit(times[int(i)]), u) for i in inner},
+        {i: [r] for i, r in inner.items()}, {i: counts[f"t{i}"] for i in inner})
     fold = F.lit(0)
-    draws: dict[float, dict[int, float]] = {}
-    for i, (t, r) in enumerate(zip(times, ranks)):
-        inner = r - counts[f"b{i}"]
-        if inner == 0:
-            fold = fold + (when >= F.lit(t)).cast("int")
-            continue
-        at = draws.setdefault(t, {})
-        if inner not in at:
-            at[inner] = order_statistics(df, F.when(when == F.lit(t), u), [inner], counts[f"t{i}"])[0]
-        fold = fold + ((when > F.lit(t)) | ((when == F.lit(t)) & (u >= F.lit(at[inner])))).cast("int")
+    for i, t in enumerate(times):
+        past = when > F.lit(t)
+        if str(i) in draws:
+            past = past | ((when == F.lit(t)) & (u >= F.lit(draws[str(i)][0])))
+        else:
+            past = when >= F.lit(t)
+        fold = fold + past.cast("int")
     return df.withColumn("test_fold", fold)
 
 

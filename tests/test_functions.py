@@ -61,8 +61,9 @@ def test_quantiles_of_many_columns_skip_null_and_nan(spark):
 def test_order_statistics(spark):
     values = skewed(999)
     ranks = [0, 1, 500, 998]
-    got = order_statistics(column(spark, values), F.col("x"), ranks, 999, pick_limit=10)
-    assert got == [sorted(values)[r] for r in ranks]
+    got = order_statistics(column(spark, values), {"x": F.col("x"), "neg": -F.col("x")},
+                           {"x": ranks, "neg": [2]}, {"x": 999, "neg": 999}, pick_limit=10)
+    assert got == {"x": [sorted(values)[r] for r in ranks], "neg": [-sorted(values)[-3]]}
 
 
 @pytest.mark.parametrize("rows_per_bucket", [10_000, 50])
