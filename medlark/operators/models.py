@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +29,10 @@ SALT = "42"
 VOTE_AT = 0.5
 IMPORTANCE_ROWS = 500
 MAX_CLASSES = 100
+BOOSTED_GRID = {
+    "trees": [100, 200], "depth": [3, 5, 7], "rate": [0.01, 0.05, 0.1],
+    "rows": [0.8, 1.0], "columns": [0.8, 1.0],
+}
 EPS = 2.220446049250313e-16
 
 
@@ -119,6 +123,17 @@ def boosted_trees_classifier(features: list[str], label: str = "label", trees: i
     return Pipeline(stages=[assembler(features), gbt])
 
 
+def boosted_grid(estimator: Pipeline, values: dict[str, list] = BOOSTED_GRID) -> list[dict]:
+    """All combinations of the given settings for :func:`grid_search`, 72 by default."""
+    gbt = estimator.getStages()[-1]
+    params = {"trees": gbt.maxIter, "depth": gbt.maxDepth, "rate": gbt.stepSize,
+              "rows": gbt.subsamplingRate, "columns": gbt.featureSubsetStrategy}
+    grid = ParamGridBuilder()
+    for name, options in values.items():
+        grid = grid.addGrid(params[name], list(map(str, options)) if name == "columns" else options)
+    return grid.build()
+
+
 def random_forest_classifier(features: list[str], label: str = "label", trees: int = 200,
                              depth: int = 10) -> Pipeline:
     return Pipeline(stages=[assembler(features), RandomForestClassifier(

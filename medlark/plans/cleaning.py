@@ -8,7 +8,7 @@ from medlark.functions.storage import cut_lineage
 from medlark.operators import clean, columns
 from medlark.operators.combine import dedupe
 from medlark.functions.types import numeric_columns, other_columns
-from medlark.sources.writers import append_audit, audit_row, write_parquet
+from medlark.plans.batch import each_table
 
 
 def clean_table(
@@ -50,22 +50,5 @@ def clean_table(
 def clean_tables(
     spark: SparkSession, tables: dict[str, DataFrame], out: str, run: str, **options,
 ) -> dict[str, str]:
-    """Clean every table to ``out/<name>_cleaned`` and log one audit row each.
-
-    A table that fails is logged and does not stop the others.
-    """
-    paths, audit = {}, []
-    for name, df in tables.items():
-        try:
-            if not df.columns or df.limit(1).count() == 0:
-                audit.append(dict(run=run, table_name=name, status="skipped", reason="empty"))
-                continue
-            before = (df.count(), len(df.columns))
-            path = f"{out}/{name}_cleaned"
-            write_parquet(clean_table(df, **options), path)
-            audit.append(audit_row(spark.read.parquet(path), name, run, before))
-            paths[name] = path
-        except Exception as e:  # noqa: BLE001 - one bad table must not stop the run
-            audit.append(dict(run=run, table_name=name, status="failed", reason=str(e)[:500]))
-    append_audit(spark, f"{out}/audit", audit)
-    return paths
+    """Clean every table to ``out/<name>_cleaned`` and log one audit row each."""
+    return each_table(spark, tables, out, run, "_cleaned", lambda df: clean_table(df, **options))

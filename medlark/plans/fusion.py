@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from medlark.functions.storage import cut_lineage
 from medlark.operators.combine import DOMAINS, fuse_domain, zip_samples
 from medlark.operators.features import Reduced, engineer_features, reduce_features
+from medlark.plans.batch import each_table
 
 
 def fuse(tables: dict[str, DataFrame], domains: dict[str, list[str]] = DOMAINS,
@@ -20,3 +21,12 @@ def fuse(tables: dict[str, DataFrame], domains: dict[str, list[str]] = DOMAINS,
 def combine(fused: dict[str, DataFrame], keys: dict[str, list[str]], n: int = 50_000) -> DataFrame:
     """Equal-size samples of the domains side by side, each with its own name prefix."""
     return zip_samples(fused, keys, n)
+
+
+def fuse_to(spark: SparkSession, tables: dict[str, DataFrame], out: str, run: str,
+            domains: dict[str, list[str]] = DOMAINS, **options) -> dict[str, str]:
+    """Write every domain to ``out/<domain>_fused`` and log one audit row each."""
+    stacked, _, _ = fuse_domain(tables, domains)
+    return each_table(
+        spark, stacked, out, run, "_fused",
+        lambda t: reduce_features(cut_lineage(engineer_features(t)), **options).table)

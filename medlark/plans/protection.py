@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from medlark.functions.types import numeric_columns
 from medlark.operators import privacy
+from medlark.operators.columns import detect_id_columns, detect_quasi_ids, name_matches
 from medlark.operators.privacy import Release
+from medlark.plans.batch import each_table
 
 
 class Protected(NamedTuple):
@@ -41,3 +44,20 @@ def protect_table(
     kept = privacy.enforce_k(table, used, k)
     noisy = privacy.dp_aggregate(df, list(release_by), release, salt, eps) if release else None
     return Protected(kept, before, privacy.k_anonymity(kept, used, k), noisy)
+
+
+def protect_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], out: str, run: str, salt: str = "",
+    k: int = privacy.K,
+) -> dict[str, str]:
+    """Protect every table to ``out/<name>_protected``, its columns found by name and uniqueness."""
+    def plan(df: DataFrame) -> DataFrame:
+        ids = detect_id_columns(df)
+        quasi = [c for c in detect_quasi_ids(df) if c not in ids][:privacy.MAX_QUASI_IDS]
+        numbers = set(numeric_columns(df))
+        ages = [c for c in quasi if c in numbers and name_matches(c, ["age"])]
+        if not quasi:
+            return privacy.pseudonymize(df, ids, salt=salt)
+        return protect_table(df, ids, quasi, ages, k, salt).table
+
+    return each_table(spark, tables, out, run, "_protected", plan)

@@ -6,7 +6,6 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +41,7 @@ def train_risk_models(
     fit_on, check_on = train.where("fold > 0"), train.where("fold = 0")
 
     boosted = models.boosted_trees_classifier(features, trees=trees)
-    gbt = boosted.getStages()[-1]
-    grid = (ParamGridBuilder().addGrid(gbt.maxDepth, list(depths))
-            .addGrid(gbt.stepSize, list(rates)).build())
+    grid = models.boosted_grid(boosted, {"depth": list(depths), "rate": list(rates)})
     boosted_plan = boosted
     if len(grid) > 1:
         found = models.grid_search(boosted, grid, train, folds=folds)

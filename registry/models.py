@@ -2,7 +2,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +45,7 @@ def _ready(spark, d) -> DataFrame:
 def grid_search(spark, d):
     t = _ready(spark, d)
     est = models.boosted_trees_classifier(TEXT, trees=3)
-    gbt = est.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(gbt.maxDepth, [2, 3]).build()
-    found = models.grid_search(est, grid, t, folds=3)
+    found = models.grid_search(est, models.boosted_grid(est, {"depth": [2, 3]}), t, folds=3)
     return models.score(found.bestModel, t.select("doc_id", "label", *TEXT))
 
 

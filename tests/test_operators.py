@@ -14,8 +14,8 @@ from medlark.operators import (
 )
 from medlark.plans.cleaning import clean_tables
 from medlark.plans.fusion import combine as combine_plan
-from medlark.plans.fusion import fuse
-from medlark.plans.protection import protect_table
+from medlark.plans.fusion import fuse, fuse_to
+from medlark.plans.protection import protect_table, protect_tables
 from medlark.plans.trends import series_alerts, series_forecast
 from medlark.sources import readers, writers
 
@@ -343,6 +343,26 @@ def test_clean_tables_logs_failures_and_goes_on(spark):
     assert spark.read.parquet(paths["good"]).count() == 50
 
 
+def test_protect_and_fuse_tables_log_every_table(spark):
+    out = scratch_path(spark, "stages")
+    people = spark.range(300).select(
+        F.concat(F.lit("p"), "id").alias("patient_id"), (F.col("id") % 90).cast("int").alias("age"),
+        (F.col("id") % 2).cast("string").alias("sex"), (F.col("id") % 17).cast("double").alias("cost"))
+    paths = protect_tables(spark, {"people": people, "plain": people.select("cost")}, out, "r", salt="s")
+    assert set(spark.read.parquet(paths["people"]).columns) == {"patient_id_hash", "age_group", "sex", "cost"}
+    assert spark.read.parquet(paths["plain"]).count() == 300
+    numbers = people.select(*[(F.col("age") * i + F.col("cost")).alias(f"f{i}") for i in range(4)])
+    fused = fuse_to(spark, {"a": numbers}, out, "r", {"one": ["a"], "two": ["absent"]}, n=3)
+    assert list(fused) == ["one"] and spark.read.parquet(fused["one"]).count() == 300
+    log = spark.read.parquet(f"{out}/audit")
+    assert {(r["table_name"], r["status"]) for r in log.collect()} == {
+        ("people", "ok"), ("plain", "ok"), ("one", "ok")}
+
+
+def test_default_grid_size():
+    assert len(models.boosted_grid(models.boosted_trees_classifier(["a"]))) == 72
+
+
 # --- features -----------------------------------------------------------------
 
 def test_log_rule(spark):
