@@ -44,13 +44,13 @@ def running_totals(
     """Add ``{new: sum of column}`` over all rows up to and with the current one.
 
     ``order`` must be unique and not null: collapse ties first (that is also
-    what takes the heat out of a value held by a third of the rows).
+    what takes the heat out of a value held by a third of the rows). Pass
+    ``rows`` for a table that is stored already; without, it is stored here.
     """
     if rows is None:
-        rows = df.count()
-    if rows > rows_per_bucket:
-        # Read three times below: for the edges, the bucket totals and the result.
+        # Read up to four times: for the count, the edges, the bucket totals and the result.
         df = cut_lineage(df)
+        rows = df.count()
     edges = bucket_edges(df, order, rows, rows_per_bucket)
     if edges:
         array = F.array(*[F.lit(e) for e in edges])

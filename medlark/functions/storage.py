@@ -1,4 +1,4 @@
-"""Shared-folder helpers: reliable checkpoints and scratch paths."""
+"""Shared-folder helpers: scratch paths and written intermediate tables."""
 
 from __future__ import annotations
 
@@ -29,8 +29,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize in the shared folder; survives the loss of executors."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write to the shared folder and read back.
+
+    What follows starts from the written table, so it survives the loss of
+    executors and reads only the columns it needs. The files stay there.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -53,7 +53,8 @@ def micros(df: DataFrame, name: str) -> Column:
         if isinstance(t, T.DateType):
             return days
         seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c)
-        return days + seconds.cast("double") * F.lit(1e6)
+        midnight = c == c.cast("date").cast("timestamp_ntz")
+        return F.when(midnight, days).otherwise(days + seconds.cast("double") * F.lit(1e6))
     return c.cast("double")
 
 

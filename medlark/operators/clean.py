@@ -292,8 +292,8 @@ def encode_onehot(df: DataFrame, column: str, levels: list[str] | None = None) -
 
 def ordinal_levels(df: DataFrame, column: str) -> tuple[DataFrame, int]:
     """(value, code) with codes 0.. in text order, and their size in bytes."""
-    levels = df.where(col(column).isNotNull()).groupBy(_text(column).alias("value")).agg(
-        F.lit(1).alias("one"))
+    levels = cut_lineage(df.where(col(column).isNotNull()).select(_text(column).alias("value"))
+                         .distinct().withColumn("one", F.lit(1)))
     size = levels.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum(F.octet_length("value") + 32), F.lit(0)).alias("b")).first()
     ranked = running_totals(levels, "value", {"rank": "one"}, rows=size["n"])

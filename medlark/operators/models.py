@@ -93,8 +93,9 @@ def expanding_folds(df: DataFrame, order: str, key: list[str], splits: int = FOL
         F.count_if(when < t).alias(f"b{i}"), F.count_if(when == t).alias(f"t{i}"))]).first()
     # Where a border falls among rows of equal time, the draw decides.
     inner = {str(i): r - counts[f"b{i}"] for i, r in enumerate(ranks) if r > counts[f"b{i}"]}
+    tied = df.where(when.isin([times[int(i)] for i in inner])) if inner else df
     draws = order_statistics(
-        df, {i: F.when(when == F.lit(times[int(i)]), u) for i in inner},
+        tied, {i: F.when(when == F.lit(times[int(i)]), u) for i in inner},
         {i: [r] for i, r in inner.items()}, {i: counts[f"t{i}"] for i in inner})
     fold = F.lit(0)
     for i, t in enumerate(times):
