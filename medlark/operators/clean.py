@@ -78,14 +78,16 @@ def impute_knn(
     for n in names:
         gap = gap | F.col(n).isNull()
     blocks = tasks or max(1, min(64, rows // 2_000))
-    receivers = slim.where(gap).withColumn(
-        "block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-    donors = slim.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    receivers = slim.where(gap).select(
+        F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"),
+        F.lit(True).alias("wants"), "key", *names)
+    donors = slim.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                         F.lit(False).alias("wants"), "key", *names)
     fallback = [means[c] for c in cols]
 
-    def fill(left, right):
+    def fill(block):
         """Nearest-donor means for one block of receivers; self-contained, so workers need no package."""
-        right = right.sort_values("key")
+        left, right = block[block["wants"]], block[~block["wants"]].sort_values("key")
         donors = right[names].to_numpy(float)
         present = ~np.isnan(donors)
         out = left[names].to_numpy(float).copy()
@@ -108,8 +110,7 @@ def impute_knn(
 
     # A fixed number of partitions, so that little data does not end up in one task.
     filled = (
-        receivers.repartition(blocks, "block").groupBy("block")
-        .cogroup(donors.repartition(blocks, "block").groupBy("block"))
+        receivers.unionByName(donors).repartition(blocks, "block").groupBy("block")
         .applyInPandas(fill, T.StructType([
             T.StructField(key, df.schema[key].dataType),
             *[T.StructField(f"_{n}", T.DoubleType()) for n in names]]))

@@ -143,8 +143,10 @@ def random_forest_classifier(features: list[str], label: str = "label", trees: i
 
 def class_weights(df: DataFrame, label: str = "label") -> dict:
     """``n / (classes * n_class)`` per class."""
-    counts = {r[label]: r["n"] for r in
-              df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    counts = {r[label]: r["n"] for r in rows}
     total = sum(counts.values())
     return {c: total / (len(counts) * n) for c, n in counts.items()}
 

@@ -237,6 +237,7 @@ def test_knn_is_brute_force(spark, tasks):
     data[5] = np.nan
     got = clean.impute_knn(frame(spark, data), ["c0", "c1", "c2", "c3"], "k", tasks=tasks)
     assert matrix(got, 4) == pytest.approx(nan_knn(data), rel=1e-9)
+    assert got.count() == len(data) and got.select("c1").where("c1 is null").count() == 0
 
 
 def test_knn_of_a_large_table_is_the_median(spark):
