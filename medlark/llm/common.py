@@ -20,7 +20,7 @@ SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 #: Bytes of text that a Python task works on at once (one longer text is worked on alone).
 SLICE_BYTES = 4 << 20
 #: Rows that a window of one bucket holds, about.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 10_000
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True

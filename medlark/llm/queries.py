@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlark.llm import mixing, packing, sharding
+from medlark.llm import fingerprints, mixing, packing, quality, sharding
 from medlark.sources.readers import read_parquet
 
 SHARDS = 24
@@ -47,6 +47,19 @@ def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_table(spark, d, "documents"), tokenizer_path())
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    good = _table(spark, d, "labels").where("quality = 1")
+    return quality.quality_rules(_table(spark, d, "documents"), good).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "ratio")
+
+
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.edit_likeness(_table(spark, d, "documents"))
+
+
 @query("op9_mixing", mixing.MIX_SQL)
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(_table(spark, d, "documents")).select(
