@@ -13,9 +13,9 @@ from medlark.llm.common import words_of
 #: Buckets of the hashed words and word pairs.
 BUCKETS = 1 << 16
 #: Trusted counts are drawn to what the raw corpus lets expect, with so many counts' weight.
-SMOOTHING = 2.0
+SMOOTHING = 10.0
 #: Mean log-likelihood ratio per n-gram below which a document goes.
-LEAST_RATIO = -0.1
+LEAST_RATIO = -0.5
 #: Labelled ids are broadcast up to so many, else joined by a shuffle.
 MOST_BROADCAST = 2_000_000
 LEAST_WORDS = 50
@@ -23,11 +23,19 @@ MOST_REPEATED_PERCENT = 50
 
 
 def _ngrams(words: Column, buckets: int) -> Column:
-    """Buckets of all words and of all pairs of neighbours."""
+    """Buckets of all words, of all pairs of neighbours and of the last three characters of words.
+
+    Endings keep the signal where words are rare: what a corpus hangs on its words is frequent
+    in it at any size.
+    """
     n = F.greatest(F.size(words) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n),
-                       lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
-    return F.concat(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int")), pairs)
+
+    def bucket(kind: int, *parts: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(kind), *parts), F.lit(buckets)).cast("int")
+
+    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: bucket(2, a, b))
+    ends = F.transform(words, lambda w: bucket(3, F.substring(w, -3, 3)))
+    return F.concat(F.transform(words, lambda w: bucket(1, w)), pairs, ends)
 
 
 def count_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -105,7 +113,7 @@ def quality_rules(
     # A constant of the plan: bounded by the buckets, folded once.
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
     total = F.aggregate(_ngrams(F.col("_words"), buckets), F.lit(0.0), lambda a, b: a + F.get(table, b))
-    ratio = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0))
+    ratio = F.when(F.col("n_words") > 0, total / (3 * F.col("n_words") - 1)).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     counted = count_rules(docs, id_col, text_col).select(
