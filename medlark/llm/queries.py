@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlark.llm import fingerprints, mixing, packing, quality, sharding
+from medlark.llm import extraction, fingerprints, mixing, packing, quality, sharding, toxicity
 from medlark.sources.readers import read_parquet
 
 SHARDS = 24
@@ -47,6 +47,11 @@ def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_table(spark, d, "documents"), tokenizer_path())
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     good = _table(spark, d, "labels").where("quality = 1")
@@ -60,6 +65,11 @@ def op7_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.edit_likeness(_table(spark, d, "documents"))
 
 
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.extract(_table(spark, d, "pages"))
+
+
 @query("op9_mixing", mixing.MIX_SQL)
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(_table(spark, d, "documents")).select(
