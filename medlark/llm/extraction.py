@@ -65,6 +65,11 @@ LABELLED = """
 12 0.6 3 1.0 9 0.5 0 0 0 0
 2 1.0 5 0.0 3 1.0 1 0 0 0
 3 0.0 2 1.0 4 1.0 1 0 0 0
+4 0.0 3 0.0 2 0.0 0 0 0 0
+2 0.0 1 0.0 3 0.0 0 0 0 0
+6 0.0 4 0.0 0 0.0 0 0 0 0
+9 1.0 30 0.0 40 0.0 0 0 0 0
+14 0.9 3 1.0 2 1.0 0 0 0 0
 24 0.0 1 1.0 50 0.0 0 0 0 1
 46 0.0 8 0.0 70 0.0 0 0 0 1
 90 0.0 60 0.0 40 0.0 0 0 0 1
@@ -86,6 +91,15 @@ LABELLED = """
 4 1.0 60 0.0 55 0.0 0 0 1 1
 200 0.0 10 0.0 20 0.0 0 0 1 1
 18 0.0 12 0.0 9 0.0 0 0 1 1
+3 0.0 4 0.0 2 0.0 0 0 1 1
+1 0.0 2 0.0 0 0.0 0 0 1 1
+6 0.0 9 0.0 0 0.0 0 0 1 1
+5 0.0 3 0.0 1 1.0 0 0 1 1
+2 1.0 6 0.0 3 1.0 0 0 1 1
+8 0.5 2 1.0 4 0.0 0 0 1 1
+11 0.0 7 0.0 6 0.0 0 0 1 1
+4 0.0 1 1.0 2 0.0 1 0 1 1
+1 1.0 4 1.0 5 0.5 0 0 1 1
 7 0.0 50 0.0 14 0.1 0 0 1 1
 """
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from bisect import bisect_left, insort
 from binascii import crc32
 from collections.abc import Iterator
@@ -20,18 +21,52 @@ from medlark.llm.common import ROWS_PER_BUCKET, Words, keyed_order, running_sums
 CAPACITY = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose tokens a worker remembers; beyond, it starts afresh.
+#: Words whose tokens a worker remembers from slice to slice, and again as many used before.
 REMEMBERED = 400_000
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Coder:
+    """Ids of words, as bytes; recent words are remembered."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def look_up(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of distinct strings."""
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        new = [p for p in parts if p not in recent]
+        known = {p: older[p] for p in new if p in older}
+        new = [p for p in new if p not in known]
+        recent.update(known)
+        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        recent.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, coded))
+        return recent
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        """Marks at the end of a word of letters are tokens of their own, so the two are coded apart."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        cores = [t.rstrip(_MARKS) for t in texts]
+        plain = [c.isalpha() for c in cores]
+        cores = [(c.lower() if c.isascii() else c) if p else t for c, t, p in zip(cores, texts, plain)]
+        # What is left of a plain word after its letters; lower case keeps the length of ASCII.
+        ends = [t[len(c):] if p else "" for t, c, p in zip(texts, cores, plain)]
+        ids = self.look_up(list({*cores, *ends} - {""}))
+        return [ids[c] + ids[e] if e else ids[c] for c, e in zip(cores, ends)]
+
 
-    return Tokenizer.from_file(path), {}
+@lru_cache(maxsize=2)
+def _coder(path: str) -> _Coder:
+    return _Coder(path)
 
 
 def token_ids(texts: pa.Array, path: str, end: int = END) -> tuple[np.ndarray, np.ndarray]:
@@ -40,17 +75,10 @@ def token_ids(texts: pa.Array, path: str, end: int = END) -> tuple[np.ndarray, n
     The tokenizer lowers case, drops white space and never joins characters across it, so a
     text's ids are those of its words in turn, and a word is tokenised once.
     """
-    tokenizer, known = _tokenizer(path)
     words = Words(texts)
-    new = [w for w in words.vocabulary if w not in known]
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = words.vocabulary
-    coded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-    known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(new, coded))
-    stored = [known[w] for w in words.vocabulary] + [np.uint32(end).tobytes()]
+    stored = [*_coder(path)(words.vocabulary), np.uint32(end).tobytes()]
     flat = np.frombuffer(b"".join(stored), np.uint32)
-    size = np.fromiter((len(s) // 4 for s in stored), np.int64, len(stored))
+    size = np.fromiter(map(len, stored), np.int64, len(stored)) // 4
     first = np.cumsum(size) - size
     sequence = np.insert(words.ids, words.offsets[1:], len(words.vocabulary))
     n = size[sequence]

@@ -16,13 +16,17 @@ from medlark.llm.common import Words, keyed_order, slices
 #: At most about so many labelled rows fit the voters, the label model and the classifier.
 MOST_LABELLED = 20_000
 #: Words and word starts that the classifier looks at.
-FEATURES = 4096
+FEATURES = 600
+#: Log ratio of an entry's share of toxic to that of clean documents.
+LEAST_RATIO = 1.0
 #: Lexicon entries that are dealt to the lexicon voters, of either kind.
 LEXICON = 240
 WORD_VOTERS = 24
 START_VOTERS = 12
 #: Documents of one label that must hold an entry.
 LEAST_DOCUMENTS = 3
+#: How often a given label is taken to be right.
+ANNOTATOR = 0.97
 STARTS = (5, 7)
 STYLES = ("shouting", "exclaiming", "symbols")
 MOST_BROADCAST = 2_000_000
@@ -128,45 +132,53 @@ class LabelModel:
 
 
 def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 25) -> LabelModel:
-    """Accuracies and correlations of the voters by expectation maximisation, without labels.
+    """Accuracies and correlations of the voters by expectation maximisation.
 
     Each round takes the posterior as labels: it counts votes per label, and measures how far the
     voters' errors go together once the label is known. A voter's evidence is divided by one plus
-    its positive correlations, so copies of one voter count once.
+    its positive correlations, so copies of one voter count once. The last voter is the given
+    label; it is taken to be right in ANNOTATOR of the cases, so that the others can outvote it.
     """
     m = votes.shape[1]
+    trusted = np.array([[ANNOTATOR, 1e-9, 1 - ANNOTATOR], [1 - ANNOTATOR, 1e-9, ANNOTATOR]])
     table = np.empty((2, m, 3))
     table[1] = [0.2, 0.4, 0.4]
     table[0] = [0.4, 0.4, 0.2]
+    table[:, -1] = trusted
     seen = np.stack([votes == k for k in (-1, 0, 1)], 2).astype(float)
     model = LabelModel(min(max(prior, 0.01), 0.99), table, np.ones(m))
     # At the start a voter says little, so no few of them decide; their number is what counts.
-    model.discount[:] = 0.5
+    model.discount[:-1] = 0.5
     for _ in range(rounds):
         p = model.posterior(votes)
         for y, w in ((1, p), (0, 1 - p)):
             model.table[y] = (np.einsum("i,ijk->jk", w, seen) + 0.5) / (w.sum() + 1.5)
+        model.table[:, -1] = trusted
         expected = (p[:, None] * (model.table[1][:, 2] - model.table[1][:, 0])
                     + (1 - p)[:, None] * (model.table[0][:, 2] - model.table[0][:, 0]))
         rest = votes - expected
         spread = np.sqrt((rest ** 2).mean(0)) + 1e-6
         corr = (rest.T @ rest) / len(votes) / np.outer(spread, spread)
         np.fill_diagonal(corr, 0)
+        corr[-1] = corr[:, -1] = 0
         model.discount = 1 / (1 + np.clip(corr, 0, 1).sum(1))
         model.prior = float(np.clip(p.mean(), 0.01, 0.99))
     return model
 
 
 def fit_linear(rows: np.ndarray, columns: np.ndarray, target: np.ndarray, features: int,
-               steps: int = 300, penalty: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels; (rows, columns) are the ones of a 0/1 matrix."""
+               steps: int = 400, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels; (rows, columns) are the ones of a 0/1 matrix.
+
+    Both labels weigh the same in sum, so that 0.5 is the line between them whatever their shares.
+    """
     theta = np.zeros(features + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     share = min(max(target.mean(), 1e-3), 1 - 1e-3) if len(target) else 0.5
-    theta[-1] = np.log(share / (1 - share))
+    balance = target / (2 * share) + (1 - target) / (2 * (1 - share))
     for t in range(1, steps + 1):
         z = np.bincount(rows, weights=theta[columns], minlength=len(target)) + theta[-1]
-        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * balance
         grad = np.append(np.bincount(columns, weights=error[rows], minlength=features), error.sum()) / max(1, len(target))
         grad[:-1] += penalty * theta[:-1]
         first = 0.9 * first + 0.1 * grad
@@ -184,7 +196,7 @@ def score_toxicity(
     1. On at most about ``most_labelled`` labelled rows, drawn by a hash of the id, documents of
     either label are counted per word and word start. The entries that tell most become lexicons
     and patterns of many voters. 2. A generative model estimates the voters' accuracies and
-    correlations from their votes alone. 3. A logistic regression on the entries is fitted to the
+    correlations; the given label is one voter of them. 3. A logistic regression on the entries is fitted to the
     model's posterior labels. 4. Every whole text is scored by the classifier.
 
     Returns doc_id, held_out, score, predicted. A null or empty text gets the score of a text without
@@ -203,40 +215,36 @@ def score_toxicity(
         usable = usable.where(keyed_order("toxic", F.col("_id")) < int(2 ** 60 * most_labelled / n))
     # At most about most_labelled rows of two numbers.
     usable = F.broadcast(usable) if most_labelled <= MOST_BROADCAST else usable
-    sample = own.join(usable, F.col("doc_id") == F.col("_id")).select("text", "_label").persist()
-    try:
-        n_toxic, n_all = sample.agg(F.sum("_label"), F.count(F.lit(1))).first()
-        if not n_all or n_toxic in (0, n_all):
-            return own.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-        counts = _document_counts(sample)
-        toxic = (F.col("toxic") + 0.5) / (n_toxic + 1)
-        clean = (F.col("clean") + 0.5) / (n_all - n_toxic + 1)
-        told = F.log(toxic / clean)
-        weight = (F.abs(told) * F.greatest(toxic, clean)).alias("weight")
-        chosen = counts.where(F.greatest("toxic", "clean") >= LEAST_DOCUMENTS).select(
-            "entry", "toxic", told.alias("told"), weight)
-        lexicon = chosen.where((F.col("told") > 1.5)).orderBy(
-            F.desc(F.col("told") * F.sqrt("toxic")), "entry").limit(LEXICON).collect()
-        others = chosen.orderBy(F.desc("weight"), "entry").limit(features).collect()
-        entries = list(dict.fromkeys([r["entry"] for r in lexicon] + [r["entry"] for r in others]))[:features]
-        index = {e: i for i, e in enumerate(entries)}
-
-        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for lo, hi in slices(b.column(0)):
-                    part = b.column(0).slice(lo, hi - lo)
-                    doc, entry = _hits(part, index)
-                    at = np.searchsorted(doc, np.arange(hi - lo + 1))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(entry, pa.int32())),
-                        pa.array([_style_hits(t) for t in part.to_pylist()], pa.list_(pa.int32()))],
-                        names=["hits", "style"])
-
-        seen = sample.mapInArrow(look, "hits array<int>, style array<int>").collect()
-    finally:
-        sample.unpersist()
+    sample = own.join(usable, F.col("doc_id") == F.col("_id")).select("text", "_label")
+    n_toxic, n_all = sample.agg(F.sum("_label"), F.count(F.lit(1))).first()
+    if not n_all or n_toxic in (0, n_all):
+        return own.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    counts = _document_counts(sample)
+    toxic = (F.col("toxic") + 0.5) / (n_toxic + 1)
+    clean = (F.col("clean") + 0.5) / (n_all - n_toxic + 1)
+    told = F.log(toxic / clean)
+    # Words that lean to clean documents are of little use: there are as many as there are topics.
+    ranked = F.desc(F.col("told") * F.sqrt("toxic"))
+    chosen = counts.where(F.col("toxic") >= LEAST_DOCUMENTS).select("entry", "toxic", told.alias("told"))
+    entries = [r["entry"] for r in chosen.where(F.col("told") > LEAST_RATIO).orderBy(ranked, "entry").limit(features).collect()]
+    lexicon = min(LEXICON, len(entries))
+    index = {e: i for i, e in enumerate(entries)}
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in slices(b.column(0)):
+                part = b.column(0).slice(lo, hi - lo)
+                doc, entry = _hits(part, index)
+                at = np.searchsorted(doc, np.arange(hi - lo + 1))
+                yield pa.RecordBatch.from_arrays([
+                    pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(entry, pa.int32())),
+                    pa.array([_style_hits(t) for t in part.to_pylist()], pa.list_(pa.int32())),
+                    b.column(1).slice(lo, hi - lo)], names=["hits", "style", "label"])
+
+    seen = sample.mapInArrow(look, "hits array<int>, style array<int>, label int").collect()
     hits = [r["hits"] for r in seen]
-    votes = _votes(hits, [r["style"] for r in seen], entries, len(lexicon))
+    votes = np.column_stack([_votes(hits, [r["style"] for r in seen], entries, lexicon),
+                             [1 if r["label"] else -1 for r in seen]])
     target = fit_label_model(votes, n_toxic / n_all).posterior(votes)
     rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     weights, bias = fit_linear(rows, np.array([e for h in hits for e in h], np.int64), target, len(entries))
