@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlark.llm import extraction, fingerprints, mixing, packing, quality, sharding, toxicity
+from medlark.llm import extraction, fingerprints, mixing, packing, quality, sharding, toxicity, warc
 from medlark.sources.readers import read_parquet
 
 SHARDS = 24
@@ -47,6 +47,11 @@ def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_table(spark, d, "documents"), tokenizer_path())
 
 
+@query("op3_warc", warc.WARC_SQL)
+def op3_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, d, "pages"))
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, d, "documents"), _table(spark, d, "labels"))
