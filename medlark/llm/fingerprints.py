@@ -15,8 +15,8 @@ RADIUS = 3
 BLOCKS = 6
 #: A term weighs as much as its letters, up to this.
 MOST_WEIGHT = 15
-#: Terms whose votes are counted together: weight x terms must stay below 2**16.
-_TOGETHER = 4096
+#: Terms whose votes are counted together: weight x terms must stay below 2**15.
+_TOGETHER = 2048
 _LANES = 0x0001000100010001
 #: Documents that one task of the neighbour window holds, about.
 ROWS_PER_RANGE = 8_000
