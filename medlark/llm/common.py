@@ -40,9 +40,12 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
 
 
 class Words:
-    """The words of some texts: ``vocabulary`` (bytes), ``ids`` into it, ``offsets`` by text."""
+    """The words of some texts: ``vocabulary`` (bytes), ``ids`` into it, ``offsets`` by text.
 
-    def __init__(self, texts: pa.Array):
+    ``fold`` turns A-Z into a-z first.
+    """
+
+    def __init__(self, texts: pa.Array, fold: bool = False):
         texts = texts.cast(pa.large_string()).fill_null("")
         # A slice shares its parent's buffers; concat_arrays copies just its part.
         texts = pa.concat_arrays([texts])
@@ -50,6 +53,8 @@ class Words:
             texts.offset: texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
         raw = np.frombuffer(data, np.uint8)[first: bounds[-1]] if data else np.zeros(0, np.uint8)
+        if fold:
+            raw = raw + (((raw >= 65) & (raw <= 90)) << 5).astype(np.uint8)
         bounds = bounds - first
         inside = ~_IS_SPACE[raw]
         before = np.empty_like(inside)

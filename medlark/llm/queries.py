@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlark.llm import extraction, fingerprints, mixing, packing, quality, sharding, toxicity, warc
+from medlark.llm import extraction, fingerprints, mixing, packing, quality, sharding, substrings, toxicity, warc
 from medlark.sources.readers import read_parquet
 
 SHARDS = 24
@@ -79,3 +79,9 @@ def op8_html_extraction(spark: SparkSession, d: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(_table(spark, d, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_substring_dedup", substrings.REPEATS_SQL)
+def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, d, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
