@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlark.llm import extraction, fingerprints, mixing, packing, quality, sharding, substrings, toxicity, warc
+from medlark.llm import extraction, fingerprints, mixing, ngram_join, packing, quality, sharding, substrings, toxicity, warc
 from medlark.sources.readers import read_parquet
 
 SHARDS = 24
@@ -65,6 +65,11 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
         "base_failed", "kept", "ratio")
 
 
+@query("op6_ngram_join", ngram_join.JOIN_SQL)
+def op6_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.join_components(_table(spark, d, "documents"))
+
+
 @query("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.edit_likeness(_table(spark, d, "documents"))
