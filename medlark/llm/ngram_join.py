@@ -318,6 +318,23 @@ def join_components(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own_component).alias("component_id"))
 
 
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The document with the smallest id of every component, unchanged; of rows that share its id one stays.
+
+    Documents without words and rows without an id all stay.
+    """
+    found = cut_lineage(join_components(docs, id_col=id_col, text_col=text_col, **options))
+    gone = cut_lineage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
+    few = gone.count() <= MOST_BROADCAST
+    kept = docs.join(F.broadcast(gone) if few else gone, col(id_col) == F.col("_gone"), "left_anti")
+    repeated = cut_lineage(found.where("doc_id = component_id and n_shingles > 0").groupBy(F.col("doc_id").alias("_twice"))
+                           .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_twice"))
+    if repeated.count() == 0:
+        return kept
+    on = col(id_col) == F.col("_twice")
+    return kept.join(repeated, on, "left_anti").unionByName(kept.join(repeated, on, "left_semi").dropDuplicates([id_col]))
+
+
 JOIN_SQL = """
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),

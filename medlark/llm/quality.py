@@ -39,14 +39,17 @@ def _ngrams(words: Column, buckets: int) -> Column:
 
 
 def count_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, _words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
+    """doc_id, _row, _words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
+
+    ``_row`` has all columns of the row as a struct.
 
     Repeated windows are found inside the row: hashes of all windows of three words are sorted
     with their places, and equal neighbours mark the places that they cover.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    split = docs.select(col(id_col).alias("doc_id"), text.alias("_text"), words_of(text).alias("_words"),
+    row = F.struct(*[col(c) for c in docs.columns]).alias("_row")
+    split = docs.select(row, col(id_col).alias("doc_id"), text.alias("_text"), words_of(text).alias("_words"),
                         lines.alias("_lines"))
     last = F.size("_words") - 3
     windows = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
@@ -62,7 +65,7 @@ def count_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n = F.greatest(F.size("_at") - 1, F.lit(0))
     gaps = F.zip_with("_at", F.slice("_at", F.lit(2), n), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
     return found.select(
-        "doc_id", "_words", F.size("_words").cast("long").alias("n_words"),
+        "_row", "doc_id", "_words", F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -94,21 +97,11 @@ def ngram_weights(
     return [math.log((g + smoothing) / (n * share + smoothing)) for g, n in zip(good, raw)]
 
 
-def quality_rules(
+def judged(
     docs: DataFrame, trusted: DataFrame, least_ratio: float = LEAST_RATIO, buckets: int = BUCKETS,
     smoothing: float = SMOOTHING, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """Judge every document by counts and by a hashed n-gram likelihood ratio.
-
-    Words and word pairs are hashed into buckets; two multinomials, over the trusted documents
-    and over the whole corpus, give each bucket a log ratio, and the mean over a document's n-grams is
-    compared with a fixed threshold. ``trusted`` has the ids of trusted documents.
-
-    Returns doc_id, the counts, base_failed, kept and ratio. A null or blank text has no words and
-    fails the base rules; its ratio is 0. Without trusted documents every ratio is 0, so only the base
-    rules decide. Repeated rows are judged each, and alike. Null ids are judged but never trusted.
-    Other columns are ignored. All work is done by SQL functions inside the row.
-    """
+    """Every row as ``_row`` with doc_id, the counts, base_failed, kept and ratio; see ``quality_rules``."""
     weights = ngram_weights(docs, trusted, buckets, smoothing, id_col, text_col)
     # A constant of the plan: bounded by the buckets, folded once.
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
@@ -117,6 +110,31 @@ def quality_rules(
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     counted = count_rules(docs, id_col, text_col).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "_row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), ratio.alias("ratio"))
     return counted.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least_ratio))
+
+
+def quality_rules(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
+    """Judge every document by counts and by a hashed n-gram likelihood ratio.
+
+    N-grams are hashed into buckets; two multinomials, over the trusted documents and over the whole
+    corpus, give each bucket a log ratio, and the mean over a document's n-grams is compared with a fixed
+    threshold. ``trusted`` has the ids of trusted documents. Options are those of ``judged``.
+
+    Returns doc_id, the counts, base_failed, kept and ratio. A null or blank text has no words and
+    fails the base rules; its ratio is 0. Without trusted documents every ratio is 0, so only the base
+    rules decide. Repeated rows are judged each, and alike. Null ids are judged but never trusted.
+    Other columns are ignored. All work is done by SQL functions inside the row.
+    """
+    return judged(docs, trusted, **options).drop("_row")
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
+    """The rows that the rules keep, as they are; text is not shuffled.
+
+    The choice is a generator, not a filter: a filter would be pushed below the projections, and with it
+    everything that they work out once per row would be worked out per word.
+    """
+    marked = judged(docs, trusted, **options).select(F.when(F.col("kept"), F.array("_row")).alias("_kept"))
+    return marked.select(F.explode_outer("_kept").alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")

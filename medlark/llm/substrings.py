@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
@@ -213,7 +214,7 @@ def _keep(text: str, mask: np.ndarray) -> str:
 
 
 def remove_repeats(
-    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False,
 ) -> DataFrame:
     """Remove words covered by a window that also stands in a document with a smaller id.
 
@@ -226,10 +227,14 @@ def remove_repeats(
 
     Returns doc_id, text (as given), n_words, n_removed, kept (the kept words joined by a space). Null and
     short texts have no window and lose nothing; a null id neither loses nor takes anything. Repeated rows
-    (one id) do not count against each other. Other columns are ignored.
+    (one id) do not count against each other. Other columns are ignored; with ``carry`` they come back in ``_row``,
+    with whether the text was null.
     """
-    own = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"),
-                      F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit(""))).alias("row_key"))
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    row = F.struct(col(text_col).isNull().alias("null"), F.struct(*[col(c) for c in docs.columns if c != text_col]).alias("rest"))
+    rest = [row.alias("_row")] if carry else []
+    own = docs.select(col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row_key"), *rest)
+    carried = ["_row"] if carry else []
     narrow = cut_lineage(own.select("doc_id", "row_key", F.sha2("text", 256).alias("digest"),
                                     F.octet_length("text").cast("long").alias("bytes")).where(F.col("doc_id").isNotNull()))
     size = narrow.agg(F.sum("bytes")).first()[0] or 0
@@ -272,7 +277,7 @@ def remove_repeats(
         if held:
             yield _send_windows(*map(np.concatenate, zip(*held)), parts)
 
-    second = own.join(info.where(~F.col("copy")), ["doc_id", "row_key"]).select("doc_id", "text", "row_key", "keys") \
+    second = own.join(info.where(~F.col("copy")), ["doc_id", "row_key"]).select("doc_id", "text", "row_key", "keys", *carried) \
         .mapInArrow(windows, HASHED)
     repeats = second.groupBy("part").applyInArrow(_repeats, "doc_id long, row_key long, starts binary") \
         .groupBy("doc_id", "row_key").agg(F.collect_list("starts").alias("starts"))
@@ -297,11 +302,20 @@ def remove_repeats(
                     kept.append(_keep(text, mask))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), texts, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(kept, pa.string())], names=["doc_id", "text", "n_words", "n_removed", "kept"])
+                     pa.array(kept, pa.string()), *[c.slice(lo, hi - lo) for c in b.columns[4:]]],
+                    names=["doc_id", "text", "n_words", "n_removed", "kept", *carried])
 
     marked = own.join(rows.join(repeats, ["doc_id", "row_key"], "left"), ["doc_id", "row_key"], "left")
-    return marked.select("doc_id", "text", "copy", "starts").mapInArrow(
-        remove, "doc_id long, text string, n_words long, n_removed long, kept string")
+    kinds = T.StructType.fromDDL("doc_id long, text string, n_words long, n_removed long, kept string")
+    return marked.select("doc_id", "text", "copy", "starts", *carried).mapInArrow(
+        remove, T.StructType([*kinds.fields, *[own.schema[c] for c in carried]]))
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with repeated words taken out; a text that loses nothing stays as it is, white space too."""
+    found = remove_repeats(docs, window, id_col, text_col, carry=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).when(~F.col("_row.null"), F.col("text"))
+    return found.select(*[text.alias(c) if c == text_col else F.col("_row.rest")[c].alias(c) for c in docs.columns])
 
 
 REPEATS_SQL = """
