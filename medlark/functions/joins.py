@@ -1,106 +1,84 @@
-"""Equi-joins that hold when one key has a third of the rows."""
+"""Equi-joins that hold when one key has a third of the rows.
+
+Adaptive execution splits skewed partitions of inner, left, semi and anti joins, so those are left to
+it. A full outer join is what it cannot split.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
 
 # A side is broadcast only when its size was measured and is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more than 1/HOT_SHARE of the rows counts as hot.
-HOT_SHARE = 200
+# A key with more rows than one task should have counts as hot.
+HOT_ROWS = 1_000_000
 _TRACKED = 10_000
-SALTS = 64
 
 
 def key_hash(on: list[str]) -> Column:
     return F.xxhash64(*[col(c) for c in on])
 
 
-def hot_key_hashes(df: DataFrame, on: list[str]) -> dict[int, int]:
-    """Hash -> rough row count of keys above the hot share, at most HOT_SHARE of them.
+def hot_key_hashes(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Hash -> rough row count of keys with more than ``hot_rows`` rows.
 
     One scan of the key columns with a frequent-items sketch per task; keys
-    are not shuffled. A hash collision costs some needless salting, no rows.
+    are not shuffled. A hash collision puts some cold rows among the hot ones, no more.
     """
-    row = df.select(key_hash(on).alias("h")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(h, {HOT_SHARE}, {_TRACKED})").alias("top"),
-    ).first()
-    floor = max(row["n"] / HOT_SHARE, 1_000)
-    return {t["item"]: t["count"] for t in row["top"] if t["count"] > floor}
-
-
-def _salted(df: DataFrame, on: list[str], spread: list[int], copied: list[int]) -> DataFrame:
-    """Rows of ``spread`` keys get one random salt, rows of ``copied`` keys get all of them."""
-    h = key_hash(on)
-    salt = F.array(F.lit(0))
-    if copied:
-        salt = F.when(h.isin(copied), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(salt)
-    if spread:
-        one = F.array(F.floor(F.rand(7) * SALTS).cast("int"))
-        salt = F.when(h.isin(spread), one).otherwise(salt)
-    return df.withColumn("_salt", F.explode(salt))
+    h = df.select(key_hash(on).alias("h"))
+    most = h.count() // hot_rows
+    if most == 0:
+        return {}
+    top = h.agg(F.expr(f"approx_top_k(h, {min(most, _TRACKED // 2)}, {_TRACKED})").alias("top")).first()["top"]
+    return {t["item"]: t["count"] for t in top if t["count"] > hot_rows}
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-    lookup_bytes: int | None = None, hot: list[int] | None = None,
+    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", lookup_bytes: int | None = None,
 ) -> DataFrame:
-    """Join a large table to one that has few rows per key (inner, left, left_semi, left_anti).
+    """Join to a lookup table (inner, left, left_semi, left_anti); broadcast if its measured size is small."""
+    small = lookup_bytes is not None and lookup_bytes <= BROADCAST_BYTES
+    return facts.join(F.broadcast(lookup) if small else lookup, on, how)
+
 
-    A lookup of measured small size is broadcast. Otherwise hot keys of the
-    facts (found here unless given) are spread over salts and their lookup rows
-    copied to each salt.
+def outer_join(left: DataFrame, right: DataFrame, on: list[str], hot: dict[int, int] | None = None,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Full outer join, rows of hot keys apart.
+
+    Cold keys meet in a plain full join. Of hot keys the matched rows come from an inner join, which
+    can be split, and the others are told by the few hot keys that the other side has at all. Null keys
+    match nothing.
     """
-    if lookup_bytes is not None and lookup_bytes <= BROADCAST_BYTES:
-        return facts.join(F.broadcast(lookup), on, how)
     if hot is None:
-        hot = list(hot_key_hashes(facts, on))
+        hot = {**hot_key_hashes(left, on, hot_rows), **hot_key_hashes(right, on, hot_rows)}
     if not hot:
-        return facts.join(lookup, on, how)
-    left = _salted(facts, on, spread=hot, copied=[])
-    right = _salted(lookup, on, spread=[], copied=hot)
-    return left.join(right, on + ["_salt"], how).drop("_salt")
-
+        return left.join(right, on, "full")
+    is_hot = key_hash(on).isin(list(hot))
+    a, b = left.where(is_hot), right.where(is_hot)
+    parts = [
+        left.where(~is_hot).join(right.where(~is_hot), on, "full"),
+        a.join(b, on, "inner"),
+        a.join(b.select(*on).distinct(), on, "left_anti"),
+        b.join(a.select(*on).distinct(), on, "left_anti"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
-def outer_join(left: DataFrame, right: DataFrame, on: list[str],
-               hot_left: dict[int, int] | None = None, hot_right: dict[int, int] | None = None,
-               ) -> DataFrame:
-    """Full outer join; hot keys of either side are salted.
 
-    Spark cannot split a skewed partition of a full outer join, and copies of
-    a row would each look unmatched. So with hot keys the result is put
-    together from the salted inner join and the unmatched rows of each side.
-    """
-    hot_left = hot_key_hashes(left, on) if hot_left is None else hot_left
-    hot_right = hot_key_hashes(right, on) if hot_right is None else hot_right
-    if not hot_left and not hot_right:
-        return left.join(right, on, "full")
-    by_left = [h for h, n in hot_left.items() if n >= hot_right.get(h, 0)]
-    by_right = [h for h in hot_right if h not in by_left]
-    both = _salted(left, on, spread=by_left, copied=by_right).join(
-        _salted(right, on, spread=by_right, copied=by_left), on + ["_salt"], "inner",
-    ).drop("_salt")
-    only_left = lookup_join(left, right.select(*on).distinct(), on, "left_anti",
-                            hot=list(hot_left))
-    only_right = lookup_join(right, left.select(*on).distinct(), on, "left_anti",
-                             hot=list(hot_right))
-    return both.unionByName(only_left, allowMissingColumns=True).unionByName(
-        only_right, allowMissingColumns=True)
-
-
-def hot_outer_chain(tables: list[DataFrame], on: list[str]) -> DataFrame:
+def hot_outer_chain(tables: list[DataFrame], on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Full outer joins of all tables on one key.
 
-    Hot keys are looked for in the tables themselves, never in a join result,
-    so no join runs just to find them.
+    Hot keys are looked for in the tables themselves, never in a join result. With a hot key a step is
+    stored before the next one reads it more than once, so the plan grows by the same for each table.
     """
-    out, hot = tables[0], hot_key_hashes(tables[0], on)
-    for t in tables[1:]:
-        own = hot_key_hashes(t, on)
-        out = outer_join(out, t, on, hot, own)
-        hot = {h: max(hot.get(h, 0), own.get(h, 0)) for h in {*hot, *own}}
+    out, hot = tables[0], hot_key_hashes(tables[0], on, hot_rows)
+    for i, t in enumerate(tables[1:]):
+        hot = {**hot, **hot_key_hashes(t, on, hot_rows)}
+        out = outer_join(cut_lineage(out) if hot and i else out, t, on, hot)
     return out

@@ -7,36 +7,58 @@ Edges are constants of the plan, so a retried task cuts the same buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
 
 ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 1_000
 _SAMPLES_PER_BUCKET = 20
-EDGE_CHARS = 200
 
 
 def bucket_edges(df: DataFrame, order: str, rows: int, rows_per_bucket: int) -> list:
     """Values that cut ``order`` (distinct values) into near-equal buckets."""
-    buckets = min(MAX_BUCKETS, rows // rows_per_bucket + 1)
+    buckets = rows // rows_per_bucket + 1
     if buckets == 1:
         return []
     every = max(1, rows // (buckets * _SAMPLES_PER_BUCKET))
-    # An edge need not be a value: of long text its start will do, which bounds
-    # what comes back. Edges set the balance of the buckets, never the result.
-    text = isinstance(df.schema[order].dataType, T.StringType)
-    edge = F.substring(col(order), 1, EDGE_CHARS) if text else col(order)
     sample = (
-        df.where(F.pmod(F.xxhash64(col(order)), F.lit(every)) == 0).select(edge.alias("v"))
+        df.where(F.pmod(F.xxhash64(col(order)), F.lit(every)) == 0).select(col(order).alias("v"))
     )
     values = sorted(r["v"] for r in sample.collect())
     return sorted(set(values[_SAMPLES_PER_BUCKET::_SAMPLES_PER_BUCKET]))
 
 
+def _bucket(edges: list, x: Column) -> Column:
+    """How many edges are below ``x``, looked for in two levels."""
+    size = math.isqrt(len(edges)) + 1
+    groups = [edges[i:i + size] for i in range(0, len(edges), size)]
+    tops = F.array(*[F.lit(g[0]) for g in groups])
+    fine = F.array(*[F.array(*[F.lit(e) for e in g]) for g in groups])
+    top = F.size(F.filter(tops, lambda e: e < x))
+    inside = F.size(F.filter(F.get(fine, top - 1), lambda e: e < x))
+    return F.when(top == 0, F.lit(0)).otherwise((top - 1) * size + inside)
+
+
+def line_numbers(df: DataFrame, uniform: str, ties: list[str], name: str, rows: int,
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Number all rows from 1 in order of a uniform draw in (0, 1), then ``ties``.
+
+    Equal ranges of a uniform draw have near-equal counts, so no edges need be looked for.
+    """
+    buckets = rows // rows_per_bucket + 1
+    cut = df.withColumn("_bucket", F.floor(col(uniform) * buckets))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_bucket").orderBy(uniform, *[col(t) for t in ties])
+    numbered = cut.withColumn("_line", F.row_number().over(inside)).join(offsets, "_bucket")
+    return numbered.select(*[col(c) for c in df.columns], (F.col("_line") + F.col("_before")).alias(name))
+
+
 def running_totals(
     df: DataFrame, order: str, sums: dict[str, str],
     rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -53,8 +75,7 @@ def running_totals(
         rows = df.count()
     edges = bucket_edges(df, order, rows, rows_per_bucket)
     if edges:
-        array = F.array(*[F.lit(e) for e in edges])
-        bucket = F.size(F.filter(array, lambda e: e < col(order)))
+        bucket = _bucket(edges, col(order))
     else:
         bucket = F.lit(0)
     cut = df.withColumn("_bucket", bucket)
@@ -62,7 +83,7 @@ def running_totals(
     local = cut.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()])
     if not edges:
         return local.drop("_bucket")
-    # At most MAX_BUCKETS rows: one window and one broadcast of bounded size.
+    # One row per bucket.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy("_bucket").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     offsets = totals.select("_bucket", *[

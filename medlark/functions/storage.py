@@ -2,37 +2,60 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_LOCAL: dict[str, str] = {}
+_FOLDERS: dict[str, object] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _LOCAL.get("folder") is None:
-        _LOCAL["folder"] = tempfile.mkdtemp(prefix="medlark-")
-    return _LOCAL["folder"]
+    """The folder that all executors reach: ``spark.checkpoint.dir``, else that of the warehouse.
+
+    Never a machine's own temporary folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/medlark-{uuid.uuid4().hex}/{name}"
+    """A new path in this application's part of the shared folder; ``release`` or the end of the program removes it."""
+    folder = f"{shared_folder(spark)}/medlark-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        if not _FOLDERS:
+            atexit.register(_release_all)
+        _FOLDERS[folder] = spark.sparkContext._jvm
+    return f"{folder}/{uuid.uuid4().hex}/{name}"
+
+
+def _remove(folder: str, jvm) -> None:
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all that was stored for this application; results must be written or fetched by then."""
+    folder = f"{shared_folder(spark)}/medlark-{spark.sparkContext.applicationId}"
+    jvm = _FOLDERS.pop(folder, None)
+    if jvm is not None:
+        _remove(folder, jvm)
+
+
+def _release_all() -> None:
+    while _FOLDERS:
+        folder, jvm = _FOLDERS.popitem()
+        try:
+            _remove(folder, jvm)
+        except Exception:  # noqa: BLE001 - the JVM may be gone; the folder's name says whose it was
+            pass
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back.
 
     What follows starts from the written table, so it survives the loss of
-    executors and reads only the columns it needs. The files stay there.
+    executors and reads only the columns it needs.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)

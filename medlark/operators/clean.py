@@ -22,10 +22,10 @@ from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col, numeric_columns, other_columns, replace_columns
 from medlark.operators.profile import mode_of
 
-# Table sizes from which the median takes over.
-KNN_MAX_ROWS = 50_000
-MICE_MAX_ROWS = 10_000
+# Neighbours that are averaged.
 NEIGHBOURS = 5
+# Rows of either side that one task of the nearest-row search has.
+KNN_BLOCK = 4_000
 MIN_VALUES = 10
 ONEHOT_MAX = 10
 
@@ -56,19 +56,16 @@ def impute_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def impute_knn(
-    df: DataFrame, cols: list[str], key: str, k: int = NEIGHBOURS, max_rows: int = KNN_MAX_ROWS,
-    tasks: int | None = None,
+    df: DataFrame, cols: list[str], key: str, k: int = NEIGHBOURS, block_rows: int = KNN_BLOCK,
 ) -> DataFrame:
-    """Null becomes the mean of the ``k`` nearest rows that have the value.
+    """Null becomes the mean of the ``k`` nearest rows that have the value, at every table size.
 
     The distance runs over the columns both rows have, scaled up for absent
     ones; equal distances go in key order. A row with no comparable donor gets
-    the column mean. From ``max_rows`` rows on every null becomes the median,
-    so the donors that meet a block of receivers are fewer than ``max_rows``.
+    the column mean. Blocks of receivers meet blocks of donors, each of about ``block_rows``
+    rows; a task gives the best ``k`` per cell, and the best of those are taken over all
+    blocks. Memory is bounded by the blocks; the work is receivers times rows.
     """
-    rows = df.count()
-    if rows >= max_rows:
-        return impute_median(df, cols)
     means = {c: s["mean"] for c, s in column_stats(df, cols, ["mean"]).items()}
     cols = [c for c in cols if means[c] is not None]
     slim = df.select(col(key).alias("key"), *[
@@ -77,21 +74,25 @@ def impute_knn(
     gap = F.lit(False)
     for n in names:
         gap = gap | F.col(n).isNull()
-    blocks = tasks or max(1, min(64, rows // 2_000))
-    receivers = slim.where(gap).select(
-        F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"),
-        F.lit(True).alias("wants"), "key", *names)
-    donors = slim.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                         F.lit(False).alias("wants"), "key", *names)
-    fallback = [means[c] for c in cols]
-
-    def fill(block):
-        """Nearest-donor means for one block of receivers; self-contained, so workers need no package."""
+    counts = slim.agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap).alias("wanting")).first()
+    across, down = counts["rows"] // block_rows + 1, counts["wanting"] // block_rows + 1
+
+    def blocks(wants: bool) -> DataFrame:
+        own = F.pmod(F.xxhash64("key", F.lit(wants)), F.lit(down if wants else across)).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.lit((across if wants else down) - 1)))
+        at = slim.where(gap) if wants else slim
+        at = at.select(own.alias("own"), other.alias("other"), F.lit(wants).alias("wants"), "key", *names)
+        place = [F.col("own"), F.col("other")] if wants else [F.col("other"), F.col("own")]
+        return at.select(place[0].alias("down"), place[1].alias("across"), "wants", "key", *names)
+
+    def nearest(block):
+        """The best donors of one pair of blocks; self-contained, so workers need no package."""
         left, right = block[block["wants"]], block[~block["wants"]].sort_values("key")
-        donors = right[names].to_numpy(float)
+        donors, names_ = right[names].to_numpy(float), right["key"].to_numpy()
         present = ~np.isnan(donors)
-        out = left[names].to_numpy(float).copy()
-        for i, row in enumerate(left[names].to_numpy(float)):
+        rows = left[names].to_numpy(float)
+        found = []
+        for at, row in zip(left["key"].to_numpy(), rows):
             both = present & ~np.isnan(row)
             shared = both.sum(axis=1)
             gap = np.where(both, donors - row, 0.0)
@@ -103,21 +104,26 @@ def impute_knn(
                 if len(near) > k:
                     near = near[far[near] <= np.partition(far[near], k - 1)[k - 1]]
                 near = near[np.argsort(far[near], kind="stable")][:k]
-                out[i, j] = donors[near, j].mean() if len(near) else fallback[j]
-        done = pd.DataFrame(out, columns=[f"_{n}" for n in names])
-        done.insert(0, key, left["key"].to_numpy())
-        return done
-
-    # A fixed number of partitions, so that little data does not end up in one task.
-    filled = (
-        receivers.unionByName(donors).repartition(blocks, "block").groupBy("block")
-        .applyInPandas(fill, T.StructType([
-            T.StructField(key, df.schema[key].dataType),
-            *[T.StructField(f"_{n}", T.DoubleType()) for n in names]]))
+                found += [(at, int(j), far[i], names_[i], donors[i, j]) for i in near]
+        return pd.DataFrame(found, columns=["key", "cell", "far", "donor", "value"])
+
+    kind = df.schema[key].dataType
+    found = (
+        blocks(True).unionByName(blocks(False)).groupBy("down", "across")
+        .applyInPandas(nearest, T.StructType([
+            T.StructField("key", kind), T.StructField("cell", T.IntegerType()),
+            T.StructField("far", T.DoubleType()), T.StructField("donor", kind),
+            T.StructField("value", T.DoubleType())]))
     )
-    joined = df.join(filled, key, "left")
+    # At most k rows per cell and block of donors.
+    best = found.groupBy("key", "cell").agg(F.slice(F.sort_array(F.collect_list(
+        F.struct("far", "donor", "value"))), 1, k).alias("best"))
+    mean = F.aggregate("best", F.lit(0.0), lambda a, b: a + b["value"]) / F.size("best")
+    filled = best.groupBy(F.col("key").alias("_key")).agg(*[
+        F.max(F.when(F.col("cell") == i, mean)).alias(f"_{n}") for i, n in enumerate(names)])
+    joined = df.join(filled, col(key) == F.col("_key"), "left")
     done = replace_columns(joined, {
-        c: F.coalesce(col(c).cast("double"), F.col(f"_{n}")) for c, n in zip(cols, names)})
+        c: F.coalesce(col(c).cast("double"), F.col(f"_{n}"), F.lit(means[c])) for c, n in zip(cols, names)})
     return done.select([col(c) for c in df.columns])
 
 
@@ -186,24 +192,16 @@ def _linear_fit(work: DataFrame, target: str, others: list[str], gap: str, stats
     return fit * F.lit(stats[target]["std_pop"]) + F.lit(stats[target]["mean"])
 
 
-def impute_auto(
-    df: DataFrame, cols: list[str], method: str = "mice", key: str | None = None,
-    knn_max_rows: int = KNN_MAX_ROWS, mice_max_rows: int | None = MICE_MAX_ROWS,
-) -> DataFrame:
-    """``median``, ``knn`` or ``mice``; the median from the row limit of the method on.
-
-    ``mice_max_rows=None`` lifts the limit: the Spark rounds do not need it.
-    """
+def impute_auto(df: DataFrame, cols: list[str], method: str = "mice", key: str | None = None) -> DataFrame:
+    """``median``, ``knn`` or ``mice``, the same at every table size."""
     if method == "median":
         return impute_median(df, cols)
     if method == "knn":
         if key is None:
             raise ValueError("knn needs a row key")
-        return impute_knn(df, cols, key, max_rows=knn_max_rows)
+        return impute_knn(df, cols, key)
     if method != "mice":
         raise ValueError(f"unknown method {method!r}")
-    if mice_max_rows is not None and df.count() >= mice_max_rows:
-        return impute_median(df, cols)
     return impute_mice(df, cols)
 
 

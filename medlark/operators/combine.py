@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medlark.functions.joins import hot_key_hashes, hot_outer_chain, lookup_join, outer_join
+from medlark.functions.hashing import keyed_uniform
+from medlark.functions.joins import hot_outer_chain, outer_join
+from medlark.functions.ranking import line_numbers
 from medlark.functions.types import col, is_numeric, quoted
 from medlark.operators.columns import affix_names, align_schema
-from medlark.operators.sampling import sample_rows
 
-# Most rows of one table that go into a side-by-side sample.
-ZIP_LIMIT = 50_000
 # Columns that must be shared for stacking on common columns.
 MIN_COMMON = 3
 # The tables of each subject domain.
@@ -75,22 +74,20 @@ def merge_surveys(tables: dict[str, DataFrame], key: str = "seqn") -> DataFrame:
 
 
 def zip_samples(
-    tables: dict[str, DataFrame], keys: dict[str, list[str]], n: int = ZIP_LIMIT, seed: str = "42",
+    tables: dict[str, DataFrame], keys: dict[str, list[str]], n: int | None = None, seed: str = "42",
 ) -> DataFrame:
     """Samples of equal size side by side, by position in hash order.
 
-    The size is that of the smallest table, at most ``n``. Rows of different
+    The size is that of the smallest table, or ``n`` if given and less. Rows of different
     tables in one line have nothing to do with each other; use
     :func:`join_by_respondent` where there is a shared key.
     """
     sizes = {name: df.count() for name, df in tables.items()}
-    size = min([n, *sizes.values()])
+    size = min(sizes.values()) if n is None else min([n, *sizes.values()])
     numbered = []
     for name, df in tables.items():
-        sample = sample_rows(df, size, keys[name], seed=seed, rows=sizes[name], keep_order=True)
-        # One window over at most ``n`` rows.
-        order = Window.orderBy("_u", *[col(k) for k in keys[name]])
-        lined = sample.withColumn("_at", F.row_number().over(order)).drop("_u")
+        drawn = df.withColumn("_u", keyed_uniform(*[col(k) for k in keys[name]], salt=seed))
+        lined = line_numbers(drawn, "_u", keys[name], "_at", sizes[name]).where(F.col("_at") <= size).drop("_u")
         numbered.append(affix_names(lined, prefix=f"{name}_", keep=["_at"]))
     joined = reduce(lambda a, b: a.join(b, "_at"), numbered)
     return joined.withColumnRenamed("_at", "position")
@@ -99,19 +96,12 @@ def zip_samples(
 def join_by_respondent(demo: DataFrame, health: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Two survey parts of the same person, joined on the person key.
 
-    The person key is unique in ``demo``; the part with many rows per person
-    is spread where one person has a great share of them.
+    Adaptive execution splits a person with a great share of the rows; for a full join such rows go apart.
     """
     if how == "inner":
-        return lookup_join(health, demo, [key], "inner")
+        return health.join(demo, key, "inner")
     if how == "left":
-        hot = list(hot_key_hashes(health, [key]))
-        if not hot:
-            return demo.join(health, key, "left")
-        both = lookup_join(health, demo, [key], "inner", hot=hot)
-        alone = lookup_join(demo, health.select(key).distinct(), [key], "left_anti", hot=[])
-        return both.unionByName(alone, allowMissingColumns=True).select(
-            *[col(c) for c in demo.columns], *[col(c) for c in health.columns if c != key])
+        return demo.join(health, key, "left")
     return outer_join(demo, health, [key])
 
 

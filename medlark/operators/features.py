@@ -23,24 +23,18 @@ from medlark.operators.clean import encode_ordinal
 from medlark.operators.columns import LABEL_CANDIDATES, detect_label
 
 # Fixed values of feature construction.
-LOG_COLUMNS = 50
 LOG_SKEW = 1.5
 MIN_VALUES = 10
-CROSS_EACH = 3
 TOP_PRODUCTS = 15
-MAX_PRODUCTS = 100
 TOP_POLY = 10
-MAX_POLY_COLUMNS = 30
 MIN_VARIANCE = 0.01
 KEEP_FEATURES = 50
-MI_MIN_ROWS = 50
 PCA_COMPONENTS = 30
 
 
-def log_skewed(df: DataFrame, cols: list[str] | None = None, limit: int = LOG_COLUMNS,
-               t: float = LOG_SKEW) -> DataFrame:
+def log_skewed(df: DataFrame, cols: list[str] | None = None, t: float = LOG_SKEW) -> DataFrame:
     """Add ``c_log = ln(1 + c)`` for skewed columns without negative values."""
-    cols = (cols or numeric_columns(df))[:limit]
+    cols = cols or numeric_columns(df)
     stats = column_stats(df, cols, ["n", "min", "skew"])
     skewed = [
         c for c in cols
@@ -52,10 +46,10 @@ def log_skewed(df: DataFrame, cols: list[str] | None = None, limit: int = LOG_CO
 
 def cross_named(df: DataFrame, a_words: list[str] = ("bmi",), b_words: list[str] = ("age",),
                 cols: list[str] | None = None) -> DataFrame:
-    """Products of the first three columns named like ``a`` with the first three like ``b``."""
+    """Products of all columns named like ``a`` with all named like ``b``."""
     cols = cols or numeric_columns(df)
-    first = [c for c in cols if any(w in c.lower() for w in a_words)][:CROSS_EACH]
-    second = [c for c in cols if any(w in c.lower() for w in b_words)][:CROSS_EACH]
+    first = [c for c in cols if any(w in c.lower() for w in a_words)]
+    second = [c for c in cols if any(w in c.lower() for w in b_words)]
     new = {f"{a}_x_{b}": col(a) * col(b) for a in first for b in second}
     return replace_columns(df, new)
 
@@ -66,31 +60,22 @@ def by_variance(df: DataFrame, cols: list[str], fill: float | None = None) -> li
     return sorted(cols, key=lambda c: -(var[c] if var[c] is not None else -1.0))
 
 
-def _products(names: list[str], cap: int | None) -> list[tuple[str, str]]:
-    return list(combinations(names, 2))[:cap]
-
-
-def top_variance_products(df: DataFrame, cols: list[str] | None = None, top: int = TOP_PRODUCTS,
-                          cap: int = MAX_PRODUCTS) -> DataFrame:
-    """Pair products of the columns of highest variance; only with more than 5 columns."""
+def top_variance_products(df: DataFrame, cols: list[str] | None = None, top: int = TOP_PRODUCTS
+                          ) -> DataFrame:
+    """All pair products of the ``top`` columns of highest variance."""
     cols = cols or numeric_columns(df)
-    if len(cols) <= 5:
-        return df
-    pairs = _products(by_variance(df, cols)[:top], cap)
+    pairs = combinations(by_variance(df, cols)[:top], 2)
     return replace_columns(df, {f"{a}_x_{b}": col(a) * col(b) for a, b in pairs})
 
 
-def poly_interactions(df: DataFrame, cols: list[str] | None = None, top: int = TOP_POLY,
-                      max_cols: int = MAX_POLY_COLUMNS) -> DataFrame:
-    """Pair products with null as 0, named ``poly_a_x_b``; only with few enough columns."""
+def poly_interactions(df: DataFrame, cols: list[str] | None = None, top: int = TOP_POLY) -> DataFrame:
+    """All pair products, null as 0, of the ``top`` columns of highest variance, named ``poly_a_x_b``."""
     cols = cols or numeric_columns(df)
-    if len(cols) > max_cols:
-        return df
 
     def value(c: str) -> Column:
         return F.coalesce(col(c).cast("double"), F.lit(0.0))
 
-    pairs = _products(by_variance(df, cols)[:top], None)
+    pairs = combinations(by_variance(df, cols)[:top], 2)
     return df.select("*", *[(value(a) * value(b)).alias(f"poly_{a}_x_{b}") for a, b in pairs])
 
 
@@ -179,7 +164,7 @@ class Projection(NamedTuple):
 def pca(df: DataFrame, cols: list[str], n: int = PCA_COMPONENTS, keep: list[str] = ()) -> Projection:
     """Standardized columns on their principal components ``PC1..``; nulls as 0.
 
-    With two components or fewer the columns stay as they are. ``ml.PCA`` does
+    A table of fewer than two rows has no spread and stays as it is. ``ml.PCA`` does
     not centre the data it projects, so the scaler does. The scaler uses the
     sample std; the constant factor to the population std is put on the result.
     The sign of a component is arbitrary.
@@ -188,7 +173,7 @@ def pca(df: DataFrame, cols: list[str], n: int = PCA_COMPONENTS, keep: list[str]
                        *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
     rows = filled.count()
     count = min(n, len(cols), rows)
-    if count <= 2:
+    if rows < 2 or not cols:
         return Projection(filled.select(*[col(c) for c in cols], *[col(c) for c in keep]), None, [])
     packed = VectorAssembler(inputCols=cols, outputCol="_raw").transform(filled).select(
         *[col(c) for c in keep], "_raw")
@@ -225,7 +210,7 @@ def reduce_features(df: DataFrame, candidates: list[str] = LABEL_CANDIDATES,
     table = drop_low_variance(df.select(*[col(c) for c in cols], *([col(label)] if label else [])),
                               cols)
     cols = [c for c in table.columns if c != label]
-    if label and table.limit(MI_MIN_ROWS + 1).count() > MI_MIN_ROWS:
+    if label:
         table = select_by_mi(table, label, cols, k)
     elif len(cols) > k:
         table = select_by_variance(table, cols, k)

@@ -20,14 +20,12 @@ from medlark.functions.hashing import keyed_uniform
 from medlark.functions.quantiles import exact_quantiles, order_statistics
 from medlark.functions.ranking import ROWS_PER_BUCKET, running_totals
 from medlark.functions.types import col, micros, rows_from_struct
-from medlark.operators.sampling import sample_rows
 
 # Fixed values of the model runs.
 TEST_SHARE = 0.2
 FOLDS = 5
 SALT = "42"
 VOTE_AT = 0.5
-IMPORTANCE_ROWS = 500
 MAX_CLASSES = 100
 BOOSTED_GRID = {
     "trees": [100, 200], "depth": [3, 5, 7], "rate": [0.01, 0.05, 0.1],
@@ -294,27 +292,30 @@ def linear_importance(df: DataFrame, weights: dict[str, float]) -> DataFrame:
 
 
 def shuffle_importance(model: Transformer, df: DataFrame, features: list[str], key: list[str],
-                       n: int = IMPORTANCE_ROWS, salt: str = SALT) -> DataFrame:
+                       salt: str = SALT, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """(feature, importance): mean change of the score when one column is passed on a row.
 
-    Works for any scorer, on a keyed sample of ``n`` rows (the windows below see
-    just those): in hash order each row takes the next row's value of the column.
+    Works for any scorer, on all rows: inside equal ranges of a keyed draw each row takes the next
+    row's value of the column, the last one the first's.
     """
-    sample = sample_rows(df.select(*[col(c) for c in dict.fromkeys([*key, *features])]), n, key,
-                         seed=salt, keep_order=True)
-    order = Window.orderBy("_u")
+    drawn = df.select(*[col(c) for c in dict.fromkeys([*key, *features])]).withColumn(
+        "_u", keyed_uniform(*[col(c) for c in key], salt=salt))
+    buckets = drawn.count() // rows_per_bucket + 1
+    cut = drawn.withColumn("_bucket", F.floor(F.col("_u") * buckets))
+    order = Window.partitionBy("_bucket").orderBy("_u", *[col(c) for c in key])
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = sample.select(
-        "_u", *[col(c) for c in features],
-        *[F.coalesce(F.lead(col(c)).over(order), F.first(col(c)).over(whole)).alias(f"_next{i}")
-          for i, c in enumerate(features)])
+    moved = cut.select(
+        *[col(c) for c in features],
+        *[F.when(F.row_number().over(order) < F.count(F.lit(1)).over(whole), F.lead(col(c)).over(order))
+          .otherwise(F.first(col(c)).over(whole)).alias(f"_next{i}") for i, c in enumerate(features)])
+    moved = moved.withColumn("_row", F.monotonically_increasing_id())
     versions = [F.struct(F.lit("").alias("feature"), *[col(c).alias(c) for c in features])]
     for i, c in enumerate(features):
         versions.append(F.struct(F.lit(c).alias("feature"), *[
             (F.col(f"_next{i}") if o == c else col(o)).alias(o) for o in features]))
-    rows = moved.select("_u", F.explode(F.array(*versions)).alias("_v")).select("_u", "_v.*")
-    scored = score(model, rows).select("_u", "feature", "score")
-    base = F.max(F.when(F.col("feature") == "", F.col("score"))).over(Window.partitionBy("_u"))
+    rows = moved.select("_row", F.explode(F.array(*versions)).alias("_v")).select("_row", "_v.*")
+    scored = score(model, rows).select("_row", "feature", "score")
+    base = F.max(F.when(F.col("feature") == "", F.col("score"))).over(Window.partitionBy("_row"))
     return (
         scored.withColumn("_change", F.abs(F.col("score") - base)).where(F.col("feature") != "")
         .groupBy("feature").agg(F.avg("_change").alias("importance"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medlark.functions.hashing import keyed_laplace, short_digest
-from medlark.functions.joins import lookup_join
 from medlark.functions.quantiles import exact_quantiles
 from medlark.functions.stats import column_stats, small_distinct_counts
 from medlark.functions.types import col, numeric_columns, replace_columns
@@ -21,12 +20,10 @@ EPSILON = 1.0
 SENSITIVITY = 1.0
 K = 5
 DIGEST_LENGTH = 16
-MAX_QUASI_IDS = 5
 AGE_EDGES = [18, 30, 40, 50, 60, 70, 80]
 AGE_LABELS = ["<18", "18-29", "30-39", "40-49", "50-59", "60-69", "70-79", "80+"]
 QUANTILE_BANDS = 5
 MIN_DISTINCT = 20
-UTILITY_COLUMNS = 20
 
 
 def pseudonymize(df: DataFrame, cols: list[str] | None = None, length: int = DIGEST_LENGTH,
@@ -108,10 +105,10 @@ def dp_aggregate(df: DataFrame, by: list[str], aggs: dict[str, Release], salt: s
 def k_anonymity(df: DataFrame, quasi_ids: list[str] | None = None, k: int = K) -> DataFrame:
     """One row: smallest and mean group, groups, groups below ``k``; -1 without quasi-ids.
 
-    At most the first five quasi-ids count; rows with a null one are left out.
+    All quasi-ids count; rows with a null one are left out.
     """
     found = detect_quasi_ids(df) if quasi_ids is None else quasi_ids
-    used = [c for c in found if c in df.columns][:MAX_QUASI_IDS]
+    used = [c for c in found if c in df.columns]
     if not used:
         return df.limit(0).agg(F.lit(-1).cast("long").alias("k_min"),
                                F.lit(None).cast("double").alias("k_mean"),
@@ -124,8 +121,7 @@ def k_anonymity(df: DataFrame, quasi_ids: list[str] | None = None, k: int = K) -
 
 def k_violations(df: DataFrame, quasi_ids: list[str], k: int = K) -> DataFrame:
     """The groups smaller than ``k`` with their sizes."""
-    used = quasi_ids[:MAX_QUASI_IDS]
-    return (df.na.drop(subset=used).groupBy(*[col(c) for c in used])
+    return (df.na.drop(subset=quasi_ids).groupBy(*[col(c) for c in quasi_ids])
             .agg(F.count(F.lit(1)).alias("size")).where(F.col("size") < k))
 
 
@@ -171,8 +167,7 @@ def utility_report(original: DataFrame, protected: DataFrame, cols: list[str] |
                    ) -> DataFrame:
     """One row: mean absolute change of correlations, means and sample stds.
 
-    Correlations over all shared numeric columns, means and stds over the first
-    20 by name. The status is ``insufficient_data`` below two shared columns.
+    All over the shared numeric columns. The status is ``insufficient_data`` below two of them.
     """
     shared = sorted(set(numeric_columns(original)) & set(numeric_columns(protected)))
     shared = [c for c in shared if cols is None or c in cols]
@@ -184,12 +179,11 @@ def utility_report(original: DataFrame, protected: DataFrame, cols: list[str] |
     before, after = corr_matrix(original, shared), corr_matrix(protected, shared)
     both = before.join(after.withColumnRenamed("r", "r2"), ["a", "b"])
     corr = both.agg(F.avg(F.abs(F.col("r") - F.col("r2"))).alias("correlation_mae"))
-    first = shared[:UTILITY_COLUMNS]
-    a = column_stats(original, first, ["mean", "std"])
-    b = column_stats(protected, first, ["mean", "std"])
+    a = column_stats(original, shared, ["mean", "std"])
+    b = column_stats(protected, shared, ["mean", "std"])
 
     def mean_change(what: str) -> float:
-        return sum(abs(a[c][what] - b[c][what]) for c in first) / len(first)
+        return sum(abs(a[c][what] - b[c][what]) for c in shared) / len(shared)
 
     return corr.select(
         F.lit("ok").alias("status"), "correlation_mae",
@@ -211,4 +205,4 @@ def enforce_k(df: DataFrame, quasi_ids: list[str], k: int = K) -> DataFrame:
     keyed = df.select("*", *[F.coalesce(col(c).cast("string"), F.lit("")).alias(f"_k{i}")
                              for i, c in enumerate(quasi_ids)], nulls.alias("_nulls"))
     small = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < k)
-    return lookup_join(keyed, small.drop("_n"), names, "left_anti").drop(*names)
+    return keyed.join(small.drop("_n"), names, "left_anti").drop(*names)

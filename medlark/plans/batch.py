@@ -29,6 +29,6 @@ def each_table(
             audit.append(audit_row(spark.read.parquet(path), name, run, before))
             paths[name] = path
         except Exception as e:  # noqa: BLE001 - one bad table must not stop the run
-            audit.append(dict(run=run, table_name=name, status="failed", reason=str(e)[:500]))
+            audit.append(dict(run=run, table_name=name, status="failed", reason=str(e)))
     append_audit(spark, f"{out}/audit", audit)
     return paths

@@ -22,13 +22,13 @@ class Protected(NamedTuple):
 
 def protect_table(
     df: DataFrame, id_cols: list[str], quasi_ids: list[str], ages: list[str] = (),
-    k: int = privacy.K, salt: str = "", release_by: list[str] = (),
+    *, salt: str, k: int = privacy.K, release_by: list[str] = (),
     release: dict[str, Release] | None = None, eps: float = privacy.EPSILON,
 ) -> Protected:
     """Pseudonyms, bands, group sizes before and after small groups go, noisy statistics.
 
     Groups are measured on the bands and before any noise. Noise goes on
-    published statistics, not on the cells.
+    published statistics, not on the cells. All quasi-ids count. The salt is secret and new for every release.
     """
     table = privacy.pseudonymize(df, id_cols, salt=salt)
     for c in ages:
@@ -47,17 +47,17 @@ def protect_table(
 
 
 def protect_tables(
-    spark: SparkSession, tables: dict[str, DataFrame], out: str, run: str, salt: str = "",
+    spark: SparkSession, tables: dict[str, DataFrame], out: str, run: str, *, salt: str,
     k: int = privacy.K,
 ) -> dict[str, str]:
     """Protect every table to ``out/<name>_protected``, its columns found by name and uniqueness."""
     def plan(df: DataFrame) -> DataFrame:
         ids = detect_id_columns(df)
-        quasi = [c for c in detect_quasi_ids(df) if c not in ids][:privacy.MAX_QUASI_IDS]
+        quasi = [c for c in detect_quasi_ids(df) if c not in ids]
         numbers = set(numeric_columns(df))
         ages = [c for c in quasi if c in numbers and name_matches(c, ["age"])]
         if not quasi:
             return privacy.pseudonymize(df, ids, salt=salt)
-        return protect_table(df, ids, quasi, ages, k, salt).table
+        return protect_table(df, ids, quasi, ages, k=k, salt=salt).table
 
     return each_table(spark, tables, out, run, "_protected", plan)

@@ -92,22 +92,24 @@ def bag(df):
     return Counter(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_lookup_is_the_plain_join(spark, how):
-    facts = hot_table(spark, 6000, 9, "a")
-    lookup = spark.createDataFrame([(i, f"v{i}") for i in range(0, 6000, 2)] + [(9, "hot")],
-                                   "k int, v string")
-    assert joins.hot_key_hashes(facts, ["k"])
-    got = joins.lookup_join(facts, lookup, ["k"], how)
-    assert bag(got) == bag(facts.join(lookup, "k", how))
-
-
 @pytest.mark.parametrize("left_hot, right_hot", [(9, 10), (9, 9), (9, -1)])
-def test_salted_outer_join_is_the_plain_join(spark, left_hot, right_hot):
+def test_outer_join_with_hot_keys_apart_is_the_plain_join(spark, left_hot, right_hot):
     a = hot_table(spark, 4500, left_hot, "a")
     b = hot_table(spark, 100, right_hot, "b") if right_hot == 9 else hot_table(spark, 3600, right_hot, "b")
-    got = joins.outer_join(a, b, ["k"]).select("k", "a", "b")
-    assert bag(got) == bag(a.join(b, "k", "full").select("k", "a", "b"))
+    assert joins.hot_key_hashes(a, ["k"], 500)
+    want = bag(a.join(b, "k", "full").select("k", "a", "b"))
+    for x in (a, a.repartition(7)):
+        assert bag(joins.outer_join(x, b, ["k"], hot_rows=500).select("k", "a", "b")) == want
+
+
+def test_chain_with_a_hot_key_grows_by_the_same(spark):
+    tables = [hot_table(spark, 600, 9, f"c{i}").where(f"k <> 9 or c{i} is not null").limit(400) for i in range(2)]
+    tables += [spark.createDataFrame([(9, f"x{i}"), (1, "y")], f"k int, d{i} string") for i in range(3)]
+    sizes = []
+    for n in (3, 4, 5):
+        plan = joins.hot_outer_chain(tables[:n], ["k"], hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(plan.count("Join"))
+    assert sizes[0] == sizes[1] == sizes[2]
 
 
 def test_even_keys_are_not_hot(spark):

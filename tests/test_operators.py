@@ -235,18 +235,11 @@ def matrix(df, n):
 def test_knn_is_brute_force(spark, tasks):
     _, data = holed()
     data[5] = np.nan
-    got = clean.impute_knn(frame(spark, data), ["c0", "c1", "c2", "c3"], "k", tasks=tasks)
+    got = clean.impute_knn(frame(spark, data), ["c0", "c1", "c2", "c3"], "k", block_rows=tasks)
     assert matrix(got, 4) == pytest.approx(nan_knn(data), rel=1e-9)
     assert got.count() == len(data) and got.select("c1").where("c1 is null").count() == 0
 
 
-def test_knn_of_a_large_table_is_the_median(spark):
-    _, data = holed()
-    df = frame(spark, data)
-    got = clean.impute_knn(df, ["c0"], "k", max_rows=100)
-    assert matrix(got, 1)[np.isnan(data[:, 0]), 0] == pytest.approx(np.nanmedian(data[:, 0]))
-
-
 def chained(data, iters=10, tol=1e-3):
     """Brute force round-robin least squares from mean fill."""
     gaps = np.isnan(data)
@@ -275,13 +268,13 @@ def test_mice_is_brute_force_and_better_than_the_mean(spark):
     assert np.abs(got - base)[gaps].mean() < 0.8 * np.abs(mean - base)[gaps].mean()
 
 
-def test_imputation_method_by_size(spark):
+def test_imputation_method(spark):
     _, data = holed()
     df = frame(spark, data)
     cols = ["c0", "c1", "c2", "c3"]
     median = matrix(clean.impute_median(df, cols), 4)
-    assert matrix(clean.impute_auto(df, cols, "mice", mice_max_rows=120), 4) == pytest.approx(median)
-    assert matrix(clean.impute_auto(df, cols, "mice", mice_max_rows=121), 4) != pytest.approx(median)
+    assert matrix(clean.impute_auto(df, cols, "median"), 4) == pytest.approx(median)
+    assert matrix(clean.impute_auto(df, cols), 4) == pytest.approx(chained(data), rel=1e-5, abs=1e-5)
     assert matrix(clean.impute_auto(df, cols, "knn", "k"), 4) == pytest.approx(nan_knn(data), rel=1e-9)
 
 
@@ -372,11 +365,20 @@ def test_log_rule(spark):
     assert features.log_skewed(df).columns == ["skewed", "negative", "even", "skewed_log"]
 
 
-def test_product_limits(spark):
-    df = spark.range(20).select(*[(F.col("id") * (i + 1)).alias(f"c{i:02d}") for i in range(16)])
-    assert len(features.top_variance_products(df).columns) == 16 + 100
-    assert features.top_variance_products(df.select("c00", "c01")).columns == ["c00", "c01"]
-    assert len(features.poly_interactions(df).columns) == 16 + 45
+def test_all_products_of_the_top_columns(spark):
+    df = spark.range(20).select(*[(F.col("id") * (i + 1)).alias(f"c{i:02d}") for i in range(40)])
+    assert len(features.top_variance_products(df).columns) == 40 + 105
+    assert features.top_variance_products(df.select("c00", "c01")).columns == ["c00", "c01", "c01_x_c00"]
+    assert len(features.poly_interactions(df).columns) == 40 + 45
+    assert len(features.cross_named(df, ["c0"], ["c1"]).columns) == 40 + 100
+
+
+def test_six_quasi_ids_count(spark):
+    df = spark.range(64).select(*[F.expr(f"(id >> {i}) % 2").alias(f"q{i}") for i in range(6)])
+    names = [f"q{i}" for i in range(6)]
+    assert privacy.k_anonymity(df, names).first()["k_min"] == 1
+    assert privacy.k_anonymity(df, names[:5]).first()["k_min"] == 2
+    assert privacy.enforce_k(df, names, 2).count() == 0
 
 
 def test_pca_explains_and_orders_variance(spark):
@@ -601,7 +603,7 @@ def test_models_learn_and_survive_storage(spark):
     for m in fitted.values():
         imp = {r["feature"]: r["importance"] for r in models.feature_importance(m, train, ["a", "b"]).collect()}
         assert imp["a"] > imp["b"]
-    moved = models.shuffle_importance(fitted["gbt"], train, ["a", "b"], ["id"], n=200)
+    moved = models.shuffle_importance(fitted["gbt"], train, ["a", "b"], ["id"], rows_per_bucket=50)
     assert sampling.top_features(moved, 1).first()["feature"] == "a"
     path = scratch_path(spark, "model")
     models.save_model(fitted["forest"], path)
