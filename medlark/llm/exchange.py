@@ -19,6 +19,8 @@ FLUSH_PAIRS = 2_000_000
 FLUSH_DOCUMENTS = 50_000
 #: Pairs that a part holds, about.
 PART_PAIRS = 2_000_000
+#: Documents whose answers are put together in one go, about.
+DOCUMENTS_PER_BUCKET = 4_000
 #: Bits of a key that tell keys of one part apart.
 LOW_BITS = 40
 ROW = "part int, docs binary, at binary, low binary, high binary"
@@ -115,45 +117,67 @@ def gather(
         yield send(np.concatenate(docs), np.concatenate(keys), folded)
 
 
-def _by_document(docs: np.ndarray, keys: np.ndarray, extra: np.ndarray | None = None) -> list[tuple]:
-    order = np.argsort(docs, kind="stable")
-    docs, keys = docs[order], keys[order]
-    extra = None if extra is None else extra[order]
-    cuts = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(docs))
-    return [(int(docs[a]), b - a, keys[a:b].tobytes(), None if extra is None else extra[a:b].tobytes())
-            for a, b in zip(cuts, ends)]
+def bucket_rows(docs: np.ndarray, columns: list[np.ndarray], buckets: int) -> list[tuple]:
+    """One row per bucket of documents: bucket, documents, entries of each, packed columns."""
+    bucket = (mix(docs.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((docs, bucket))
+    docs, bucket, columns = docs[order], bucket[order], [c[order] for c in columns]
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(docs) else np.zeros(0, np.int64)
+    rows = []
+    for a, b in zip(cuts, np.append(cuts[1:], len(docs))):
+        used, n = np.unique(docs[a:b], return_counts=True)
+        rows.append((int(bucket[a]), used.tobytes(), n.astype(np.int32).tobytes(), *[c[a:b].tobytes() for c in columns]))
+    return rows
+
+
+def unbucket(table: pa.Table, kinds: list) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """All rows of one bucket, by document: documents, columns, and where each document starts and ends."""
+    docs, n, *columns = ([x.as_py() for x in table.column(i)] for i in range(1, table.num_columns))
+    flat = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.int32)) for d, c in zip(docs, n)])
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    columns = [np.frombuffer(b"".join(c), k)[order] for c, k in zip(columns, kinds)]
+    cuts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+    return flat, columns, cuts, np.append(cuts[1:], len(flat))
+
+
+def buckets_for(documents: int) -> int:
+    return documents // DOCUMENTS_PER_BUCKET + 1
 
 
-def shared_keys(rows: DataFrame, count_only: bool = False, with_counts: bool = False) -> DataFrame:
-    """Per part and document the keys that two or more documents hold: doc_id, n, keys, counts.
+def shared_keys(rows: DataFrame, buckets: int, with_counts: bool = False) -> DataFrame:
+    """The keys of each document that another one holds too: doc_id, n, keys, counts.
 
     ``keys`` packs 64-bit placed keys; ``counts``, on demand, packs 32-bit numbers of documents (rows
-    must then be sent unfolded).
+    must then be sent unfolded). A part answers with one row per bucket of documents, and a bucket
+    puts its documents together, so the number of rows follows the parts, not the documents in each.
     """
     def reduce(table: pa.Table) -> pa.Table:
         number = table.column("part")[0].as_py()
         cells = [table.column(c).to_pylist() for c in ("docs", "at", "low", "high")]
-        out: list[tuple] = []
         if number < 0:
-            for docs, n, keys, _ in zip(*cells):
-                sizes = np.frombuffer(n, np.int64)
-                ends = np.cumsum(sizes)
-                for d, m, e in zip(np.frombuffer(docs, np.int64).tolist(), sizes.tolist(), ends.tolist()):
-                    out.append((d, m, keys[8 * (e - m): 8 * e], None))
+            docs = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(n, np.int64)) for d, n, _, _ in zip(*cells)])
+            keys, held = np.frombuffer(b"".join(cells[2]), np.int64), np.full(len(docs), 2)
         else:
             found = [unpack(*row) for row in zip(*cells)]
             docs = np.concatenate([f[0] for f in found])
             low = np.concatenate([f[1] for f in found])
             _, at = np.unique(low, return_inverse=True)
-            weight = np.where(docs == FOLDED, 2, 1)
-            held = np.bincount(at, weights=weight).astype(np.int64)[at]
+            held = np.bincount(at, weights=np.where(docs == FOLDED, 2, 1)).astype(np.int64)[at]
             use = (held > 1) & (docs != FOLDED)
-            out = _by_document(docs[use], low[use] | (np.int64(number) << LOW_BITS),
-                               held[use].astype(np.int32) if with_counts else None)
-        cols = list(zip(*out)) or [()] * 4
-        keys = pa.nulls(len(out), pa.binary()) if count_only else pa.array(cols[2], pa.binary())
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), keys,
-                         pa.array(cols[3], pa.binary())], names=["doc_id", "n", "keys", "counts"])
-
-    return rows.groupBy("part").applyInArrow(reduce, "doc_id long, n long, keys binary, counts binary")
+            docs, keys, held = docs[use], low[use] | (np.int64(number) << LOW_BITS), held[use]
+        out = bucket_rows(docs, [keys, held.astype(np.int32)] if with_counts else [keys], buckets)
+        cols = list(zip(*out)) or [()] * (5 if with_counts else 4)
+        return pa.table([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=names)
+
+    def merge(table: pa.Table) -> pa.Table:
+        docs, columns, cuts, ends = unbucket(table, [np.int64, np.int32])
+        packed = [pa.array([c[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()) for c in columns]
+        if not with_counts:
+            packed.append(pa.nulls(len(cuts), pa.binary()))
+        return pa.table([pa.array(docs[cuts]), pa.array(ends - cuts), *packed], names=["doc_id", "n", "keys", "counts"])
+
+    names = ["bucket", "docs", "n", "keys", *["counts"] * with_counts]
+    answers = rows.groupBy("part").applyInArrow(
+        reduce, "bucket int, docs binary, n binary, keys binary" + ", counts binary" * with_counts)
+    return answers.groupBy("bucket").applyInArrow(merge, "doc_id long, n long, keys binary, counts binary")

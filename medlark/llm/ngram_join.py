@@ -14,7 +14,7 @@ from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
 from medlark.llm.common import Words, slices, spread
 from medlark.llm.components import components
-from medlark.llm.exchange import ROW, gather, mix, parts_for, place, shared_keys
+from medlark.llm.exchange import ROW, buckets_for, gather, mix, parts_for, place, shared_keys
 
 SHINGLE = 5
 #: Two sets link when 100 x intersection is at least so much x union.
@@ -235,8 +235,8 @@ def join_components(
     sets = cut_lineage(classes(own, size))
     rows = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     firsts = cut_lineage(rows.groupBy("n", "one", "two").agg(F.min("doc_id").alias("first")))
-    total = firsts.agg(F.sum("n")).first()[0] or 0
-    parts = parts_for(total)
+    total, count = firsts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    parts, buckets = parts_for(total), buckets_for(count)
 
     def pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         for lo, hi in slices(batch.column(1)):
@@ -247,20 +247,20 @@ def join_components(
     others = cut_lineage(rows.select("doc_id").distinct().join(lead, "doc_id", "left_anti"))
     reps = with_ids(own.where(F.col("doc_id").isNotNull()), others, "left_anti")
     sent = reps.mapInArrow(lambda batches: gather(batches, pairs), ROW)
-    shared = shared_keys(sent, count_only=True).groupBy("doc_id").agg(F.sum("n").alias("shared"))
+    shared = shared_keys(sent, buckets).select("doc_id", F.col("n").alias("shared"))
     smallest = firsts.groupBy(F.col("first").alias("doc_id")).agg(F.min("n").alias("n"), F.sum("n").alias("all"))
     survivors = cut_lineage(shared.join(smallest, "doc_id").where(100 * F.col("shared") >= percent * F.col("n"))
                             .select("doc_id", F.col("all").alias("n")))
     left = with_ids(reps, survivors.select("doc_id"), "left_semi")
 
-    held = shared_keys(left.mapInArrow(lambda batches: gather(batches, pairs, folded=False), ROW), with_counts=True)
-    by_doc = held.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"), F.collect_list("counts").alias("counts"))
+    by_doc = shared_keys(left.mapInArrow(lambda batches: gather(batches, pairs, folded=False), ROW), buckets,
+                         with_counts=True).select("doc_id", "keys", "counts")
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, chosen = [], []
             for doc, n, keys, counts in zip(*(c.to_pylist() for c in b.columns)):
-                key, count = np.frombuffer(b"".join(keys), np.int64), np.frombuffer(b"".join(counts), np.int32)
+                key, count = np.frombuffer(keys, np.int64), np.frombuffer(counts, np.int32)
                 prefix = n - -(-percent * n // 100) + 1 - (n - len(key))
                 if prefix > 0:
                     ids.append(doc)

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
 from medlark.llm.common import Words, slices, spread
 from medlark.llm.exchange import (
-    FLUSH_DOCUMENTS, FLUSH_PAIRS, gather, mix, parts_for, place, shared_keys,
+    FLUSH_DOCUMENTS, FLUSH_PAIRS, bucket_rows, buckets_for, gather, mix, parts_for, place, shared_keys, unbucket,
 )
 
 WINDOW = 13
@@ -160,7 +161,8 @@ def _send_windows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, a: np.nda
     fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
     group = np.cumsum(fresh) - 1
     later = doc > doc[np.flatnonzero(fresh)][group] if len(a) else np.zeros(0, bool)
-    part = np.where(later, -1 - doc % 1_000_003 % 997, (a >> np.uint64(40)).astype(np.int64) * parts >> 24)
+    direct = -1 - int(doc[0]) % 1_000_003 if len(doc) else -1
+    part = np.where(later, direct, (a >> np.uint64(40)).astype(np.int64) * parts >> 24)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(part) else np.zeros(0, np.int64)
     rows = []
@@ -171,17 +173,17 @@ def _send_windows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, a: np.nda
         at = at.ravel()
         by = np.argsort(at, kind="stable")
         i, at = i[by], at[by]
-        direct = part[i[0]] < 0
+        known = part[i[0]] < 0
         rows.append((int(part[i[0]]), np.ascontiguousarray(used[:, 0]).tobytes(), np.ascontiguousarray(used[:, 1]).tobytes(),
                      at.astype(np.uint32).tobytes(), start[i].astype(np.uint32).tobytes(),
-                     b"" if direct else a[i].tobytes(), b"" if direct else (b[i] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()))
+                     b"" if known else a[i].tobytes(), b"" if known else (b[i] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()))
     cells = list(zip(*rows)) or [()] * 7
     return pa.RecordBatch.from_arrays([pa.array(cells[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cells[1:]]],
                                       names=["part", "docs", "row_keys", "at", "starts", "low", "mid"])
 
 
-def _repeats(table: pa.Table) -> pa.Table:
-    """Of one part the windows that a smaller document has too: doc_id, row_key, starts."""
+def _repeats(table: pa.Table, buckets: int) -> pa.Table:
+    """Of one part the windows that a smaller document has too, by bucket of documents."""
     number = table.column("part")[0].as_py()
     doc, row, start, a, b = [], [], [], [], []
     for docs, rows, at, starts, low, mid in zip(*(table.column(c).to_pylist() for c in table.column_names[1:])):
@@ -199,6 +201,14 @@ def _repeats(table: pa.Table) -> pa.Table:
         least = doc[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
         use = order[doc[order] > least]
         doc, row, start = doc[use], row[use], start[use]
+    cells = list(zip(*bucket_rows(doc, [row, start], buckets))) or [()] * 5
+    return pa.table([pa.array(cells[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cells[1:]]],
+                    names=["bucket", "docs", "n", "row_keys", "starts"])
+
+
+def _starts(table: pa.Table) -> pa.Table:
+    """The starts of one bucket's repeats by document and text."""
+    doc, (row, start), _, _ = unbucket(table, [np.int64, np.uint32])
     order = np.lexsort((start, row, doc))
     doc, row, start = doc[order], row[order], start[order]
     cuts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))) if len(doc) else np.zeros(0, np.int64)
@@ -237,8 +247,8 @@ def remove_repeats(
     carried = ["_row"] if carry else []
     narrow = cut_lineage(own.select("doc_id", "row_key", F.sha2("text", 256).alias("digest"),
                                     F.octet_length("text").cast("long").alias("bytes")).where(F.col("doc_id").isNotNull()))
-    size = narrow.agg(F.sum("bytes")).first()[0] or 0
-    parts = parts_for(size / _BYTES_PER_WORD * _PAIRS_PER_WORD)
+    size, count = narrow.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    parts, buckets = parts_for(size / _BYTES_PER_WORD * _PAIRS_PER_WORD), buckets_for(count)
 
     def symbols(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         for lo, hi in slices(batch.column(1)):
@@ -250,7 +260,7 @@ def remove_repeats(
 
     first = own.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(
         lambda batches: gather(batches, symbols), "part int, docs binary, at binary, low binary, high binary")
-    shared = shared_keys(first).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    shared = shared_keys(first, buckets).select("doc_id", "keys")
     # One row per (document, text): whether a smaller document has this very text.
     same = Window.partitionBy("digest")
     rows = narrow.groupBy("digest", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("_n")).withColumn(
@@ -263,12 +273,15 @@ def remove_repeats(
         for b in batches:
             for lo, hi in slices(b.column(1)):
                 words = Words(b.column(1).slice(lo, hi - lo))
-                known = [np.frombuffer(b"".join(k), np.int64) if k else None for k in b.column(3).slice(lo, hi - lo).to_pylist()]
+                known = [np.frombuffer(k, np.int64) if k else None for k in b.column(3).slice(lo, hi - lo).to_pylist()]
                 one, two = word_hashes(words)
                 starts = _candidates(words, one, known, parts, window)
                 text = np.searchsorted(words.offsets, starts, side="right") - 1
+                # Copies, and rows without an id, are not compared.
+                own = pc.equal(b.column(4).slice(lo, hi - lo), False).fill_null(False).to_numpy(zero_copy_only=False)[text]
+                starts, text = starts[own], text[own]
                 a, c = _window_hashes(one, two, starts, window)
-                held.append((b.column(0).slice(lo, hi - lo).to_numpy()[text], b.column(2).slice(lo, hi - lo).to_numpy()[text],
+                held.append((b.column(0).slice(lo, hi - lo).fill_null(0).to_numpy()[text], b.column(2).slice(lo, hi - lo).to_numpy()[text],
                              starts - words.offsets[text], a, c))
                 n, seen = n + len(starts), seen + hi - lo
                 if n >= FLUSH_PAIRS or seen >= FLUSH_DOCUMENTS:
@@ -277,10 +290,12 @@ def remove_repeats(
         if held:
             yield _send_windows(*map(np.concatenate, zip(*held)), parts)
 
-    second = own.join(info.where(~F.col("copy")), ["doc_id", "row_key"]).select("doc_id", "text", "row_key", "keys", *carried) \
+    # Left joins, both: so text is exchanged once and read twice.
+    second = own.join(info, ["doc_id", "row_key"], "left").select("doc_id", "text", "row_key", "keys", "copy", *carried) \
         .mapInArrow(windows, HASHED)
-    repeats = second.groupBy("part").applyInArrow(_repeats, "doc_id long, row_key long, starts binary") \
-        .groupBy("doc_id", "row_key").agg(F.collect_list("starts").alias("starts"))
+    repeats = second.groupBy("part").applyInArrow(
+        lambda table: _repeats(table, buckets), "bucket int, docs binary, n binary, row_keys binary, starts binary") \
+        .groupBy("bucket").applyInArrow(_starts, "doc_id long, row_key long, starts binary")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -294,7 +309,7 @@ def remove_repeats(
                     if copy and n >= window:
                         edge[0], edge[n] = 1, -1
                     elif starts:
-                        at = np.frombuffer(b"".join(starts), np.uint32)
+                        at = np.frombuffer(starts, np.uint32)
                         np.add.at(edge, at, 1)
                         np.add.at(edge, at + window, -1)
                     mask = np.cumsum(edge[:-1]) > 0
