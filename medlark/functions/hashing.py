@@ -15,8 +15,13 @@ def _col(c: str | Column) -> Column:
 
 
 def keyed_uniform(*keys: str | Column, salt: str) -> Column:
-    """Uniform draw in (0, 1): the first 52 bits of SHA-256(salt|key|...)."""
-    text = F.concat_ws("|", F.lit(salt), *[_col(k).cast("string") for k in keys])
+    """Uniform draw in (0, 1): the first 52 bits of SHA-256(salt|length:key|...).
+
+    Keys go in with their lengths and a null as ``-``, so no two key tuples make one text.
+    """
+    parts = [_col(k).cast("string") for k in keys]
+    text = F.concat_ws("|", F.lit(salt), *[
+        F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts])
     bits = F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("long")
     return (bits + F.lit(0.5)) / F.lit(float(2**52))
 

@@ -76,7 +76,7 @@ def expanding_folds(df: DataFrame, order: str, key: list[str], splits: int = FOL
     """Add ``test_fold``: 1.. for the test blocks in time order, 0 for rows before them.
 
     A test block has ``n // (splits + 1)`` rows; fold f trains on rows with a
-    lower number. Equal times go by the keyed draw. The block borders are found
+    lower number. Equal times go by the keyed draw; rows without a time are never tested (0). The block borders are found
     as order statistics, so no row moves and nothing is ranked.
     """
     when = micros(df, order)
@@ -102,7 +102,7 @@ def expanding_folds(df: DataFrame, order: str, key: list[str], splits: int = FOL
             past = past | ((when == F.lit(t)) & (u >= F.lit(draws[str(i)][0])))
         else:
             past = when >= F.lit(t)
-        fold = fold + past.cast("int")
+        fold = fold + F.coalesce(past, F.lit(False)).cast("int")
     return df.withColumn("test_fold", fold)
 
 
@@ -134,9 +134,10 @@ def boosted_grid(estimator: Pipeline, values: dict[str, list] = BOOSTED_GRID) ->
 
 
 def random_forest_classifier(features: list[str], label: str = "label", trees: int = 200,
-                             depth: int = 10) -> Pipeline:
+                             depth: int = 10, columns: str = "auto") -> Pipeline:
     return Pipeline(stages=[assembler(features), RandomForestClassifier(
-        labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=42)])
+        labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=42,
+        featureSubsetStrategy=columns)])
 
 
 def class_weights(df: DataFrame, label: str = "label") -> dict:

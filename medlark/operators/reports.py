@@ -49,9 +49,8 @@ def utilization(load: DataFrame, capacity: DataFrame, resource: str, value: str)
 
 
 def region_vs_mean(df: DataFrame, region: str, risk: str) -> DataFrame:
-    """Mean per region beside the mean of the regions, highest first."""
+    """Mean per region beside the mean of the regions."""
     per = df.groupBy(col(region)).agg(F.avg(col(risk)).alias("risk"))
-    # One row each side: the regions are joined to their own mean.
     mean = per.agg(F.avg("risk").alias("m")).first()["m"]
     return per.select(
         region, "risk", F.lit(mean).alias("overall_mean"),

@@ -72,8 +72,8 @@ def linear_forecast(df: DataFrame, by: list[str], ts: str = "period", value: str
     """Least squares on the last points, carried on to the next month ends.
 
     Forecast and lower band stay at or above 0, the upper band does not bend;
-    the band is 1.96 population stds of the residuals. Series with fewer points
-    are left out.
+    the band is 1.96 population stds of the residuals. A series with fewer points
+    has one line, with nulls for step and figures.
     """
     x = F.lit(float(last)) - F.col("_back")
     pts = _last_rows(df, by, ts, last).select(
@@ -87,17 +87,18 @@ def linear_forecast(df: DataFrame, by: list[str], ts: str = "period", value: str
         F.count(F.lit(1)).alias("_n"), F.max("_ts").alias("_end"),
         F.first("slope").alias("slope"), F.first("intercept").alias("intercept"),
         F.stddev_pop(F.col("_y") - (F.col("slope") * F.col("_x") + F.col("intercept"))).alias("_band"),
-    ).where(F.col("_n") == last)
-    step = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")
-    ahead = lines.select("*", step)
-    forecast = F.greatest(
-        F.col("slope") * (F.lit(float(last)) + F.col("step") - 1) + F.col("intercept"), F.lit(0.0))
+    )
+    enough = F.col("_n") == last
+    steps = F.when(enough, F.sequence(F.lit(1), F.lit(horizon))).otherwise(F.array(F.lit(None).cast("int")))
+    ahead = lines.select("*", F.explode(steps).alias("step"))
+    forecast = F.when(enough, F.greatest(
+        F.col("slope") * (F.lit(float(last)) + F.col("step") - 1) + F.col("intercept"), F.lit(0.0)))
     band = F.lit(Z95) * F.col("_band")
     return ahead.select(
         *[col(b) for b in by], "step",
         F.last_day(F.add_months("_end", F.col("step"))).alias("forecast_date"),
-        "slope", forecast.alias("forecast"),
-        F.greatest(forecast - band, F.lit(0.0)).alias("lower"),
+        F.when(enough, F.col("slope")).alias("slope"), forecast.alias("forecast"),
+        F.when(enough, F.greatest(forecast - band, F.lit(0.0))).alias("lower"),
         (forecast + band).alias("upper"))
 
 

@@ -26,7 +26,7 @@ def each_table(
             before = (df.count(), len(df.columns))
             path = f"{out}/{name}{suffix}"
             write_parquet(plan(df), path)
-            audit.append(audit_row(spark.read.parquet(path), name, run, before))
+            audit.append(audit_row(spark.read.parquet(path), name, run, before, path=path))
             paths[name] = path
         except Exception as e:  # noqa: BLE001 - one bad table must not stop the run
             audit.append(dict(run=run, table_name=name, status="failed", reason=str(e)))

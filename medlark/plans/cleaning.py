@@ -12,7 +12,7 @@ from medlark.plans.batch import each_table
 
 
 def clean_table(
-    df: DataFrame, keep: list[str] = (), key: str | None = None, impute: str = "median",
+    df: DataFrame, keep: list[str] = (), key: str | None = None, impute: str = "mice",
     outliers: str = "iqr", scaling: str = "standard", max_missing: float = columns.MAX_MISSING,
 ) -> DataFrame:
     """Names, useless columns, duplicates, missing values, outliers, encoding, scaling.

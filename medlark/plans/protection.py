@@ -18,6 +18,7 @@ class Protected(NamedTuple):
     k_before: DataFrame
     k_after: DataFrame
     release: DataFrame | None
+    utility: DataFrame
 
 
 def protect_table(
@@ -25,7 +26,7 @@ def protect_table(
     *, salt: str, k: int = privacy.K, release_by: list[str] = (),
     release: dict[str, Release] | None = None, eps: float = privacy.EPSILON,
 ) -> Protected:
-    """Pseudonyms, bands, group sizes before and after small groups go, noisy statistics.
+    """Pseudonyms, bands, group sizes before and after small groups go, noisy statistics, lost utility.
 
     Groups are measured on the bands and before any noise. Noise goes on
     published statistics, not on the cells. All quasi-ids count. The salt is secret and new for every release.
@@ -43,7 +44,8 @@ def protect_table(
     before = privacy.k_anonymity(table, used, k)
     kept = privacy.enforce_k(table, used, k)
     noisy = privacy.dp_aggregate(df, list(release_by), release, salt, eps) if release else None
-    return Protected(kept, before, privacy.k_anonymity(kept, used, k), noisy)
+    return Protected(kept, before, privacy.k_anonymity(kept, used, k), noisy,
+                     privacy.utility_report(df, kept))
 
 
 def protect_tables(

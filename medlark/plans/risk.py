@@ -49,6 +49,7 @@ def train_risk_models(
         boosted_plan = boosted.copy(grid[at])
     plans = {
         "boosted_trees": boosted_plan,
+        "boosted_weighted": models.boosted_trees_classifier(features, trees=trees, depth=3, weight="weight"),
         "random_forest": models.random_forest_classifier(features, trees=forest_trees,
                                                          depth=forest_depth),
         "logistic": models.balanced_logistic(features),

@@ -66,17 +66,28 @@ def read_json_records(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None,
     multiline: bool = True,
 ) -> DataFrame:
-    """An object with an array ``value`` gives its records, a list its rows, else one row."""
+    """An object with an array ``value`` gives its records, a list its rows, else one row.
+
+    Only a file that is one object can be such a wrapper: neither the records of a list nor, with
+    ``multiline=False``, those of a file of lines are taken apart.
+    """
     reader = spark.read.option("multiLine", multiline)
     df = reader.schema(schema).json(path) if schema is not None else reader.json(path)
     value = dict((f.name, f.dataType) for f in df.schema.fields).get("value")
-    if isinstance(value, T.ArrayType):
+    if isinstance(value, T.ArrayType) and multiline and _is_object(spark, path):
         df = df.select(F.explode("value").alias("_record"))
         df = df.select("_record.*") if isinstance(value.elementType, T.StructType) \
             else df.withColumnRenamed("_record", "value")
     return flatten(df)
 
 
+def _is_object(spark: SparkSession, path: str) -> bool:
+    """Whether the first character that is not blank opens an object."""
+    lines = spark.read.text(path)
+    start = lines.where(F.trim("value") != "").limit(1).first()
+    return start is not None and start["value"].lstrip("\ufeff \t").startswith("{")
+
+
 def parse_json_column(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Replace a column of JSON text by its fields, nested ones as ``a.b``."""
     rest = [F.col(quoted(c)) for c in df.columns if c != column]
@@ -123,9 +134,11 @@ def scan_tree(
         keep = keep & ~path.endswith(s)
     for folder in SKIPPED_FOLDERS:
         keep = keep & ~path.contains(folder)
-    parts = F.split(path, "/")
-    stem = F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "")
-    parent = F.element_at(parts, -2)
-    top = root.rstrip("/").rsplit("/", 1)[-1]
-    name = F.when(parent == top, stem).otherwise(F.concat(parent, F.lit("__"), stem))
+    # Below the root; the scheme and a doubled slash before it may differ from what was asked for.
+    top = root.rstrip("/").split(":", 1)[-1].lstrip("/")
+    start = F.locate(f"/{top}/", path) + len(top) + 2
+    below = F.split(F.substring(path, start, F.length(path)), "/")
+    stem = F.regexp_replace(F.element_at(below, -1), r"\.[^.]*$", "")
+    name = F.when(F.size(below) == 1, stem).otherwise(
+        F.concat(F.try_element_at(below, F.lit(-2)), F.lit("__"), stem))
     return df.where(keep).select("*", name.alias("table_name"))

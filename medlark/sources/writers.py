@@ -49,23 +49,31 @@ def append_audit(spark: SparkSession, path: str, rows: list[dict]) -> None:
 def table_metrics(df: DataFrame, duplicates: bool = True) -> DataFrame:
     """One row: rows, columns, worst missing share of a column, exact duplicate rows.
 
-    Duplicates come from the group sizes of identical rows, so copies are
-    folded before the shuffle.
+    Duplicates are rows less distinct 128-bit row hashes, so no wide row is shuffled.
     """
     cols = df.columns
-    sizes = df.groupBy(*[col(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n")) if duplicates \
-        else df.withColumn("_n", F.lit(1))
-    rows = F.coalesce(F.sum("_n"), F.lit(0))
-    missing = [F.sum(F.when(col(c).isNull(), F.col("_n")).otherwise(0)) for c in cols]
+    nulls = [col(c).isNull() for c in cols]
+    # Hashes skip nulls, so which cells are null is hashed too.
+    parts = [*[col(c) for c in cols], *nulls]
+    hashed = df.select(*[n.cast("int").alias(f"_m{i}") for i, n in enumerate(nulls)],
+                       F.xxhash64(*parts).alias("_a"), F.xxhash64(F.lit("b"), *parts).alias("_b"))
+    rows = F.count(F.lit(1))
+    missing = [F.sum(f"_m{i}") for i in range(len(cols))]
     worst = F.greatest(*missing) if len(missing) > 1 else missing[0]
-    return sizes.agg(
-        rows.cast("long").alias("rows"),
+    return hashed.agg(
+        rows.alias("rows"),
         F.lit(len(cols)).cast("long").alias("cols"),
-        F.coalesce(worst / rows, F.lit(0.0)).alias("missing_rate"),
-        (rows - F.count(F.lit(1))).cast("long").alias("duplicates"),
+        F.coalesce(F.try_divide(worst, rows), F.lit(0.0)).alias("missing_rate"),
+        (rows - F.count_distinct("_a", "_b") if duplicates else F.lit(0)).cast("long").alias("duplicates"),
     )
 
 
+def files_kb(spark: SparkSession, path: str) -> float:
+    """Size of the files of a stored table; only their listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return (files.agg(F.sum("length")).first()[0] or 0) / 1024
+
+
 def audit_rows(tables: dict[str, DataFrame], run: str, at_once: int = 8) -> list[dict]:
     """Measure several tables; their jobs are independent and run side by side."""
     with ThreadPoolExecutor(at_once) as pool:
@@ -73,10 +81,11 @@ def audit_rows(tables: dict[str, DataFrame], run: str, at_once: int = 8) -> list
 
 
 def audit_row(df: DataFrame, table: str, run: str, before: tuple[int, int] | None = None,
-              status: str = "ok") -> dict:
-    """Measure a finished table for :func:`append_audit`."""
+              status: str = "ok", path: str | None = None) -> dict:
+    """Measure a finished table for :func:`append_audit`; ``path``, where it is stored, gives its size."""
     m = table_metrics(df).first()
     rows, cols = before or (m["rows"], m["cols"])
     return dict(run=run, table_name=table, status=status, rows_before=rows, cols_before=cols,
                 rows_after=m["rows"], cols_after=m["cols"],
-                missing_rate=round(m["missing_rate"], 4), duplicates=m["duplicates"])
+                missing_rate=round(m["missing_rate"], 4), duplicates=m["duplicates"],
+                size_kb=None if path is None else round(files_kb(df.sparkSession, path), 2))

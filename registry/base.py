@@ -112,5 +112,6 @@ LINEITEM_MASKED = """lm AS (
 
 def uniform_sql(salt: str, *keys: str) -> str:
     """The keyed uniform draw in SQL."""
-    text = "||'|'||".join([f"'{salt}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
+    text = "||'|'||".join([f"'{salt}'", *[
+        f"coalesce(length(CAST({k} AS VARCHAR))||':'||CAST({k} AS VARCHAR), '-')" for k in keys]])
     return f"((CAST('0x' || substr(sha256({text}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"

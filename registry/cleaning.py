@@ -205,4 +205,4 @@ def clean_table(spark, d):
         F.col("event_id").alias("Event ID"), F.col("user_id").alias(" User_ID"), "event_type",
         "value", "sparse", "empty", F.lit("same").alias("constant"), F.lit(1).alias("id"))
     twice = e.unionByName(e.where(F.col("Event ID") % 10 == 0))
-    return rounded(clean_plan(twice, keep=["event_id"]), 8, "user_id", "value")
+    return rounded(clean_plan(twice, keep=["event_id"], impute="median"), 8, "user_id", "value")

@@ -134,11 +134,17 @@ def vectors(spark, d) -> DataFrame:
     return features.unpack_vector(table(spark, d, "embeddings"), "embedding", 64, "e")
 
 
-@query("pca")
+@query("pca", """
+WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+z AS (SELECT vec_id, label, (x - avg(x) OVER (PARTITION BY i)) / stddev_pop(x) OVER (PARTITION BY i) AS z FROM e)
+SELECT vec_id, label, round(sum(z * z), 4) AS squares FROM z GROUP BY 1, 2""")
 def pca(spark, d):
+    """All components: a row's sum of squares is that of the standardized row."""
     v = vectors(spark, d)
-    return features.pca(v, [c for c in v.columns if c.startswith("e")], 30,
-                        keep=["vec_id", "label"]).table
+    done = features.pca(v, [c for c in v.columns if c.startswith("e")], 64, keep=["vec_id", "label"]).table
+    parts = F.array(*[F.col(c) for c in done.columns if c.startswith("PC")])
+    squares = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x * x)
+    return done.select("vec_id", "label", F.round(squares, 4).alias("squares"))
 
 
 @query("reduce_features")

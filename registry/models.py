@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medlark.functions.stats import column_stats
 from medlark.functions.storage import cut_lineage, scratch_path
 from medlark.operators import models
 from medlark.plans.risk import train_risk_models, train_stay_model
@@ -49,22 +50,42 @@ def grid_search(spark, d):
     return models.score(found.bestModel, t.select("doc_id", "label", *TEXT))
 
 
-@query("boosted_trees_classifier")
+RULE_SQL = f"""
+WITH {TEXT_SQL} SELECT doc_id, CASE WHEN n_chars > 1500 THEN 1 ELSE 0 END AS label,
+       CASE WHEN n_chars > 1500 THEN 1 ELSE 0 END AS predicted FROM tf"""
+
+
+def _by_rule(spark, d, plan) -> DataFrame:
+    """Labels that are a rule of one column must come back from a full fit."""
+    t = cut_lineage(text_features(spark, d).withColumn("label", (F.col("n_chars") > 1500).cast("int")))
+    scored = models.score(plan.fit(t), t.select("doc_id", "label", *TEXT))
+    return scored.select("doc_id", "label", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("boosted_trees_classifier", RULE_SQL)
 def boosted_trees_classifier(spark, d):
-    t = _ready(spark, d)
-    return models.score(models.boosted_trees_classifier(TEXT, trees=5, depth=3).fit(t), t)
+    return _by_rule(spark, d, models.boosted_trees_classifier(TEXT))
 
 
-@query("random_forest_classifier")
+@query("random_forest_classifier", RULE_SQL)
 def random_forest_classifier(spark, d):
-    t = _ready(spark, d)
-    return models.score(models.random_forest_classifier(TEXT, trees=20, depth=5).fit(t), t)
+    return _by_rule(spark, d, models.random_forest_classifier(TEXT, columns="all"))
 
 
-@query("balanced_logistic")
+@query("balanced_logistic", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 0.0::DOUBLE AS gradient" for c in TEXT))
 def balanced_logistic(spark, d):
+    """The weighted gradient of the fit per standardized feature, which is 0 at the optimum."""
     t = _ready(spark, d)
-    return models.score(models.balanced_logistic(TEXT).fit(t), t)
+    scored = models.score(models.balanced_logistic(TEXT).fit(t), t)
+    stats = column_stats(t, TEXT, ["mean", "std"])
+    error = F.col("weight") * (F.col("score") - F.col("label"))
+    sums = scored.agg(*[
+        (F.sum(error * (F.col(c) - stats[c]["mean"]) / (stats[c]["std"] or 1.0)) / F.sum("weight")).alias(c)
+        for c in TEXT])
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), (F.round(c, 3) + 0.0).alias("gradient"))
+                                for c in TEXT]))
+    return sums.select(cells.alias("_c")).select("_c.*")
 
 
 @query("class_weights", """
@@ -220,12 +241,15 @@ def score_external(spark, d):
                                  {"n_chars": "chars", "n_words": "words"}).summary
 
 
-@query("save_and_load_model")
+@query("save_and_load_model", "SELECT count(*) AS n, 0.0::DOUBLE AS largest_change FROM labels JOIN documents USING (doc_id)")
 def save_and_load_model(spark, d):
+    """Rows, and the largest change of a score by saving and loading, which is none."""
     t = _ready(spark, d)
     path = scratch_path(spark, "model")
-    models.save_model(models.random_forest_classifier(TEXT, trees=5, depth=3).fit(t), path)
-    return models.score(models.load_model(spark, path), t)
+    fitted = models.random_forest_classifier(TEXT).fit(t)
+    models.save_model(fitted, path)
+    both = models.score(models.load_model(spark, path), models.score(fitted, t, into="before"), into="after")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("before") - F.col("after"))).alias("largest_change"))
 
 
 @query("train_risk_models")

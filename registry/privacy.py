@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medlark.operators import privacy
@@ -129,19 +130,28 @@ def enforce_k(spark, d):
         _customers(spark, d).select("c_custkey", "c_nationkey", "c_mktsegment", "solvent"), QUASI)
 
 
-@query("protect_table", """
+@query("protect_table", f"""
 WITH c AS (
-  SELECT c_custkey, c_mktsegment, substr(sha256(c_name), 1, 16) AS c_name_hash,
+  SELECT substr(sha256('{SALT}' || c_custkey), 1, 16) AS c_custkey_hash, c_mktsegment,
+         substr(sha256('{SALT}' || c_name), 1, 16) AS c_name_hash,
          CASE WHEN c_nationkey <= 18 THEN '<18' ELSE '18-29' END AS c_nationkey_group,
          c_acctbal FROM customer),
 q AS (SELECT quantile_cont(c_acctbal, [0.2, 0.4, 0.6, 0.8]) AS e FROM c),
 b AS (SELECT c.*, CASE WHEN c_acctbal <= e[1] THEN 1 WHEN c_acctbal <= e[2] THEN 2
                        WHEN c_acctbal <= e[3] THEN 3 WHEN c_acctbal <= e[4] THEN 4 ELSE 5 END AS band
-      FROM c, q)
-SELECT c_custkey, c_mktsegment, c_name_hash, c_nationkey_group FROM b
-QUALIFY count(*) OVER (PARTITION BY c_nationkey_group, c_mktsegment, band) >= 20""")
+      FROM c, q),
+g AS (SELECT *, count(*) OVER (PARTITION BY c_nationkey_group, c_mktsegment, band) AS n FROM b)
+SELECT c_custkey_hash, c_mktsegment, c_name_hash, c_nationkey_group, band,
+       (SELECT min(n) FROM g) AS k_before, min(n) OVER () AS k_after FROM g WHERE n >= 20""")
 def protect_table(spark, d):
     done = protect_plan(
-        table(spark, d, "customer"), id_cols=["c_name"],
-        quasi_ids=["c_nationkey", "c_mktsegment", "c_acctbal"], ages=["c_nationkey"], k=20)
-    return done.table.select("c_custkey", "c_mktsegment", "c_name_hash", "c_nationkey_group")
+        table(spark, d, "customer"), id_cols=["c_name", "c_custkey"],
+        quasi_ids=["c_nationkey", "c_mktsegment", "c_acctbal"], ages=["c_nationkey"], k=20, salt=SALT)
+    # Bands by number: their labels are their edges in order.
+    low = F.regexp_extract("c_acctbal_bin", r"\((.*),", 1).cast("double")
+    bands = done.table.select("c_acctbal_bin", low.alias("low")).distinct().select(
+        "c_acctbal_bin", F.row_number().over(Window.orderBy("low")).alias("band"))
+    return done.table.join(bands, "c_acctbal_bin").select(
+        "c_custkey_hash", "c_mktsegment", "c_name_hash", "c_nationkey_group", "band",
+        F.lit(done.k_before.first()["k_min"]).cast("long").alias("k_before"),
+        F.lit(done.k_after.first()["k_min"]).cast("long").alias("k_after"))

@@ -56,7 +56,8 @@ SELECT o_orderpriority, CAST(h AS INTEGER) AS step,
        round(s, 2) AS slope, round(greatest(s * (11 + h) + i, 0), 2) AS forecast,
        round(greatest(greatest(s * (11 + h) + i, 0) - 1.96 * sd, 0), 2) AS lower,
        round(greatest(s * (11 + h) + i, 0) + 1.96 * sd, 2) AS upper
-FROM l JOIN r USING (o_orderpriority), range(1, 13) g(h) WHERE n = 12""")
+FROM l JOIN r USING (o_orderpriority), range(1, 13) g(h) WHERE n = 12
+UNION ALL SELECT o_orderpriority, NULL, NULL, NULL, NULL, NULL, NULL FROM l WHERE n < 12""")
 def linear_forecast(spark, d):
     f = series.linear_forecast(monthly(spark, d), ["o_orderpriority"])
     f = f.withColumn("forecast_date", day("forecast_date"))
