@@ -18,7 +18,7 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: The same as a class for Java's and DuckDB's patterns.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 #: Bytes of text that a Python task works on at once (one longer text is worked on alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Rows that a window of one bucket holds, about.
 ROWS_PER_BUCKET = 10_000
 

@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Pairs that a task gathers before it sends them; documents likewise.
-FLUSH_PAIRS = 2_000_000
+FLUSH_PAIRS = 1_000_000
 FLUSH_DOCUMENTS = 50_000
 #: Pairs that a part holds, about.
-PART_PAIRS = 2_000_000
+PART_PAIRS = 1_000_000
 #: Documents whose answers are put together in one go, about.
-DOCUMENTS_PER_BUCKET = 4_000
+DOCUMENTS_PER_BUCKET = 2_000
 #: Bits of a key that tell keys of one part apart.
 LOW_BITS = 40
 ROW = "part int, docs binary, at binary, low binary, high binary"
@@ -141,13 +141,24 @@ def unbucket(table: pa.Table, kinds: list) -> tuple[np.ndarray, list[np.ndarray]
     return flat, columns, cuts, np.append(cuts[1:], len(flat))
 
 
+def count_of(table: pa.Table) -> pa.Table:
+    """Documents of one bucket with the number of their shared keys."""
+    docs = np.concatenate([np.frombuffer(d.as_py(), np.int64) for d in table.column("docs")])
+    n = np.concatenate([np.frombuffer(c.as_py(), np.int32) for c in table.column("n")])
+    used, at = np.unique(docs, return_inverse=True)
+    sums = np.bincount(at, weights=n, minlength=len(used)).astype(np.int64)
+    return pa.table([pa.array(used), pa.array(sums)], names=["doc_id", "n"])
+
+
 def buckets_for(documents: int) -> int:
     return documents // DOCUMENTS_PER_BUCKET + 1
 
 
-def shared_keys(rows: DataFrame, buckets: int, with_counts: bool = False) -> DataFrame:
+def shared_keys(rows: DataFrame, buckets: int, with_counts: bool = False, only_number: bool = False) -> DataFrame:
     """The keys of each document that another one holds too: doc_id, n, keys, counts.
 
+    With ``only_number`` just doc_id and n, the number of keys.
+
     ``keys`` packs 64-bit placed keys; ``counts``, on demand, packs 32-bit numbers of documents (rows
     must then be sent unfolded). A part answers with one row per bucket of documents, and a bucket
     puts its documents together, so the number of rows follows the parts, not the documents in each.
@@ -166,8 +177,8 @@ def shared_keys(rows: DataFrame, buckets: int, with_counts: bool = False) -> Dat
             held = np.bincount(at, weights=np.where(docs == FOLDED, 2, 1)).astype(np.int64)[at]
             use = (held > 1) & (docs != FOLDED)
             docs, keys, held = docs[use], low[use] | (np.int64(number) << LOW_BITS), held[use]
-        out = bucket_rows(docs, [keys, held.astype(np.int32)] if with_counts else [keys], buckets)
-        cols = list(zip(*out)) or [()] * (5 if with_counts else 4)
+        columns = [] if only_number else [keys, held.astype(np.int32)] if with_counts else [keys]
+        cols = list(zip(*bucket_rows(docs, columns, buckets))) or [()] * len(names)
         return pa.table([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=names)
 
     def merge(table: pa.Table) -> pa.Table:
@@ -177,7 +188,8 @@ def shared_keys(rows: DataFrame, buckets: int, with_counts: bool = False) -> Dat
             packed.append(pa.nulls(len(cuts), pa.binary()))
         return pa.table([pa.array(docs[cuts]), pa.array(ends - cuts), *packed], names=["doc_id", "n", "keys", "counts"])
 
-    names = ["bucket", "docs", "n", "keys", *["counts"] * with_counts]
-    answers = rows.groupBy("part").applyInArrow(
-        reduce, "bucket int, docs binary, n binary, keys binary" + ", counts binary" * with_counts)
+    names = ["bucket", "docs", "n", *([] if only_number else ["keys", *["counts"] * with_counts])]
+    answers = rows.groupBy("part").applyInArrow(reduce, "bucket int, " + ", ".join(f"{c} binary" for c in names[1:]))
+    if only_number:
+        return answers.groupBy("bucket").applyInArrow(count_of, "doc_id long, n long")
     return answers.groupBy("bucket").applyInArrow(merge, "doc_id long, n long, keys binary, counts binary")

@@ -20,7 +20,7 @@ SHINGLE = 5
 #: Two sets link when 100 x intersection is at least so much x union.
 PERCENT = 75
 #: Shingles and documents that a task of the tree join holds, about; larger clusters go block by block.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 BLOCK_DOCUMENTS = 2_000
 #: Documents of a leaf of a signature tree, and bits of a bitmap at most.
 LEAF = 8
@@ -247,7 +247,7 @@ def join_components(
     others = cut_lineage(rows.select("doc_id").distinct().join(lead, "doc_id", "left_anti"))
     reps = with_ids(own.where(F.col("doc_id").isNotNull()), others, "left_anti")
     sent = reps.mapInArrow(lambda batches: gather(batches, pairs), ROW)
-    shared = shared_keys(sent, buckets).select("doc_id", F.col("n").alias("shared"))
+    shared = shared_keys(sent, buckets, only_number=True).select("doc_id", F.col("n").alias("shared"))
     smallest = firsts.groupBy(F.col("first").alias("doc_id")).agg(F.min("n").alias("n"), F.sum("n").alias("all"))
     survivors = cut_lineage(shared.join(smallest, "doc_id").where(100 * F.col("shared") >= percent * F.col("n"))
                             .select("doc_id", F.col("all").alias("n")))
