@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from medlark.llm.common import trim, trimmed
+
 #: Pairs that a task gathers before it sends them; documents likewise.
 FLUSH_PAIRS = 1_000_000
 FLUSH_DOCUMENTS = 50_000
@@ -113,8 +115,11 @@ def gather(
             if n >= FLUSH_PAIRS or seen >= FLUSH_DOCUMENTS:
                 yield send(np.concatenate(docs), np.concatenate(keys), folded)
                 docs, keys, n, seen = [], [], 0, 0
+                trim()
     if docs:
         yield send(np.concatenate(docs), np.concatenate(keys), folded)
+    del docs, keys
+    trim()
 
 
 def bucket_rows(docs: np.ndarray, columns: list[np.ndarray], buckets: int) -> list[tuple]:
@@ -189,7 +194,7 @@ def shared_keys(rows: DataFrame, buckets: int, with_counts: bool = False, only_n
         return pa.table([pa.array(docs[cuts]), pa.array(ends - cuts), *packed], names=["doc_id", "n", "keys", "counts"])
 
     names = ["bucket", "docs", "n", *([] if only_number else ["keys", *["counts"] * with_counts])]
-    answers = rows.groupBy("part").applyInArrow(reduce, "bucket int, " + ", ".join(f"{c} binary" for c in names[1:]))
+    answers = rows.groupBy("part").applyInArrow(trimmed(reduce), "bucket int, " + ", ".join(f"{c} binary" for c in names[1:]))
     if only_number:
-        return answers.groupBy("bucket").applyInArrow(count_of, "doc_id long, n long")
-    return answers.groupBy("bucket").applyInArrow(merge, "doc_id long, n long, keys binary, counts binary")
+        return answers.groupBy("bucket").applyInArrow(trimmed(count_of), "doc_id long, n long")
+    return answers.groupBy("bucket").applyInArrow(trimmed(merge), "doc_id long, n long, keys binary, counts binary")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
-from medlark.llm.common import Words, slices, spread
+from medlark.llm.common import Words, slices, spread, trimmed, trimmed_stream
 from medlark.llm.components import components
 from medlark.llm.exchange import ROW, buckets_for, gather, mix, parts_for, place, shared_keys
 
@@ -68,7 +68,7 @@ def classes(own: DataFrame, size: int) -> DataFrame:
                     [b.column(0).slice(lo, hi - lo), pa.array(np.diff(cuts), pa.int64()), pa.array(one.view(np.int64)),
                      pa.array(two.view(np.int64))], names=["doc_id", "n", "one", "two"])
 
-    return own.mapInArrow(run, "doc_id long, n long, one long, two long")
+    return own.mapInArrow(trimmed_stream(run), "doc_id long, n long, one long, two long")
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -269,7 +269,7 @@ def join_components(
                                              names=["doc_id", "keys"])
 
     prefixes = by_doc.join(survivors, "doc_id").select("doc_id", "n", "keys", "counts").mapInArrow(
-        rarest, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
+        trimmed_stream(rarest), "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
     prefixes = cut_lineage(prefixes)
     lowest = prefixes.groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
     routed = components(prefixes.join(lowest, F.col("key") == F.col("_key")).select("a", F.col("doc_id").alias("b")))
@@ -292,7 +292,7 @@ def join_components(
 
     few = seats.count() <= MOST_BROADCAST
     seated = left.join(F.broadcast(seats) if few else seats, "doc_id").select("doc_id", "text", "component", "blocks", "block") \
-        .mapInArrow(as_sets, "doc_id long, component long, blocks int, block int, elements binary")
+        .mapInArrow(trimmed_stream(as_sets), "doc_id long, component long, blocks int, block int, elements binary")
     # A cluster of one block is one group; of more, each two blocks are.
     other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
         F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("block")))
@@ -306,7 +306,7 @@ def join_components(
         return pa.table([pa.array(ids[order]), pa.array(ids[order][found]), table.column("blocks").combine_chunks()],
                         names=["a", "b", "blocks"])
 
-    links = cut_lineage(grouped.groupBy("component", "low", "high").applyInArrow(tree, "a long, b long, blocks int"))
+    links = cut_lineage(grouped.groupBy("component", "low", "high").applyInArrow(trimmed(tree), "a long, b long, blocks int"))
     whole = links.where("blocks = 1").select(F.col("a").alias("node"), F.col("b").alias("component"))
     split = links.where("blocks > 1")
     if split.limit(1).count():

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
-from medlark.llm.common import Words, slices, spread
+from medlark.llm.common import Words, slices, spread, trimmed, trimmed_stream
 from medlark.llm.exchange import (
     FLUSH_DOCUMENTS, FLUSH_PAIRS, bucket_rows, buckets_for, gather, mix, parts_for, place, shared_keys, unbucket,
 )
@@ -292,10 +292,10 @@ def remove_repeats(
 
     # Left joins, both: so text is exchanged once and read twice.
     second = own.join(info, ["doc_id", "row_key"], "left").select("doc_id", "text", "row_key", "keys", "copy", *carried) \
-        .mapInArrow(windows, HASHED)
+        .mapInArrow(trimmed_stream(windows), HASHED)
     repeats = second.groupBy("part").applyInArrow(
-        lambda table: _repeats(table, buckets), "bucket int, docs binary, n binary, row_keys binary, starts binary") \
-        .groupBy("bucket").applyInArrow(_starts, "doc_id long, row_key long, starts binary")
+        trimmed(lambda table: _repeats(table, buckets)), "bucket int, docs binary, n binary, row_keys binary, starts binary") \
+        .groupBy("bucket").applyInArrow(trimmed(_starts), "doc_id long, row_key long, starts binary")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -323,7 +323,7 @@ def remove_repeats(
     marked = own.join(rows.join(repeats, ["doc_id", "row_key"], "left"), ["doc_id", "row_key"], "left")
     kinds = T.StructType.fromDDL("doc_id long, text string, n_words long, n_removed long, kept string")
     return marked.select("doc_id", "text", "copy", "starts", *carried).mapInArrow(
-        remove, T.StructType([*kinds.fields, *[own.schema[c] for c in carried]]))
+        trimmed_stream(remove), T.StructType([*kinds.fields, *[own.schema[c] for c in carried]]))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
