@@ -32,75 +32,352 @@ ASIDE_WORDS = frozenset(
 MAIN_TAGS = frozenset("article main".split())
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after",
-            "heading", "aside", "main")
+            "text_before", "text_after", "heading", "aside", "main")
+#: A block of more words is running text, one with a greater share of words in links a list of links.
+LONG, LINKED = 20, 1 / 3
 #: Small labelled table, one block a row: the features in order, then 1 for text of the article.
-#: Words of the block, share of words in links, the same for the blocks before and after, whether it is
-#: a heading, inside an element that surrounds articles, inside an article.
+#: Words of the block, share of words in links, the same for the blocks before and after, words of the
+#: nearest running text before and after, whether it is a heading, inside an element that surrounds
+#: articles, inside an article. Labels follow one rule: aside is none; in an article all is text but
+#: lists of links; elsewhere running text is, and short blocks between, before or after it that are not
+#: links, save for short last lines and for what stands alone before a title. The last rows were taken
+#: from made-up and real sequences of blocks where a tree fitted to the others went against that rule.
 LABELLED = """
-1 1.0 0 0.0 1 1.0 0 1 0 0
-2 1.0 1 1.0 1 1.0 0 1 0 0
-1 1.0 1 1.0 8 0.0 0 1 0 0
-3 1.0 2 1.0 14 0.0 0 1 0 0
-9 0.0 1 1.0 10 0.0 0 1 0 0
-18 0.0 1 1.0 10 0.0 0 1 0 0
-42 0.0 60 0.0 12 0.0 0 1 0 0
-25 0.0 80 0.0 0 0.0 0 1 0 0
-16 0.1 120 0.0 0 0.0 0 1 0 0
-70 0.0 40 0.0 30 0.0 0 1 0 0
-30 0.0 70 0.0 45 0.0 0 1 0 0
-5 0.0 90 0.0 30 0.0 1 1 0 0
-12 0.2 60 0.0 40 0.0 0 1 1 0
-33 0.0 55 0.0 20 0.0 0 1 1 0
-4 1.0 30 0.0 6 1.0 0 1 1 0
-60 0.0 30 0.0 50 0.0 0 1 1 0
-1 1.0 0 0.0 2 1.0 0 0 0 0
-2 1.0 1 1.0 2 1.0 0 0 0 0
-4 1.0 3 1.0 12 0.0 0 0 0 0
-6 0.5 2 1.0 3 1.0 0 0 0 0
-3 0.0 2 1.0 2 1.0 0 0 0 0
-5 0.0 70 0.0 4 1.0 0 0 0 0
-8 0.0 1 1.0 5 0.0 0 0 0 0
-7 0.8 60 0.0 0 0.0 0 0 0 0
-9 0.0 4 1.0 0 0.0 0 0 0 0
-12 0.6 3 1.0 9 0.5 0 0 0 0
-2 1.0 5 0.0 3 1.0 1 0 0 0
-3 0.0 2 1.0 4 1.0 1 0 0 0
-4 0.0 3 0.0 2 0.0 0 0 0 0
-2 0.0 1 0.0 3 0.0 0 0 0 0
-6 0.0 4 0.0 0 0.0 0 0 0 0
-9 1.0 30 0.0 40 0.0 0 0 0 0
-14 0.9 3 1.0 2 1.0 0 0 0 0
-24 0.0 1 1.0 50 0.0 0 0 0 1
-46 0.0 8 0.0 70 0.0 0 0 0 1
-90 0.0 60 0.0 40 0.0 0 0 0 1
-31 0.1 44 0.0 25 0.0 0 0 0 1
-150 0.0 10 0.0 3 1.0 0 0 0 1
-22 0.0 35 0.0 2 1.0 0 0 0 1
-6 0.0 2 1.0 40 0.0 1 0 0 1
-9 0.0 60 0.0 50 0.0 1 0 0 1
-10 0.0 18 0.0 60 0.0 1 0 1 1
-2 0.0 18 0.0 40 0.0 1 0 1 1
-5 0.0 30 0.0 20 0.0 1 0 1 1
-60 0.0 10 0.0 45 0.0 0 0 1 1
-14 0.0 60 0.0 50 0.0 0 0 1 1
-3 0.0 45 0.0 30 0.0 0 0 1 1
-1 0.0 40 0.0 9 0.0 0 0 1 1
-2 0.0 5 0.0 20 0.0 0 0 1 1
-38 0.3 50 0.0 12 0.0 0 0 1 1
-12 0.6 30 0.0 30 0.0 0 0 1 1
-4 1.0 60 0.0 55 0.0 0 0 1 1
-200 0.0 10 0.0 20 0.0 0 0 1 1
-18 0.0 12 0.0 9 0.0 0 0 1 1
-3 0.0 4 0.0 2 0.0 0 0 1 1
-1 0.0 2 0.0 0 0.0 0 0 1 1
-6 0.0 9 0.0 0 0.0 0 0 1 1
-5 0.0 3 0.0 1 1.0 0 0 1 1
-2 1.0 6 0.0 3 1.0 0 0 1 1
-8 0.5 2 1.0 4 0.0 0 0 1 1
-11 0.0 7 0.0 6 0.0 0 0 1 1
-4 0.0 1 1.0 2 0.0 1 0 1 1
-1 1.0 4 1.0 5 0.5 0 0 1 1
-7 0.0 50 0.0 14 0.1 0 0 1 1
+1 1.0 0 0.0 1 1.0 0 0 0 1 0 0
+2 1.0 1 1.0 1 1.0 0 0 0 1 0 0
+1 1.0 1 1.0 8 0.0 0 0 0 1 0 0
+3 1.0 2 1.0 14 0.0 0 0 0 1 0 0
+9 0.0 1 1.0 10 0.0 0 0 0 1 0 0
+18 0.0 1 1.0 10 0.0 0 0 0 1 0 0
+42 0.0 60 0.0 12 0.0 60 0 0 1 0 0
+25 0.0 80 0.0 0 0.0 80 0 0 1 0 0
+16 0.1 120 0.0 0 0.0 120 0 0 1 0 0
+70 0.0 40 0.0 30 0.0 40 30 0 1 0 0
+30 0.0 70 0.0 45 0.0 70 45 0 1 0 0
+5 0.0 90 0.0 30 0.0 90 30 1 1 0 0
+12 0.2 60 0.0 40 0.0 60 40 0 1 1 0
+33 0.0 55 0.0 20 0.0 55 0 0 1 1 0
+4 1.0 30 0.0 6 1.0 30 0 0 1 1 0
+60 0.0 30 0.0 50 0.0 30 50 0 1 1 0
+1 1.0 0 0.0 2 1.0 0 0 0 0 0 0
+2 1.0 1 1.0 2 1.0 0 0 0 0 0 0
+4 1.0 3 1.0 12 0.0 0 0 0 0 0 0
+6 0.5 2 1.0 3 1.0 0 0 0 0 0 0
+3 0.0 2 1.0 2 1.0 0 0 0 0 0 0
+5 0.0 70 0.0 4 1.0 70 0 0 0 0 0
+8 0.0 1 1.0 5 0.0 0 0 0 0 0 0
+7 0.8 60 0.0 0 0.0 60 0 0 0 0 0
+9 0.0 4 1.0 0 0.0 0 0 0 0 0 0
+12 0.6 3 1.0 9 0.5 0 0 0 0 0 0
+2 1.0 5 0.0 3 1.0 0 0 1 0 0 0
+3 0.0 2 1.0 4 1.0 0 0 1 0 0 0
+4 0.0 3 0.0 2 0.0 0 0 0 0 0 0
+2 0.0 1 0.0 3 0.0 0 0 0 0 0 0
+6 0.0 4 0.0 0 0.0 0 0 0 0 0 0
+9 1.0 30 0.0 40 0.0 30 40 0 0 0 0
+14 0.9 3 1.0 2 1.0 0 0 0 0 0 0
+24 0.0 1 1.0 50 0.0 0 50 0 0 0 1
+46 0.0 8 0.0 70 0.0 0 70 0 0 0 1
+90 0.0 60 0.0 40 0.0 60 40 0 0 0 1
+31 0.1 44 0.0 25 0.0 44 25 0 0 0 1
+150 0.0 10 0.0 3 1.0 0 0 0 0 0 1
+22 0.0 35 0.0 2 1.0 35 0 0 0 0 1
+6 0.0 2 1.0 40 0.0 0 40 1 0 0 1
+9 0.0 60 0.0 50 0.0 60 50 1 0 0 1
+10 0.0 18 0.0 60 0.0 0 60 1 0 1 1
+2 0.0 18 0.0 40 0.0 0 40 1 0 1 1
+5 0.0 30 0.0 20 0.0 30 0 1 0 1 1
+60 0.0 10 0.0 45 0.0 0 45 0 0 1 1
+14 0.0 60 0.0 50 0.0 60 50 0 0 1 1
+3 0.0 45 0.0 30 0.0 45 30 0 0 1 1
+1 0.0 40 0.0 9 0.0 40 0 0 0 1 1
+2 0.0 5 0.0 20 0.0 0 0 0 0 1 1
+38 0.3 50 0.0 12 0.0 50 0 0 0 1 1
+12 0.6 30 0.0 30 0.0 30 30 0 0 1 1
+4 1.0 60 0.0 55 0.0 60 55 0 0 1 1
+200 0.0 10 0.0 20 0.0 0 0 0 0 1 1
+18 0.0 12 0.0 9 0.0 0 0 0 0 1 1
+3 0.0 4 0.0 2 0.0 0 0 0 0 1 1
+1 0.0 2 0.0 0 0.0 0 0 0 0 1 1
+6 0.0 9 0.0 0 0.0 0 0 0 0 1 1
+5 0.0 3 0.0 1 1.0 0 0 0 0 1 1
+2 1.0 6 0.0 3 1.0 0 0 0 0 1 1
+8 0.5 2 1.0 4 0.0 0 0 0 0 1 1
+11 0.0 7 0.0 6 0.0 0 0 0 0 1 1
+4 0.0 1 1.0 2 0.0 0 0 1 0 1 1
+1 1.0 4 1.0 5 0.5 0 0 0 0 1 1
+7 0.0 50 0.0 14 0.1 50 0 0 0 1 1
+100 0.0 100 0.0 100 0.0 100 100 0 0 0 1
+200 0.0 80 0.0 60 0.0 80 60 0 0 0 1
+45 0.0 150 0.0 90 0.0 150 90 0 0 0 1
+70 0.1 70 0.0 120 0.1 70 120 0 0 0 1
+30 0.0 90 0.0 75 0.0 90 75 0 0 0 1
+80 0.4 90 0.1 70 0.2 90 70 0 0 0 1
+85 0.0 130 0.0 9 0.3 130 0 0 0 0 1
+66 0.0 75 0.0 4 1.0 75 0 0 0 0 1
+120 0.0 6 0.0 100 0.0 0 100 0 0 0 1
+40 0.0 120 0.0 0 0.0 120 0 0 0 0 1
+35 0.1 5 0.0 6 0.0 60 80 0 0 0 1
+6 0.0 90 0.0 80 0.0 90 80 0 0 0 1
+12 0.0 45 0.0 110 0.0 45 110 0 0 0 1
+3 0.0 70 0.0 60 0.0 70 60 0 0 0 1
+18 0.0 100 0.1 95 0.0 100 95 0 0 0 1
+2 0.0 120 0.0 25 0.0 120 25 0 0 0 1
+10 0.2 80 0.0 40 0.0 80 40 0 0 0 1
+5 0.0 60 0.0 7 0.0 60 90 0 0 0 1
+7 0.0 5 0.0 8 0.0 60 90 0 0 0 1
+3 0.0 3 0.0 2 0.0 55 70 0 0 0 1
+1 0.0 2 0.0 1 0.0 40 30 0 0 0 1
+4 0.0 8 0.0 50 0.0 110 50 0 0 0 1
+14 0.0 12 0.0 15 0.0 24 65 0 0 0 1
+9 0.0 30 1.0 40 0.0 35 40 0 0 0 1
+4 0.0 75 0.0 90 0.0 75 90 1 0 0 1
+5 0.0 110 0.0 3 0.0 110 60 1 0 0 1
+7 0.0 3 1.0 5 0.0 0 80 1 0 0 1
+6 0.0 0 0.0 95 0.0 0 95 1 0 0 1
+5 0.0 8 0.0 100 0.0 0 100 0 0 0 1
+7 0.0 6 0.0 4 0.0 0 85 0 0 0 1
+11 0.0 2 1.0 90 0.0 0 90 0 0 0 1
+15 0.0 80 0.0 8 0.2 80 0 0 0 0 1
+14 0.0 60 0.0 0 0.0 60 0 0 0 0 1
+17 0.0 9 0.0 3 1.0 70 0 0 0 0 1
+3 0.0 0 0.0 6 0.0 0 90 0 0 0 0
+4 0.0 2 1.0 7 0.0 0 70 0 0 0 0
+7 0.0 80 0.0 0 0.0 80 0 0 0 0 0
+9 0.1 75 0.0 5 0.4 75 0 0 0 0 0
+3 0.0 45 0.0 2 1.0 45 0 0 0 0 0
+6 0.2 9 0.0 0 0.0 100 0 0 0 0 0
+2 0.0 90 0.0 3 1.0 90 0 1 0 0 0
+12 0.0 3 1.0 0 0.0 0 0 0 0 0 0
+16 0.0 2 1.0 4 1.0 0 0 0 0 0 0
+5 1.0 80 0.0 70 0.0 80 70 0 0 0 0
+3 1.0 60 0.0 3 1.0 60 0 0 0 0 0
+12 0.8 100 0.0 90 0.0 100 90 0 0 0 0
+26 0.9 40 0.0 60 0.0 40 60 0 0 0 0
+30 1.0 25 1.0 28 1.0 0 0 0 0 0 0
+60 0.0 100 0.0 120 0.0 100 120 0 1 0 0
+25 0.0 90 0.0 80 0.0 90 80 0 1 0 0
+40 0.1 150 0.0 70 0.0 150 70 0 1 0 0
+8 0.0 80 0.0 90 0.0 80 90 0 1 0 0
+6 0.0 100 0.0 90 0.0 100 90 1 1 0 0
+90 0.0 60 0.0 65 0.0 60 65 0 1 0 0
+3 0.0 45 0.0 55 0.0 45 55 0 1 0 0
+5 0.0 4 0.0 6 0.0 70 80 0 1 0 0
+12 0.0 90 0.0 85 0.0 90 85 0 1 1 0
+45 0.0 100 0.0 120 0.0 100 120 0 1 1 0
+5 0.0 80 0.0 60 0.0 80 60 1 1 1 0
+3 1.0 2 1.0 4 1.0 0 0 0 0 1 0
+5 1.0 4 1.0 6 1.0 0 0 0 0 1 0
+2 0.9 3 1.0 2 1.0 0 0 0 0 1 0
+8 1.0 7 1.0 9 0.9 0 0 0 0 1 0
+4 1.0 3 1.0 40 0.0 0 40 0 0 1 0
+6 1.0 5 1.0 0 0.0 0 0 0 0 1 0
+5 1.0 6 0.9 70 0.0 0 70 0 0 1 0
+3 1.0 45 0.0 4 1.0 45 0 0 0 1 0
+7 1.0 80 0.0 6 1.0 80 0 0 0 1 0
+6 1.0 90 0.0 40 0.0 90 40 0 0 1 1
+30 0.7 60 0.0 45 0.1 60 45 0 0 1 1
+60 0.0 4 1.0 5 1.0 0 0 0 0 1 1
+8 0.0 5 1.0 70 0.0 0 70 0 0 1 1
+37 0.4 22 0.0 143 0.4 22 0 0 0 0 0
+125 0.1 17 0.0 12 0.5 0 0 0 0 1 1
+85 0.4 85 0.4 12 0.9 0 0 0 0 0 1
+15 0.0 8 0.6 3 0.9 0 0 0 0 0 0
+1 0.5 10 0.0 98 0.0 107 98 0 0 0 0
+127 0.4 16 1.0 11 0.2 0 0 0 0 0 1
+22 0.5 159 0.2 17 0.5 159 0 0 0 0 0
+35 0.4 35 0.4 112 0.2 0 112 0 0 0 0
+1 0.0 8 0.6 8 0.1 0 0 1 0 0 0
+12 0.6 13 0.6 16 0.0 0 0 0 0 1 1
+91 0.4 0 0.0 91 0.4 0 0 0 0 0 1
+14 0.5 1 0.2 120 0.4 66 0 0 0 1 1
+19 0.5 20 0.5 18 0.5 0 0 0 0 1 1
+3 0.0 4 0.0 12 0.0 156 0 0 0 0 0
+4 0.0 68 0.2 11 1.0 68 0 0 0 0 0
+32 0.0 5 0.0 182 0.0 0 182 0 0 1 1
+12 0.0 155 0.0 20 0.0 155 34 0 0 1 1
+4 0.0 23 0.0 171 0.0 23 171 0 0 1 1
+159 0.3 5 0.0 193 0.3 24 193 0 0 1 1
+1 0.0 8 0.0 12 0.0 42 0 0 0 1 1
+155 0.4 123 0.0 155 0.4 123 0 0 0 0 1
+38 0.2 12 0.1 18 0.0 159 35 0 0 0 1
+62 0.0 156 0.0 53 0.0 156 53 0 0 1 1
+153 0.4 125 0.2 153 0.4 125 0 0 0 1 1
+9 0.9 9 0.9 20 0.0 0 0 1 0 1 1
+4 0.3 177 0.1 121 0.0 177 121 1 0 1 1
+4 0.0 2 0.0 103 0.3 164 103 0 0 1 1
+110 0.0 270 0.0 22 0.0 270 22 0 0 1 1
+1 1.0 12 1.0 1 1.0 0 0 1 0 1 0
+1 0.1 3 0.0 21 0.0 161 21 0 0 1 1
+2 0.0 2 0.0 12 0.0 0 0 0 0 1 1
+10 0.0 4 0.0 12 0.0 0 236 1 0 1 1
+29 0.4 29 0.4 29 0.4 0 0 0 0 0 0
+27 0.0 2 0.0 13 0.0 23 103 0 0 1 1
+16 0.2 4 0.5 16 0.8 0 0 0 0 0 0
+22 0.0 80 0.2 1 0.1 80 0 0 0 0 1
+24 0.1 8 0.5 1 0.5 0 0 0 0 0 1
+30 0.2 30 0.2 64 0.0 30 0 0 0 0 1
+4 0.0 1 0.0 132 0.2 0 132 0 0 0 1
+1 0.6 3 0.6 2 0.6 0 0 1 0 1 0
+4 0.0 3 1.0 14 0.0 0 68 1 0 1 1
+47 0.4 47 0.4 47 0.4 0 0 0 0 0 1
+2 0.0 7 0.9 3 0.0 0 35 0 0 1 1
+5 0.6 14 0.1 7 0.1 0 0 0 0 1 1
+15 0.0 14 0.0 11 1.0 0 0 0 0 0 1
+50 0.4 8 0.5 113 0.0 0 113 0 0 0 1
+15 0.5 20 0.5 143 0.0 0 143 0 0 1 1
+5 0.0 1 0.9 5 0.0 0 65 1 0 1 1
+12 0.1 76 0.4 16 0.1 0 78 0 0 0 0
+16 0.0 4 0.5 17 0.0 0 0 0 0 0 1
+34 0.4 12 0.8 26 0.0 0 26 0 0 0 0
+1 0.0 63 0.0 1 1.0 63 0 1 0 1 1
+21 0.2 7 0.5 17 0.0 0 0 0 0 0 1
+1 0.0 5 0.0 11 0.8 23 0 1 0 1 1
+1 1.0 102 0.05 1 1.0 102 0 0 0 1 0
+147 0.1 6 0.0 12 0.0 0 60 0 0 0 1
+31 0.2 1 0.0 8 0.0 0 106 0 0 0 1
+102 0.2 1 1.0 17 0.1 0 23 0 0 0 1
+4 0.9 1 0.9 11 0.5 0 0 0 0 1 1
+6 0.6 13 0.9 5 0.6 0 0 0 0 1 0
+135 0.2 135 0.4 7 0.2 0 115 0 0 0 1
+57 0.0 68 0.4 10 0.0 0 72 0 0 0 1
+145 0.0 116 0.3 17 0.3 116 112 0 0 1 1
+1 0.0 13 0.5 2 0.0 0 61 0 0 0 0
+1 0.3 1 0.3 179 0.0 0 179 0 0 1 1
+13 0.5 50 0.0 130 0.2 50 130 0 0 1 1
+3 0.3 90 0.3 7 0.0 90 0 0 0 1 1
+136 0.0 162 0.1 13 0.0 162 0 0 0 1 1
+3 1.0 1 1.0 55 0.4 0 0 0 0 1 0
+5 0.0 3 0.0 7 0.0 0 0 0 0 0 0
+22 0.2 9 0.9 14 0.8 0 0 0 0 0 1
+21 0.1 15 1.0 9 0.0 0 0 0 0 0 1
+40 0.4 40 0.4 40 0.4 0 0 0 0 0 0
+9 0.0 13 0.0 6 0.1 0 0 0 0 0 1
+15 0.0 18 0.0 16 0.0 81 37 0 0 0 1
+23 0.1 19 0.1 22 0.1 94 22 0 0 0 1
+33 0.1 2 0.0 33 0.1 72 33 0 0 0 1
+34 0.2 34 0.2 34 0.2 34 34 0 0 0 1
+2 0.8 8 0.8 5 0.8 0 0 0 0 1 0
+12 0.8 10 0.8 11 1.0 0 0 0 0 1 0
+5 0.0 113 0.0 9 0.5 113 0 0 0 1 1
+9 0.0 84 0.05 122 0.4 84 0 1 0 1 1
+25 0.0 25 0.0 45 0.4 25 0 0 0 0 1
+22 0.0 140 0.2 16 0.9 140 0 0 0 1 1
+14 0.0 4 0.6 11 0.0 0 21 0 0 0 0
+37 0.0 37 0.0 122 0.4 37 0 0 0 0 1
+24 0.0 8 0.0 141 0.4 101 0 0 0 0 1
+67 0.0 67 0.0 139 0.4 67 0 0 0 0 1
+11 1.0 15 0.0 10 1.0 0 0 0 0 1 1
+12 0.6 13 0.6 43 0.1 0 43 1 0 1 0
+43 0.4 69 0.0 7 1.0 69 0 0 0 0 1
+41 0.4 41 0.4 41 0.4 0 0 0 0 0 1
+43 0.4 4 0.6 9 0.0 0 35 0 0 0 1
+1 0.0 8 1.0 79 0.1 0 79 0 0 0 1
+15 0.2 20 0.2 18 0.2 0 0 0 0 0 1
+6 1.0 8 1.0 106 0.2 0 106 0 0 1 0
+3 0.0 131 0.1 21 0.05 131 21 0 0 0 1
+14 0.1 8 0.1 111 0.1 0 111 1 0 0 1
+4 0.2 6 1.0 1 0.2 35 82 1 0 0 1
+34 0.4 34 0.4 0 0.0 0 0 0 0 0 0
+37 0.2 121 0.2 9 0.6 121 0 0 0 0 1
+31 0.4 133 0.1 31 0.4 133 0 0 0 0 0
+8 0.0 155 0.1 10 0.0 155 0 0 0 0 0
+15 0.5 102 0.0 10 0.0 102 0 0 0 0 0
+70 0.05 3 1.0 15 0.0 0 53 0 0 0 1
+23 0.0 0 0.0 13 0.5 0 0 0 0 0 1
+137 0.0 0 0.0 15 0.0 0 158 0 0 0 1
+1 1.0 1 1.0 1 0.0 0 0 0 0 1 1
+11 0.0 4 0.1 13 0.6 0 0 1 0 0 0
+123 0.2 0 0.0 11 0.8 0 0 0 0 0 1
+139 0.2 0 0.0 13 0.5 0 0 0 0 0 1
+82 0.05 5 0.6 0 0.0 0 0 0 0 0 1
+15 0.0 6 0.9 17 0.2 0 23 0 0 0 0
+15 0.1 64 0.4 10 0.6 0 0 0 0 0 0
+13 0.5 11 0.5 141 0.4 0 0 0 0 0 0
+9 0.0 5 0.0 9 0.1 0 0 0 0 0 1
+4 0.5 4 0.5 9 0.6 0 0 0 0 1 1
+10 0.5 1 1.0 80 0.2 0 80 0 0 1 1
+4 0.5 96 0.0 13 0.9 96 0 0 0 1 1
+3 0.2 130 0.0 1 0.2 0 152 0 0 0 1
+5 0.5 9 0.5 3 0.8 0 0 0 0 1 1
+15 0.1 0 0.0 17 0.1 0 21 0 0 0 0
+10 1.0 12 0.0 63 0.05 0 63 0 0 1 1
+8 0.5 41 0.0 0 0.0 41 0 0 0 0 0
+14 0.5 16 0.5 15 0.5 0 0 0 0 0 0
+1 0.0 5 0.0 135 0.4 36 0 0 0 0 0
+9 0.0 5 0.0 33 0.4 0 0 0 0 0 0
+14 0.1 12 0.1 9 0.8 0 0 0 0 0 1
+13 0.1 14 0.1 11 0.1 0 69 0 0 0 1
+34 0.1 12 0.6 8 0.2 0 31 0 0 0 1
+40 0.4 133 0.1 115 0.1 133 115 0 0 0 0
+27 0.2 72 0.4 9 0.1 0 85 0 0 0 1
+8 0.1 13 0.1 6 0.0 149 0 1 0 0 0
+12 0.0 10 0.0 10 0.0 50 0 0 0 0 1
+18 0.1 7 0.6 16 0.1 0 147 0 0 0 0
+1 0.9 9 0.5 1 0.9 0 0 0 0 1 1
+21 0.5 49 0.4 2 1.0 99 0 0 0 1 1
+21 0.5 127 0.05 2 1.0 127 0 0 0 1 1
+12 0.5 11 1.0 7 0.8 0 0 1 0 1 1
+13 0.1 0 0.0 14 0.1 0 0 0 0 0 1
+1 0.9 75 0.2 5 0.9 75 0 0 0 1 0
+21 0.2 110 0.4 16 0.2 0 70 0 0 0 1
+21 0.0 15 0.8 68 0.1 0 68 0 0 0 1
+21 0.0 1 0.5 76 0.05 0 76 0 0 0 1
+11 0.0 11 0.0 8 0.0 23 0 0 0 0 0
+8 0.0 33 0.2 11 0.1 33 0 0 0 0 0
+135 0.0 1 1.0 17 0.1 0 134 0 0 0 1
+63 0.2 11 1.0 16 0.0 0 156 0 0 0 1
+159 0.05 13 0.8 16 0.2 0 137 0 0 0 1
+11 0.0 13 0.0 11 0.0 0 0 0 0 0 1
+9 0.2 111 0.1 7 0.2 111 0 0 0 0 0
+15 0.2 14 0.2 22 0.5 89 0 0 0 0 1
+15 0.0 9 1.0 19 0.0 0 0 0 0 0 1
+5 0.0 12 0.8 8 0.0 0 0 0 0 0 0
+18 0.0 0 0.0 12 1.0 0 0 0 0 0 0
+1 0.0 3 0.0 4 0.0 0 84 1 0 0 1
+9 0.0 7 0.0 0 0.0 21 0 0 0 0 0
+11 0.1 6 1.0 25 0.2 0 25 0 0 0 1
+15 0.1 67 0.0 1 1.0 67 0 0 0 0 1
+23 0.0 0 0.0 19 0.0 0 21 0 0 0 1
+23 0.0 23 0.0 0 0.0 23 0 0 0 0 1
+88 0.05 147 0.0 0 0.0 147 0 0 0 0 1
+16 0.0 2 0.6 16 0.0 0 0 0 0 0 1
+32 0.4 4 0.9 32 0.4 0 0 0 0 0 0
+38 0.0 12 0.8 16 0.6 0 0 0 0 0 1
+37 0.4 37 0.4 18 0.0 0 0 0 0 0 0
+26 0.2 13 1.0 10 1.0 0 0 0 0 0 1
+10 0.0 15 0.0 6 0.5 0 0 0 0 0 1
+11 0.0 114 0.0 16 0.0 114 0 0 0 0 0
+6 0.0 1 0.0 5 0.0 130 150 0 0 0 1
+20 0.0 0 0.0 18 0.0 0 57 0 0 0 0
+102 0.1 0 0.0 78 0.0 0 78 0 0 0 1
+26 0.0 0 0.0 90 0.1 0 90 0 0 0 1
+66 0.05 0 0.0 66 0.05 0 66 0 0 0 1
+15 0.0 9 1.0 7 0.0 0 0 0 0 0 0
+10 1.0 69 0.4 159 0.05 0 159 0 0 1 1
+58 0.1 0 0.0 16 0.0 0 103 0 0 0 1
+39 0.0 0 0.0 10 1.0 0 99 0 0 0 1
+37 0.0 0 0.0 10 0.0 0 27 0 0 0 1
+8 1.0 29 0.0 8 1.0 29 0 0 0 1 0
+9 0.5 10 0.1 4 1.0 0 0 0 0 0 0
+19 0.0 3 0.0 10 0.0 0 0 0 0 0 1
+13 0.1 156 0.1 9 0.1 156 0 0 0 0 1
+9 0.1 15 0.1 13 0.1 0 138 0 0 0 1
+13 0.6 1 1.0 22 0.2 0 22 1 0 1 0
+13 0.1 149 0.1 8 0.1 149 0 1 0 0 0
+15 1.0 6 0.0 14 0.0 0 0 0 0 1 1
+1 1.0 4 1.0 1 1.0 0 0 0 0 1 0
+13 0.0 8 0.6 12 0.0 0 21 0 0 0 0
+13 0.2 13 1.0 9 0.0 0 0 0 0 0 1
+14 0.0 0 0.0 13 1.0 0 0 0 0 0 0
+9 0.0 6 1.0 15 0.0 0 123 1 0 0 1
+18 0.0 151 0.0 93 0.4 151 0 0 0 0 1
+5 0.0 10 0.8 5 0.0 0 155 0 0 0 0
+6 1.0 47 0.05 96 0.2 47 96 0 0 1 1
+10 0.0 12 0.9 7 0.2 0 21 0 0 0 0
+14 1.0 68 0.0 13 1.0 68 0 0 0 1 0
+14 0.0 4 1.0 9 0.0 0 73 0 0 0 0
+19 0.2 14 0.5 13 0.0 0 0 0 0 0 1
 """
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
@@ -205,13 +482,31 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
     return found
 
 
+def _reached(words: np.ndarray, links: np.ndarray, aside: np.ndarray) -> np.ndarray:
+    """For each block the words of the nearest running text before it, 0 if there is none.
+
+    Between them stand short blocks only: links end the search, what is aside is passed over.
+    """
+    out, last = np.zeros(len(words)), 0.0
+    for i, (n, share, out_of_flow) in enumerate(zip(words, links, aside)):
+        out[i] = last
+        if not out_of_flow and share > LINKED:
+            last = 0.0
+        elif not out_of_flow and n > LONG:
+            last = n
+    return out
+
+
 def features(found: list[tuple[str, float, int, int, int]]) -> np.ndarray:
     """One row per block, as named in FEATURES."""
     words = np.array([b[0].count(" ") + 1 for b in found], float)
     links = np.array([b[1] for b in found], float)
     before, after = (lambda x: np.append(0, x[:-1])), (lambda x: np.append(x[1:], 0))
     flags = np.array([b[2:] for b in found], float).reshape(-1, 3)
-    return np.column_stack([words, links, before(words), before(links), after(words), after(links), flags])
+    earlier = _reached(words, links, flags[:, 1])
+    later = _reached(words[::-1], links[::-1], flags[::-1, 1])[::-1]
+    return np.column_stack([words, links, before(words), before(links), after(words), after(links),
+                            earlier, later, flags])
 
 
 def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 1) -> tuple:
@@ -248,7 +543,7 @@ def classify(tree: tuple, x: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=1)
 def trained_tree() -> tuple:
     table = np.array([line.split() for line in LABELLED.strip().splitlines()], float)
-    return fit_tree(table[:, :-1], table[:, -1])
+    return fit_tree(table[:, :-1], table[:, -1], depth=11)
 
 
 def main_text(html: str | None) -> str:

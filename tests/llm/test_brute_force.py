@@ -327,6 +327,39 @@ def test_article_of_a_page():
         "The & title\nFirst paragraph goes on <here>.\nSecond linked one © 5 &am\nThird."
 
 
+def _said(n: int, mark: str) -> str:
+    return " ".join(f"{mark}{i}" for i in range(n))
+
+
+def test_pages_of_divs_keep_all_their_text():
+    menu = "".join(f'<li><a href="/{i}">menu{i}</a></li>' for i in range(5))
+    for sizes in ([100] * 5, [200] * 9, [70, 30, 150, 25, 90, 66], [40, 36, 300, 21, 80]):
+        said = [_said(n, f"p{i}w") for i, n in enumerate(sizes)]
+        for tag in ("div", "p"):
+            body = "".join(f"<{tag}>{x}</{tag}>" for x in said)
+            assert extraction.main_text(f"<body><div><ul>{menu}</ul></div><div>{body}</div></body>").split("\n") == said
+
+
+@pytest.mark.parametrize("n, size", [(1, 3), (1, 18), (4, 2), (6, 5), (9, 12)])
+def test_short_blocks_between_long_ones_are_kept(n, size):
+    said = [_said(90, "a"), *[_said(size, f"i{i}w") for i in range(n)], _said(80, "b"), _said(70, "c")]
+    items = "".join(f"<li>{x}</li>" for x in said[1:-2])
+    page = f"<div>{said[0]}</div><ul>{items}</ul><div>{said[-2]}</div><div>{said[-1]}</div>"
+    assert extraction.main_text(page).split("\n") == said
+
+
+def test_asides_and_lists_of_links_are_left_out():
+    a, b, c = _said(90, "a"), _said(80, "b"), _said(70, "c")
+    for n in (5, 30, 120):
+        page = f'<div>{a}</div><aside>{_said(n, "x")}</aside><div>{b}</div><div class="ad">{_said(n, "y")}</div><div>{c}</div>'
+        assert extraction.main_text(page).split("\n") == [a, b, c]
+    links = "".join(f'<li><a href="/{i}">{_said(4, f"l{i}w")}</a></li>' for i in range(6))
+    for tag in ("article", "main"):
+        assert extraction.main_text(f"<{tag}><p>{a}</p><ul>{links}</ul><p>{b}</p></{tag}>").split("\n") == [a, b]
+        linked = f'<a href="/x">{_said(6, "k")}</a>'
+        assert extraction.main_text(f"<{tag}><p>{a}</p><p>{linked}</p><p>{b}</p></{tag}>").split("\n") == [a, _said(6, "k"), b]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="<>/=\"'pabr! -&;scit\n", max_size=80))
 def test_any_page_can_be_read(html):
