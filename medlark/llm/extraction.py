@@ -22,14 +22,26 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is no text of the page.
 SKIPPED = frozenset(
     "script style noscript template textarea title iframe object svg select button canvas audio video".split())
-#: Elements, and words in class, id or role, that mark what surrounds an article.
+#: Elements, and whole tokens of class, id or role, that mark what surrounds an article.
 ASIDE_TAGS = frozenset("nav header footer aside form menu dialog".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disclaimer footer form gdpr header masthead menu modal nav navbar navigation newsletter notice "
     "pagination popup promo promoted promotion related search share sharing sidebar social sponsor "
     "sponsored subscribe toolbar widget".split())
+#: Compound tokens; an underscore counts as a hyphen.
+ASIDE_COMPOUNDS = frozenset(
+    "ad-banner ad-container ad-slot ad-unit ad-wrapper breadcrumb-nav comment-form comment-list comments-area "
+    "comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice cookie-popup gdpr-banner "
+    "gdpr-notice left-sidebar main-menu main-nav main-navigation nav-bar nav-menu newsletter-form newsletter-signup "
+    "page-footer related-articles related-links related-news related-posts related-stories right-sidebar search-box "
+    "search-form share-bar share-buttons share-links sidebar-left sidebar-right sidebar-widget site-footer site-header "
+    "site-nav site-navigation skip-link social-buttons social-icons social-links social-media social-share "
+    "sponsored-content widget-area".split())
 MAIN_TAGS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose class, id and role speak of the page or of the text, not of what surrounds it.
+UNMARKED = MAIN_TAGS | HEADINGS | {"html", "body"}
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after",
             "text_before", "text_after", "heading", "aside", "main")
@@ -382,8 +394,9 @@ LABELLED = """
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
 _REST = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>""")
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+|["'=/]""")
+# States of an element: not aside, aside, and an article inside an aside.
+_CLEAR, _ASIDE, _ANEW = 0, 1, 2
 
 
 @lru_cache(maxsize=64)
@@ -392,10 +405,32 @@ def _end_of(name: str) -> re.Pattern:
 
 
 @lru_cache(maxsize=4096)
-def _is_aside(name: str, attributes: str) -> bool:
-    if name in ASIDE_TAGS:
-        return True
-    return any(w in ASIDE_WORDS for m in _MARKS.findall(attributes) for w in _WORD.findall(m.lower()))
+def _marked(attributes: str) -> bool:
+    """Whether a token of class, id or role is one of what surrounds articles."""
+    seen: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(attributes):
+        seen.setdefault(name.lower(), value)
+    tokens = [t for k in ("class", "id", "role") for t in unescape(seen.get(k, "").strip("\"'")).lower().split()]
+    return any(t in ASIDE_WORDS or t.replace("_", "-") in ASIDE_COMPOUNDS for t in tokens)
+
+
+def _state(name: str, attributes: str, outer: int) -> int:
+    """Aside or not, given the element around. An article inside a marked one starts anew unless it is marked itself."""
+    if name in MAIN_TAGS:
+        return _ANEW if outer == _ASIDE and not _marked(attributes) else outer
+    if outer == _ASIDE or name in ASIDE_TAGS:
+        return _ASIDE
+    return _ASIDE if name not in UNMARKED and _marked(attributes) else outer
+
+
+def _settled(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """Articles inside marked elements are text if they hold more words than those outside, else aside."""
+    words = [0, 0, 0]
+    for text, _, _, state, main in found:
+        if main:
+            words[state] += text.count(" ") + 1
+    anew = _CLEAR if words[_ANEW] > words[_CLEAR] else _ASIDE
+    return [(*b[:3], anew if b[3] == _ANEW else b[3], b[4]) for b in found]
 
 
 def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
@@ -407,7 +442,7 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
     found: list[tuple[str, float, int, int, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # element, inside an aside, inside a main part
+    stack: list[tuple[str, int, int]] = []  # element, state (aside or not), inside a main part
     anchors = 0
 
     def close_block() -> None:
@@ -415,7 +450,7 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
             words = "".join(parts).split()
             if words:
                 aside, main = stack[-1][1:] if stack else (0, 0)
-                heading = any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack)
+                heading = any(s[0] in HEADINGS for s in stack)
                 share = min(1.0, len("".join(linked).split()) / len(words))
                 found.append((" ".join(words), share, int(heading), aside, main))
         parts.clear()
@@ -477,9 +512,9 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
                 if stack[i][0] in BLOCKS:
                     break
         aside, main = stack[-1][1:] if stack else (0, 0)
-        stack.append((name, int(aside or _is_aside(name, attributes)), int(main or name in MAIN_TAGS)))
+        stack.append((name, _state(name, attributes, aside), int(main or name in MAIN_TAGS)))
     close_block()
-    return found
+    return _settled(found)
 
 
 def _reached(words: np.ndarray, links: np.ndarray, aside: np.ndarray) -> np.ndarray:

@@ -360,6 +360,35 @@ def test_asides_and_lists_of_links_are_left_out():
         assert extraction.main_text(f"<{tag}><p>{a}</p><p>{linked}</p><p>{b}</p></{tag}>").split("\n") == [a, _said(6, "k"), b]
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar"><article>{}</article></body>', '<body class="no-sidebar search"><article>{}</article></body>',
+    '<html id=search><body><main class="comment">{}</main></body></html>', '<article class="post comment-closed">{}</article>',
+    '<article data-id="share">{}</article>', '<article><div data-class="ad" aria-role=menu>{}</div></article>',
+    '<article><div id="related-work">{}</div></article>', '<article><div title="id=share">{}</div></article>',
+    '<div class="widget"><article>{}</article></div>', '<form id=form1><main>{}</main></form>',
+    '<main><h1 class="section-header">A title</h1></main><div class="sidebar"><article>{}</article></div>',
+])
+def test_names_of_wrappers_do_not_lose_the_article(page):
+    said = [_said(60, "a"), _said(6, "b"), _said(40, "c")]
+    text = extraction.main_text(page.format("".join(f"<p>{x}</p>" for x in said))).split("\n")
+    assert text[-3:] == said
+
+
+def test_headings_are_not_aside_by_their_class():
+    page = f'<article><h2 class="section-header header" id="related">On words</h2><p>{_said(30, "a")}</p></article>'
+    assert extraction.main_text(page) == f'On words\n{_said(30, "a")}'
+
+
+@pytest.mark.parametrize("mark", [
+    'class="box ad"', "class=AD", "id='comments'", "role=navigation", 'class="cookie-notice"', 'ID="site_footer"',
+    'data-id="x" class="x\nsidebar"', 'class="a&#32;ad"'])
+def test_marked_elements_are_aside(mark):
+    a, b = _said(50, "a"), _said(40, "b")
+    for inner in ("{}", "<article class=comment>{}</article>", "<article>{}</article>"):
+        page = f'<article><p>{a}</p><div {mark}>{inner.format(_said(30, "x"))}</div><p>{b}</p></article>'
+        assert extraction.main_text(page).split("\n") == [a, b]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="<>/=\"'pabr! -&;scit\n", max_size=80))
 def test_any_page_can_be_read(html):
