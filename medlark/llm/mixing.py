@@ -52,7 +52,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
     most: int = MOST_EPOCHS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text",
-    source_col: str = "source", rows_per_bucket: int = ROWS_PER_BUCKET,
+    source_col: str = "source", rows_per_bucket: int = ROWS_PER_BUCKET, row_col: str | None = None,
 ) -> DataFrame:
     """How many words of each document the mixture takes.
 
@@ -64,14 +64,16 @@ def mix(
     Returns doc_id, size (words), source, source_size, target, taken. A null text has no words, a
     null source is a source of its own, a source without words has target 0. Repeated rows count
     one by one; of rows that agree in id and size either may be the one at the cut. Other columns
-    are ignored. Reruns agree: nothing but the rows themselves decides.
+    are ignored, but a key of rows named by ``row_col`` comes back as ``_row`` and decides between such
+    rows. Reruns agree: nothing but the rows themselves decides.
     """
+    row = [] if row_col is None else ["_row"]
     narrow = cut_lineage(docs.select(
         col(id_col).alias("doc_id"), col(source_col).alias("source"),
         F.size(words_of(col(text_col))).cast("long").alias("size"),
-        keyed_order(seed, col(id_col)).alias("_key")))
+        keyed_order(seed, col(id_col)).alias("_key"), *[col(row_col).alias(r) for r in row]))
     rows = narrow.count()
-    sums = running_sums(narrow, ["source"], "_key", ["doc_id", "size"], {"_before": F.col("size")},
+    sums = running_sums(narrow, ["source"], "_key", ["doc_id", "size", *row], {"_before": F.col("size")},
                         {"_source_size": "_before"}, rows, rows_per_bucket)
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most).withColumnRenamed("source", "_source")
@@ -82,28 +84,51 @@ def mix(
     return (
         sums.join(targets, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("_budget", budget).withColumn("_epochs", epochs).withColumn("_rest", rest)
-        .select("doc_id", "source", "size", "source_size", "target",
+        .select(*row, "doc_id", "source", "size", "source_size", "target",
                 (F.col("_epochs") * F.col("size") + last).cast("long").alias("taken")))
 
 
 def apply_mix(docs: DataFrame, taken: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the mixture: a document as often as it is taken, the one at a cut shortened.
 
-    ``docs`` must have one row per id here; its columns come back unchanged but for the text of
+    ``taken`` is found by id here, so an id, null too, must stand for one row: else this raises, and
+    :func:`mixed_rows` is to be used. The columns of ``docs`` come back unchanged but for the text of
     the part at a cut, whose words are joined by a space.
     """
-    plan = taken.select(col("doc_id").alias("_id"), col("size").alias("_size"), col("taken").alias("_taken"))
-    joined = docs.join(plan, col(id_col).eqNullSafe(F.col("_id")))
+    if not taken.groupBy("doc_id").count().where("count > 1").isEmpty():
+        raise ValueError("ids stand for several rows; use mixed_rows")
+    return _apply(docs.select(col(id_col).alias("_row"), F.struct(*[col(c) for c in docs.columns]).alias("_doc")),
+                  taken.withColumn("_row", F.col("doc_id")), docs.columns, text_col)
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               **options) -> DataFrame:
+    """The rows of the mixture of ``docs`` as in :func:`apply_mix`, whatever the ids: rows get a key of their own.
+
+    The key is stored with the row, so that the plan and the rows it is joined to have the same one.
+    """
+    keyed = cut_lineage(docs.select(F.monotonically_increasing_id().alias("_row"),
+                                    F.struct(*[col(c) for c in docs.columns]).alias("_doc")))
+    read = keyed.select("_row", *[F.col("_doc").getField(c).alias(c) for c in {id_col, text_col, source_col}])
+    taken = mix(read, id_col=id_col, text_col=text_col, source_col=source_col, row_col="_row", **options)
+    return _apply(keyed, taken, docs.columns, text_col)
+
+
+def _apply(keyed: DataFrame, taken: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """Rows (_row, _doc) as often as planned under the same _row."""
+    plan = taken.select(F.col("_row").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    joined = keyed.join(plan, F.col("_row").eqNullSafe(F.col("_id")))
     whole = F.when(F.col("_size") > 0, F.expr("_taken div _size")).otherwise(F.lit(0))
     part = F.col("_taken") - whole * F.col("_size")
     # A text without words costs nothing and is kept once.
     copies = F.when(F.col("_size") == 0, F.array(F.lit(-1).cast("long"))).otherwise(F.filter(
         F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")), F.array(part)),
         lambda n: n != 0))
-    shortened: Column = F.concat_ws(" ", F.slice(words_of(col(text_col)), 1, F.greatest(F.col("_part"), F.lit(1)).cast("int")))
-    text = F.when(F.col("_part") < 0, col(text_col)).otherwise(shortened)
+    given = F.col("_doc").getField(text_col)
+    shortened: Column = F.concat_ws(" ", F.slice(words_of(given), 1, F.greatest(F.col("_part"), F.lit(1)).cast("int")))
+    text = F.when(F.col("_part") < 0, given).otherwise(shortened)
     exploded = joined.withColumn("_part", F.explode(copies))
-    return exploded.select(*[text.alias(c) if c == text_col else col(c) for c in docs.columns])
+    return exploded.select(*[(text if c == text_col else F.col("_doc").getField(c)).alias(c) for c in columns])
 
 
 #: The mixture in SQL; the level is found by trying every set of full sources.

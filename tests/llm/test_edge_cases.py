@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import corpus_pipeline
 import pytest
 
 from medlark.llm import (
@@ -64,6 +68,27 @@ def test_results_of_odd_rows(odd_docs, marks):
     assert {r["doc_id"] for r in fitted.collect()} == {i for i, r in judged.items() if r["kept"]}
 
 
+def test_mixture_of_null_and_repeated_ids(spark, odd_docs, no_docs):
+    words = lambda rows: Counter(w for r in rows for w in re.findall("[^\\x20\\x09-\\x0D]+", r["text"] or ""))
+    many = spark.createDataFrame(
+        [(None if i % 3 == 0 else i // 2, f"t{i} " * (1 + i % 7), "en", "ab"[i % 2], 9) for i in range(300)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    for docs in (many, odd_docs):
+        plan = mixing.mix(docs).collect()
+        assert sum(r["taken"] for r in plan) == round(1.5 * sum(r["size"] for r in plan))
+        got = corpus_pipeline.mixed(spark, docs, "").collect()
+        assert words(got).total() == sum(r["taken"] for r in plan)
+        # Only words of texts there are, none more often than twice its number.
+        given = words(docs.collect())
+        assert all(n <= 2 * given[w] for w, n in words(got).items())
+        assert Counter(r["text"] for r in got if not (r["text"] or "").strip()) == \
+            Counter(r["text"] for r in docs.collect() if not (r["text"] or "").strip())
+        with pytest.raises(ValueError):
+            mixing.apply_mix(docs, mixing.mix(docs))
+    assert corpus_pipeline.mixed(spark, odd_docs, "").columns == odd_docs.columns
+    assert corpus_pipeline.mixed(spark, no_docs, "").collect() == []
+
+
 def test_rows_without_any_label(odd_docs, marks):
     for labels in (marks.limit(0), marks.where("toxic = 1")):
         assert {r["score"] for r in toxicity.score_toxicity(odd_docs, labels).collect()} == {0.0}
