@@ -18,8 +18,11 @@ def fuse(tables: dict[str, DataFrame], domains: dict[str, list[str]] = DOMAINS,
             for d, t in stacked.items()}
 
 
-def combine(fused: dict[str, DataFrame], keys: dict[str, list[str]], n: int = 50_000) -> DataFrame:
-    """Equal-size samples of the domains side by side, each with its own name prefix."""
+def combine(fused: dict[str, DataFrame], keys: dict[str, list[str]], n: int | None = None) -> DataFrame:
+    """Samples of the domains side by side, each with its own name prefix.
+
+    All have the size of the smallest domain, or ``n`` if given and less.
+    """
     return zip_samples(fused, keys, n)
 
 

@@ -429,6 +429,13 @@ def test_fuse_and_combine(spark):
     assert both.count() == 200 and both.columns[1] == "one_PC1"
 
 
+def test_combine_has_no_size_of_its_own(spark):
+    domains = {"a": spark.range(50_300).toDF("k"), "b": spark.range(50_200).toDF("k")}
+    keys = {"a": ["k"], "b": ["k"]}
+    assert combine_plan(domains, keys).count() == combine_plan(domains, keys, None).count() == 50_200
+    assert combine_plan(domains, keys, n=70).count() == 70
+
+
 # --- privacy ------------------------------------------------------------------
 
 def test_age_bands_are_right_closed(spark):
