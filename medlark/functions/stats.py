@@ -35,7 +35,7 @@ AGGREGATES = {
 def column_stats(
     df: DataFrame, cols: list[str], wanted: list[str], fill: float | None = None
 ) -> dict[str, dict]:
-    """``{column: {statistic: value}}`` from one job; numbers come back as they are or as double."""
+    """``{column: {statistic: value}}`` from one job; least and greatest values keep their column's type."""
     if not cols:
         return {}
 
@@ -46,13 +46,21 @@ def column_stats(
         row = df.agg(*[AGGREGATES[w](value(c)).alias(f"{i}_{w}")
                        for i, c in enumerate(cols) for w in wanted]).first()
         return {c: {w: row[f"{i}_{w}"] for w in wanted} for i, c in enumerate(cols)}
-    as_type = "string" if set(wanted) <= {"n", "distinct", "approx_distinct"} else "double"
-    long = df.select(F.posexplode(F.array(*[value(c).cast(as_type) for c in cols])).alias("i", "v"))
-    rows = long.groupBy("i").agg(*[AGGREGATES[w](F.col("v")).alias(w) for w in wanted]).collect()
+    # One value column per type, so that longs and decimals stay what they are.
+    as_text = set(wanted) <= {"n", "distinct", "approx_distinct"}
+    types = ["string" if as_text else t for t in (df.select(*[value(c) for c in cols]).schema[i].dataType.simpleString()
+                                                   for i in range(len(cols)))]
+    kinds = sorted(set(types))
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), *[
+        (value(c).cast(k) if k == t else F.lit(None).cast(k)).alias(f"v{j}") for j, k in enumerate(kinds)])
+        for i, (c, t) in enumerate(zip(cols, types))])
+    long = df.select(F.inline(cells))
+    rows = long.groupBy("i").agg(*[
+        AGGREGATES[w](F.col(f"v{j}")).alias(f"{j}_{w}") for j in range(len(kinds)) for w in wanted]).collect()
     found = {r["i"]: r for r in rows}
     empty = {w: 0 if w in ("n", "distinct", "approx_distinct") else None for w in wanted}
-    return {c: {w: found[i][w] for w in wanted} if i in found else dict(empty)
-            for i, c in enumerate(cols)}
+    return {c: {w: found[i][f"{kinds.index(t)}_{w}"] for w in wanted} if i in found else dict(empty)
+            for i, (c, t) in enumerate(zip(cols, types))}
 
 
 def null_counts(df: DataFrame) -> tuple[int, dict[str, int]]:

@@ -79,11 +79,10 @@ def impute_mice(spark, d):
 
 @query("impute_auto", f"""
 WITH {LINEITEM_MASKED},
-s AS (SELECT count(*) AS n, quantile_cont(l_tax, 0.5) AS median FROM lm),
 w AS (SELECT covar_pop(l_quantity, l_tax) / var_pop(l_quantity) AS slope, avg(l_quantity) AS mq,
              avg(l_tax) AS mt FROM lm WHERE l_tax IS NOT NULL)
-SELECT l_orderkey, l_partkey, l_quantity, round(coalesce(l_tax, CASE WHEN n >= 10000 THEN median
-         ELSE mt + slope * (l_quantity - mq) END), 8) AS l_tax FROM lm, s, w""")
+SELECT l_orderkey, l_partkey, l_quantity, round(coalesce(l_tax, mt + slope * (l_quantity - mq)), 8) AS l_tax
+FROM lm, w""")
 def impute_auto(spark, d):
     t = lineitem_masked(spark, d).select("l_orderkey", "l_partkey", "l_quantity", "l_tax")
     return rounded(clean.impute_auto(t, ["l_quantity", "l_tax"], "mice"), 8, "l_tax")

@@ -151,3 +151,14 @@ def test_distinct_counts_are_exact_near_the_limit(spark):
     got = small_distinct_counts(df, df.columns, 10)
     assert [got[f"m{m}"] for m in (1, 2, 10, 11, 100)] == [1, 2, 10, 11, 100]
     assert got["all"] > 4000
+
+
+@pytest.mark.parametrize("columns", [2, 13])
+def test_extremes_keep_their_type_at_any_width(spark, columns):
+    big = 2**53 + 1
+    df = spark.range(3).select(
+        *[(F.col("id") + big).alias(f"c{i}") for i in range(columns)],
+        (F.col("id").cast("decimal(20,0)") + big).alias("dec"), (F.col("id") / 2).alias("half"))
+    got = column_stats(df, df.columns, ["n", "min", "max", "mean"])
+    assert got["c0"]["min"] == big and got["c1"]["max"] == big + 2 and got["half"]["max"] == 1.0
+    assert got["dec"]["max"] == big + 2 and got["dec"]["n"] == 3 and got["half"]["mean"] == 0.5

@@ -565,7 +565,8 @@ def test_series_need_a_key_and_a_known_period(spark):
         series.prepare_series(df, ["k"], "ts", "v", "second")
     assert series.prepare_series(df, ["k"], "ts", "v").count() == 1
     assert series_alerts(df, ["k"], "ts", "v").count() == 1
-    assert series_forecast(df, ["k"], "ts", "v").count() == 0
+    line = series_forecast(df, ["k"], "ts", "v").collect()
+    assert len(line) == 1 and line[0]["step"] is line[0]["slope"] is line[0]["forecast"] is None
 
 
 # --- models -------------------------------------------------------------------

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
 from checker import connect, differences
+from conftest import ROOT
+from registry import ORACLES, QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES))
 
 
@@ -40,7 +46,26 @@ def test_same_with_one_partition(spark, con, sf_dir, name):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) and set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("left_over", ["", "corpus_pipeline.py", "medlark/llm/__pycache__/x.pyc"])
+def test_training_data_part_may_be_absent(tmp_path, left_over):
+    """The entry and the base tests stand without the optional part, whatever a deletion leaves behind."""
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    if left_over.endswith(".pyc"):
+        (copy / left_over).parent.mkdir(parents=True)
+        (copy / left_over).write_bytes(b"")
+    elif left_over:
+        shutil.copy(f"{ROOT}/{left_over}", copy)
+    env = {**os.environ, "PYTHONPATH": str(copy), "PYTHONDONTWRITEBYTECODE": "1"}
+    names = "import __spark_entry__ as e; print(*sorted(e.queries()))"
+    out = subprocess.run([sys.executable, "-c", names], cwd=copy, env=env, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == sorted(QUERIES)
+    run = [sys.executable, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider"]
+    assert subprocess.run(run, cwd=copy, env=env, capture_output=True).returncode == 0
 
 
 def test_entry_lists_every_event_type(spark):
