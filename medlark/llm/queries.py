@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlark.llm import extraction, fingerprints, mixing, ngram_join, packing, quality, sharding, substrings, toxicity, warc
+from medlark.llm import (
+    alignment, extraction, fingerprints, mixing, ngram_join, packing, quality, sharding, substrings, toxicity, warc,
+)
 from medlark.sources.readers import read_parquet
 
 SHARDS = 24
@@ -29,10 +31,10 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{d}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = packing.TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(packing.TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query("op1_sharding")
@@ -90,3 +92,8 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, d, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.align(_table(spark, d, "documents"), tokenizer_path(alignment.FIRST), tokenizer_path(alignment.SECOND))
