@@ -34,6 +34,11 @@ def _remove(folder: str, jvm) -> None:
     path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove one stored table that nothing reads any more."""
+    _remove(path, spark.sparkContext._jvm)
+
+
 def release(spark: SparkSession) -> None:
     """Remove all that was stored for this application; results must be written or fetched by then."""
     folder = f"{shared_folder(spark)}/medlark-{spark.sparkContext.applicationId}"
