@@ -27,6 +27,8 @@ FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 #: Chunks whose alignment a worker remembers from slice to slice, and again as many used before.
 REMEMBERED = 300_000
+#: Chunks that are given to the tokenizers as one text.
+JOINED = 1_000
 #: Id pairs that a task adds up before it sends them.
 FLUSH_LINKS = 2_000_000
 #: Bytes of text whose chunks are aligned in one go.
@@ -164,21 +166,39 @@ class _Second:
         return Tokens(ids, _refined(np.array(ends, np.int64), n, self.lengths[ids], sizes), n)
 
 
-def _groups(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> Aligned:
-    """Cut at ends that both have; link what overlaps."""
+class _Texts:
+    """An id as text, with what may follow it: another id, the other tokenizer's ids, the next group."""
+
+    def __init__(self, n: int):
+        self.more, self.other, self.group = (np.array([f"{i}{mark}" for i in range(n)], object) for mark in ",|;")
+
+    def __call__(self, ids: np.ndarray, last: np.ndarray, ending: np.ndarray) -> np.ndarray:
+        return np.where(last, ending[ids], self.more[ids])
+
+
+def _cut_up(sizes: np.ndarray, a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray,
+            a_texts: _Texts, b_texts: _Texts) -> list[Aligned]:
+    """Alignments of chunks that stand one after the other, each ended by a token of both."""
     shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    a_of, b_of = np.searchsorted(shared, a_ends, side="left"), np.searchsorted(shared, b_ends, side="left")
     a_cut, b_cut = np.searchsorted(a_ends, shared, side="right"), np.searchsorted(b_ends, shared, side="right")
+    # Groups as text: the ids of the first, then those of the second, group after group.
+    written = np.empty(len(a) + len(b), object)
+    written[np.arange(len(a)) + np.concatenate([[0], b_cut])[a_of]] = a_texts(a, a_ends == shared[a_of], a_texts.other)
+    written[np.arange(len(b)) + a_cut[b_of]] = b_texts(b, b_ends == shared[b_of], b_texts.group)
     # The first token of b that ends after this one starts, up to the one that reaches its end.
     lo = np.searchsorted(b_ends, np.concatenate([[0], a_ends[:-1]]), side="right")
-    hi = np.searchsorted(b_ends, a_ends, side="left")
-    n = hi - lo + 1
-    pairs = np.repeat(a, n) << ID_BITS | b[spread(lo, n)]
-    a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    parts, i, j = [], 0, 0
-    for x, y in zip(a_cut.tolist(), b_cut.tolist()):
-        parts.append(f"{','.join(a_text[i:x])}|{','.join(b_text[j:y])}")
-        i, j = x, y
-    return Aligned(len(a), len(b), len(shared), ";".join(parts), pairs.astype("<i8").tobytes())
+    n = np.searchsorted(b_ends, a_ends, side="left") - lo + 1
+    pairs = (np.repeat(a, n) << ID_BITS | b[spread(lo, n)]).astype("<i8").tobytes()
+    ends = np.cumsum(sizes)
+    a_end, b_end = np.searchsorted(a_ends, ends, side="right"), np.searchsorted(b_ends, ends, side="right")
+    link_end = np.concatenate([[0], np.cumsum(n)])[a_end] * 8
+    group_end = np.searchsorted(shared, ends, side="right")
+    parts, out, i, j, k, g = written.tolist(), [], 0, 0, 0, 0
+    for x, y, z, h in zip(a_end.tolist(), b_end.tolist(), link_end.tolist(), group_end.tolist()):
+        out.append(Aligned(x - i, y - j, h - g, "".join(parts[i + j: x + y])[:-1], pairs[k:z]))
+        i, j, k, g = x, y, z, h
+    return out
 
 
 class Aligner:
@@ -187,6 +207,7 @@ class Aligner:
     def __init__(self, first: str, second: str):
         self.first, self.second = _First(first), _Second(second)
         self.cuts = self.first.cuts_words and self.second.cuts_words
+        self.a_texts, self.b_texts = _Texts(len(self.first.bytes)), _Texts(len(self.second.bytes))
         self.recent: dict[bytes, Aligned | None] = {}
         self.older: dict[bytes, Aligned | None] = {}
 
@@ -197,19 +218,55 @@ class Aligner:
         recent, older = self.recent, self.older
         new = [r for r in raw if r not in recent]
         recent.update((r, older[r]) for r in new if r in older)
-        new = [r for r in new if r not in recent]
-        texts = [r.decode(errors="replace") for r in new]
-        a, b = self.first(texts, new), self.second(texts, new)
-        i = j = 0
-        for r, n, m in zip(new, a.n.tolist(), b.n.tolist()):
-            a_ids, b_ids, a_ends, b_ends = a.ids[i:i + n], b.ids[j:j + m], a.ends[i:i + n], b.ends[j:j + m]
-            i, j = i + n, j + m
-            same = n and m and a_ends[0] >= 0 and b_ends[0] >= 0 \
-                and b"".join([self.first.bytes[x] for x in a_ids]) == r \
-                and b"".join([self.second.bytes[x] for x in b_ids]) == r
-            recent[r] = _groups(a_ids, a_ends, b_ids, b_ends) if same else None
+        self._learn([r for r in new if r not in recent])
         return recent
 
+    def _learn(self, new: list[bytes]) -> None:
+        """Both tokenizers run on many chunks joined, where the next begins as if it stood in a text."""
+        units: list[list[bytes]] = [[]]
+        for r in new:
+            try:
+                text = r.decode()
+            except UnicodeDecodeError:
+                text = _SPACE
+            if _SPACE in text:
+                # The second tokenizer gives a space for it.
+                self.recent[r] = None
+                continue
+            units[-1].append(r)
+            if not self.cuts or text[-1].isspace() or len(units[-1]) == JOINED:
+                units.append([])
+        self._learn_units([u for u in units if u])
+
+    def _learn_units(self, units: list[list[bytes]]) -> None:
+        raw = [b"".join(u) for u in units]
+        texts = [r.decode() for r in raw]
+        a, b = self.first(texts, raw), self.second(texts, raw)
+        good, apart, at = [], [], [[], [], [], []]
+        i = j = before = 0
+        for unit, whole, n, m in zip(units, raw, a.n.tolist(), b.n.tolist()):
+            held = [x[y:y + z] for t, y, z in ((a, i, n), (b, j, m)) for x in (t.ids, t.ends)]
+            i, j = i + n, j + m
+            ends = np.cumsum([len(r) for r in unit])
+            same = n and m and held[1][0] >= 0 and held[3][0] >= 0 \
+                and b"".join([self.first.bytes[x] for x in held[0]]) == whole \
+                and b"".join([self.second.bytes[x] for x in held[2]]) == whole \
+                and np.isin(ends, held[1]).all() and np.isin(ends, held[3]).all()
+            if same:
+                good += unit
+                for to, x, shift in zip(at, held, (0, before, 0, before)):
+                    to.append(x + shift)
+                before += len(whole)
+            elif len(unit) == 1:
+                self.recent[unit[0]] = None
+            else:
+                apart += [[r] for r in unit]
+        if good:
+            sizes = np.fromiter(map(len, good), np.int64, len(good))
+            self.recent.update(zip(good, _cut_up(sizes, *map(np.concatenate, at), self.a_texts, self.b_texts)))
+        if apart:
+            self._learn_units(apart)
+
 
 @lru_cache(maxsize=2)
 def aligner(first: str, second: str) -> Aligner:

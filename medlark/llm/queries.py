@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlark.llm import (
-    alignment, extraction, fingerprints, mixing, ngram_join, packing, quality, sharding, substrings, toxicity, warc,
+    alignment, chat, extraction, fingerprints, mixing, ngram_join, packing, quality, sharding, substrings, toxicity,
+    vector_codes, warc,
 )
 from medlark.sources.readers import read_parquet
 
@@ -97,3 +98,13 @@ def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query("op11_alignment")
 def op11_alignment(spark: SparkSession, d: str) -> DataFrame:
     return alignment.align(_table(spark, d, "documents"), tokenizer_path(alignment.FIRST), tokenizer_path(alignment.SECOND))
+
+
+@query("op12_vector_codes", vector_codes.codes_sql())
+def op12_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    return vector_codes.encode(_table(spark, d, "embeddings"))
+
+
+@query("op13_chat", chat.CHAT_SQL)
+def op13_chat(spark: SparkSession, d: str) -> DataFrame:
+    return chat.format_conversations(_table(spark, d, "conversations"))

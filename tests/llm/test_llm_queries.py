@@ -18,7 +18,7 @@ def test_same_as_sql(spark, sf_dir, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages_by_hand(spark, sf_dir):
