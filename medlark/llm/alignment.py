@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medlark.functions.storage import cut_lineage
@@ -32,7 +32,7 @@ JOINED = 1_000
 #: Id pairs that a task adds up before it sends them.
 FLUSH_LINKS = 2_000_000
 #: Bytes of text whose chunks are aligned in one go.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Id pairs whose counts are sent to every task (24 bytes each); beyond, they are joined by a shuffle.
 MOST_SENT = 4_000_000
 #: A pair of ids in one number.
@@ -360,52 +360,85 @@ def _digests(s: _Slice) -> list[str]:
             for lo, hi, g in zip(at[:-1], at[1:], s.good.tolist())]
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
+_TEXTS = "doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
+#: Of a slice of texts, or of id pairs that a task has added up.
+_PASS = _TEXTS + ", places array<long>, chunk binary, links binary, a binary, b binary, pair array<long>, n array<long>"
+_NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "places", "chunk", "links", "a", "b", "pair", "n"]
 
 
-def pair_counts(
-    docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """(pair, n, best): how many links hold each id pair, and whether no pair of its second id has more.
+def _small(most: int) -> np.dtype:
+    return np.dtype(np.min_scalar_type(max(most, 1))).newbyteorder("<")
 
-    ``pair`` is the first id times 2^32 plus the second. Pairs are added up in a task before they are sent.
+
+def _row(values: list) -> pa.RecordBatch:
+    kinds = [*[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 2]
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=_NAMES)
+
+
+def aligned_slices(docs: DataFrame, first: str, second: str) -> DataFrame:
+    """The one pass over the texts, stored: per slice what each text gives and which links its chunks have; per task counts of id pairs.
+
+    ``docs`` has doc_id and text. Links are stored once per distinct chunk of a slice, so they take about as much as the texts.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = aligner(first, second)
+        a_kind, b_kind = _small(len(pair.first.bytes)), _small(len(pair.second.bytes))
         pairs, times, held = [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in _folded(pairs, times)], names=["pair", "n"])
-
         for batch in batches:
             for lo, hi in slices(batch.column(1), SLICE_BYTES):
                 s = _aligned_slice(batch.column(1).slice(lo, hi - lo), pair)
-                often = np.bincount(s.chunk[np.repeat(s.good, np.diff(s.at))], minlength=len(s.known))
-                flat, n = _links(s.known)
-                keys, sums = _folded([flat], [np.repeat(often, n)])
+                # Texts without tokens link nothing.
+                there = np.repeat(s.good, np.diff(s.at))
+                chunk = s.chunk[there]
+                flat, links = _links(s.known)
+                often = np.bincount(chunk, minlength=len(s.known))
+                keys, sums = _folded([flat], [np.repeat(often, links)])
                 pairs.append(keys[sums > 0])
                 times.append(sums[sums > 0])
                 held += len(pairs[-1])
+                counts = [np.array([getattr(k, f) if k else 0 for k in s.known], np.int64) for f in ("n_a", "n_b", "n_groups")]
+                places = np.concatenate([[0], np.cumsum(there)])[s.at]
+                yield _row([
+                    batch.column(0).slice(lo, hi - lo).to_pylist(), *_numbers(s, [*counts, links]), _digests(s), places,
+                    chunk.astype(_small(len(s.known))).tobytes(), links.astype("<u4").tobytes(),
+                    (flat >> ID_BITS).astype(a_kind).tobytes(), (flat & _ID).astype(b_kind).tobytes(), None, None])
                 if held > FLUSH_LINKS:
-                    yield flush()
+                    yield _row([None] * 11 + list(_folded(pairs, times)))
                     pairs, times, held = [], [], 0
-        yield flush()
+        if held:
+            yield _row([None] * 11 + list(_folded(pairs, times)))
+
+    return cut_lineage(docs.mapInArrow(trimmed_stream(run), _PASS))
+
 
-    counted = cut_lineage(_narrow(docs, id_col, text_col).mapInArrow(trimmed_stream(count), "pair long, n long")
-                          .groupBy("pair").agg(F.sum("n").alias("n")))
+def pair_counts(passed: DataFrame) -> DataFrame:
+    """(pair, n, best): how many links hold each id pair, and whether no pair of its second id has more.
+
+    ``pair`` is the first id times 2^32 plus the second. Pairs are added up in a task before they are sent.
+    """
+    each = passed.where(F.col("pair").isNotNull()).select(F.inline(F.arrays_zip("pair", "n")))
+    counted = cut_lineage(each.groupBy("pair").agg(F.sum("n").alias("n")))
     second_id = F.col("pair").bitwiseAND(F.lit(_ID))
     most = counted.groupBy(second_id.alias("b")).agg(F.max("n").alias("most"))
     return counted.join(most, second_id == F.col("b")).select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
+def _unpacked(batch: pa.RecordBatch, i: int, kinds: tuple) -> tuple[np.ndarray, ...]:
+    """(chunk of each occurrence, links per chunk, their pairs, where each text's occurrences begin) of a stored slice."""
+    raw = {c: batch.column(c)[i].as_py() for c in ("chunk", "links", "a", "b")}
+    links = np.frombuffer(raw["links"], "<u4").astype(np.int64)
+    chunk = np.frombuffer(raw["chunk"], _small(len(links))).astype(np.int64)
+    pairs = np.frombuffer(raw["a"], kinds[0]).astype(np.int64) << ID_BITS | np.frombuffer(raw["b"], kinds[1]).astype(np.int64)
+    return chunk, links, pairs, batch.column("places").slice(i, 1).flatten().to_numpy()
+
+
 def align(
     docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text_col: str = "text",
     most_sent: int = MOST_SENT,
 ) -> DataFrame:
     """One row per row: tokens of both tokenizers, groups between common ends, links of overlapping tokens.
 
-    Two passes over the texts: the first adds up how often each id pair is linked, the second looks these counts
+    One pass over the texts stores what each gives and adds up how often each id pair is linked; then these counts are looked
     up for every link. Pairs are bounded by the product of the two vocabularies; while they are at most ``most_sent``
     (checked by a count), every task gets the table, otherwise the links of each document, folded, are joined with it.
 
@@ -413,68 +446,60 @@ def align(
     back byte for byte by both tokenizers have zeros and ''. Repeated rows and null ids are rows like others and count
     for the pairs; other columns are ignored. An empty table gives no rows.
     """
-    counts = cut_lineage(pair_counts(docs, first, second, id_col, text_col))
-    narrow = _narrow(docs, id_col, text_col)
+    narrow = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
+    passed = aligned_slices(narrow, first, second)
+    counts = cut_lineage(pair_counts(passed))
+    told = passed.where(F.col("chunk").isNotNull()).drop("pair", "n")
+    pair = aligner(first, second)
+    kinds = _small(len(pair.first.bytes)), _small(len(pair.second.bytes))
     if counts.count() <= most_sent:
         table = counts.orderBy("pair").toArrow()
-        sent = docs.sparkSession.sparkContext.broadcast(tuple(
-            table.column(c).to_numpy() for c in ("pair", "n", "best")))
+        sent = docs.sparkSession.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "n", "best")))
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pair, (keys, n, best) = aligner(first, second), sent.value
+            keys, n, best = sent.value
             for batch in batches:
-                for lo, hi in slices(batch.column(1), SLICE_BYTES):
-                    s = _aligned_slice(batch.column(1).slice(lo, hi - lo), pair)
-                    flat, links = _links(s.known)
-                    at = np.minimum(np.searchsorted(keys, flat), max(0, len(keys) - 1))
+                for i in range(len(batch)):
+                    chunk, links, pairs, places = _unpacked(batch, i, kinds)
+                    ends = np.concatenate([[0], np.cumsum(links)])
                     # A chunk that only texts without tokens have may hold pairs that were never counted.
-                    there = keys[at] == flat if len(keys) else np.zeros(len(flat), bool)
-                    ends = np.cumsum(links)
-                    sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends])]) for x in (
-                        np.where(there, best[at], 0) if len(keys) else flat * 0,
-                        np.where(there, n[at], 0) if len(keys) else flat * 0)]
-                    yield _rows(batch.column(0).slice(lo, hi - lo), s, links, sums)
-
-        return narrow.mapInArrow(trimmed_stream(look_up), ROW + ", n_best long, count_sum long").select(*_out())
+                    at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
+                    sums = []
+                    for x in (best, n):
+                        found = np.where(keys[at] == pairs, x[at], 0) if len(keys) else pairs * 0
+                        by_chunk = np.diff(np.concatenate([[0], np.cumsum(found)])[ends])
+                        sums.append(np.diff(np.concatenate([[0], np.cumsum(by_chunk[chunk])])[places]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[batch.column(c).slice(i, 1).flatten() for c in _OUT[:5]], *map(pa.array, sums),
+                         batch.column(_OUT[-1]).slice(i, 1).flatten()], names=_OUT)
+
+        return told.mapInArrow(trimmed_stream(look_up), RESULT)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = aligner(first, second)
         for batch in batches:
-            for lo, hi in slices(batch.column(1), SLICE_BYTES):
-                s = _aligned_slice(batch.column(1).slice(lo, hi - lo), pair)
-                flat, links = _links(s.known)
+            for i in range(len(batch)):
+                chunk, links, pairs, places = _unpacked(batch, i, kinds)
                 begins = np.cumsum(links) - links
                 keys, times = [], []
-                for a, b, good in zip(s.at[:-1], s.at[1:], s.good):
-                    held = s.chunk[a:b] if good else s.chunk[:0]
-                    k, n = np.unique(flat[spread(begins[held], links[held])], return_counts=True)
+                for lo, hi in zip(places[:-1], places[1:]):
+                    held = chunk[lo:hi]
+                    k, n = np.unique(pairs[spread(begins[held], links[held])], return_counts=True)
                     keys.append(k)
                     times.append(n)
-                rows = _rows(batch.column(0).slice(lo, hi - lo), s, links, [])
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(keys, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                    names=[*rows.schema.names, "pairs", "times"])
+                    [*[batch.column(c).slice(i, 1).flatten() for c in (*_OUT[:5], _OUT[-1])],
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
+                    names=[*_OUT[:5], _OUT[-1], "pair", "times"])
 
-    told = cut_lineage(narrow.mapInArrow(trimmed_stream(fold), ROW + ", pairs array<long>, times array<long>")
+    rows = cut_lineage(told.mapInArrow(trimmed_stream(fold), ROW + ", pair array<long>, times array<long>")
                        .withColumn("row", F.monotonically_increasing_id()))
-    each = told.select("row", F.inline(F.arrays_zip("pairs", "times"))).withColumnsRenamed({"pairs": "pair"})
+    each = rows.select("row", F.inline(F.arrays_zip("pair", "times")))
     summed = each.join(counts, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
         F.sum(F.col("times") * F.col("n")).alias("count_sum"))
-    joined = told.drop("pairs", "times").join(summed, "row", "left")
-    return joined.select(*_out())
-
-
-def _out() -> list[Column]:
-    """The result's columns; a document without links has no sums yet."""
-    sums = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")]
-    return [*map(F.col, ("doc_id", "n_a", "n_b", "n_groups", "n_links")), *sums, F.col("groups_sha256")]
+    return rows.drop("pair", "times").join(summed, "row", "left").select(
+        *_OUT[:5], *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")], _OUT[-1])
 
 
-def _rows(ids: pa.Array, s: _Slice, links: np.ndarray, sums: list[np.ndarray]) -> pa.RecordBatch:
-    counts = [np.array([getattr(k, f) if k else 0 for k in s.known], np.int64) for f in ("n_a", "n_b", "n_groups")]
-    numbers = _numbers(s, [*counts, links, *(x.astype(np.int64) for x in sums)])
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
-    return pa.RecordBatch.from_arrays(
-        [ids, *map(pa.array, numbers[:4]), pa.array(_digests(s), pa.string()), *map(pa.array, numbers[4:])],
-        names=names[: 6 + len(sums)])
+_OUT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+RESULT = ", ".join(f"{c} long" for c in _OUT[:-1]) + ", groups_sha256 string"
