@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col
-from medlark.llm.common import slices, spread, trimmed_stream
+from medlark.llm.common import slices, spread, trim, trimmed_stream
 
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 #: Chunks whose alignment a worker remembers from slice to slice, and again as many used before.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Chunks that are given to the tokenizers as one text.
 JOINED = 1_000
 #: Id pairs that a task adds up before it sends them.
@@ -457,6 +457,9 @@ def align(
         sent = docs.sparkSession.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "n", "best")))
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # A worker that aligned before has no more use for what it remembers.
+            aligner.cache_clear()
+            trim()
             keys, n, best = sent.value
             for batch in batches:
                 for i in range(len(batch)):
