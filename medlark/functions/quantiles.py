@@ -14,7 +14,9 @@ size of the generated code do not grow with the number of columns.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -62,7 +64,7 @@ def counts_and_quantiles(
 
     if not isinstance(columns, dict):
         columns = {c: col(c) for c in columns}
-    found = _order_statistics(df, columns, probs, wanted, pick_limit)
+    found = _order_statistics(df, columns, probs, wanted, pick_limit)[0]
     out: dict[str, tuple[int, list[float | None]]] = {}
     for name, (n, values) in found.items():
         quantiles: list[float | None] = [None] * len(probs)
@@ -73,6 +75,101 @@ def counts_and_quantiles(
     return out
 
 
+def _between(values: list[float], pos: float) -> float:
+    """Linear between the values at the ranks around ``pos``."""
+    a, b = values
+    return a if a == b else a + (b - a) * (pos - math.floor(pos))
+
+
+def profile(
+    df: DataFrame, columns: dict[str, Column], probs: list[float], more: dict[str, Callable[[Column], Column]],
+    pick_limit: int = PICK_LIMIT,
+) -> dict[str, tuple[int, list[float | None], dict]]:
+    """``{name: (count, quantiles, further aggregates)}``; the aggregates come out of the first of the quantiles' jobs."""
+    def wanted(name: str, n: int) -> list[tuple[int, float]]:
+        return [(k, p) for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
+
+    found, told = _order_statistics(df, columns, probs, wanted, pick_limit, more)
+    return {c: (n, [_between(v[2 * j:2 * j + 2], p * (n - 1)) if n else None for j, p in enumerate(probs)], told[c])
+            for c, (n, v) in found.items()}
+
+
+@dataclass
+class Filled:
+    """A column after its nulls became its median: figures worked out from those of its values."""
+
+    n: int
+    rows: int
+    median: float | None
+    quantiles: list[float | None]
+    mean: float | None
+    squares: float | None  # sum of squared gaps from the mean
+    lo: float | None
+    hi: float | None
+
+    @property
+    def std(self) -> float | None:
+        return math.sqrt(self.squares / (self.rows - 1)) if self.n and self.rows > 1 else None
+
+
+def filled_with_median(
+    df: DataFrame, cols: list[str], probs: list[float], missing: dict[str, float] | None = None,
+    pick_limit: int = PICK_LIMIT,
+) -> dict[str, Filled]:
+    """Exact median of every column, and the quantiles and moments it has once its nulls are the median, without filling it.
+
+    The fills stand together right after the lower middle value, so each rank of the filled column is a known
+    rank of the values, or the median itself. ``missing`` shares, if known, tell the first job where to look; they
+    change no result.
+    """
+    def around(n: int) -> tuple[int, int]:
+        return math.floor((n - 1) / 2), math.ceil((n - 1) / 2)
+
+    rows: dict[str, int] = {}
+
+    def places(n: int, p: float) -> list[int | None]:
+        """Ranks among the values of the two ranks around ``p`` of the filled column; None: the median."""
+        total, low = rows["n"], around(n)[0]
+        out = []
+        for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1))):
+            out.append(r if r <= low else None if r <= low + total - n else r - (total - n))
+        return out
+
+    def wanted(name: str, n: int) -> list[tuple[int, float]]:
+        if name == _ROWS:
+            rows["n"] = n
+            return []
+        ranks = [*around(n), *[r for p in probs for r in places(n, p) if r is not None]]
+        return [(r, r / max(1, n - 1)) for r in ranks]
+
+    # The rows themselves are counted as one more column, the first.
+    columns = {_ROWS: F.lit(0.0), **{c: col(c) for c in cols}}
+    look = {0.5}
+    for gone in set((missing or {}).values()) or {0.0}:
+        have = 1 - gone
+        look |= {p / have if p <= have / 2 else (p - gone) / have for p in probs if not have / 2 < p <= have / 2 + gone} \
+            if have > 0 else set()
+    found, told = _order_statistics(df, columns, sorted(look), wanted, pick_limit, {"mean": F.avg, "var": F.var_pop, "lo": F.min, "hi": F.max})
+    total = rows.get("n", 0)
+    out = {}
+    for c in cols:
+        n, values = found[c]
+        if not n:
+            out[c] = Filled(0, total, None, [None] * len(probs), None, None, None, None)
+            continue
+        at = dict(zip([r for r, _ in wanted(c, n)], values))
+        median = _between([at[r] for r in around(n)], (n - 1) / 2)
+        quantiles = [_between([median if r is None else at[r] for r in places(n, p)], p * (total - 1)) for p in probs]
+        t, gone = told[c], total - n
+        mean = (n * t["mean"] + gone * median) / total
+        squares = n * t["var"] + n * (t["mean"] - mean) ** 2 + gone * (median - mean) ** 2
+        out[c] = Filled(n, total, median, quantiles, mean, squares, t["lo"], t["hi"])
+    return out
+
+
+_ROWS = "\0rows"
+
+
 def order_statistics(
     df: DataFrame, columns: dict[str, Column], ranks: dict[str, list[int]], sizes: dict[str, int],
     pick_limit: int = PICK_LIMIT,
@@ -80,7 +177,7 @@ def order_statistics(
     """The values at 0-based ``ranks`` of columns with ``sizes`` values."""
     at = {c: [(r, r / max(1, sizes[c] - 1)) for r in ranks[c]] for c in columns}
     probs = [p for ranked in at.values() for _, p in ranked]
-    found = _order_statistics(df, columns, probs, lambda name, _: at[name], pick_limit)
+    found = _order_statistics(df, columns, probs, lambda name, _: at[name], pick_limit)[0]
     return {c: values for c, (_, values) in found.items()}
 
 
@@ -94,39 +191,47 @@ def _long(df: DataFrame, columns: list[Column]) -> DataFrame:
     return long.where(F.col("q").isNotNull())
 
 
-def _order_statistics(df, columns, probs, wanted, pick_limit) -> dict[str, tuple[int, list]]:
-    """``{name: (count, values)}`` at ``wanted(name, count)``: ranks, each with where to look first."""
-    names = list(columns)
+def _order_statistics(df, columns, probs, wanted, pick_limit, more=None) -> tuple[dict[str, tuple[int, list]], dict[str, dict]]:
+    """``{name: (count, values)}`` at ``wanted(name, count)``: ranks, each with where to look first.
+
+    ``more``: {name: aggregate of the values}, worked out in the first job; given as ``{column: {name: value}}``.
+    """
+    names, more = list(columns), more or {}
     if not columns:
-        return {}
+        return {}, {}
     long = _long(df, list(columns.values()))
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-_MARGIN, _MARGIN)})
     first = {r["i"]: r for r in long.groupBy("i").agg(
         F.count("q").alias("n"), F.min("q").alias("lo"), F.max("q").alias("hi"),
         F.percentile_approx("q", edges, SKETCH_ACCURACY).alias("e"),
+        *[f(F.col("q")).alias(f"more_{m}") for m, f in more.items()],
     ).collect()}
 
-    def edge(i: int, p: float) -> float:
-        return first[i]["e"][edges.index(min(1.0, max(0.0, p)))]
+    def bracket(i: int, p: float) -> tuple[float, float]:
+        """The sketch's values right outside ``p``."""
+        below, above = bisect_right(edges, p - _MARGIN / 2) - 1, bisect_left(edges, p + _MARGIN / 2)
+        r = first[i]
+        return r["e"][below] if below >= 0 else r["lo"], r["e"][above] if above < len(edges) else r["hi"]
 
     known: dict[tuple[int, int], float] = {}
     todo: dict[tuple[int, int], tuple[float, float]] = {}
-    for i, r in first.items():
+    for i, r in sorted(first.items()):
         for k, p in wanted(names[i], r["n"]):
             if k == 0:
                 known[i, k] = r["lo"]
             elif k == r["n"] - 1:
                 known[i, k] = r["hi"]
             else:
-                todo.setdefault((i, k), (edge(i, p - _MARGIN), edge(i, p + _MARGIN)))
+                todo.setdefault((i, k), bracket(i, p))
     limits = {i: (r["lo"], r["hi"]) for i, r in first.items()}
     while todo:
         _step(long, len(columns), todo, known, limits, pick_limit)
-    return {
+    values = {
         name: (first[i]["n"], [known[i, k] for k, _ in wanted(name, first[i]["n"])])
         if i in first else (0, [])
         for i, name in enumerate(names)
     }
+    return values, {name: {m: first[i][f"more_{m}"] if i in first else None for m in more} for i, name in enumerate(names)}
 
 
 def _table(brackets: list[list[_Bracket]], value) -> list[Column]:

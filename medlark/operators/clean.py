@@ -6,28 +6,32 @@ cleaning itself is one narrow projection per step.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, and_
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medlark.functions.joins import lookup_join
-from medlark.functions.quantiles import counts_and_quantiles, exact_quantiles
-from medlark.functions.ranking import running_totals
+from medlark.functions.moments import pattern_products
+from medlark.functions.neighbours import CELL_ROWS, CellTree
+from medlark.functions.quantiles import Filled, counts_and_quantiles, exact_quantiles
+from medlark.functions.ranking import ROWS_PER_BUCKET
 from medlark.functions.stats import column_stats, small_distinct_counts
 from medlark.functions.storage import cut_lineage
 from medlark.functions.types import col, numeric_columns, other_columns, replace_columns
+from medlark.functions.values import TextValues
 from medlark.operators.profile import mode_of
 
 # Neighbours that are averaged.
 NEIGHBOURS = 5
-# Rows of either side that one task of the nearest-row search has.
-KNN_BLOCK = 4_000
+# Sets of absent columns whose sums one task and the driver hold together.
+MOST_PATTERNS = 1_000
 MIN_VALUES = 10
 ONEHOT_MAX = 10
+MOST_LEVELS = 100
 
 
 # --- imputation ---------------------------------------------------------------
@@ -56,98 +60,117 @@ def impute_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def impute_knn(
-    df: DataFrame, cols: list[str], key: str, k: int = NEIGHBOURS, block_rows: int = KNN_BLOCK,
+    df: DataFrame, cols: list[str], key: str, k: int = NEIGHBOURS, cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Null becomes the mean of the ``k`` nearest rows that have the value, at every table size.
 
-    The distance runs over the columns both rows have, scaled up for absent
-    ones; equal distances go in key order. A row with no comparable donor gets
-    the column mean. Blocks of receivers meet blocks of donors, each of about ``block_rows``
-    rows; a task gives the best ``k`` per cell, and the best of those are taken over all
-    blocks. Memory is bounded by the blocks; the work is receivers times rows.
+    The distance runs over the columns both rows have, scaled up for absent ones; equal distances go in
+    key order. A row with no comparable donor gets the column mean. Equal rows are searched for, and found, once; the
+    search visits only cells of about ``cell_rows`` points whose bound beats what is at hand.
     """
     means = {c: s["mean"] for c, s in column_stats(df, cols, ["mean"]).items()}
     cols = [c for c in cols if means[c] is not None]
-    slim = df.select(col(key).alias("key"), *[
-        col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    if not cols:
+        return df
     names = [f"v{i}" for i in range(len(cols))]
-    gap = F.lit(False)
-    for n in names:
-        gap = gap | F.col(n).isNull()
-    counts = slim.agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap).alias("wanting")).first()
-    across, down = counts["rows"] // block_rows + 1, counts["wanting"] // block_rows + 1
-
-    def blocks(wants: bool) -> DataFrame:
-        own = F.pmod(F.xxhash64("key", F.lit(wants)), F.lit(down if wants else across)).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.lit((across if wants else down) - 1)))
-        at = slim.where(gap) if wants else slim
-        at = at.select(own.alias("own"), other.alias("other"), F.lit(wants).alias("wants"), "key", *names)
-        place = [F.col("own"), F.col("other")] if wants else [F.col("other"), F.col("own")]
-        return at.select(place[0].alias("down"), place[1].alias("across"), "wants", "key", *names)
-
-    def nearest(block):
-        """The best donors of one pair of blocks; self-contained, so workers need no package."""
-        left, right = block[block["wants"]], block[~block["wants"]].sort_values("key")
-        donors, names_ = right[names].to_numpy(float), right["key"].to_numpy()
-        present = ~np.isnan(donors)
-        rows = left[names].to_numpy(float)
-        found = []
-        for at, row in zip(left["key"].to_numpy(), rows):
-            both = present & ~np.isnan(row)
-            shared = both.sum(axis=1)
-            gap = np.where(both, donors - row, 0.0)
-            far = np.full(len(donors), np.inf)
-            ok = shared > 0
-            far[ok] = (gap[ok] ** 2).sum(axis=1) * (len(names) / shared[ok])
-            for j in np.flatnonzero(np.isnan(row)):
-                near = np.flatnonzero(ok & present[:, j])
-                if len(near) > k:
-                    near = near[far[near] <= np.partition(far[near], k - 1)[k - 1]]
-                near = near[np.argsort(far[near], kind="stable")][:k]
-                found += [(at, int(j), far[i], names_[i], donors[i, j]) for i in near]
-        return pd.DataFrame(found, columns=["key", "cell", "far", "donor", "value"])
-
-    kind = df.schema[key].dataType
-    found = (
-        blocks(True).unionByName(blocks(False)).groupBy("down", "across")
-        .applyInPandas(nearest, T.StructType([
-            T.StructField("key", kind), T.StructField("cell", T.IntegerType()),
-            T.StructField("far", T.DoubleType()), T.StructField("donor", kind),
-            T.StructField("value", T.DoubleType())]))
-    )
-    # At most k rows per cell and block of donors.
-    best = found.groupBy("key", "cell").agg(F.slice(F.sort_array(F.collect_list(
-        F.struct("far", "donor", "value"))), 1, k).alias("best"))
-    mean = F.aggregate("best", F.lit(0.0), lambda a, b: a + b["value"]) / F.size("best")
-    filled = best.groupBy(F.col("key").alias("_key")).agg(*[
-        F.max(F.when(F.col("cell") == i, mean)).alias(f"_{n}") for i, n in enumerate(names)])
-    joined = df.join(filled, col(key) == F.col("_key"), "left")
-    done = replace_columns(joined, {
-        c: F.coalesce(col(c).cast("double"), F.col(f"_{n}"), F.lit(means[c])) for c, n in zip(cols, names)})
+    values = [F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    slim = cut_lineage(df.select(col(key).alias("key"), *[v.alias(n) for v, n in zip(values, names)]))
+    wanted = [F.when(F.col(n).isNull(), F.lit(i)) for i, n in enumerate(names)]
+    asking = cut_lineage(slim.where(F.coalesce(*wanted).isNotNull()).select(*names).distinct()
+                         .withColumn("r", F.monotonically_increasing_id()))
+    queries = asking.select("r", *names, F.explode(F.array_compact(F.array(*wanted))).alias("j"))
+    found = CellTree(slim, names, k, cell_rows).nearest_means(queries)
+    filled = found.groupBy("r").agg(*[F.max(F.when(F.col("j") == i, F.col("mean"))).alias(f"_f{i}") for i in range(len(cols))])
+    answers = asking.join(filled, "r").select(*[F.col(n).alias(f"_{n}") for n in names], *[f"_f{i}" for i in range(len(cols))])
+    same = reduce(and_, [v.eqNullSafe(F.col(f"_{n}")) for v, n in zip(values, names)])
+    done = replace_columns(df.join(answers, same, "left"), {
+        c: F.coalesce(v, F.col(f"_f{i}"), F.lit(means[c])) for i, (c, v) in enumerate(zip(cols, values))})
     return done.select([col(c) for c in df.columns])
 
 
 def impute_mice(
     df: DataFrame, cols: list[str], iters: int = 10, tol: float = 1e-3, ridge: float = 1e-9,
+    most_patterns: int = MOST_PATTERNS,
 ) -> DataFrame:
     """Round-robin regression: each incomplete column on all the others, from mean fill.
 
-    A round is one aggregate job per incomplete column (the sums of products
-    over rows that have the column), solved as a small ridge system. Rounds end
-    after ``iters`` or when no fill value moves by ``tol`` of its column's range.
-    With one incomplete column the first round is the answer.
+    Rounds end after ``iters`` or when no fill value moves by ``tol`` of its column's range. With one incomplete column
+    the first round is the answer. A fill is a linear function of what its row has, the same for all rows
+    that lack the same columns. So the sums of products by pattern of absent columns, from one scan, are enough to solve
+    every column of every round; a round scans once more to see how far fills moved. Rows with more than
+    ``most_patterns`` patterns are filled round by round instead, with a scan per column.
     """
     stats = column_stats(df, cols, ["n", "mean", "min", "max", "std_pop"])
     rows = df.count()
     used = [c for c in cols if stats[c]["n"] and stats[c]["std_pop"]]
-    gaps = sorted((c for c in cols if 0 < stats[c]["n"] < rows), key=lambda c: -stats[c]["n"])
-    mark = {c: f"_gap{i}" for i, c in enumerate(gaps)}
+    todo = sorted((c for c in used if stats[c]["n"] < rows), key=lambda c: -stats[c]["n"])
+    marks = [F.when(col(c).isNull(), F.lit(1 << min(i, 62))).otherwise(F.lit(0)).cast("long") for i, c in enumerate(todo)]
+    pattern = reduce(add, marks) if marks else F.lit(0).cast("long")
+    if len(todo) > 62 or (todo and df.select(pattern.alias("p")).distinct().limit(most_patterns + 1).count() > most_patterns):
+        return _mice_by_scans(df, cols, used, todo, stats, iters, tol, ridge)
+    mean = {c: F.coalesce(col(c).cast("double"), F.lit(stats[c]["mean"])) for c in cols}
+    if not todo:
+        return replace_columns(df, mean)
+    z = [(col(c).cast("double") - F.lit(stats[c]["mean"])) / F.lit(stats[c]["std_pop"]) for c in used]
+    products = pattern_products(df, z, pattern)
+    place = {c: used.index(c) + 1 for c in todo}
+    #: By pattern: every column as a linear function of (1, columns with 0 where absent).
+    maps = {p: np.eye(len(used) + 1) for p in products}
+
+    def told(scale: dict[str, float]) -> list[Column]:
+        """Per incomplete column its function's value, the coefficients looked up by pattern."""
+        return [reduce(add, [F.get(f"_w{i}", F.lit(k)) * (F.coalesce(z[k - 1], F.lit(0.0)) if k else F.lit(1.0))
+                             for k in range(len(used) + 1)]) * F.lit(scale[c]) for i, c in enumerate(todo)]
+
+    def with_weights(values: dict[int, np.ndarray]) -> DataFrame:
+        table = df.sparkSession.createDataFrame(
+            [(p, *[a[place[c]].tolist() for c in todo]) for p, a in values.items()],
+            "_pattern long, " + ", ".join(f"_w{i} array<double>" for i in range(len(todo))))
+        # At most ``most_patterns`` rows.
+        return df.withColumn("_pattern", pattern).join(F.broadcast(table), "_pattern")
+
+    for _ in range(iters if len(todo) > 1 else 1):
+        before = {p: a.copy() for p, a in maps.items()}
+        for i, c in enumerate(todo):
+            have = sum(maps[p] @ g @ maps[p].T for p, g in products.items() if not p >> i & 1)
+            weights = _solved(have, place[c], ridge)
+            for p in maps:
+                if p >> i & 1:
+                    maps[p][place[c]] = weights @ maps[p]
+        if len(todo) > 1:
+            span = {c: stats[c]["std_pop"] / ((stats[c]["max"] - stats[c]["min"]) or 1.0) for c in todo}
+            steps = {p: a - before[p] for p, a in maps.items()}
+            moved = with_weights(steps).agg(F.greatest(F.lit(0.0), *[
+                F.max(F.when(col(c).isNull(), F.abs(v))) for c, v in zip(todo, told(span))])).first()[0]
+            if moved < tol:
+                break
+    fills = {c: F.coalesce(col(c).cast("double"), v + F.lit(stats[c]["mean"]))
+             for c, v in zip(todo, told({c: stats[c]["std_pop"] for c in todo}))}
+    return replace_columns(with_weights(maps), {**mean, **fills}).select([col(c) for c in df.columns])
+
+
+def _solved(products: np.ndarray, target: int, ridge: float) -> np.ndarray:
+    """Least squares of one column on all others as weights of (1, columns), from sums of products."""
+    n = products[0, 0]
+    others = [i for i in range(1, len(products)) if i != target]
+    mean = products[0] / n
+    cov = products / n - np.outer(mean, mean)
+    w = np.linalg.solve(cov[np.ix_(others, others)] + ridge * np.eye(len(others)), cov[others, target])
+    out = np.zeros(len(products))
+    out[others] = w
+    out[0] = mean[target] - w @ mean[others]
+    return out
+
+
+def _mice_by_scans(df: DataFrame, cols: list[str], used: list[str], todo: list[str], stats: dict, iters: int,
+                   tol: float, ridge: float) -> DataFrame:
+    """The same with one scan per column and round, for rows of any number of patterns."""
+    mark = {c: f"_gap{i}" for i, c in enumerate(todo)}
     work = df.select(
         *[col(c) for c in df.columns if c not in cols],
         *[F.coalesce(col(c).cast("double"), F.lit(stats[c]["mean"])).alias(c) for c in cols],
         *[col(c).isNull().alias(m) for c, m in mark.items()],
     )
-    todo = [c for c in gaps if c in used]
     for _ in range(iters if len(todo) > 1 else 1):
         moved = 0.0
         for target in todo:
@@ -169,26 +192,13 @@ def impute_mice(
 def _linear_fit(work: DataFrame, target: str, others: list[str], gap: str, stats: dict,
                 ridge: float) -> Column:
     """Least squares of ``target`` on ``others`` over rows that have it, as an expression."""
-    z = {c: (col(c) - F.lit(stats[c]["mean"])) / F.lit(stats[c]["std_pop"])
-         for c in [*others, target]}
     names = [*others, target]
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    have = work.where(~F.col(gap)).select([z[c].alias(f"z{i}") for i, c in enumerate(names)])
-    row = have.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(f"z{i}").alias(f"s{i}") for i in range(len(names))],
-        *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}") for i, j in pairs],
-    ).first()
-    n, m = row["n"], len(others)
-    mean = np.array([row[f"s{i}"] for i in range(m + 1)]) / n
-    gram = np.zeros((m + 1, m + 1))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = row[f"p{i}_{j}"] / n - mean[i] * mean[j]
-    w = np.linalg.solve(gram[:m, :m] + ridge * np.eye(m), gram[:m, m]) if m else np.zeros(0)
-    b = mean[m] - w @ mean[:m]
-    fit = F.lit(float(b))
-    for c, x in zip(others, w):
-        fit = fit + F.lit(float(x)) * z[c]
+    z = [(col(c) - F.lit(stats[c]["mean"])) / F.lit(stats[c]["std_pop"]) for c in names]
+    products = pattern_products(work.where(~F.col(gap)), z, F.lit(0))
+    weights = _solved(products[0], len(names), ridge)
+    fit = F.lit(float(weights[0]))
+    for v, x in zip(z[:-1], weights[1:]):
+        fit = fit + F.lit(float(x)) * v
     return fit * F.lit(stats[target]["std_pop"]) + F.lit(stats[target]["mean"])
 
 
@@ -230,6 +240,21 @@ def zscore_bounds(df: DataFrame, cols: list[str] | None = None, z: float = 3.0)
     }
 
 
+def bounds_of_filled(filled: dict[str, Filled], rule: str, k: float = 1.5, z: float = 3.0) -> Bounds:
+    """The bounds of ``iqr_bounds`` or ``zscore_bounds`` for columns filled with their medians; quantiles are the quartiles."""
+    out = {}
+    for c, f in filled.items():
+        if not f.n or f.rows < MIN_VALUES:
+            continue
+        if rule == "iqr":
+            q1, q3 = f.quantiles
+            if q3 != q1:
+                out[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+        elif f.std:
+            out[c] = (f.mean - z * f.std, f.mean + z * f.std)
+    return out
+
+
 def clip_to(df: DataFrame, bounds: Bounds) -> DataFrame:
     """Values outside their bounds move to the bound; null stays null."""
     return replace_columns(df, {
@@ -265,38 +290,23 @@ def encode_binary(df: DataFrame, column: str) -> DataFrame:
         column: F.when(_text(column) == row["lo"], 0).when(_text(column) == row["hi"], 1)})
 
 
-def levels_of(df: DataFrame, cols: list[str], limit: int = 100) -> dict[str, list[str]]:
-    """Sorted distinct values as text of columns known to have few."""
-    row = df.agg(*[F.sort_array(F.collect_set(_text(c))).alias(f"l{i}")
-                   for i, c in enumerate(cols)]).first()
-    out = {c: row[f"l{i}"] for i, c in enumerate(cols)}
-    over = [c for c, v in out.items() if len(v) > limit]
-    if over:
-        raise ValueError(f"more than {limit} levels in {over}")
-    return out
-
-
 def encode_onehot(df: DataFrame, column: str, levels: list[str] | None = None) -> DataFrame:
     """One 0/1 column ``column_level`` per sorted level but the first; the column goes."""
     if levels is None:
         count = small_distinct_counts(df, [column])[column]
-        if count > 100:
+        if count > MOST_LEVELS:
             raise ValueError(f"{column} has too many levels for indicator columns: {count}")
-        levels = levels_of(df, [column])[column]
+        levels = TextValues(df, [column]).levels([column])[column]
     flags = [
         F.coalesce(_text(column) == F.lit(v), F.lit(False)).cast("int").alias(f"{column}_{v}")
         for v in levels[1:]]
     return df.select(*[col(c) for c in df.columns if c != column], *flags)
 
 
-def ordinal_levels(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+def ordinal_levels(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
     """(value, code) with codes 0.. in text order, and their size in bytes."""
-    levels = cut_lineage(df.where(col(column).isNotNull()).select(_text(column).alias("value"))
-                         .distinct().withColumn("one", F.lit(1)))
-    size = levels.agg(F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum(F.octet_length("value") + 32), F.lit(0)).alias("b")).first()
-    ranked = running_totals(levels, "value", {"rank": "one"}, rows=size["n"])
-    return ranked.select("value", (F.col("rank") - 1).cast("long").alias("code")), size["b"]
+    values = TextValues(df, [column])
+    return values.ranks(column, rows_per_bucket), values.bytes[column]
 
 
 def encode_ordinal(
@@ -317,14 +327,18 @@ def encode_ordinal(
     return done.select([col(c) for c in done.columns if c not in ("_value", "_code")])
 
 
-def encode_auto(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """By distinct values: at most 1 dropped, 2 to 0/1, up to 10 to indicators, else ranks."""
+def encode_auto(df: DataFrame, cols: list[str] | None = None, values: TextValues | None = None,
+                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """By distinct values: at most 1 dropped, 2 to 0/1, up to 10 to indicators, else ranks.
+
+    The values of all columns are counted, and ranked, together; pass ``values`` if they are counted already.
+    """
     cols = other_columns(df) if cols is None else cols
     if not cols:
         return df
-    counts = small_distinct_counts(df, cols, ONEHOT_MAX)
-    few = [c for c in cols if 2 <= counts[c] <= ONEHOT_MAX]
-    levels = levels_of(df, few) if few else {}
+    values = values or TextValues(df, cols)
+    counts = values.distinct
+    levels = values.levels([c for c in cols if 2 <= counts[c] <= ONEHOT_MAX])
     out: list[Column] = []
     added: list[Column] = []
     for c in df.columns:
@@ -339,10 +353,18 @@ def encode_auto(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     done = df.select(*out, *added)
     for c in cols:
         if counts[c] > ONEHOT_MAX:
-            done = encode_ordinal(done, c)
+            done = encode_ordinal(done, c, levels=values.ranks(c, rows_per_bucket), levels_bytes=values.bytes[c])
     return done
 
 
+def encode_codes(df: DataFrame, cols: dict[str, str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``{column: new column}``: integer code per sorted distinct value, all columns ranked together."""
+    values = TextValues(df, list(cols))
+    for c, new in cols.items():
+        df = encode_ordinal(df, c, levels=values.ranks(c, rows_per_bucket), levels_bytes=values.bytes[c], into=new)
+    return df
+
+
 # --- scaling ------------------------------------------------------------------
 
 class Scaling(NamedTuple):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from medlark.functions.stats import null_counts, small_distinct_counts
 from medlark.functions.types import (
     col, is_numeric, numeric_columns, other_columns, replace_columns, rows_from_struct,
 )
+from medlark.functions.values import hashed_distinct
 
 # Columns with no information, after name normalization.
 NOISE_COLUMNS = ["id", "unnamed:_0", "unnamed: 0", "unnamed:_32"]
@@ -117,11 +119,16 @@ def column_kinds(tables: dict[str, DataFrame]) -> DataFrame:
     return _per_column(tables, lambda f: {"kind": "numeric" if is_numeric(f.dataType) else "other"})
 
 
-def _per_column(tables: dict[str, DataFrame], describe) -> DataFrame:
-    """(table_name, column_name, described fields, n_values); one aggregate per table."""
+def _per_column(tables: dict[str, DataFrame], describe) -> DataFrame | None:
+    """(table_name, column_name, described fields, n_values); one aggregate per table over the columns that are described.
+
+    None if there is none; a table without any is not read.
+    """
     parts = []
     for name, df in tables.items():
-        fields = [(f, describe(f)) for f in df.schema.fields]
+        fields = [(f, d) for f in df.schema.fields if (d := describe(f))]
+        if not fields:
+            continue
         counts = df.agg(*[F.count(col(f.name)).alias(f"c{i}") for i, (f, _) in enumerate(fields)])
         structs = [
             F.struct(
@@ -132,10 +139,7 @@ def _per_column(tables: dict[str, DataFrame], describe) -> DataFrame:
             for i, (f, d) in enumerate(fields)
         ]
         parts.append(rows_from_struct(counts, structs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def pick_value_column(df: DataFrame, words: list[str] = SERIES_VALUE_WORDS) -> str:
@@ -235,7 +239,7 @@ def name_matches(name: str, words: list[str], match: str = "token") -> bool:
 
 
 def id_ratios(df: DataFrame, exact_from: float = 0.85) -> dict[str, float]:
-    """Distinct values over rows for text columns; exact for those the sketch puts near 0.95."""
+    """Distinct values over rows for text columns; by hashes for those the sketch puts near 0.95."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not text:
         return {}
@@ -247,8 +251,7 @@ def id_ratios(df: DataFrame, exact_from: float = 0.85) -> dict[str, float]:
     ratios = {c: min(1.0, row[f"d{i}"] / rows) for i, c in enumerate(text)}
     near = [c for c in text if ratios[c] >= exact_from]
     if near:
-        exact = df.agg(*[F.count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(near)]).first()
-        ratios.update({c: exact[f"d{i}"] / rows for i, c in enumerate(near)})
+        ratios.update({near[r["i"]]: r["n"] / rows for r in hashed_distinct(df, near).collect()})
     return ratios
 
 
@@ -271,9 +274,12 @@ def column_catalog(
     """(category, table_name, column_name, n_values), a column once per matching category."""
     def describe(f):
         found = [cat for cat, words in patterns.items() if name_matches(f.name, words, match)]
-        return {"categories": F.array(*[F.lit(c) for c in found]).cast("array<string>")}
+        return {"categories": F.array(*map(F.lit, found))} if found else None
 
     listed = _per_column(tables, describe)
+    if listed is None:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "category string, table_name string, column_name string, n_values long")
     return listed.select(F.explode("categories").alias("category"),
                          "table_name", "column_name", "n_values")
 

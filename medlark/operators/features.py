@@ -13,13 +13,13 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from medlark.functions.information import neighbour_information
 from medlark.functions.quantiles import exact_quantiles
 from medlark.functions.stats import column_stats
 from medlark.functions.types import col, numeric_columns, replace_columns
-from medlark.operators.clean import encode_ordinal
 from medlark.operators.columns import LABEL_CANDIDATES, detect_label
 
 # Fixed values of feature construction.
@@ -122,26 +122,23 @@ def mutual_information(df: DataFrame, label: str, cols: list[str], bins: int = 1
                 F.size(F.filter(cuts[F.col("feature")], lambda e: e < F.col("x"))).alias("bin"))
         .groupBy("feature", "bin", "y").agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = (
-        joint.groupBy("feature")
-        .agg(F.collect_list(F.struct("bin", "y", "n")).alias("cells"), F.sum("n").alias("total"))
-        .select("feature", "total", "cells", F.explode("cells").alias("c"))
-        .select(
-            "feature", "total", F.col("c.n").alias("n"),
-            F.aggregate(F.filter("cells", lambda o: o["bin"] == F.col("c.bin")), F.lit(0).cast("long"),
-                        lambda a, o: a + o["n"]).alias("nx"),
-            F.aggregate(F.filter("cells", lambda o: o["y"] == F.col("c.y")), F.lit(0).cast("long"),
-                        lambda a, o: a + o["n"]).alias("ny"))
-    )
+    # Windows over counted cells: of one bin, of one label, of one feature.
+    def whole(*by: str) -> Column:
+        return F.sum("n").over(Window.partitionBy("feature", *by))
+
+    rows = joint.select("feature", "n", whole("bin").alias("nx"), whole("y").alias("ny"), whole().alias("total"))
     term = F.col("n") / F.col("total") * F.log(F.col("n") * F.col("total") / (F.col("nx") * F.col("ny")))
     return rows.groupBy("feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias("mi"))
 
 
 def select_by_mi(df: DataFrame, label: str, cols: list[str] | None = None,
-                 k: int = KEEP_FEATURES, bins: int = 10) -> DataFrame:
-    """Label, other columns and the ``k`` columns with most information on the label."""
+                 k: int = KEEP_FEATURES, bins: int = 10, estimate: str = "bins") -> DataFrame:
+    """Label, other columns and the ``k`` columns with most information on the label, by ``bins`` or by ``neighbours``."""
     cols = [c for c in (cols or numeric_columns(df)) if c != label]
-    ranked = mutual_information(df, label, cols, bins).collect()
+    if estimate not in ("bins", "neighbours"):
+        raise ValueError(f"unknown estimate {estimate!r}")
+    found = mutual_information(df, label, cols, bins) if estimate == "bins" else neighbour_information(df, label, cols)
+    ranked = found.collect()
     ranked = sorted(ranked, key=lambda r: (-r["mi"], cols.index(r["feature"])))
     gone = set(cols) - {r["feature"] for r in ranked[:k]}
     return df.select([col(c) for c in df.columns if c not in gone])
@@ -217,10 +214,3 @@ def reduce_features(df: DataFrame, candidates: list[str] = LABEL_CANDIDATES,
     cols = [c for c in table.columns if c != label]
     done = pca(table, cols, n, keep=[label] if label else [])
     return Reduced(done.table, label, done.model, done.explained)
-
-
-def encode_codes(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """``{column: new column}``: integer code per sorted distinct value."""
-    for c, new in cols.items():
-        df = encode_ordinal(df, c, into=new)
-    return df

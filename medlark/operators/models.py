@@ -213,29 +213,32 @@ def soft_vote(models: dict[str, Transformer], df: DataFrame, at: float = VOTE_AT
 
 # --- metrics ------------------------------------------------------------------
 
-def _score_steps(scored: DataFrame, label: str, score_col: str, rows_per_bucket: int) -> DataFrame:
-    """One row per distinct score: ones and zeros at it and up to it."""
+def _score_steps(scored: DataFrame, label: str, scores: list[str], rows_per_bucket: int) -> DataFrame:
+    """One row per score column, by number, and distinct score: ones and zeros at it and up to it."""
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), col(s).cast("double").alias("threshold")) for i, s in enumerate(scores)])
     steps = (
-        scored.where(col(score_col).isNotNull() & col(label).isNotNull())
-        .groupBy(col(score_col).cast("double").alias("threshold"))
-        .agg(F.count_if(col(label) == 1).alias("pos"), F.count_if(col(label) != 1).alias("neg"))
+        scored.where(col(label).isNotNull()).select((col(label) == 1).alias("_one"), F.inline(cells))
+        .where(F.col("threshold").isNotNull()).groupBy("i", "threshold")
+        .agg(F.count_if("_one").alias("pos"), F.count_if(~F.col("_one")).alias("neg"))
     )
     return running_totals(steps, "threshold", {"cum_pos": "pos", "cum_neg": "neg"},
-                          rows_per_bucket=rows_per_bucket)
+                          rows_per_bucket=rows_per_bucket, group="i")
 
 
-def binary_metrics(scored: DataFrame, label: str = "label", score_col: str = "score",
-                   at: float = VOTE_AT, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """One row: rows, exact AUC with ties as halves, F1, precision and recall at ``at``."""
-    steps = _score_steps(scored, label, score_col, rows_per_bucket)
+def metrics_of_scores(scored: DataFrame, scores: list[str], label: str = "label", at: float = VOTE_AT,
+                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """(model, n_rows, auc, f1, precision, recall) per score column, all ranked together; AUC is exact, ties count half."""
+    steps = _score_steps(scored, label, scores, rows_per_bucket)
     hit = F.col("threshold") >= F.lit(at)
-    one = steps.agg(
+    one = steps.groupBy("i").agg(
         F.sum("pos").alias("p"), F.sum("neg").alias("n"),
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)).alias("wins"),
         F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"))
     zero = F.lit(0.0)
-    return one.select(
+    every = scored.sparkSession.range(len(scores)).select(F.col("id").cast("int").alias("i"))
+    return every.join(one, "i", "left").select(
+        F.get(F.array(*map(F.lit, scores)), F.col("i")).alias("model"),
         (F.col("p") + F.col("n")).alias("n_rows"),
         F.try_divide(F.col("wins"), F.col("p").cast("double") * F.col("n")).alias("auc"),
         F.coalesce(F.try_divide(F.lit(2.0) * F.col("tp"), F.col("p") + F.col("tp") + F.col("fp")),
@@ -245,10 +248,16 @@ def binary_metrics(scored: DataFrame, label: str = "label", score_col: str = "sc
         F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("p")), zero).alias("recall"))
 
 
+def binary_metrics(scored: DataFrame, label: str = "label", score_col: str = "score",
+                   at: float = VOTE_AT, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """One row: rows, exact AUC with ties as halves, F1, precision and recall at ``at``."""
+    return metrics_of_scores(scored, [score_col], label, at, rows_per_bucket).drop("model")
+
+
 def roc_points(scored: DataFrame, label: str = "label", score_col: str = "score",
                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """(threshold, fpr, tpr) with every distinct score as threshold; the curve starts at 0, 0."""
-    steps = _score_steps(scored, label, score_col, rows_per_bucket)
+    steps = _score_steps(scored, label, [score_col], rows_per_bucket)
     total = scored.where(col(score_col).isNotNull() & col(label).isNotNull()).agg(
         F.count_if(col(label) == 1).alias("p"), F.count_if(col(label) != 1).alias("n")).first()
 

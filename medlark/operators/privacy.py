@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medlark.functions.hashing import keyed_laplace, short_digest
+from medlark.functions.hashing import keyed_laplace, keyed_uniform, short_digest
 from medlark.functions.quantiles import exact_quantiles
 from medlark.functions.stats import column_stats, small_distinct_counts
 from medlark.functions.types import col, numeric_columns, replace_columns
@@ -86,19 +88,88 @@ class Release(NamedTuple):
         raise ValueError(f"unknown statistic {self.kind!r}")
 
 
+class BudgetSpent(ValueError):
+    """A release would spend more than what is left of the total."""
+
+
+class Ledger:
+    """What releases of one table have spent, kept as rows in a folder, so that later programs know of earlier ones.
+
+    A release is claimed before its figures are worked out. Claims count in the order in which they were made; one that
+    does not fit is refused and counts nothing. Of two claims made at once, both see both.
+    """
+
+    SCHEMA = "claim string, made timestamp, what string, eps double"
+
+    def __init__(self, spark: SparkSession, path: str, total: float):
+        self.spark, self.path, self.total = spark, path, total
+
+    def claims(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).option("pathGlobFilter", "*.parquet").parquet(self.path)
+
+    def spent(self) -> float:
+        return self._accepted()[1]
+
+    def _accepted(self) -> tuple[set[str], float]:
+        """Claims are as few as releases."""
+        try:
+            rows = self.claims().orderBy("made", "claim").collect()
+        except AnalysisException:
+            rows = []
+        held, spent = set(), 0.0
+        for r in rows:
+            if spent + r["eps"] <= self.total * (1 + 1e-9):
+                held.add(r["claim"])
+                spent += r["eps"]
+        return held, spent
+
+    def claim(self, what: str, eps: float) -> None:
+        """Spend ``eps``, or raise :class:`BudgetSpent`."""
+        if not eps > 0:
+            raise ValueError("a release costs more than nothing")
+        name = uuid.uuid4().hex
+        row = self.spark.range(1).select(F.lit(name).alias("claim"), F.current_timestamp().alias("made"),
+                                         F.lit(what).alias("what"), F.lit(float(eps)).alias("eps"))
+        row.coalesce(1).write.mode("append").parquet(self.path)
+        held, spent = self._accepted()
+        if name not in held:
+            raise BudgetSpent(f"{what} costs {eps}, {self.total - spent} of {self.total} are left")
+
+
+def bounded_rows(df: DataFrame, person: list[str], most_rows: int, key: list[str], salt: str) -> DataFrame:
+    """At most ``most_rows`` rows of a person, the first in an order drawn by key; a task passes on no more than these.
+
+    Null persons are one person.
+    """
+    order = Window.partitionBy(*[col(p) for p in person]).orderBy(
+        keyed_uniform(*[col(k) for k in key], salt=salt), *[col(k) for k in key])
+    ranked = df.select("*", F.row_number().over(order).alias("_turn")).where(F.col("_turn") <= most_rows)
+    return ranked.select([col(c) for c in df.columns])
+
+
 def dp_aggregate(df: DataFrame, by: list[str], aggs: dict[str, Release], salt: str,
-                 eps: float = EPSILON) -> DataFrame:
+                 eps: float = EPSILON, person: list[str] | None = None, most_rows: int = 1,
+                 key: list[str] | None = None, ledger: Ledger | None = None) -> DataFrame:
     """Noisy counts and sums per group. ``eps`` is split evenly over the statistics.
 
-    A person may add one row. Which groups exist is not hidden; publish groups
-    from a fixed list where that matters.
+    With ``person``, at most ``most_rows`` rows of each one count (a draw by ``key``), and the noise covers so many; without,
+    the table must have one row per person. A ``ledger`` is charged first and refuses what goes beyond its total. Which
+    groups exist is not hidden; publish groups from a fixed list where that matters.
     """
+    if person is None and most_rows != 1:
+        raise ValueError("rows of a person can be bounded only if the person is known")
+    if person is not None:
+        if not key:
+            raise ValueError("the rows of a person are drawn by a key")
+        df = bounded_rows(df, person, most_rows, key, salt)
+    if ledger is not None:
+        ledger.claim(f"{', '.join(aggs)} by {', '.join(by)}", eps)
     share = eps / len(aggs)
     grouped = df.groupBy(*[col(b) for b in by]).agg(
         *[r.expression().alias(name) for name, r in aggs.items()])
     return replace_columns(grouped, {
         name: col(name) + keyed_laplace(*[col(b) for b in by], F.lit(name), salt=salt,
-                                        scale=r.sensitivity / share)
+                                        scale=most_rows * r.sensitivity / share)
         for name, r in aggs.items()})
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medlark.functions.quantiles import exact_quantiles
+from medlark.functions.moments import pair_moments
+from medlark.functions.quantiles import profile
 from medlark.functions.stats import adjusted_skew
 from medlark.functions.types import col, numeric_columns, rows_from_struct
+from medlark.functions.values import hashed_distinct
 
 UNKNOWN = "Unknown"
-_PAIRS_PER_JOB = 300
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
@@ -33,7 +35,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
 def distinct_profile(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """(column_name, n_distinct) of non-null values.
 
-    Exact counts fold equal values before the shuffle; ``exact=False`` uses
+    Values are told apart by 128 bits of hash, and only hashes are exchanged; ``exact=False`` uses
     sketches and shuffles nothing but those.
     """
     cols = cols or df.columns
@@ -43,32 +45,19 @@ def distinct_profile(df: DataFrame, cols: list[str] | None = None, exact: bool =
         return rows_from_struct(one, [
             F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n_distinct"))
             for i, c in enumerate(cols)])
-    one = df.agg(*[F.count_distinct(col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
-    return rows_from_struct(one, [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n_distinct"))
-        for i, c in enumerate(cols)])
+    names = F.array(*map(F.lit, cols))
+    return hashed_distinct(df, cols).select(F.get(names, F.col("i")).alias("column_name"), F.col("n").alias("n_distinct"))
 
 
 def numeric_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Count, range, mean, sample std and variance, exact quartiles and adjusted skew."""
     cols = cols or numeric_columns(df)
-    quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-    parts = {
-        "n": F.count, "min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_samp,
-        "var": F.var_samp, "skew": adjusted_skew,
-    }
-    one = df.agg(*[
-        f(col(c)).alias(f"{p}{i}") for i, c in enumerate(cols) for p, f in parts.items()])
-    structs = []
-    for i, c in enumerate(cols):
-        fields = [F.lit(c).alias("column_name")]
-        for p in parts:
-            v = F.col(f"{p}{i}")
-            fields.append((v if p == "n" else v.cast("double")).alias(p))
-        fields += [F.lit(v).cast("double").alias(q)
-                   for q, v in zip(("q1", "median", "q3"), quartiles[c])]
-        structs.append(F.struct(*fields))
-    return rows_from_struct(one, structs)
+    parts = {"min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_samp, "var": F.var_samp, "skew": adjusted_skew}
+    found = profile(df, {c: col(c) for c in cols}, [0.25, 0.5, 0.75], parts)
+    rows = [(c, n, *[None if told[p] is None else float(told[p]) for p in parts], *quartiles)
+            for c, (n, quartiles, told) in found.items()]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, n long, " + ", ".join(f"{p} double" for p in [*parts, "q1", "median", "q3"]))
 
 
 def mode_of(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -97,20 +86,15 @@ def label_rate(df: DataFrame, label: str, by: list[str] = ()) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(a, b, r): Pearson correlation of every pair once, over rows where both have values."""
+    """(a, b, r): Pearson correlation of every pair once, over rows where both have values, from one scan.
+
+    Null where a pair has no two rows or one side has no spread over them.
+    """
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(cols, 2))
-    out = None
-    for start in range(0, len(pairs), _PAIRS_PER_JOB):
-        part = pairs[start:start + _PAIRS_PER_JOB]
-        one = df.agg(*[
-            F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}")
-            for i, (a, b) in enumerate(part)])
-        rows = rows_from_struct(one, [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(part)])
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    r = pair_moments(df, [col(c) for c in cols]).correlation()
+    rows = [(cols[i], cols[j], None if math.isnan(r[i, j]) else float(r[i, j]))
+            for i, j in combinations(range(len(cols)), 2)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def group_size_profile(df: DataFrame, by: list[str | Column], k: int = 5) -> DataFrame:

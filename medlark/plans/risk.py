@@ -55,18 +55,18 @@ def train_risk_models(
         "logistic": models.balanced_logistic(features),
     }
     check = {n: p.fit(fit_on) for n, p in plans.items()}
-    best = max(
-        [*check, "vote"],
-        key=lambda n: _metrics(models.soft_vote(check, check_on), n, check).first()["auc"] or 0.0)
+    found = {r["model"]: r["auc"] or 0.0 for r in _metrics(models.soft_vote(check, check_on), check).collect()}
+    best = max([*check, "vote"], key=lambda n: found[n])
     fitted = {n: p.fit(train) for n, p in plans.items()}
     scored = models.soft_vote(fitted, test)
-    metrics = reduce(DataFrame.unionByName, [_metrics(scored, n, fitted) for n in [*fitted, "vote"]])
-    return RiskRun(fitted, scored, metrics, best)
+    return RiskRun(fitted, scored, _metrics(scored, fitted), best)
 
 
-def _metrics(scored: DataFrame, name: str, fitted: dict) -> DataFrame:
-    score = f"score_{name}" if name in fitted else "vote_score"
-    return models.binary_metrics(scored, "label", score).withColumn("model", F.lit(name))
+def _metrics(scored: DataFrame, fitted: dict) -> DataFrame:
+    """Metrics of every model and of their vote; the scores are worked out once and stored."""
+    columns = {f"score_{n}": n for n in fitted} | {"vote_score": "vote"}
+    stored = cut_lineage(scored.select("label", *columns))
+    return models.metrics_of_scores(stored, list(columns)).replace(columns, subset=["model"])
 
 
 class StayRun(NamedTuple):

@@ -77,6 +77,41 @@ def impute_mice(spark, d):
     return rounded(clean.impute_mice(t, ["l_quantity", "l_discount", "l_tax"]), 8, "l_tax")
 
 
+def _round_sql(k: int, target: str, other: str, gap: str) -> str:
+    """One column's regression on ``q`` and the other, over the rows that have it, and its new fills."""
+    last = f"f{k - 1}"
+    return f"""w{k} AS (
+  SELECT avg({target}) AS m, avg(q) AS mq, avg({other}) AS mo,
+         (covar_pop(q, {target}) * var_pop({other}) - covar_pop({other}, {target}) * covar_pop(q, {other}))
+           / (var_pop(q) * var_pop({other}) - covar_pop(q, {other}) * covar_pop(q, {other})) AS wq,
+         (covar_pop({other}, {target}) * var_pop(q) - covar_pop(q, {target}) * covar_pop(q, {other}))
+           / (var_pop(q) * var_pop({other}) - covar_pop(q, {other}) * covar_pop(q, {other})) AS wo
+  FROM {last} WHERE NOT {gap}),
+f{k} AS MATERIALIZED (
+  SELECT {last}.* REPLACE (CASE WHEN {gap} THEN m + wq * (q - mq) + wo * ({other} - mo) ELSE {target} END AS {target})
+  FROM {last}, w{k})"""
+
+
+@query("impute_mice_rounds", f"""
+WITH lm AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS q,
+         CASE WHEN (l_orderkey + l_linenumber) % 8 <> 0 THEN l_extendedprice END AS t,
+         CASE WHEN (l_orderkey + l_partkey) % 5 <> 0 THEN l_discount END AS d FROM lineitem),
+f0 AS (SELECT l_orderkey, l_linenumber, l_partkey, q, t IS NULL AS no_t, d IS NULL AS no_d,
+              coalesce(t, (SELECT avg(t) FROM lm)) AS t, coalesce(d, (SELECT avg(d) FROM lm)) AS d FROM lm),
+{_round_sql(1, 't', 'd', 'no_t')}, {_round_sql(2, 'd', 't', 'no_d')},
+{_round_sql(3, 't', 'd', 'no_t')}, {_round_sql(4, 'd', 't', 'no_d')}
+SELECT l_orderkey, l_linenumber, l_partkey, q AS l_quantity, round(t, 2) AS l_extendedprice, round(d, 6) AS l_discount FROM f4""")
+def impute_mice_rounds(spark, d):
+    """Two incomplete columns, two rounds of both."""
+    t = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 8 != 0, F.col("l_extendedprice")).alias("l_extendedprice"),
+        F.when((F.col("l_orderkey") + F.col("l_partkey")) % 5 != 0, F.col("l_discount")).alias("l_discount"))
+    filled = clean.impute_mice(t, ["l_quantity", "l_extendedprice", "l_discount"], iters=2, tol=0.0)
+    return rounded(rounded(filled, 2, "l_extendedprice"), 6, "l_discount")
+
+
 @query("impute_auto", f"""
 WITH {LINEITEM_MASKED},
 w AS (SELECT covar_pop(l_quantity, l_tax) / var_pop(l_quantity) AS slope, avg(l_quantity) AS mq,
@@ -175,33 +210,87 @@ def scale_minmax(spark, d):
     return rounded(clean.scale_minmax(t, NUMBERS), 9, *NUMBERS)
 
 
-@query("clean_table", f"""
+_MODE = """coalesce(event_type, (SELECT event_type FROM u WHERE event_type IS NOT NULL
+                               GROUP BY 1 ORDER BY count(*) DESC, event_type LIMIT 1)) AS event_type"""
+_FILLS = {
+    "median": f"""filled AS (
+  SELECT event_id, user_id * 1.0::DOUBLE AS user_id, coalesce(value, (SELECT quantile_cont(value, 0.5) FROM u)) AS value, {_MODE}
+  FROM u)""",
+    "mice": f"""w AS (SELECT covar_pop(user_id, value) / var_pop(user_id) AS slope, avg(user_id) AS mu, avg(value) AS mv
+  FROM u WHERE value IS NOT NULL),
+filled AS (
+  SELECT event_id, user_id * 1.0::DOUBLE AS user_id, coalesce(value, mv + slope * (user_id - mu)) AS value, {_MODE} FROM u, w)""",
+    "knn": f"""near AS (
+  SELECT k, avg(v) AS v FROM (
+    SELECT r.event_id AS k, o.value AS v, row_number() OVER (
+      PARTITION BY r.event_id ORDER BY (r.user_id - o.user_id) * (r.user_id - o.user_id), o.event_id) AS rn
+    FROM u r JOIN u o ON r.value IS NULL AND o.value IS NOT NULL) WHERE rn <= 5 GROUP BY k),
+filled AS (
+  SELECT event_id, user_id * 1.0::DOUBLE AS user_id, coalesce(value, v) AS value, {_MODE} FROM u LEFT JOIN near ON k = event_id)""",
+}
+
+
+def _zbounds(c: str) -> str:
+    return f"avg({c}) - 3 * stddev_samp({c}) AS {c}_lo, avg({c}) + 3 * stddev_samp({c}) AS {c}_hi"
+
+
+def _standard_of(c: str) -> str:
+    return f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}"
+
+
+def _minmax_of(c: str) -> str:
+    return f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) AS {c}"
+
+
+def _clean_sql(fill: str, bounds=_bounds, scale=_standard_of) -> str:
+    return f"""
 WITH {EVENTS_MASKED},
 u AS (SELECT event_id, user_id, event_type, value FROM em),
-filled AS (
-  SELECT event_id, user_id * 1.0::DOUBLE AS user_id,
-         coalesce(value, (SELECT quantile_cont(value, 0.5) FROM u)) AS value,
-         coalesce(event_type, (SELECT event_type FROM u WHERE event_type IS NOT NULL
-                               GROUP BY 1 ORDER BY count(*) DESC, event_type LIMIT 1)) AS event_type
-  FROM u),
-b AS (SELECT {_bounds('user_id')}, {_bounds('value')} FROM filled),
+{_FILLS[fill]},
+b AS (SELECT {bounds('user_id')}, {bounds('value')} FROM filled),
 cut AS (SELECT event_id, event_type,
                CASE WHEN user_id_hi > user_id_lo
                     THEN least(greatest(user_id, user_id_lo), user_id_hi) ELSE user_id END AS user_id,
                CASE WHEN value_hi > value_lo
                     THEN least(greatest(value, value_lo), value_hi) ELSE value END AS value
-        FROM filled, b)
-SELECT event_id,
-       round((user_id - avg(user_id) OVER ()) / stddev_pop(user_id) OVER (), 8) + 0.0 AS user_id,
-       round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 8) + 0.0 AS value,
+        FROM filled, b),
+done AS (SELECT event_id, event_type, {scale('user_id')}, {scale('value')} FROM cut)
+SELECT event_id, round(user_id, 7) + 0.0 AS user_id, round(value, 7) + 0.0 AS value,
        CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS event_type_error,
        CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS event_type_purchase,
        CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS event_type_signup,
        CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS event_type_view
-FROM cut""")
-def clean_table(spark, d):
+FROM done"""
+
+
+def messy_events(spark, d):
     e = events_masked(spark, d).select(
         F.col("event_id").alias("Event ID"), F.col("user_id").alias(" User_ID"), "event_type",
         "value", "sparse", "empty", F.lit("same").alias("constant"), F.lit(1).alias("id"))
-    twice = e.unionByName(e.where(F.col("Event ID") % 10 == 0))
-    return rounded(clean_plan(twice, keep=["event_id"], impute="median"), 8, "user_id", "value")
+    return e.unionByName(e.where(F.col("Event ID") % 10 == 0))
+
+
+def _cleaned(spark, d, **how):
+    done = clean_plan(messy_events(spark, d), keep=["event_id"], **how)
+    done = rounded(done, 7, "user_id", "value")
+    return done.withColumns({c: F.col(c) + F.lit(0.0) for c in ("user_id", "value")})
+
+
+@query("clean_table", _clean_sql("median"))
+def clean_table(spark, d):
+    return _cleaned(spark, d, impute="median")
+
+
+@query("clean_table_mice", _clean_sql("mice", _zbounds))
+def clean_table_mice(spark, d):
+    return _cleaned(spark, d, impute="mice", outliers="zscore")
+
+
+@query("clean_table_knn", _clean_sql("knn", _bounds, _minmax_of))
+def clean_table_knn(spark, d):
+    return _cleaned(spark, d, impute="knn", key="event_id", scaling="minmax")
+
+
+@query("clean_table_zscore_minmax", _clean_sql("median", _zbounds, _minmax_of))
+def clean_table_zscore_minmax(spark, d):
+    return _cleaned(spark, d, impute="median", outliers="zscore", scaling="minmax")

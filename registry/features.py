@@ -5,7 +5,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlark.operators import features
+from medlark.functions.information import digamma_sql
+from medlark.operators import clean, features
 from medlark.plans import fusion
 from registry.base import query, rounded, table
 
@@ -108,6 +109,34 @@ def mutual_information(spark, d):
     return rounded(features.mutual_information(text_features(spark, d), "quality", TEXT), 9, "mi")
 
 
+def _neighbours_sql(c: str) -> str:
+    """Every row against every other one, value by value."""
+    return f"""
+SELECT '{c}' AS feature, round(greatest(0, {digamma_sql('count(*)')} + avg({digamma_sql('k')} - {digamma_sql('of_label')}
+       - {digamma_sql('near')})), 9) AS mi FROM (
+  SELECT a.doc_id, any_value(a.k) AS k, any_value(a.of_label) AS of_label,
+         count(*) FILTER (WHERE CASE WHEN far = 0 THEN abs(b.x - a.x) <= 0 ELSE abs(b.x - a.x) < far END) AS near
+  FROM (SELECT p.doc_id, any_value(p.x) AS x, any_value(p.k) AS k, any_value(p.of_label) AS of_label,
+               list_sort(list(abs(o.x - p.x)))[any_value(p.k)] AS kth,
+               greatest(kth - 1e-12::DOUBLE * (abs(any_value(p.x)) + kth), 0) AS far
+        FROM p_{c} p JOIN p_{c} o ON o.y = p.y AND o.doc_id <> p.doc_id GROUP BY p.doc_id) a
+  CROSS JOIN p_{c} b GROUP BY a.doc_id)"""
+
+
+def _points_sql(c: str) -> str:
+    return f"""p_{c} AS (SELECT doc_id, quality AS y, CAST({c} AS DOUBLE) AS x, count(*) OVER (PARTITION BY quality) AS of_label,
+  least(3, count(*) OVER (PARTITION BY quality) - 1) AS k FROM tf)"""
+
+
+NEAR = ["n_chars", "n_digits"]
+
+
+@query("neighbour_information", f"WITH {TEXT_SQL}, {', '.join(map(_points_sql, NEAR))} "
+                                + " UNION ALL ".join(f"SELECT * FROM ({_neighbours_sql(c)})" for c in NEAR))
+def neighbour_information(spark, d):
+    return rounded(features.neighbour_information(text_features(spark, d), "quality", NEAR), 9, "mi")
+
+
 @query("select_by_mi", f"""
 WITH mi AS ({MI_SQL}), top AS (SELECT feature FROM mi ORDER BY mi DESC, feature LIMIT 2),
 {TEXT_SQL}
@@ -173,5 +202,5 @@ SELECT o_orderkey, o_orderpriority, o_orderstatus,
        dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS status_code FROM orders""")
 def encode_codes(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    return features.encode_codes(
+    return clean.encode_codes(
         o, {"o_orderpriority": "priority_code", "o_orderstatus": "status_code"})

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -8,6 +7,7 @@ from pyspark.sql import functions as F
 from medlark.functions.stats import column_stats
 from medlark.functions.storage import cut_lineage, scratch_path
 from medlark.operators import models
+from medlark.operators.contributions import contribution_importance
 from medlark.plans.risk import train_risk_models, train_stay_model
 from registry.base import day, query, rounded, table, uniform_sql
 from registry.features import TEXT, TEXT_SQL, text_features
@@ -139,9 +139,7 @@ METRICS = ["auc", "f1", "precision", "recall"]
 
 
 def metrics(spark, d) -> DataFrame:
-    t = cut_lineage(scored(spark, d))
-    return reduce(DataFrame.unionByName, [
-        models.binary_metrics(t, "label", s).withColumn("model", F.lit(s)) for s in SCORES])
+    return models.metrics_of_scores(scored(spark, d), SCORES)
 
 
 @query("binary_metrics", f"WITH {SCORED_SQL} {METRICS_SQL}")
@@ -190,6 +188,20 @@ def feature_importance(spark, d):
     return models.feature_importance(models.balanced_logistic(TEXT).fit(t), t, TEXT)
 
 
+@query("tree_contributions", """
+WITH t AS (SELECT l_extendedprice AS y, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS large FROM lineitem),
+g AS (SELECT large, avg(y) AS m, count(*) AS n FROM t GROUP BY large)
+SELECT 'large' AS feature, round(sum(n * abs(m - (SELECT avg(y) FROM t))) / sum(n), 4) AS importance FROM g
+UNION ALL SELECT 'returned', 0.0::DOUBLE""")
+def tree_contributions(spark, d):
+    """One tree of one split: the mean absolute contribution of the column that it splits, and of the one it does not."""
+    t = cut_lineage(table(spark, d, "lineitem").select(
+        F.col("l_extendedprice").alias("label"), (F.col("l_quantity") > 25).cast("int").alias("large"),
+        (F.col("l_returnflag") == "R").cast("int").alias("returned")))
+    fitted = models.boosted_trees_regressor(["large", "returned"], trees=1, depth=1).fit(t)
+    return rounded(contribution_importance(fitted, t, ["large", "returned"]), 4, "importance")
+
+
 @query("expanding_folds", f"""
 WITH r AS (SELECT o_orderkey, o_orderdate, count(*) OVER () AS n,
              row_number() OVER (ORDER BY o_orderdate, {uniform_sql('42', 'o_orderkey')}) - 1 AS i

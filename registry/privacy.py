@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from medlark.functions.storage import scratch_path
 from medlark.operators import privacy
 from medlark.operators.privacy import Release
 from medlark.plans.protection import protect_table as protect_plan
@@ -55,6 +56,20 @@ def dp_aggregate(spark, d):
     return rounded(rounded(noisy, 4, "people"), 2, "balance")
 
 
+@query("dp_bounded", f"""
+WITH drawn AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {uniform_sql(SALT, 'event_id')}, event_id) AS turn FROM events)
+SELECT event_type, round(n + {noise_sql(6.0, 'event_type', "'events'")}, 4) AS events,
+       round(s + {noise_sql(600.0, 'event_type', "'value'")}, 2) AS value
+FROM (SELECT event_type, count(*) AS n, sum(least(greatest(value, 0.0), 100.0)) AS s FROM drawn WHERE turn <= 3 GROUP BY 1)""")
+def dp_bounded(spark, d):
+    """At most three events of a user count, and the release is charged to a ledger."""
+    ledger = privacy.Ledger(spark, scratch_path(spark, "ledger"), 1.0)
+    noisy = privacy.dp_aggregate(
+        table(spark, d, "events"), ["event_type"], {"events": Release("count"), "value": Release("sum", "value", 0.0, 100.0)},
+        SALT, person=["user_id"], most_rows=3, key=["event_id"], ledger=ledger)
+    return rounded(rounded(noisy, 4, "events"), 2, "value")
+
+
 def _customers(spark, d):
     return table(spark, d, "customer").withColumn("solvent", (F.col("c_acctbal") > 0).cast("int"))
 

@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medlark.operators import series
+from medlark.functions.storage import scratch_path
 from medlark.plans.trends import series_alerts
+from medlark.streaming.stateful import keep_alerts, latest_alerts, stateful_alerts
 from registry.base import day, query, rounded, table
 from registry.sql import ALERTS_SQL, CUSUM_SQL, DAILY_SQL, MONTHLY_SQL
 
@@ -85,17 +87,32 @@ def cusum_anomalies(spark, d):
     return _shown(alerts_by_type(spark, d), "event_type", "period", "idx", "value", "type")
 
 
-@query("series_alerts", f"""
+SERIES_ALERTS_SQL = f"""
 WITH {ALERTS_SQL}
 SELECT event_type, n_points, coalesce(up, 0) AS n_up, coalesce(down, 0) AS n_down
 FROM (SELECT event_type, count(*) AS n_points FROM daily GROUP BY 1)
 LEFT JOIN (SELECT event_type, count(*) FILTER (WHERE type = 'upward_spike') AS up,
                   count(*) FILTER (WHERE type = 'downward_drop') AS down
-           FROM alerts GROUP BY 1) USING (event_type)""")
+           FROM alerts GROUP BY 1) USING (event_type)"""
+
+
+@query("series_alerts", SERIES_ALERTS_SQL)
 def flagship(spark, d):
     return series_alerts(table(spark, d, "events"), BY, "ts", "value", threshold=1.5)
 
 
+@query("stateful_alerts", SERIES_ALERTS_SQL)
+def stateful(spark, d):
+    """Events in five files, one a batch, folded into the state of a streaming query."""
+    source, out, progress = (scratch_path(spark, n) for n in ("events", "alerts", "progress"))
+    events = table(spark, d, "events")
+    # Dealt by a hash, so every file has events of all days: late ones throughout.
+    events.repartition(5, F.xxhash64("event_id")).write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    keep_alerts(stateful_alerts(stream, BY, "ts", "value", threshold=1.5), out, progress).awaitTermination()
+    return latest_alerts(spark, out, BY)
+
+
 TREND_SQL = f"""{MONTHLY_SQL},
 raw AS (SELECT *, CASE WHEN count(*) OVER w = 12 THEN avg(value) OVER w END AS m
         FROM monthly WINDOW w AS (PARTITION BY o_orderpriority ORDER BY period

@@ -9,9 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from medlark.functions import joins
+from medlark.functions import information, joins, moments, neighbours, ranking, values
 from medlark.functions.hashing import keyed_laplace, keyed_uniform
-from medlark.functions.quantiles import exact_quantiles, order_statistics
+from medlark.functions.quantiles import exact_quantiles, filled_with_median, order_statistics
 from medlark.functions.ranking import running_totals
 from medlark.functions.stats import column_stats, small_distinct_counts
 
@@ -162,3 +162,131 @@ def test_extremes_keep_their_type_at_any_width(spark, columns):
     got = column_stats(df, df.columns, ["n", "min", "max", "mean"])
     assert got["c0"]["min"] == big and got["c1"]["max"] == big + 2 and got["half"]["max"] == 1.0
     assert got["dec"]["max"] == big + 2 and got["dec"]["n"] == 3 and got["half"]["mean"] == 0.5
+
+
+# --- merged blocks, trees of cells, ranges ------------------------------------
+
+def test_pair_moments_are_pairwise_complete(spark):
+    rng = np.random.default_rng(3)
+    data = rng.normal(1e6, 1.0, (900, 5)) @ rng.normal(size=(5, 5))
+    data[rng.random(data.shape) < 0.3] = np.nan
+    data[:, 4] = np.where(np.arange(900) < 5, 3.0, np.nan)
+    names = [f"c{i}" for i in range(5)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and j % 2 else float(v) for j, v in enumerate(r)) for r in data],
+                               ", ".join(f"{n} double" for n in names)).repartition(7)
+    got = moments.pair_moments(df, [F.col(n) for n in names])
+    r = got.correlation()
+    for i in range(5):
+        for j in range(5):
+            both = ~np.isnan(data[:, i]) & ~np.isnan(data[:, j])
+            assert got.n[i, j] == both.sum()
+            x, y = data[both, i], data[both, j]
+            if len(x) > 1 and x.std() and y.std():
+                assert r[i, j] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-9)
+                assert got.var[i, j] == pytest.approx(((x - x.mean()) ** 2).sum(), rel=1e-8)
+            else:
+                assert np.isnan(r[i, j])
+    empty = moments.pair_moments(df.limit(0), [F.col("c0"), F.col("c1")])
+    assert empty.n.sum() == 0 and np.isnan(empty.correlation()).all()
+
+
+@pytest.mark.parametrize("cell_rows", [1, 8])
+def test_cells_left_out_hold_no_neighbour(spark, cell_rows):
+    """Few of all pairs are looked at, also where values are spread out and every row is a point of its own."""
+    rng = np.random.default_rng(5)
+    rows = [(i, *[None if rng.random() < 0.1 else float(v) for v in rng.normal(0, s, 1).tolist() * 1], None if i % 20 == 0 else float(i % 91))
+            for i, s in enumerate(rng.choice([1.0, 30.0], 4000))]
+    rows = [(i, a, float(rng.normal()) if i % 7 else None, c) for i, a, c in rows]
+    df = spark.createDataFrame(rows, "key int, v0 double, v1 double, v2 double").repartition(4)
+    tree = neighbours.CellTree(df, ["v0", "v1", "v2"], 5, cell_rows)
+    asking = df.where("v0 is null or v1 is null or v2 is null").withColumn("r", F.col("key").cast("long"))
+    queries = asking.select("r", "v0", "v1", "v2", F.explode(F.array_compact(F.array(*[
+        F.when(F.col(f"v{i}").isNull(), F.lit(i)) for i in range(3)]))).alias("j"))
+    assert tree.pairs(queries).count() < 0.1 * queries.count() * df.count()
+
+
+@pytest.mark.parametrize("names", [["l_quantity", "l_discount", "l_tax"], ["l_quantity", "l_extendedprice", "l_tax"]])
+def test_few_pairs_of_a_large_table_are_looked_at(spark, names):
+    lines = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    at = (F.col("l_orderkey") + F.col("l_linenumber")) % 8
+    rows = lines.select(F.monotonically_increasing_id().alias("key"), *[
+        (F.when(at != 0, F.col(c)) if c == "l_tax" else F.col(c)).alias(f"v{i}") for i, c in enumerate(names)])
+    asking = rows.where("v2 is null").select("v0", "v1", "v2").distinct().withColumn("r", F.monotonically_increasing_id())
+    tree = neighbours.CellTree(rows, ["v0", "v1", "v2"], 5)
+    pairs = tree.pairs(asking.withColumn("j", F.lit(2))).count()
+    receivers = rows.where("v2 is null").count()
+    assert 0 < pairs < 0.05 * receivers * (rows.count() - receivers)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000, 40])
+def test_running_totals_of_many_columns(spark, rows_per_bucket):
+    rows = [(g, f"{v:05d}", (v * 7) % 5, v / 4) for g in range(3) for v in range(0, 900 // (g + 1))]
+    df = spark.createDataFrame(rows, "g int, v string, n int, w double").repartition(6)
+    got = running_totals(df, "v", {"upto": "n", "weight": "w"}, rows_per_bucket=rows_per_bucket, group="g").collect()
+    want = {}
+    for g, v, n, w in sorted(rows):
+        last = want.get((g, "last"), (0, 0.0))
+        want[g, v] = want[g, "last"] = (last[0] + n, last[1] + w)
+    assert len(got) == len(rows) and all((r["upto"], r["weight"]) == want[r["g"], r["v"]] for r in got)
+
+
+def test_offsets_over_thousands_of_parts(spark):
+    df = spark.range(5000).select(F.lit(0).alias("g"), F.col("id").alias("p"), F.col("id").alias("n"))
+    got = ranking._offsets(df, "g", "p", {"n": "n"}).collect()
+    assert len(got) == 5000 and all(r["_before_n"] == r["p"] * (r["p"] - 1) // 2 for r in got)
+
+
+def test_no_text_is_exchanged_to_count_distinct_values(spark):
+    df = spark.createDataFrame([("a" * 50, 0.0, [1], None), ("b" * 50, -0.0, [1], None), ("a" * 50, float("nan"), None, None),
+                                (None, float("nan"), [2, None], None)], "words string, d double, l array<int>, e string")
+    found = values.hashed_distinct(df, df.columns)
+    assert {r["i"]: r["n"] for r in found.collect()} == {0: 2, 1: 2, 2: 2, 3: 0}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan and not any(
+        "words#" in line for line in plan.splitlines() if "Exchange" in line or "HashAggregate" in line)
+
+
+@pytest.mark.parametrize("missing", [None, {"x": 0.3, "y": 0.0}])
+def test_quartiles_of_a_filled_column_without_filling_it(spark, missing):
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 3, 10, 11, 200, 2001):
+        x = [None if n > 2 and rng.random() < 0.3 else float(v) for v in rng.integers(0, 40, n)]
+        df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(x)], "x double, y double").repartition(3)
+        got = filled_with_median(df, ["x", "y"], [0.25, 0.75], missing, pick_limit=20)
+        for name, have in (("x", x), ("y", list(map(float, range(n))))):
+            known = np.array([v for v in have if v is not None])
+            if not len(known):
+                assert got[name].n == 0
+                continue
+            full = np.array([np.median(known) if v is None else v for v in have])
+            assert got[name].median == np.median(known)
+            assert got[name].quantiles == pytest.approx(np.quantile(full, [0.25, 0.75]).tolist())
+            assert got[name].mean == pytest.approx(full.mean())
+            assert n < 2 or got[name].std == pytest.approx(full.std(ddof=1))
+
+
+@pytest.mark.parametrize("rows_per_bucket", [500_000, 20])
+def test_neighbour_information_by_hand(spark, rows_per_bucket):
+    rng = np.random.default_rng(2)
+    y = rng.integers(0, 3, 300).tolist() + [7, None, 9, 9]
+    x = [float(v) for v in np.round(rng.normal(0, 3, 300) + np.array(y[:300]), 1)] + [0.5, 1.0, 2.0, None]
+    z = rng.normal(size=304).tolist()
+    df = spark.createDataFrame(list(zip(y, x, z)), "y int, x double, z double").repartition(5)
+    got = {r["feature"]: r["mi"] for r in information.neighbour_information(df, "y", ["x", "z"], rows_per_bucket=rows_per_bucket).collect()}
+
+    def psi(n):
+        return -0.5772156649015329 + sum(1 / i for i in range(1, n))
+
+    for name, v in (("x", x), ("z", z)):
+        rows = [(a, b or 0.0) for a, b in zip(y, v) if a is not None]
+        size = Counter(a for a, _ in rows)
+        rows = [r for r in rows if size[r[0]] > 1]
+        total = 0.0
+        for i, (a, b) in enumerate(rows):
+            k = min(3, size[a] - 1)
+            far = sorted(abs(d - b) for j, (c, d) in enumerate(rows) if c == a and j != i)[k - 1]
+            near = sum(abs(d - b) < far - 1e-9 if far > 1e-9 else d == b for _, d in rows)
+            total += psi(k) - psi(size[a]) - psi(near)
+        assert got[name] == pytest.approx(max(0.0, psi(len(rows)) + total / len(rows)), abs=1e-9)
+    none = information.neighbour_information(df.limit(0), "y", ["x"]).collect()
+    assert [tuple(r) for r in none] == [("x", 0.0)]

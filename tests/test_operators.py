@@ -8,16 +8,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from medlark.functions import quantiles
 from medlark.functions.storage import scratch_path
 from medlark.operators import (
     clean, columns, combine, features, models, privacy, profile, reports, sampling, series,
 )
+from medlark.plans import cleaning as cleaning_plan
 from medlark.plans.cleaning import clean_tables
 from medlark.plans.fusion import combine as combine_plan
 from medlark.plans.fusion import fuse, fuse_to
 from medlark.plans.protection import protect_table, protect_tables
 from medlark.plans.trends import series_alerts, series_forecast
-from medlark.sources import readers, writers
+from medlark.sources import readers, tree, writers
 
 
 def values(df, *cols):
@@ -248,11 +250,11 @@ def matrix(df, n):
     return np.array([[r[f"c{j}"] for j in range(n)] for r in df.orderBy("k").collect()])
 
 
-@pytest.mark.parametrize("tasks", [1, 7])
-def test_knn_is_brute_force(spark, tasks):
+@pytest.mark.parametrize("cell_rows", [1, 7, 50_000])
+def test_knn_is_brute_force(spark, cell_rows):
     _, data = holed()
     data[5] = np.nan
-    got = clean.impute_knn(frame(spark, data), ["c0", "c1", "c2", "c3"], "k", block_rows=tasks)
+    got = clean.impute_knn(frame(spark, data), ["c0", "c1", "c2", "c3"], "k", cell_rows=cell_rows)
     assert matrix(got, 4) == pytest.approx(nan_knn(data), rel=1e-9)
     assert got.count() == len(data) and got.select("c1").where("c1 is null").count() == 0
 
@@ -280,6 +282,8 @@ def test_mice_is_brute_force_and_better_than_the_mean(spark):
     base, data = holed()
     got = matrix(clean.impute_mice(frame(spark, data), ["c0", "c1", "c2", "c3"]), 4)
     assert got == pytest.approx(chained(data), rel=1e-5, abs=1e-5)
+    by_scans = matrix(clean.impute_mice(frame(spark, data), ["c0", "c1", "c2", "c3"], most_patterns=3), 4)
+    assert by_scans == pytest.approx(chained(data), rel=1e-5, abs=1e-5)
     gaps = np.isnan(data)
     mean = np.where(gaps, np.nanmean(data, axis=0), data)
     assert np.abs(got - base)[gaps].mean() < 0.8 * np.abs(mean - base)[gaps].mean()
@@ -649,3 +653,93 @@ def test_best_model_and_bands(spark):
         "a": "good", "b": "good", "c": "improve"}
     bands = reports.risk_bands(spark.createDataFrame([(0.5,), (0.7,), (1.0,), (0.2,), (None,)], "x double"), "x")
     assert [r["band"] for r in bands.collect()] == ["poor", "fair", "very good", "outside", None]
+
+
+@pytest.mark.parametrize("width", [3, 24])
+def test_clean_table_scans_its_table_as_often_at_any_width(spark, monkeypatch, width):
+    """Jobs over the stored table: their number is the same for few and for many columns."""
+    rows = [(i, *[None if (i + j) % 7 == 0 else float((i * 31 + j * j) % 97) for j in range(width)],
+             *["abc"[(i + j) % 3] for j in range(width)]) for i in range(300)]
+    names = ", ".join([f"x{j} double" for j in range(width)] + [f"t{j} string" for j in range(width)])
+    df = spark.createDataFrame(rows, "k int, " + names)
+    reads = []
+    for owner, name in ((quantiles, "_long"), (cleaning_plan, "null_counts"), (cleaning_plan, "TextValues"), (clean, "fit_standard")):
+        real = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda *a, _real=real, _name=name, **b: (reads.append(_name), _real(*a, **b))[1])
+    cleaning_plan.clean_table(df, keep=["k"], impute="median").count()
+    # One unpivoted view for three jobs on the numbers, and one job for each of the others.
+    assert sorted(reads) == ["TextValues", "_long", "fit_standard", "null_counts"]
+
+
+# --- bounded releases, trees of files -----------------------------------------
+
+def test_rows_of_a_person_are_bounded_whatever_the_partitions(spark):
+    df = spark.createDataFrame([(i, i % 4 if i < 40 else 9, 1.0) for i in range(400)], "id int, who int, v double")
+    for parts in (1, 7):
+        kept = privacy.bounded_rows(df.repartition(parts), ["who"], 3, ["id"], "s")
+        ids = sorted(r["id"] for r in kept.collect())
+        assert len(ids) == 15
+        first = ids if parts == 1 else first
+        assert ids == first
+    with pytest.raises(ValueError):
+        privacy.dp_aggregate(df, ["who"], {"n": privacy.Release("count")}, "s", most_rows=2)
+    with pytest.raises(ValueError):
+        privacy.dp_aggregate(df, ["who"], {"n": privacy.Release("count")}, "s", person=["who"])
+
+
+def test_noise_covers_all_rows_of_a_person(spark):
+    df = spark.createDataFrame([(i, i) for i in range(3000)], "id int, g int")
+    noise = [r["n"] - 1 for r in privacy.dp_aggregate(
+        df, ["g"], {"n": privacy.Release("count")}, "s", person=["id"], most_rows=4, key=["id"]).collect()]
+    assert np.std(noise) == pytest.approx(4 * math.sqrt(2), rel=0.1)
+
+
+def test_a_release_over_budget_is_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, g string")
+    path = scratch_path(spark, "ledger")
+
+    def release(eps):
+        ledger = privacy.Ledger(spark, path, 1.0)
+        privacy.dp_aggregate(df, ["g"], {"n": privacy.Release("count")}, "s", eps=eps, ledger=ledger)
+        return ledger.spent()
+
+    assert release(0.6) == pytest.approx(0.6)
+    with pytest.raises(privacy.BudgetSpent):
+        release(0.5)
+    # What was refused is not spent.
+    assert release(0.4) == pytest.approx(1.0)
+    with pytest.raises(privacy.BudgetSpent):
+        release(0.01)
+    with pytest.raises(ValueError):
+        release(0.0)
+
+
+def test_tree_of_odd_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "__MACOSX").mkdir()
+    (tmp_path / "a" / "one.csv").write_bytes("\ufeffname;n\nJos\u00e9;1\n\n".encode())
+    (tmp_path / "a" / "two.csv").write_bytes("name;n\nJos\u00e9;2\nAnn;x\n".encode("latin-1"))
+    (tmp_path / "a" / "three.txt").write_text("name\tn\nAnn\t3.5\n")
+    (tmp_path / "heart.data").write_text("1,2,a\n3,4,b\n")
+    (tmp_path / "wrapped.json").write_text('{"value": [{"k": {"x": 1}}, {"k": {"x": 2}}]}')
+    (tmp_path / "list.json").write_text('[{"k": 1}, {"k": 2}, {"k": 3}]')
+    (tmp_path / "lines.json").write_text('{"k": 1}\n{"k": 2}\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "photo.jpg").write_bytes(b"\xff\xd8")
+    (tmp_path / "__MACOSX" / "junk.csv").write_text("a,b\n1,2\n")
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "a" / "written"))
+    got = tree.read_tree(spark, f"file://{tmp_path}")
+    rows = {name: (df.columns, sorted(map(tuple, df.collect()), key=str)) for name, df in got.items()}
+    assert rows == {
+        "a__one": (["name", "n"], [("Jos\u00e9", 1)]), "a__two": (["name", "n"], [("Ann", "x"), ("Jos\u00e9", "2")]),
+        "a__three": (["name", "n"], [("Ann", 3.5)]), "heart": (["0", "1", "2"], [(1, 2, "a"), (3, 4, "b")]),
+        "wrapped": (["k.x"], [(1,), (2,)]), "list": (["k"], [(1,), (2,), (3,)]), "lines": (["k"], [(1,), (2,)]),
+        "a__written": (["id"], [(0,), (1,), (2,)])}
+
+
+def test_files_of_one_table_must_be_alike(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "t" / "part-1.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ValueError):
+        tree.read_tree(spark, f"file://{tmp_path}")
