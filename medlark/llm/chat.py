@@ -321,12 +321,14 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
             role, begin, close = unescape(formatted[m.end():middle.start()]), middle.end(), ROLE_MARKS[2]
         elif m[0] in openers:
             role, opening, close = openers[m[0]]
+            if not formatted.startswith(opening, at):
+                raise ValueError(f"{m[0]} begins no turn at {at}")
             begin = at + len(opening)
         else:
             raise ValueError(f"{m[0]} begins no turn")
         end = _CONTROL.search(formatted, begin)
         lead = len(close) - len(close.lstrip())
-        if end is None or end[0] != close.strip() or end.start() - lead < begin:
+        if end is None or end.start() - lead < begin or not formatted.startswith(close, end.start() - lead):
             raise ValueError(f"a turn without end at {at}")
         out.append((role, unescape(formatted[begin:end.start() - lead])))
         at = end.start() - lead + len(close)

@@ -230,8 +230,8 @@ def codes_sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS,
     """The same for tables named ``embeddings`` with ``parts`` times ``width`` components: every entry compared, round by round."""
     steps = [f"""kept AS MATERIALIZED (
   SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, v FROM (
-    SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-    WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)),
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
 comps AS MATERIALIZED (
   SELECT r, CAST(i // {width} AS INTEGER) AS part, CAST(i % {width} AS INTEGER) AS pos, v[i + 1] AS x
   FROM kept, range({parts * width}) t(i)),
