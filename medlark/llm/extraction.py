@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -37,7 +38,7 @@ ASIDE_COMPOUNDS = frozenset(
     "page-footer related-articles related-links related-news related-posts related-stories right-sidebar search-box "
     "search-form share-bar share-buttons share-links sidebar-left sidebar-right sidebar-widget site-footer site-header "
     "site-nav site-navigation skip-link social-buttons social-icons social-links social-media social-share "
-    "sponsored-content widget-area".split())
+    "sponsored-content widget-area cc-window disqus-thread".split())
 MAIN_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose class, id and role speak of the page or of the text, not of what surrounds it.
@@ -393,10 +394,11 @@ LABELLED = """
 """
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
-_REST = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>""")
+# A quotation begins right after an equals sign; elsewhere a quote is a character like others.
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+|["'=/]""")
-# States of an element: not aside, aside, and an article inside an aside.
-_CLEAR, _ASIDE, _ANEW = 0, 1, 2
+# States of an element: not aside, aside, an article inside an aside, a form, the header of an article.
+_CLEAR, _ASIDE, _ANEW, _FORM, _LEAD = 0, 1, 2, 3, 4
 
 
 @lru_cache(maxsize=64)
@@ -411,26 +413,51 @@ def _marked(attributes: str) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         seen.setdefault(name.lower(), value)
     tokens = [t for k in ("class", "id", "role") for t in unescape(seen.get(k, "").strip("\"'")).lower().split()]
-    return any(t in ASIDE_WORDS or t.replace("_", "-") in ASIDE_COMPOUNDS for t in tokens)
+    return any(t in ASIDE_WORDS or t.replace("_", "-") in ASIDE_COMPOUNDS or _of_readers(t.replace("_", "-")) for t in tokens)
 
 
-def _state(name: str, attributes: str, outer: int) -> int:
-    """Aside or not, given the element around. An article inside a marked one starts anew unless it is marked itself."""
+def _of_readers(token: str) -> bool:
+    """``user-comment`` or ``wp-block-comments``, but not ``no-comments``, which speaks of the page."""
+    first, *_, last = token.split("-") if "-" in token else ("", "")
+    return last in ("comment", "comments") and first not in ("no", "has", "with", "without", "allow", "open", "closed")
+
+
+def _state(name: str, attributes: str, outer: int, main: int) -> int:
+    """The state of an element, given the element around. An article inside a marked one starts anew unless it is marked itself."""
     if name in MAIN_TAGS:
-        return _ANEW if outer == _ASIDE and not _marked(attributes) else outer
-    if outer == _ASIDE or name in ASIDE_TAGS:
+        return _ANEW if outer in (_ASIDE, _FORM) and not _marked(attributes) else outer
+    if outer == _ASIDE or name not in UNMARKED and _marked(attributes):
         return _ASIDE
-    return _ASIDE if name not in UNMARKED and _marked(attributes) else outer
+    if name == "form" and not main:
+        return _FORM
+    if name == "header" and main and outer != _FORM:
+        return _LEAD if outer == _CLEAR else outer
+    return _ASIDE if name in ASIDE_TAGS else outer
 
 
 def _settled(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
-    """Articles inside marked elements are text if they hold more words than those outside, else aside."""
-    words = [0, 0, 0]
-    for text, _, _, state, main in found:
+    """What is aside after all, known once the page is read.
+
+    Articles inside marked elements are text if they hold more words than those outside. A form is the page's layout,
+    and judged like any other element, if there is more running text in forms than outside; else it is its fields. In
+    the header of an article its headings and running text belong to it.
+    """
+    words, running = [0] * 5, [0] * 5
+    for text, share, _, state, main in found:
+        n = text.count(" ") + 1
         if main:
-            words[state] += text.count(" ") + 1
-    anew = _CLEAR if words[_ANEW] > words[_CLEAR] else _ASIDE
-    return [(*b[:3], anew if b[3] == _ANEW else b[3], b[4]) for b in found]
+            words[state] += n
+        if n > LONG and share <= LINKED:
+            running[state] += n
+    anew = _CLEAR if words[_ANEW] > words[_CLEAR] + words[_LEAD] else _ASIDE
+    form = _CLEAR if running[_FORM] > running[_CLEAR] + running[_LEAD] + (running[_ANEW] if anew == _CLEAR else 0) else _ASIDE
+
+    def settle(text: str, heading: int, state: int) -> int:
+        if state == _LEAD:
+            return _CLEAR if heading or text.count(" ") + 1 > LONG else _ASIDE
+        return {_ANEW: anew, _FORM: form}.get(state, state)
+
+    return [(text, share, heading, settle(text, heading, state), main) for text, share, heading, state, main in found]
 
 
 def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
@@ -443,19 +470,27 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int, int]] = []  # element, state (aside or not), inside a main part
-    anchors = 0
+    opened: Counter[str] = Counter()  # how many of each are on the stack
+    headings = anchors = 0
 
     def close_block() -> None:
         if parts:
             words = "".join(parts).split()
             if words:
                 aside, main = stack[-1][1:] if stack else (0, 0)
-                heading = any(s[0] in HEADINGS for s in stack)
+                heading = headings > 0
                 share = min(1.0, len("".join(linked).split()) / len(words))
                 found.append((" ".join(words), share, int(heading), aside, main))
         parts.clear()
         linked.clear()
 
+    def leave() -> str:
+        nonlocal headings
+        gone = stack.pop()[0]
+        opened[gone] -= 1
+        headings -= gone in HEADINGS
+        return gone
+
     at, end = 0, len(html)
     while at < end:
         lt = html.find("<", at)
@@ -487,8 +522,8 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
         if name in BLOCKS:
             close_block()
         if html[lt + 1] == "/":
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+            if opened[name]:
+                while leave() != name:
                     pass
             if name == "a":
                 anchors = max(0, anchors - 1)
@@ -503,16 +538,19 @@ def blocks(html: str) -> list[tuple[str, float, int, int, int]]:
             continue
         if name == "a":
             anchors += 1
-        if name in ("p", "li") and stack and any(s[0] == name for s in stack):
+        if name in ("p", "li") and opened[name]:
             # An open paragraph or item ends where the next begins, unless an element holds the next.
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    while len(stack) > i:
+                        leave()
                     break
                 if stack[i][0] in BLOCKS:
                     break
         aside, main = stack[-1][1:] if stack else (0, 0)
-        stack.append((name, _state(name, attributes, aside), int(main or name in MAIN_TAGS)))
+        stack.append((name, _state(name, attributes, aside, main), int(main or name in MAIN_TAGS)))
+        opened[name] += 1
+        headings += name in HEADINGS
     close_block()
     return _settled(found)
 

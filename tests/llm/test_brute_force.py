@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 from math import ceil, log
@@ -484,3 +485,52 @@ def test_exchange_finds_shared_keys(spark, folded):
     n = Counter(k for ks in held.values() for k in ks)
     placed = {k: int(exchange.place(exchange.mix(np.array([k], np.uint64)), 11)[0]) for k in n}
     assert got == {d: {placed[k] for k in ks if n[k] > 1} for d, ks in held.items()}
+
+
+# --- pages of other layouts ---------------------------------------------------
+
+def _sentence(n, w):
+    return " ".join(f"{w}{i}" for i in range(n)) + "."
+
+
+def test_a_page_laid_out_in_a_form_keeps_its_text():
+    said = [_sentence(n, "w") for n in (60, 12, 70)]
+    inside = "".join(f"<p>{s}</p>" for s in said)
+    menu = "<nav><ul><li><a href=/>home page</a></li></ul></nav>"
+    page = f'<body><form id="aspnetForm">{menu}<div><h1>On words</h1>{inside}</div><input name=q></form></body>'
+    assert extraction.main_text(page).split("\n") == ["On words", *said]
+    # A form beside an article is its fields.
+    asked = "<form><p>Your name please</p><label>Mail</label></form>"
+    assert extraction.main_text(f"<body><article>{inside}</article>{asked}</body>").split("\n") == said
+    assert extraction.main_text(f"<body><div>{inside}</div>{asked}</body>").split("\n") == said
+
+
+def test_an_apostrophe_in_an_attribute_opens_no_quotation():
+    said = [_sentence(30, w) for w in "abc"]
+    page = f"<article><p title=it's>{said[0]}</p><p data-x=\"a>b\">{said[1]}</p><p title='x>y' y=z'>{said[2]}</p></article>"
+    assert extraction.main_text(page).split("\n") == said
+
+
+def test_the_header_of_an_article_keeps_title_and_lead():
+    lead, body = _sentence(25, "l"), _sentence(50, "b")
+    page = f"<header><h1>Site</h1></header><article><header><h1>Title</h1><p>{lead}</p><p>Share</p></header><p>{body}</p></article>"
+    assert extraction.main_text(page).split("\n") == ["Title", lead, body]
+
+
+@pytest.mark.parametrize("mark", ['class="user-comment"', 'id="disqus_thread"', 'class="wp-block-comments"', 'class="cc-window"'])
+def test_comments_and_notices_by_compound_names(mark):
+    body, said = _sentence(50, "b"), _sentence(40, "c")
+    assert extraction.main_text(f"<article><p>{body}</p></article><div {mark}><p>{said}</p></div>") == body
+    assert extraction.main_text(f'<div class="post no-comments"><p>{body}</p></div>') == body
+
+
+def test_time_grows_with_the_page_not_with_its_nesting():
+    def seconds(n):
+        page = "<div>" * n + "<b>x</b></i>" * n + "<p>y" * n
+        start = time.process_time()
+        extraction.blocks(page)
+        return time.process_time() - start
+
+    seconds(1000)
+    small, large = min(seconds(8_000) for _ in range(3)), min(seconds(64_000) for _ in range(2))
+    assert large < 24 * small
