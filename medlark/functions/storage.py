@@ -13,10 +13,15 @@ _FOLDERS: dict[str, object] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors reach: ``spark.checkpoint.dir``, else that of the warehouse.
 
-    Never a machine's own temporary folder.
+    Never a machine's own temporary folder: a warehouse on a local disk will do for a local master only.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return named.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors reach in spark.checkpoint.dir")
+    return warehouse.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

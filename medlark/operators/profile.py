@@ -145,6 +145,12 @@ def audit_rollup(audit: DataFrame) -> DataFrame:
     )
 
 
+def largest_tables(audit: DataFrame, n: int = 20) -> DataFrame:
+    """(table_name, rows_after, cols_after, size_kb) of the ``n`` tables with most rows, equal ones in name order."""
+    return audit.orderBy(F.col("rows_after").desc_nulls_last(), "table_name").limit(n).select(
+        "table_name", "rows_after", "cols_after", "size_kb")
+
+
 def anomaly_summary(anomalies: DataFrame, by: list[str] = ()) -> DataFrame:
     """Alerts per direction."""
     return anomalies.groupBy(*by, "type").agg(F.count(F.lit(1)).alias("n"))

@@ -97,6 +97,16 @@ def dedupe(spark, d):
         "o_orderpriority")
 
 
+@query("removed_duplicates", """
+SELECT copies, count(*) AS rows, CAST(sum(copies - 1) AS BIGINT) AS removed FROM (
+  SELECT count(*) AS copies FROM (
+    SELECT user_id, event_type, date_trunc('day', ts) AS d FROM events) GROUP BY user_id, event_type, d HAVING count(*) > 1)
+GROUP BY copies""")
+def removed_duplicates(spark, d):
+    return combine.removed_duplicates(table(spark, d, "events").select(
+        "user_id", "event_type", F.date_trunc("day", "ts").alias("d")))
+
+
 @query("fuse_domain", """
 SELECT 'people' AS domain, 'common_cols' AS method, count(*) AS n_rows, 4 AS n_cols,
        round(avg(acctbal), 6) AS mean_value

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medlark.functions.information import digamma_sql
+from medlark.functions.moments import pair_moments
 from medlark.operators import clean, features
 from medlark.plans import fusion
 from registry.base import query, rounded, table
@@ -204,3 +206,20 @@ def encode_codes(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     return clean.encode_codes(
         o, {"o_orderpriority": "priority_code", "o_orderstatus": "status_code"})
+
+
+@query("pca_components", """
+SELECT 30::BIGINT AS components, 1::BIGINT AS by_falling_variance, 1::BIGINT AS uncorrelated, 1::BIGINT AS explained_is_their_variance,
+       count(*) AS n_rows FROM embeddings""")
+def pca_components(spark, d):
+    """What makes them principal components: order, no correlation, and the share of variance the model tells; 30 of 64."""
+    names = [f"e{i}" for i in range(64)]
+    done = features.pca(vectors(spark, d), names, keep=["vec_id"])
+    parts = [c for c in done.table.columns if c.startswith("PC")]
+    m = pair_moments(done.table, [F.col(c) for c in parts])
+    own = np.diag(m.var) / m.n[0, 0]
+    mixed = m.correlation() - np.eye(len(parts))
+    row = (len(parts), int((np.diff(own) <= 1e-9).all()), int(np.abs(mixed).max() < 1e-6),
+           int(np.allclose(own / len(names), done.explained, atol=1e-9)), int(m.n[0, 0]))
+    return spark.createDataFrame([row], "components long, by_falling_variance long, uncorrelated long, "
+                                        "explained_is_their_variance long, n_rows long")

@@ -3,7 +3,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medlark.operators import profile, sampling
-from registry.base import EVENTS_MASKED, COLUMNS, events_masked, query, rounded, table, uniform_sql
+from medlark.functions.storage import scratch_path
+from medlark.sources import writers
+from registry.base import EVENTS_MASKED, COLUMNS, all_tables, events_masked, query, rounded, table, uniform_sql
 from registry.series import alerts_by_type
 from registry.sources import AUDIT_SQL, audit_table
 from registry.sql import ALERTS_SQL
@@ -109,6 +111,21 @@ def audit_rollup(spark, d):
     return profile.audit_rollup(audit_table(spark, d))
 
 
+@query("largest_tables", f"""
+SELECT table_name, rows_after, cols_after, 1::BIGINT AS stored FROM ({AUDIT_SQL})
+ORDER BY rows_after DESC, table_name LIMIT 5""")
+def largest_tables(spark, d):
+    """Stored copies of all tables, audited with the sizes of their files; sizes differ by writer, so the row shows that there is one."""
+    out, run = scratch_path(spark, "stored"), "run"
+    rows = []
+    for name, df in all_tables(spark, d).items():
+        writers.write_parquet(df, f"{out}/{name}")
+        rows.append(writers.audit_row(spark.read.parquet(f"{out}/{name}"), name, run, path=f"{out}/{name}"))
+    writers.append_audit(spark, f"{out}/audit", rows)
+    top = profile.largest_tables(spark.read.parquet(f"{out}/audit"), 5)
+    return top.select("table_name", "rows_after", "cols_after", (F.col("size_kb") > 0).cast("long").alias("stored"))
+
+
 @query("anomaly_summary", f"""
 WITH {ALERTS_SQL} SELECT event_type, type, count(*) AS n FROM alerts GROUP BY 1, 2""")
 def anomaly_summary(spark, d):
