@@ -15,9 +15,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Tasks of the middle level of the tree.
-FAN = 32
-
 
 class PairMoments(NamedTuple):
     """``n[i, j]`` rows have columns i and j; ``mean[i, j]`` is that of i over them, ``var`` and ``cov`` sums of centred products."""
@@ -66,8 +63,13 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _tree(df: DataFrame, schema: str, merge: Callable) -> DataFrame:
-    """One row for each row that one merging task would give of all of ``df``'s."""
-    return df.repartition(FAN).mapInArrow(merge, schema).repartition(1).mapInArrow(merge, schema)
+    """One row for each row that one merging task would give of all of ``df``'s.
+
+    Adaptive execution chooses how many tasks the middle level has, by the blocks' bytes.
+    """
+    names = df.columns
+    middle = df.withColumn("_task", F.spark_partition_id()).repartition("_task").select(*names)
+    return middle.mapInArrow(merge, schema).coalesce(1).mapInArrow(merge, schema)
 
 
 def _doubles(c: Column) -> Column:

@@ -29,18 +29,12 @@ _SLACK = 1 + 1e-9
 
 
 def _share(x: Column, edges: list[float]) -> Column:
-    """Which share of a column's values lies below ``x``, about: linear between the edges, looked for by halving."""
-    n = len(edges) - 1
-
-    def within(lo: int, hi: int) -> Column:
-        if hi - lo > 1:
-            mid = (lo + hi) // 2
-            return F.when(x < edges[mid], within(lo, mid)).otherwise(within(mid, hi))
-        width = edges[hi] - edges[lo]
-        part = F.least(F.greatest((x - edges[lo]) / F.lit(width), F.lit(0.0)), F.lit(1.0)) if width > 0 else F.lit(0.0)
-        return (F.lit(float(lo)) + part) / F.lit(float(n))
-
-    return within(0, n)
+    """Which share of a column's values lies below ``x``, about: linear between the edges."""
+    n, table = len(edges) - 1, F.lit(edges)
+    below = F.greatest(F.least(F.size(F.filter(table, lambda e: e <= x)), F.lit(n)), F.lit(1)) - 1
+    lo, hi = F.get(table, below), F.get(table, below + 1)
+    part = F.when(hi > lo, F.least(F.greatest((x - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))).otherwise(F.lit(0.0))
+    return (below + part) / F.lit(float(n))
 
 
 class CellTree:
@@ -58,9 +52,11 @@ class CellTree:
             F.percentile_approx(n, cuts, 1_000).alias(n) for n in names]).first()
         splits = self._splits({n: told[n] for n in names if told[n]}, math.ceil(math.log2(max(1, told["n"]) / cell_rows)))
         self.bits = len(splits)
-        self.points = points.select(
-            "*", F.concat(*[F.when(p, "1").otherwise("0") for p in present]).alias("pattern"),
-            self._path(splits, {n: told[n] for n in names}).alias("path"))
+        placed = points.select("*", *[
+            F.when(F.col(n).isNotNull(), _share(F.col(n), told[n])).alias(f"_at_{n}") for n in dict.fromkeys(splits)])
+        self.points = cut_lineage(placed.select(
+            "keys", *names, F.concat(*[F.when(p, "1").otherwise("0") for p in present]).alias("pattern"),
+            self._path(splits).alias("path")))
         boxes = [f(n).alias(f"{e}_{n}") for n in names for e, f in (("lo", F.min), ("hi", F.max))]
         cells = cut_lineage(self.points.groupBy("pattern", "path").agg(
             F.sum(F.size("keys")).alias("n"), *boxes))
@@ -86,11 +82,12 @@ class CellTree:
         return out
 
     @staticmethod
-    def _path(splits: list[str], edges: dict[str, list[float]]) -> Column:
+    def _path(splits: list[str]) -> Column:
+        """The bits of a point's cell, from the shares ``_at_<column>`` of its values; an absent value's bits are 0."""
         path, seen = F.lit(0).cast("long"), dict.fromkeys(splits, 0)
         for n in splits:
             seen[n] += 1
-            bit = F.floor(F.least(_share(F.col(n), edges[n]), F.lit(1 - 1e-12)) * F.lit(float(1 << seen[n]))) % 2
+            bit = F.floor(F.least(F.col(f"_at_{n}"), F.lit(1 - 1e-12)) * F.lit(float(1 << seen[n]))) % 2
             path = F.shiftleft(path, 1) + F.coalesce(bit, F.lit(0).cast("long"))
         return path
 

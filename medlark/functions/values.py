@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,15 @@ class TextValues:
             "value", (F.col("rank") - 1).cast("long").alias("code"))
 
 
+def short_value(df: DataFrame, c: str) -> Column:
+    """The value itself if it takes eight bytes or so, else 128 bits of hash; null stays null."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return col(c)
+    value = F.to_json(F.struct(col(c))) if isinstance(kind, (T.MapType, T.VariantType)) else col(c)
+    return F.when(col(c).isNotNull(), F.struct(F.xxhash64(F.lit(1), value).alias("a"), F.xxhash64(F.lit(2), value).alias("b")))
+
+
 def hashed_distinct(df: DataFrame, cols: list[str]) -> DataFrame:
     """(i, n): distinct non-null values by column number, told apart by 128 bits of hash.
 
