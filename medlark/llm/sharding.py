@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlark.functions.storage import cut_lineage
@@ -10,6 +10,11 @@ from medlark.functions.types import col
 from medlark.llm.common import ROWS_PER_BUCKET, keyed_order, running_sums
 
 
+def phase(seed: str, source: Column) -> Column:
+    """Where the ranks of a source start, from 0 to 1."""
+    return keyed_order(seed + "-phase", source) / float(2 ** 60)
+
+
 def interleave(
     docs: DataFrame, shards: int, seed: str = "shards", id_col: str = "doc_id",
     text_col: str = "text", source_col: str = "source", rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -17,8 +22,9 @@ def interleave(
     """Deal documents into ``shards`` so that each has the mixture of the whole.
 
     Rows are shuffled by a seeded hash and ranked within their source; the fractional rank
-    (rank - 1/2) / rows of the source orders all rows, and that order is cut into shards whose
-    counts differ by one at most. Both rankings run in buckets of bounded size: hash ranges of a
+    (rank - u) / rows of the source orders all rows, and that order is cut into shards whose
+    counts differ by one at most. The share u, from 0 to 1, is a seeded hash of the source, so that sources of
+    few rows do not all meet in the middle. Both rankings run in buckets of bounded size: hash ranges of a
     source, then ranges of the fraction, so a source with most rows is no one's single task.
 
     Returns doc_id, source, size (UTF-8 bytes + 8), text_crc32, shard and slot (gapless from 0).
@@ -36,8 +42,8 @@ def interleave(
     ties = ["doc_id", "text_crc32", "size"]
     ranked = running_sums(narrow, ["source"], "_key", ties, {"_rank": F.lit(1)}, {"_of": "_rank"},
                           rows, rows_per_bucket)
-    fraction = (F.col("_rank") + 0.5) / F.col("_of")
-    # The fraction is uniform by construction, so equal ranges of it have near-equal counts.
+    fraction = (F.col("_rank") + phase(seed, F.col("source"))) / F.col("_of")
+    # Uniform in every source, and over sources of one row as well: equal ranges have near-equal counts.
     ranges = rows // rows_per_bucket + 1
     placed = ranked.select(
         *narrow.columns, fraction.alias("_fraction"),
