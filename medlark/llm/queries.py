@@ -75,7 +75,7 @@ def op6_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    return fingerprints.edit_likeness(_table(spark, d, "documents"))
+    return fingerprints.likeness_and_neighbours(_table(spark, d, "documents"))
 
 
 @query("op8_html_extraction")

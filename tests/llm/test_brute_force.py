@@ -16,6 +16,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from medlark.llm import (
@@ -64,10 +65,25 @@ def test_order_of_shards_is_the_fractional_rank(docs):
     ranks = []
     for s in by_slot:
         seen[s] += 1
-        ranks.append((seen[s] - 0.5) / total[s])
+        digest = hashlib.sha256(f"shards-phase|{'null' if s is None else s}".encode()).hexdigest()
+        ranks.append((seen[s] - 1 + int(digest[:15], 16) / 2**60) / total[s])
     assert ranks == sorted(ranks)
 
 
+@pytest.mark.parametrize("each", [1, 2, 5])
+def test_sources_of_few_rows_are_spread(spark, each):
+    n = 6_000
+    few = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.expr(f"cast(id div {each} as string)").alias("source"))
+    rows = sharding.interleave(few, 6, rows_per_bucket=200).collect()
+    sizes = Counter(r["shard"] for r in rows)
+    assert len(rows) == n and set(sizes.values()) == {n // 6}
+    # The ranges that windows run in: none above twice the mean.
+    u = few.groupBy("source").count().select(sharding.phase("shards", F.col("source")).alias("u"), "count").collect()
+    ranges = n // 200 + 1
+    held = Counter(int((k + r["u"]) / r["count"] * ranges) for r in u for k in range(r["count"]))
+    assert max(held.values()) < 2 * n / ranges
+
+
 # --- packing ------------------------------------------------------------------
 
 def test_pieces_are_the_tokens(docs, texts):
@@ -298,6 +314,36 @@ def test_fingerprints_and_edits_are_brute_force(docs, texts):
         assert r["near_next"] == 1 - (own ^ prints[following[r["doc_id"]]]).bit_count() / 64
 
 
+@pytest.mark.parametrize("per_range", [3, 20, 8_000])
+def test_next_rows_when_ids_are_null_or_shared(spark, per_range):
+    rng = random.Random(per_range)
+    ids = [None] * 90 + [7] * 60 + [8] * 2 + [-(2**62), 2**63 - 1, -5, 0] + list(range(100, 250))
+    rows = [(d, f"text {i} of {rng.randrange(9)}") for i, d in enumerate(ids)]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(spark_hash(r[1]))))
+    want = {r: after[1] for r, after in zip(order, order[1:] + order[:1])}
+    got = fingerprints.with_next(frame, rows_per_range=per_range).collect()
+    assert len(got) == len(rows) and {(r["doc_id"], r["text"]): r["next_text"] for r in got} == want
+
+
+def test_plan_does_not_grow_with_ranges(spark):
+    frame = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
+    sizes = [len(fingerprints.with_next(frame, rows_per_range=n)._jdf.queryExecution().analyzed().toString()) for n in (1_000, 2)]
+    assert sizes[1] - sizes[0] < 40_000
+
+
+def test_neighbours_of_asking_documents_are_brute_force(docs, texts):
+    got = {r["doc_id"]: r for r in fingerprints.likeness_and_neighbours(docs, 20).collect()}
+    prints = {d: int(r["fingerprint"], 16) for d, r in got.items()}
+    assert set(got) == set(texts)
+    for d, r in got.items():
+        near = sum((prints[d] ^ p).bit_count() <= 3 for p in prints.values())
+        assert r["n_near"] == (near if d % 20 == 0 else None)
+    assert max(r["n_near"] or 0 for r in got.values()) > 1
+
+
 @pytest.mark.parametrize("radius, blocks", [(3, 6), (0, 1), (2, 3), (5, 7)])
 def test_block_tables_find_all_within_the_radius(spark, radius, blocks):
     rng = random.Random(radius)

@@ -18,7 +18,7 @@ OPERATORS = {
     "toxicity": lambda d, m: toxicity.score_toxicity(d, m),
     "quality": lambda d, m: quality.quality_rules(d, m.where("quality = 1")),
     "ngram_join": lambda d, m: ngram_join.join_components(d),
-    "fingerprints": lambda d, m: fingerprints.edit_likeness(d),
+    "fingerprints": lambda d, m: fingerprints.likeness_and_neighbours(d),
     "mixing": lambda d, m: mixing.mix(d),
     "substrings": lambda d, m: substrings.remove_repeats(d),
 }
