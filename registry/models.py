@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medlark.functions.joins import lookup_join
 from medlark.functions.stats import column_stats
 from medlark.functions.storage import cut_lineage, scratch_path
 from medlark.operators import models
 from medlark.operators.contributions import contribution_importance
+from medlark.plans import admissions
 from medlark.plans.risk import train_risk_models, train_stay_model
 from registry.base import day, query, rounded, table, uniform_sql
 from registry.features import TEXT, TEXT_SQL, text_features
@@ -230,6 +233,49 @@ def boosted_trees_regressor(spark, d):
     return run.folds
 
 
+STAY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("forecast_stays", f"""
+WITH s AS (SELECT *, least(o_orderdate, l_shipdate) AS a, greatest(o_orderdate, l_shipdate) AS b
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+t AS (SELECT l_returnflag, o_orderpriority, CAST(floor((epoch_us(b) - epoch_us(a)) / 86400000000) AS DOUBLE) AS y,
+        CASE WHEN isodow(a) >= 6 THEN 1 ELSE 0 END AS w, count(*) OVER () AS n,
+        row_number() OVER (ORDER BY a, {uniform_sql('42', *STAY)}) - 1 AS i FROM s),
+f AS (SELECT *, CASE WHEN i < n - 5 * (n // 6) THEN 0 ELSE (i - (n - 5 * (n // 6))) // (n // 6) + 1 END AS fold FROM t),
+m AS (SELECT k, l_returnflag, w, avg(y) AS e FROM f JOIN (SELECT unnest(range(1, 6)) AS k) ON fold < k GROUP BY ALL),
+r AS (SELECT fold, y, e FROM f JOIN m ON fold = k AND f.l_returnflag = m.l_returnflag AND f.w = m.w),
+u AS (SELECT o_orderpriority, least(avg(y) / (1000.0 + 100 * length(o_orderpriority)), 1) AS u FROM t GROUP BY 1)
+SELECT 'mae' AS result, CAST(fold AS VARCHAR) AS item, round(avg(abs(y - e)), 6) AS value FROM r GROUP BY fold
+UNION ALL SELECT 'r2', CAST(fold AS VARCHAR), round(1 - avg((y - e) * (y - e)) / var_pop(y), 6) FROM r GROUP BY fold
+UNION ALL SELECT CASE WHEN u > 0.85 THEN 'overload' WHEN u > 0.7 THEN 'high' ELSE 'normal' END, o_orderpriority, round(u, 6) FROM u
+UNION ALL SELECT 'importance', 'all', 1.0::DOUBLE""")
+def forecast_stays(spark, d):
+    """Order and shipping as the two ends of a stay, in whichever order they come.
+
+    With a category of three values and the weekend flag a tree of full depth has a leaf for each of the six
+    combinations, so its estimate is their mean and later trees find nothing left.
+    """
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    items = table(spark, d, "lineitem").select(*STAY, "l_returnflag", "l_shipdate")
+    ends = lookup_join(items, orders, ["l_orderkey"], "inner").select(
+        *STAY, "l_returnflag", "o_orderpriority", F.least("o_orderdate", "l_shipdate").alias("admitted"),
+        F.greatest("o_orderdate", "l_shipdate").alias("discharged"))
+    wards = table(spark, d, "orders").select("o_orderpriority").distinct().select(
+        "o_orderpriority", F.lit(1.0).alias("demand"), F.lit(1.0).alias("factor"),
+        (F.lit(1000.0) + 100 * F.length("o_orderpriority")).alias("capacity"))
+    found = admissions.forecast_stays(
+        ends, "admitted", "discharged", STAY, {"l_returnflag": "flag_code"}, [], wards, "o_orderpriority",
+        calendar=["is_weekend"], trees=3)
+    folds, text = found.run.folds, F.col("test_fold").cast("string")
+    return rounded(reduce(DataFrame.unionByName, [
+        folds.select(F.lit("mae").alias("result"), text.alias("item"), F.col("mae").alias("value")),
+        folds.select(F.lit("r2").alias("result"), text.alias("item"), F.col("r2").alias("value")),
+        found.load.select(F.col("state").alias("result"), F.col("o_orderpriority").alias("item"), F.col("utilization").alias("value")),
+        found.top.agg(F.sum("importance").alias("value")).select(F.lit("importance").alias("result"), F.lit("all").alias("item"), "value"),
+    ]), 6, "value")
+
+
 @query("regression_metrics", """
 WITH p AS (SELECT l_returnflag, l_extendedprice AS y, l_quantity * 1500.0 AS e FROM lineitem)
 SELECT l_returnflag, count(*) AS n, round(avg(abs(y - e)), 4) AS mae,
@@ -266,6 +312,7 @@ def save_and_load_model(spark, d):
 
 @query("train_risk_models")
 def risk_models(spark, d):
-    run = train_risk_models(text_features(spark, d), TEXT, "quality", ["doc_id"], trees=3,
-                            forest_trees=10, forest_depth=4, depths=[3], rates=[0.1], folds=3)
+    run = train_risk_models(text_features(spark, d), TEXT, "quality", ["doc_id"], grid={"trees": [3], "depth": [3]},
+                            weighted_grid={"trees": [3], "depth": [3], "leaves": [4, 15]}, forest_trees=10,
+                            forest_depth=4, folds=3)
     return run.metrics
