@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medlark.functions.joins import lookup_join
+from medlark.functions.ranking import ROWS_PER_BUCKET
 from medlark.functions.stats import column_stats
 from medlark.functions.storage import cut_lineage, scratch_path
 from medlark.operators import models
@@ -299,6 +300,64 @@ def score_external(spark, d):
                                  {"n_chars": "chars", "n_words": "words"}).summary
 
 
+LONG_ENGLISH = ["steps", "english"]
+LONG_ENGLISH_SQL = f"""le AS (
+  SELECT doc_id, least(floor(coalesce(n_chars, 0) / 500.0), 8) AS steps, coalesce(lang = 'en', false) AS english,
+         {uniform_sql('42', 'doc_id')} AS u FROM documents),
+lab AS (SELECT le.*, CASE WHEN steps >= 3 AND english THEN 1 ELSE 0 END AS label FROM le JOIN labels USING (doc_id))"""
+
+
+def _long_english(docs: DataFrame) -> DataFrame:
+    """Two features and a label that needs both of them: one split cannot tell it, two can."""
+    steps = F.least(F.floor(F.coalesce(F.col("n_chars"), F.lit(0)) / 500.0), F.lit(8)).cast("double")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False)).cast("double")
+    named = docs.select("doc_id", steps.alias("steps"), english.alias("english"))
+    return named.withColumn("label", ((F.col("steps") >= 3) & (F.col("english") == 1)).cast("int"))
+
+
+def _labelled(spark, d) -> DataFrame:
+    docs = _long_english(table(spark, d, "documents"))
+    return cut_lineage(models.stratified_folds(table(spark, d, "labels").select("doc_id").join(docs, "doc_id"), "label", ["doc_id"], 3))
+
+
+@query("grid_search_choice", f"""
+WITH {LONG_ENGLISH_SQL} SELECT doc_id, label, label AS predicted, 2 AS depth FROM lab""")
+def grid_search_choice(spark, d):
+    """The search must take the deeper of two settings, whose refit then tells every row."""
+    t = _labelled(spark, d)
+    est = models.boosted_trees_classifier(LONG_ENGLISH, trees=1)
+    found = models.grid_search(est, models.boosted_grid(est, {"depth": [1, 2]}), t, folds=3)
+    scored = models.score(found.bestModel, t.select("doc_id", "label", *LONG_ENGLISH))
+    return scored.select("doc_id", "label", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         F.lit(found.bestModel.stages[-1].getMaxDepth()).alias("depth"))
+
+
+@query("score_external_share", f"""
+WITH {LONG_ENGLISH_SQL} SELECT count(*) AS n, count(*) FILTER (WHERE steps >= 3 AND english) AS n_high,
+       round(avg(CASE WHEN steps >= 3 AND english THEN 1.0 ELSE 0.0 END), 9) AS high_share FROM le""")
+def score_external_share(spark, d):
+    """A model of the labelled documents on all documents, whose columns have other names."""
+    fitted = models.boosted_trees_classifier(LONG_ENGLISH, trees=1, depth=2).fit(_labelled(spark, d))
+    other = _long_english(table(spark, d, "documents")).select("doc_id", F.col("steps").alias("half_kilos"), F.col("english").alias("is_en"))
+    found = models.score_external(fitted, other, LONG_ENGLISH, {"steps": "half_kilos", "english": "is_en"})
+    return rounded(found.summary, 9, "high_share")
+
+
+@query("shuffle_importance_share", f"""
+WITH {LONG_ENGLISH_SQL},
+b AS (SELECT *, floor(u * (count(*) OVER () // {ROWS_PER_BUCKET} + 1)) AS b FROM lab),
+n AS (SELECT *, coalesce(lead(steps) OVER w, first_value(steps) OVER w) AS s2,
+             coalesce(lead(english) OVER w, first_value(english) OVER w) AS e2 FROM b WINDOW w AS (PARTITION BY b ORDER BY u, doc_id))
+SELECT 'steps' AS feature, round(tanh(1.0) * avg(CASE WHEN (s2 >= 3 AND english) <> (label = 1) THEN 1.0 ELSE 0.0 END), 6) AS importance FROM n
+UNION ALL
+SELECT 'english', round(tanh(1.0) * avg(CASE WHEN (steps >= 3 AND e2) <> (label = 1) THEN 1.0 ELSE 0.0 END), 6) FROM n""")
+def shuffle_importance_share(spark, d):
+    """One tree with leaves of one label scores 1 / (1 + exp(-2)) or one less that: a flip changes it by tanh(1)."""
+    t = _labelled(spark, d)
+    fitted = models.boosted_trees_classifier(LONG_ENGLISH, trees=1, depth=2).fit(t)
+    return rounded(models.shuffle_importance(fitted, t, LONG_ENGLISH, ["doc_id"]), 6, "importance")
+
+
 @query("save_and_load_model", "SELECT count(*) AS n, 0.0::DOUBLE AS largest_change FROM labels JOIN documents USING (doc_id)")
 def save_and_load_model(spark, d):
     """Rows, and the largest change of a score by saving and loading, which is none."""
