@@ -184,6 +184,24 @@ def reduce_features(spark, d):
         vectors(spark, d).drop("vec_id"), ["outcome", "label"], k=50, n=30).table
 
 
+@query("reduce_features_squares", """
+WITH x AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS outcome, l_quantity AS a, l_extendedprice AS b,
+                  l_discount * 100 AS c, l_tax * 100 AS d FROM lineitem),
+s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb, avg(c) AS mc, stddev_pop(c) AS sc,
+             avg(d) AS md, stddev_pop(d) AS sd FROM x)
+SELECT outcome, 4 AS components, round(((a - ma) / sa) ** 2 + ((b - mb) / sb) ** 2 + ((c - mc) / sc) ** 2 + ((d - md) / sd) ** 2, 4)
+       AS squares FROM x, s""")
+def reduce_features_squares(spark, d):
+    """The label is found and carried, the constant goes, and four components keep each row's length."""
+    t = table(spark, d, "lineitem").select(
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("outcome"), "l_quantity", "l_extendedprice",
+        (F.col("l_discount") * 100).alias("discount"), (F.col("l_tax") * 100).alias("tax"), F.lit(7.0).alias("site"))
+    done = features.reduce_features(t, ["label", "outcome"])
+    parts = [c for c in done.table.columns if c != done.label]
+    squares = F.aggregate(F.array(*parts), F.lit(0.0), lambda a, x: a + x * x)
+    return done.table.select(F.col(done.label).alias("outcome"), F.lit(len(parts)).alias("components"), F.round(squares, 4).alias("squares"))
+
+
 @query("fuse_tables")
 def fuse_tables(spark, d):
     """Two tables of one domain stacked, engineered and projected, beside a domain of one table."""
