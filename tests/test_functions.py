@@ -51,6 +51,16 @@ def test_quantiles_survive_a_wrong_bracket(spark, monkeypatch):
     assert got == pytest.approx([float(np.quantile(values, p)) for p in (0.5, 0.9)], rel=1e-12)
 
 
+def test_quantiles_of_many_columns_and_ranks_fit_the_drivers_stack(spark):
+    """With so many rows that no sketch has the ranks themselves: each is looked up in its bracket."""
+    rows, probs = 25_000, [i / 10 for i in range(1, 10)]
+    df = spark.range(rows).select(*[(F.pmod(F.col("id") * (2 * k + 1), F.lit(rows)) * 1.5 - k).alias(f"c{k}") for k in range(80)])
+    got = exact_quantiles(df, df.columns, probs)
+    for k in (0, 2, 41, 79):
+        values = [(i * (2 * k + 1)) % rows * 1.5 - k for i in range(rows)]
+        assert got[f"c{k}"] == pytest.approx(np.quantile(values, probs).tolist(), rel=1e-12)
+
+
 def test_quantiles_of_many_columns_skip_null_and_nan(spark):
     rows = [(float(i), None if i % 2 else float(-i), float("nan")) for i in range(101)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
