@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -26,11 +27,13 @@ from medlark.llm.common import slices, spread, trim, trimmed_stream
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 #: Chunks whose alignment a worker remembers from slice to slice, and again as many used before.
-REMEMBERED = 150_000
+REMEMBERED = 75_000
 #: Chunks that are given to the tokenizers as one text.
 JOINED = 1_000
+#: Bytes of such texts that are tokenised at once: tokens take some hundred times their text while both tokenizers hold them.
+LEARNED_BYTES = 128 << 10
 #: Id pairs that a task adds up before it sends them.
-FLUSH_LINKS = 2_000_000
+FLUSH_LINKS = 500_000
 #: Bytes of text whose chunks are aligned in one go.
 SLICE_BYTES = 2 << 20
 #: Id pairs whose counts are sent to every task (24 bytes each); beyond, they are joined by a shuffle.
@@ -71,29 +74,18 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _refined(coarse: np.ndarray, n: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Ends in bytes: the tokenizer's own cut where a token's bytes fill it, else the end of its decoded bytes.
-
-    Tokens that share a character, and bytes that stand for themselves, have cuts at the character's
-    ends only; their decoded bytes tell how far into the character each goes. A text whose decoded bytes
-    are not as many as its own gets ends of -1.
-    """
-    total = np.cumsum(lengths)
-    first = np.cumsum(n) - n
-    before = np.repeat((total - lengths)[np.minimum(first, max(0, len(total) - 1))] if len(total) else first, n)
-    decoded = total - before
-    previous = np.concatenate([[0], coarse[:-1]]) if len(coarse) else coarse
-    begins = np.zeros(len(coarse), bool)
-    begins[first[n > 0]] = True
-    exact = coarse - np.where(begins, 0, previous) == lengths
-    ends = np.where(exact & (coarse == decoded), coarse, decoded)
-    whole = np.zeros(len(n), np.int64)
-    whole[n > 0] = decoded[(first + n - 1)[n > 0]]
-    return np.where(np.repeat(whole == sizes, n), ends, -1)
+def _tokens(ids: list[list[int]], lengths: np.ndarray, raw: list[bytes]) -> Tokens:
+    """Each token ends where its bytes and those before it do; a text whose tokens have not as many bytes as it gets ends of -1."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
+    total = np.concatenate([[0], np.cumsum(lengths[flat])])
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    whole = np.diff(total[bounds]) == np.fromiter(map(len, raw), np.int64, len(raw))
+    return Tokens(flat, np.where(np.repeat(whole, n), total[1:] - np.repeat(total[bounds[:-1]], n), -1), n)
 
 
 class _First:
-    """Byte-level BPE by ``tokenizers``; offsets are characters."""
+    """Byte-level BPE by ``tokenizers``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -114,22 +106,11 @@ class _First:
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def __call__(self, texts: list[str], raw: list[bytes]) -> Tokens:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        n = np.fromiter((len(e) for e in found), np.int64, len(found))
-        ids = np.array([i for e in found for i in e.ids], np.int64)
-        ends = np.array([o[1] for e in found for o in e.offsets], np.int64)
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        # A character's end in bytes: where the next one begins.
-        flat = np.frombuffer(b"".join(raw), np.uint8)
-        starts = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
-        first_byte = np.cumsum(sizes) - sizes
-        first_char = np.searchsorted(starts, first_byte)
-        coarse = starts[np.repeat(first_char, n) + ends] - np.repeat(first_byte, n)
-        return Tokens(ids, _refined(coarse, n, self.lengths[ids], sizes), n)
+        return _tokens([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)], self.lengths, raw)
 
 
 class _Second:
-    """BPE with byte fallback by ``sentencepiece``; spans of its protos are bytes. It puts a space before a text."""
+    """BPE with byte fallback by ``sentencepiece``. It puts a space before a text."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -150,20 +131,13 @@ class _Second:
     def __call__(self, texts: list[str], raw: list[bytes]) -> Tokens:
         """Of chunks as they stand: the space put before is the chunk's own first one, or is taken out again."""
         own = [t.startswith(" ") for t in texts]
-        protos = self.model.encode([t[o:] for t, o in zip(texts, own)], return_type="proto", num_threads=1)
-        ids, ends, n = [], [], []
-        for proto, o, t in zip(protos, own, texts):
-            found = [(p.id, p.end) for p in proto.pieces]
+        ids = self.model.encode([t[o:] for t, o in zip(texts, own)], out_type=int, num_threads=1)
+        for i, (found, o, t) in enumerate(zip(ids, own, texts)):
             if not found and t == " ":
-                found = [(self.space, 0)]
-            if not o and found and found[0][0] == self.space:
-                found = found[1:]
-            ids += [i for i, _ in found]
-            ends += [e + o for _, e in found]
-            n.append(len(found))
-        n, ids = np.array(n, np.int64), np.array(ids, np.int64)
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        return Tokens(ids, _refined(np.array(ends, np.int64), n, self.lengths[ids], sizes), n)
+                ids[i] = [self.space]
+            elif not o and found and found[0] == self.space:
+                ids[i] = found[1:]
+        return _tokens(ids, self.lengths, raw)
 
 
 class _Texts:
@@ -236,7 +210,15 @@ class Aligner:
             units[-1].append(r)
             if not self.cuts or text[-1].isspace() or len(units[-1]) == JOINED:
                 units.append([])
-        self._learn_units([u for u in units if u])
+        held, size = [], 0
+        for u in units:
+            held += [u] if u else []
+            size += sum(map(len, u))
+            if size >= LEARNED_BYTES:
+                self._learn_units(held)
+                held, size = [], 0
+        if held:
+            self._learn_units(held)
 
     def _learn_units(self, units: list[list[bytes]]) -> None:
         raw = [b"".join(u) for u in units]
@@ -402,6 +384,8 @@ def aligned_slices(docs: DataFrame, first: str, second: str) -> DataFrame:
                     batch.column(0).slice(lo, hi - lo).to_pylist(), *_numbers(s, [*counts, links]), _digests(s), places,
                     chunk.astype(_small(len(s.known))).tobytes(), links.astype("<u4").tobytes(),
                     (flat >> ID_BITS).astype(a_kind).tobytes(), (flat & _ID).astype(b_kind).tobytes(), None, None])
+                # Not held while the next slice is aligned.
+                del s, there, chunk, flat, links, often, keys, sums, counts, places
                 if held > FLUSH_LINKS:
                     yield _row([None] * 11 + list(_folded(pairs, times)))
                     pairs, times, held = [], [], 0

@@ -110,3 +110,18 @@ def test_chunks_give_what_whole_texts_give(texts):
         assert ";".join(h.groups for h in held) == groups
         flat, _ = alignment._links(held)
         assert [(p >> 32, p & (2**32 - 1)) for p in flat.tolist()] == links
+
+
+def test_tokenizers_hold_a_bounded_share_of_a_slice(monkeypatch):
+    sizes, inner = [], alignment.Aligner._learn_units
+
+    def watched(self, units):
+        sizes.append(sum(len(r) for u in units for r in u))
+        return inner(self, units)
+
+    monkeypatch.setattr(alignment.Aligner, "_learn_units", watched)
+    pair = alignment.Aligner(tokenizer_path(alignment.FIRST), tokenizer_path(alignment.SECOND))
+    raw = [f" word{i}".encode() for i in range(60_000)]
+    found = pair.align(raw)
+    assert len(sizes) > 1 and max(sizes) <= alignment.LEARNED_BYTES + alignment.JOINED * max(map(len, raw))
+    assert all(found[r] is not None for r in raw)
