@@ -26,6 +26,24 @@ def test_the_drivers_of_a_stay_are_found(spark):
     assert abs(load["w"]["utilization"] - 0.7) < 1e-9 and load["i"]["state"] == "overload"
 
 
+def test_admissions_are_read_once(spark):
+    """Whatever joins they come from are not repeated for each of the scans that follow."""
+    read, day = spark.sparkContext.accumulator(0), dt.datetime(2024, 1, 1)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [(i, day + dt.timedelta(hours=7 * i), day + dt.timedelta(hours=7 * i, days=2 + 5 * (i % 3)), "abc"[i % 3], "w", "x" * 9) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a timestamp, b timestamp, kind string, ward string, more string")
+    beds = spark.createDataFrame([("w", 1.0, 20.0, 0.5)], "ward string, demand double, capacity double, factor double")
+    found = forecast_stays(df.mapInArrow(counted, df.schema), "a", "b", ["id"], {"kind": "kind_code"}, [], beds, "ward",
+                           trees=1, depth=2, splits=2)
+    assert found.run.folds.count() == 2 and found.load.count() == 1 and found.top.count() == 4
+    assert read.value == 60
+
+
 def test_second_boosted_learner_has_its_own_grid_and_bounded_leaves(spark):
     est = models.boosted_trees_classifier(["a"], trees=2, depth=6, weight="weight")
     assert len(models.boosted_grid(est, models.WEIGHTED_GRID)) == 36 and len(models.boosted_grid(est)) == 72
