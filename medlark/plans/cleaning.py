@@ -25,7 +25,7 @@ def clean_table(
     Columns in ``keep`` (keys and labels) are neither clipped, encoded nor scaled. The table is stored once, after the only
     wide shuffle (removing duplicates). With ``impute="median"`` six scans of it are enough for any width: nulls, three for exact
     quantiles of all numbers, one for the values of all texts, one for scaling; what a number column is after its
-    fill is worked out from what it was before. ``mice`` and ``knn`` add theirs.
+    fill is worked out from what it was before. ``mice`` and ``knn`` add theirs, and ``knn`` stores the filled table.
     """
     if outliers not in ("iqr", "zscore"):
         raise ValueError(f"unknown outlier rule {outliers!r}")
@@ -52,6 +52,9 @@ def clean_table(
         bounds = clean.bounds_of_filled(filled, outliers)
     else:
         table = clean.impute_auto(table, numbers, impute, key)
+        if impute == "knn":
+            # Its fills come from a join; bounds, codes and scaling scan the filled table again and again.
+            table = cut_lineage(table)
         table = replace_columns(table, {c: F.coalesce(col(c), m) for c, m in modes.items()})
         bounds = clean.iqr_bounds(table, numbers) if outliers == "iqr" else clean.zscore_bounds(table, numbers)
     table = clean.clip_to(table, bounds)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from medlark.functions import quantiles
+from medlark.functions import neighbours, quantiles
 from medlark.functions.storage import scratch_path
 from medlark.operators import (
     clean, columns, combine, features, models, privacy, profile, reports, sampling, series,
@@ -743,3 +743,22 @@ def test_files_of_one_table_must_be_alike(spark, tmp_path):
     (tmp_path / "t" / "part-1.csv").write_text("a;b\n1;2\n")
     with pytest.raises(ValueError):
         tree.read_tree(spark, f"file://{tmp_path}")
+
+
+def test_cleaning_by_neighbours_searches_once(spark, monkeypatch):
+    """Bounds, codes and scaling scan the filled table; none of these scans repeats the search."""
+    found, inner = spark.sparkContext.accumulator(0), neighbours.CellTree.nearest_means
+
+    def counted(batches):
+        for b in batches:
+            found.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(neighbours.CellTree, "nearest_means", lambda self, q: (m := inner(self, q)).mapInArrow(counted, m.schema))
+    df = spark.range(200).select(
+        F.col("id").alias("key"), (F.col("id") * 3 % 101).cast("double").alias("a"),
+        F.when(F.col("id") % 8 != 0, F.col("id") * 1.5).alias("b"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("kind"))
+    asked = df.where(F.col("b").isNull()).select("a").distinct().count()
+    done = cleaning_plan.clean_table(df, keep=["key"], key="key", impute="knn", scaling="minmax")
+    assert done.where(F.col("b").isNull()).count() == 0 and done.agg(F.sum("kind")).first()[0] is not None
+    assert found.value == asked
