@@ -34,8 +34,10 @@ JOINED = 1_000
 LEARNED_BYTES = 128 << 10
 #: Id pairs that a task adds up before it sends them.
 FLUSH_LINKS = 500_000
-#: Bytes of text whose chunks are aligned in one go.
-SLICE_BYTES = 2 << 20
+#: Bytes of text whose chunks are aligned in one go and stored in one row, which takes about as much: JVMs copy rows several times.
+SLICE_BYTES = 256 << 10
+#: How slices are stored: writers hold, and readers load, a few rows at a time, not all of a task (sizes are looked at after every row).
+STORED = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 8}
 #: Id pairs whose counts are sent to every task (24 bytes each); beyond, they are joined by a shuffle.
 MOST_SENT = 4_000_000
 #: A pair of ids in one number.
@@ -344,8 +346,8 @@ def _digests(s: _Slice) -> list[str]:
 
 _TEXTS = "doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
 #: Of a slice of texts, or of id pairs that a task has added up.
-_PASS = _TEXTS + ", places array<long>, chunk binary, links binary, a binary, b binary, pair array<long>, n array<long>"
-_NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "places", "chunk", "links", "a", "b", "pair", "n"]
+_PASS = _TEXTS + ", places array<long>, chunk binary, links binary, linked binary, a binary, b binary, pair array<long>, n array<long>"
+_NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "places", "chunk", "links", "linked", "a", "b", "pair", "n"]
 
 
 def _small(most: int) -> np.dtype:
@@ -353,14 +355,15 @@ def _small(most: int) -> np.dtype:
 
 
 def _row(values: list) -> pa.RecordBatch:
-    kinds = [*[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 2]
+    kinds = [*[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 5, *[pa.list_(pa.int64())] * 2]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=_NAMES)
 
 
 def aligned_slices(docs: DataFrame, first: str, second: str) -> DataFrame:
     """The one pass over the texts, stored: per slice what each text gives and which links its chunks have; per task counts of id pairs.
 
-    ``docs`` has doc_id and text. Links are stored once per distinct chunk of a slice, so they take about as much as the texts.
+    ``docs`` has doc_id and text. Links are stored once per distinct chunk of a slice, as places in the slice's distinct id pairs,
+    so they take less than the texts.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = aligner(first, second)
@@ -373,8 +376,10 @@ def aligned_slices(docs: DataFrame, first: str, second: str) -> DataFrame:
                 there = np.repeat(s.good, np.diff(s.at))
                 chunk = s.chunk[there]
                 flat, links = _links(s.known)
-                often = np.bincount(chunk, minlength=len(s.known))
-                keys, sums = _folded([flat], [np.repeat(often, links)])
+                keys, linked = np.unique(flat, return_inverse=True)
+                often = np.repeat(np.bincount(chunk, minlength=len(s.known)), links)
+                # Sums stay below 2^53.
+                sums = np.bincount(linked, weights=often, minlength=len(keys)).astype(np.int64)
                 pairs.append(keys[sums > 0])
                 times.append(sums[sums > 0])
                 held += len(pairs[-1])
@@ -383,16 +388,17 @@ def aligned_slices(docs: DataFrame, first: str, second: str) -> DataFrame:
                 yield _row([
                     batch.column(0).slice(lo, hi - lo).to_pylist(), *_numbers(s, [*counts, links]), _digests(s), places,
                     chunk.astype(_small(len(s.known))).tobytes(), links.astype("<u4").tobytes(),
-                    (flat >> ID_BITS).astype(a_kind).tobytes(), (flat & _ID).astype(b_kind).tobytes(), None, None])
+                    linked.astype(_small(len(keys))).tobytes(),
+                    (keys >> ID_BITS).astype(a_kind).tobytes(), (keys & _ID).astype(b_kind).tobytes(), None, None])
                 # Not held while the next slice is aligned.
-                del s, there, chunk, flat, links, often, keys, sums, counts, places
+                del s, there, chunk, flat, links, often, keys, linked, sums, counts, places
                 if held > FLUSH_LINKS:
-                    yield _row([None] * 11 + list(_folded(pairs, times)))
+                    yield _row([None] * 12 + list(_folded(pairs, times)))
                     pairs, times, held = [], [], 0
         if held:
-            yield _row([None] * 11 + list(_folded(pairs, times)))
+            yield _row([None] * 12 + list(_folded(pairs, times)))
 
-    return cut_lineage(docs.mapInArrow(trimmed_stream(run), _PASS))
+    return cut_lineage(docs.mapInArrow(trimmed_stream(run), _PASS), STORED)
 
 
 def pair_counts(passed: DataFrame) -> DataFrame:
@@ -408,12 +414,14 @@ def pair_counts(passed: DataFrame) -> DataFrame:
 
 
 def _unpacked(batch: pa.RecordBatch, i: int, kinds: tuple) -> tuple[np.ndarray, ...]:
-    """(chunk of each occurrence, links per chunk, their pairs, where each text's occurrences begin) of a stored slice."""
-    raw = {c: batch.column(c)[i].as_py() for c in ("chunk", "links", "a", "b")}
+    """Of a stored slice: chunk of each occurrence, links per chunk, their places among the distinct pairs, these, where each text's
+    occurrences begin."""
+    raw = {c: batch.column(c)[i].as_py() for c in ("chunk", "links", "linked", "a", "b")}
     links = np.frombuffer(raw["links"], "<u4").astype(np.int64)
     chunk = np.frombuffer(raw["chunk"], _small(len(links))).astype(np.int64)
     pairs = np.frombuffer(raw["a"], kinds[0]).astype(np.int64) << ID_BITS | np.frombuffer(raw["b"], kinds[1]).astype(np.int64)
-    return chunk, links, pairs, batch.column("places").slice(i, 1).flatten().to_numpy()
+    linked = np.frombuffer(raw["linked"], _small(len(pairs)))
+    return chunk, links, linked, pairs, batch.column("places").slice(i, 1).flatten().to_numpy()
 
 
 def align(
@@ -447,14 +455,14 @@ def align(
             keys, n, best = sent.value
             for batch in batches:
                 for i in range(len(batch)):
-                    chunk, links, pairs, places = _unpacked(batch, i, kinds)
+                    chunk, links, linked, pairs, places = _unpacked(batch, i, kinds)
                     ends = np.concatenate([[0], np.cumsum(links)])
                     # A chunk that only texts without tokens have may hold pairs that were never counted.
                     at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
                     sums = []
                     for x in (best, n):
                         found = np.where(keys[at] == pairs, x[at], 0) if len(keys) else pairs * 0
-                        by_chunk = np.diff(np.concatenate([[0], np.cumsum(found)])[ends])
+                        by_chunk = np.diff(np.concatenate([[0], np.cumsum(found[linked])])[ends])
                         sums.append(np.diff(np.concatenate([[0], np.cumsum(by_chunk[chunk])])[places]))
                     yield pa.RecordBatch.from_arrays(
                         [*[batch.column(c).slice(i, 1).flatten() for c in _OUT[:5]], *map(pa.array, sums),
@@ -465,12 +473,12 @@ def align(
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                chunk, links, pairs, places = _unpacked(batch, i, kinds)
+                chunk, links, linked, pairs, places = _unpacked(batch, i, kinds)
                 begins = np.cumsum(links) - links
                 keys, times = [], []
                 for lo, hi in zip(places[:-1], places[1:]):
                     held = chunk[lo:hi]
-                    k, n = np.unique(pairs[spread(begins[held], links[held])], return_counts=True)
+                    k, n = np.unique(pairs[linked[spread(begins[held], links[held])]], return_counts=True)
                     keys.append(k)
                     times.append(n)
                 yield pa.RecordBatch.from_arrays(

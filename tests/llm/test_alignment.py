@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -125,3 +126,18 @@ def test_tokenizers_hold_a_bounded_share_of_a_slice(monkeypatch):
     found = pair.align(raw)
     assert len(sizes) > 1 and max(sizes) <= alignment.LEARNED_BYTES + alignment.JOINED * max(map(len, raw))
     assert all(found[r] is not None for r in raw)
+
+
+def test_stored_slices_are_small(spark):
+    """Rows that JVMs copy whole and the groups of rows that they write and read at once do not grow with a task."""
+    word = [f"{i * 2654435761 % 2**32:x}" for i in range(60_000)]
+    texts = [" ".join(word[(i * 211 + k * k) % len(word)] for k in range(220)) for i in range(5_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    passed = alignment.aligned_slices(docs, A, B)
+    assert sum(map(len, texts)) > 8 << 20
+    sizes = passed.where("chunk is not null").selectExpr(
+        "length(chunk) + length(links) + length(linked) + length(a) + length(b) + 8 * size(places) as n")
+    assert max(r["n"] for r in sizes.collect()) < 1 << 20
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in passed.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert max(sum(g.column(i).total_compressed_size for i in range(g.num_columns)) for g in groups) < 5 << 20
